@@ -149,7 +149,9 @@ class ByteBpe:
         if found is None:
             if len(self.pieces) >= MEMO:
                 self.pieces.clear()
-            found = self.pieces[piece] = np.array(self.encode_piece(piece.encode()), "<u4").tobytes()
+            found = np.array(self.encode_piece(piece.encode()), "<u4").tobytes()
+            if len(piece) < 64:
+                self.pieces[piece] = found
         return found
 
     def _part(self, part: str) -> bytes:

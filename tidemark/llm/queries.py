@@ -6,16 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import byte_bpe, html_extract, ogg_media, quality_cascade, simhash, substring_dedup, url_filter
+from tidemark.llm import byte_bpe, html_extract, language_id, ogg_media, packing, quality_cascade, simhash, substring_dedup, url_filter
 from tidemark.llm.common import ship_package
 
 MODULES = {
     "op1_html_extract": html_extract,
     "op2_ogg_media": ogg_media,
     "op3_substring_dedup": substring_dedup,
+    "op4_language_id": language_id,
     "op5_url_filter": url_filter,
     "op6_quality_cascade": quality_cascade,
     "op7_simhash": simhash,
+    "op8_packing": packing,
     "op9_byte_bpe": byte_bpe,
 }
 
