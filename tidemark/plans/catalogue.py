@@ -2,10 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries():
-    return {}
+from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.plans import bar_queries
 
-def oracle_sql():
-    return {}
+_FAMILIES = (bar_queries,)
+
+
+def _in_utc(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return run(spark, sf_dir)
+
+    return query
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {name: _in_utc(run) for family in _FAMILIES for name, (run, _) in family.QUERIES.items()}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {name: sql for family in _FAMILIES for name, (_, sql) in family.QUERIES.items() if sql}
