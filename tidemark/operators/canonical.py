@@ -60,7 +60,7 @@ def violation_counts(df: DataFrame) -> DataFrame:
 def coerce(df: DataFrame, verify: bool = True) -> DataFrame:
     """The frame cast to the canonical schema, UUIDs canonical, flags trimmed and sorted. With verify, one aggregate fails on any bad row."""
     check_columns(df)
-    plain = df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in BAR_SCHEMA))
+    plain = df.select(*(F.col(f.name).cast("array<string>" if f.name == "quality_flags" else f.dataType).alias(f.name) for f in BAR_SCHEMA))
     if verify:
         counts = plain.agg(*(F.count_if(v).alias(k) for k, v in violations().items())).first().asDict()
         failed = {k: n for k, n in counts.items() if n}
