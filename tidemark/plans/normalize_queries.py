@@ -33,12 +33,16 @@ def _refs(spark, sf_dir):
     return parts.select(F.lit("r1").alias("request_id"), F.concat(F.lit("S"), F.col("l_partkey").cast("string")).alias("provider_identifier"), F.col("l_partkey").cast("string").alias("instrument_id"))
 
 
-def symbol_map(spark, sf_dir):
+def symbol_map_pages(spark, sf_dir):
     rec = F.struct(F.date_format("at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("t"), F.col("p").alias("o"), F.col("high").alias("h"), F.col("p").alias("l"), F.col("close").alias("c"), F.col("l_quantity").alias("v"))
     per = _lines(spark, sf_dir).groupBy("l_orderkey", "symbol").agg(F.transform(F.array_sort(F.collect_list(F.struct("n", rec.alias("r")))), lambda x: x["r"]).alias("v"))
     page = per.groupBy("l_orderkey").agg(F.to_json(F.struct(F.map_from_entries(F.array_sort(F.collect_list(F.struct("symbol", "v")))).alias("bars"))).alias("j"))
     pages = page.select(F.concat(F.lit("b"), F.col("l_orderkey").cast("string")).alias("raw_batch_id"), F.encode("j", "UTF-8").alias("payload"))
-    return nz.normalize_symbol_map(_requested(pages, "5m"), _refs(spark, sf_dir), _calendar(spark, sf_dir))
+    return _requested(pages, "5m")
+
+
+def symbol_map(spark, sf_dir):
+    return nz.normalize_symbol_map(symbol_map_pages(spark, sf_dir), _refs(spark, sf_dir), _calendar(spark, sf_dir))
 
 
 def results(spark, sf_dir):
