@@ -14,10 +14,18 @@ from pyspark.sql import functions as F
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 #: Text bytes that a Python task handles at once; with it memory stays flat.
 BLOCK_BYTES = 4 << 20
+ROWS_PER_FILE = 250_000
+
+
+#: Rows of an Arrow batch; ten times as many, Spark's default, take JVM buffers of over 100 MB a task for whole texts.
+ARROW_ROWS = 1000
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Let Python workers import this package when the session was started without it on PYTHONPATH."""
+    """Prepare a session: Python workers can import this package, and Arrow batches of whole texts stay small."""
+    rows = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    if rows <= 0 or rows > ARROW_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     from pathlib import Path
 
     root = str(Path(__file__).resolve().parents[2])
@@ -37,31 +45,58 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back, which cuts lineage and survives lost executors."""
+def written(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """Write df as Parquet in the shared folder and read it back, which cuts lineage and survives lost executors.
+
+    With `rows`, about that many narrow rows are expected and files get ROWS_PER_FILE each (8 files at least).
+    """
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/tidemark-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df if rows is None else df.coalesce(max(8, -(-rows // ROWS_PER_FILE)))).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def text_size(df: DataFrame, text: str = "text") -> tuple[int, int]:
-    """Rows and UTF-8 bytes of text, by one aggregate; sizes the partition counts that follow."""
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(text)).alias("b")).first()
-    return row["n"], row["b"] or 0
+def join_found(left: DataFrame, right: DataFrame, key: str, counts: DataFrame, rows: int, how: str = "left") -> DataFrame:
+    """left joined with right, which has one row a key, where a few keys may hold most of the `rows` rows of left.
+
+    counts has left's rows of each key (key, count). Keys with over 1 / (4 * partitions) of the rows, fewer than
+    4 * partitions of them, are broadcast; their rows are dealt over as many partitions as they fill, and right's row goes
+    to each of these.
+    """
+    spark = left.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    limit = max(1, rows // (4 * parts))
+    hot = counts.filter(F.col(key).isNotNull() & (F.col("count") > limit)).collect()
+    sized = spark.createDataFrame([(r[key], -(-r["count"] // limit)) for r in hot], left.select(key).schema.add("_salts", "long"))
+    salts = F.when(F.col(key).isNull(), parts).otherwise(F.coalesce("_salts", F.lit(1))).cast("long")  # null meets nothing and goes anywhere
+    dealt = left.join(F.broadcast(sized), key, "left").withColumn("_salt", F.pmod(F.monotonically_increasing_id(), salts)).drop("_salts")
+    spread = right.filter(F.col(key).isNotNull()).join(F.broadcast(sized), key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))).drop("_salts")
+    return dealt.repartition(parts, key, "_salt").join(spread.repartition(parts, key, "_salt"), [key, "_salt"], how).drop("_salt")
 
 
 def blocks(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = BLOCK_BYTES) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Cut batches into runs of rows with about `limit` characters of text; null text reads as empty. One longer text is a run of its own."""
+    """Deal batches anew into runs of rows with about `limit` characters of text; null text reads as empty. One longer text is a run of its own."""
+    held: list[pa.RecordBatch] = []
+    texts: list[str] = []
+    size = 0
     for batch in batches:
-        texts = [x or "" for x in batch.column(batch.schema.names.index(text)).to_pylist()]
-        start = size = 0
-        for i, x in enumerate(texts):
+        found = [x or "" for x in batch.column(batch.schema.names.index(text)).to_pylist()]
+        start = 0
+        for i, x in enumerate(found):
             if size and size + len(x) > limit:
-                yield batch.slice(start, i - start), texts[start:i]
-                start, size = i, 0
+                if i > start:
+                    held.append(batch.slice(start, i - start))
+                yield _one(held), texts
+                held, texts, size, start = [], [], 0, i
+            texts.append(x)
             size += len(x)
-        if start < len(texts):
-            yield batch.slice(start), texts[start:]
+        if start < len(found):
+            held.append(batch.slice(start))
+    if held:
+        yield _one(held), texts
+
+
+def _one(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return batches[0] if len(batches) == 1 else pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
 
 
 def kept(batch: pa.RecordBatch, names: list[str]) -> list[pa.Array]:

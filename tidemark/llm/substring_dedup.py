@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import blocks, text_size, words_of, written
+from tidemark.llm.common import ROWS_PER_FILE, blocks, join_found, words_of, written
 
 WIDTH = 35
 #: Windows that one bucket counts at a time, about.
@@ -140,7 +140,7 @@ def _unit_rows(unit: int, texts: list[str], width: int, n_buckets: int) -> Itera
     yield n_buckets + unit % n_buckets, unit, head, b"".join(keys), layout.tobytes()
 
 
-def _batches(rows: Iterator[tuple], schema: pa.Schema, limit: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+def _batches(rows: Iterator[tuple], schema: pa.Schema, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     held, size = [], 0
     for r in rows:
         held.append(r)
@@ -157,9 +157,11 @@ _ANSWER = pa.schema([("unit", pa.int64()), ("bucket", pa.int64()), ("a", pa.bina
 _FOUND = pa.schema([("text_key", pa.binary()), ("first", pa.list_(pa.int32())), ("end", pa.list_(pa.int32()))])
 
 
-def repeated_intervals(docs: DataFrame, text: str = "text", width: int = WIDTH, bucket_windows: int = BUCKET_WINDOWS) -> DataFrame:
-    """text_key (MD5 of the text), and the word intervals [first, end) to remove, for each distinct text that has any."""
-    _, size = text_size(docs, text)
+def repeated_intervals(docs: DataFrame, size: int, text: str = "text", width: int = WIDTH, bucket_windows: int = BUCKET_WINDOWS) -> DataFrame:
+    """text_key (MD5 of the text), and the word intervals [first, end) to remove, for each distinct text that has any.
+
+    size is the texts' number of bytes; the number of buckets follows it.
+    """
     n_buckets = max(8, -(-size // (6 * bucket_windows)))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,7 +229,11 @@ def cut_words(text: str, first: list[int], end: list[int]) -> tuple[str, int, in
 
 def remove_repeats(docs: DataFrame, text: str = "text", width: int = WIDTH) -> DataFrame:
     """All rows with text cut, and columns n_words (before) and n_removed."""
-    found = written(repeated_intervals(docs, text, width), "intervals")
+    keyed = docs.withColumn("_key", F.unhex(F.md5(text)))
+    counts = written(keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("count"), F.max(F.octet_length(text)).alias("bytes")), "texts", int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) * ROWS_PER_FILE // 8)
+    total = counts.agg(F.sum("count").alias("rows"), F.sum(F.col("count") * F.col("bytes")).alias("size")).first()
+    rows = total["rows"] or 0
+    found = written(repeated_intervals(docs, total["size"] or 0, text, width), "intervals", rows)
     rest = [c for c in docs.columns if c not in (text, "n_words", "n_removed")]
     schema = docs.select(*rest, text).schema.add("n_words", "long").add("n_removed", "long")
 
@@ -239,8 +245,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", width: int = WIDTH) -> D
             columns = [pa.array([r[k] for r in cut], kind) for k, kind in enumerate((pa.string(), pa.int64(), pa.int64()))]
             yield pa.RecordBatch.from_arrays([*(batch.column(at(c)) for c in rest), *columns], names=schema.names)
 
-    keyed = docs.select(*rest, text).withColumn("_key", F.unhex(F.md5(text)))
-    joined = keyed.join(found.select(F.col("text_key").alias("_key"), F.col("first").alias("_first"), F.col("end").alias("_end")), "_key", "left")
+    found = found.select(F.col("text_key").alias("_key"), F.col("first").alias("_first"), F.col("end").alias("_end"))
+    joined = join_found(keyed.select(*rest, text, "_key"), found, "_key", counts, rows)
     return joined.select(*rest, text, "_first", "_end").mapInArrow(run, schema)
 
 
