@@ -41,3 +41,11 @@ def joined(c: Column) -> Column:
 
 def finite(c: Column) -> Column:
     return ~(F.isnan(c) | (F.abs(c) == float("inf")))
+
+
+def name_uuid(namespace: str, name: Column) -> Column:
+    """The version-5 UUID of a name in a namespace (a UUID as text)."""
+    digest = F.sha1(F.concat(F.unhex(F.lit(namespace.replace("-", ""))), F.encode(name, "UTF-8")))
+    variant = F.translate(F.substring(digest, 17, 1), "0123456789abcdef", "89ab89ab89ab89ab")
+    part = lambda a, n: F.substring(digest, a, n)
+    return F.concat(part(1, 8), F.lit("-"), part(9, 4), F.lit("-5"), part(14, 3), F.lit("-"), variant, part(18, 3), F.lit("-"), part(21, 12))

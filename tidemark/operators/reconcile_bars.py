@@ -152,6 +152,16 @@ def provider_metrics(bars: DataFrame, expected: DataFrame, provider: str, second
     return own.select("*", one).join(want.select("*", one), "_k").join(miss.select("*", one), "_k").select(F.lit(provider).alias("provider"), "observations", "unique_keys", "duplicates", "expected", "missing")
 
 
+def ordered_findings(findings: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """In key order, then in the fixed order of metrics."""
+    return findings.orderBy(*by, *BAR_KEY, "ordinal")
+
+
+def sanitized(findings: DataFrame) -> DataFrame:
+    """What may leave a run: counts by metric and class, no values and no ids."""
+    return findings.groupBy("metric", "classification").agg(F.count(F.lit(1)).alias("findings"))
+
+
 def counts_by_class(findings: DataFrame) -> DataFrame:
     """(classification, findings) for every class, zeros included, in one pass."""
     counts = findings.agg(*(F.count_if(F.col("classification") == k).alias(k) for k in CLASSES))

@@ -7,11 +7,11 @@ from datetime import UTC, datetime
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import joined, slug
+from tidemark.functions.text import joined, name_uuid, slug
 from tidemark.operators.canonical import coerce
 from tidemark.plans import adapters
 from tidemark.plans.adapters import table
-from tidemark.sources import raw, store
+from tidemark.sources import normalize, raw, store
 
 
 def _batches(spark, sf_dir):
@@ -94,6 +94,25 @@ def runtime_summary(spark, sf_dir):
     return raw.runtime_summary(_batches(spark, sf_dir)).select("provider", "batches", "datasets", "statuses", "latencies", F.col("latency_sum").cast("long").alias("latency_sum"), F.col("latency_max").cast("long").alias("latency_max"), F.col("remaining_min").cast("long").alias("remaining_min"))
 
 
+NAMESPACE = "6ba7b810-9dad-11d1-80b4-00c04fd430c8"
+
+
+def source_identities(spark, sf_dir):
+    """Stable ids of sources from their names."""
+    return table(spark, sf_dir, "supplier").select("s_suppkey", name_uuid(NAMESPACE, F.col("s_name")).alias("source_id"))
+
+
+def bound_pages(spark, sf_dir):
+    """Pages bound to requests: an event's request is its user, a request's source its user's last digit, and it expects a page number."""
+    b = _batches(spark, sf_dir).join(table(spark, sf_dir, "events").select("event_id", "user_id"), "event_id")
+    k = F.col("event_id")
+    pages = b.select(k.cast("string").alias("raw_batch_id"), F.col("user_id").alias("request_id"), F.when(k % 37 == 0, "s-other").otherwise(F.concat(F.lit("s"), (F.col("user_id") % 10).cast("string"))).alias("source_id"), "request_metadata")
+    requests = table(spark, sf_dir, "events").select("user_id").distinct().filter("user_id % 50 <> 0")
+    requests = requests.select(F.col("user_id").alias("request_id"), F.concat(F.lit("s"), (F.col("user_id") % 10).cast("string")).alias("source_id"), F.when(F.col("user_id") % 3 == 0, F.create_map(F.lit("response_status"), F.lit("200"))).alias("expected_metadata"), F.lit("5m").alias("timeframe"))
+    good, errors = normalize.bound_pages(pages, requests)
+    return good.select("raw_batch_id", F.lit("ok").alias("reason")).unionByName(errors).groupBy("reason").agg(F.count(F.lit(1)).alias("pages"))
+
+
 QUERY = store.BarQuery(timeframe="5m", session="regular", adjustment_state="unadjusted", start=datetime(1996, 2, 1, tzinfo=UTC), end=datetime(1998, 9, 1, tzinfo=UTC))
 
 
@@ -173,6 +192,15 @@ u AS (SELECT r AS request_id, unnest(l) AS problem FROM s) SELECT * FROM u WHERE
         runtime_summary,
         f"""SELECT 'Provider ' || upper(event_type) AS provider, count(*) AS batches, 'Café Aux,bars.5m' AS datasets, '200,429' AS statuses, count({_CASE_LAT}) AS latencies, sum({_CASE_LAT})::BIGINT AS latency_sum, max({_CASE_LAT})::BIGINT AS latency_max, min(event_id % 97) AS remaining_min FROM events GROUP BY event_type""",
     ),
+    "source_identities": (
+        source_identities,
+        """WITH h AS (SELECT s_suppkey, sha1(unhex('6ba7b8109dad11d180b400c04fd430c8') || encode(s_name)) AS d FROM supplier)
+SELECT s_suppkey, substr(d, 1, 8) || '-' || substr(d, 9, 4) || '-5' || substr(d, 14, 3) || '-' || translate(substr(d, 17, 1), '0123456789abcdef', '89ab89ab89ab89ab') || substr(d, 18, 3) || '-' || substr(d, 21, 12) AS source_id FROM h""",
+    ),
+    "bound_pages": (
+        bound_pages,
+        "SELECT CASE WHEN user_id % 50 = 0 THEN 'request' WHEN event_id % 37 = 0 THEN 'source' WHEN user_id % 3 = 0 AND event_id % 13 = 0 THEN 'request_metadata' ELSE 'ok' END AS reason, count(*) AS pages FROM events GROUP BY 1",
+    ),
     "bar_query": (bar_query, f"SELECT epoch_us(timestamp_start) AS start_us, instrument_id, source_id, open, volume, array_to_string(list_sort(quality_flags), ',') AS flags FROM ({_LEFT}) WHERE {_W}"),
     "partition_keys": (partition_keys, f"SELECT DISTINCT timeframe, year(timestamp_start)::INTEGER AS year, month(timestamp_start)::INTEGER AS month FROM ({_LEFT})"),
     "store_roundtrip": (store_roundtrip, f"SELECT timeframe, year(timestamp_start)::INTEGER AS year, month(timestamp_start)::INTEGER AS month, count(*) AS bars, count(DISTINCT instrument_id) AS instruments, max(high) AS high FROM ({_LEFT}) WHERE {_W} GROUP BY 1, 2, 3"),

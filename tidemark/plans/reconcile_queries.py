@@ -130,6 +130,7 @@ QUERIES = {
         FOUND + ", c(classification) AS (VALUES " + ", ".join(f"('{c}')" for c in CLASSES) + ") SELECT classification, count(metric) AS findings FROM c LEFT JOIN found USING (classification) GROUP BY 1",
     ),
     "finding_counts_by_metric": (lambda spark, d: rb.counts_by_metric(findings(spark, d)), FOUND + "SELECT metric, count(*) AS findings FROM found GROUP BY 1"),
+    "sanitized_findings": (lambda spark, d: rb.sanitized(findings(spark, d)), FOUND + "SELECT metric, classification, count(*) AS findings FROM found GROUP BY 1, 2"),
     "numeric_differences": (
         numeric_differences,
         FOUND

@@ -75,6 +75,27 @@ def request_mismatch(expected: Column, actual: Column) -> Column:
     return F.exists(F.map_keys(expected), lambda k: ~expected[k].eqNullSafe(actual[k]))
 
 
+def bound_pages(pages: DataFrame, requests: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pages joined with their request (request_id, source_id, expected_metadata, ...), and batch errors.
+
+    A page must name a known request, come from the request's source and echo all metadata that the request expects.
+    """
+    own = [c for c in requests.columns if c not in ("request_id", "source_id", "expected_metadata")]
+    r = requests.select("request_id", F.col("source_id").alias("_source"), F.col("expected_metadata").alias("_expected"), F.lit(True).alias("_known"), *own)
+    x = pages.join(r, "request_id", "left")
+    reason = F.when(F.col("_known").isNull(), "request").when(~F.col("source_id").eqNullSafe(F.col("_source")), "source").when(F.coalesce(request_mismatch(F.col("_expected"), F.col("request_metadata")), F.col("_expected").isNotNull()), "request_metadata")
+    x = x.withColumn("reason", reason)
+    return x.filter("reason IS NULL").select(*pages.columns, *own), x.filter("reason IS NOT NULL").select("raw_batch_id", "reason")
+
+
+def chunk_identifiers(manifest: Column) -> Column:
+    """Symbols that a page's request asked for, from its version-1 manifest; null if it is malformed, empty or repeats a symbol."""
+    m = F.from_json(manifest, "version int, references array<struct<instrument_id: string, provider_identifier: string>>")
+    names = F.transform(m["references"], lambda x: x["provider_identifier"])
+    ok = (m["version"] == 1) & (F.size(names) > 0) & ~F.exists(names, lambda n: n.isNull() | (F.trim(n) == "")) & (F.size(F.array_distinct(names)) == F.size(names))
+    return F.when(ok, names)
+
+
 def single_references(pages: DataFrame, refs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Pages of one ticker with the instrument of their identifier, and errors for pages without exactly one match."""
     n = refs.groupBy("request_id", "provider_identifier").agg(F.count(F.lit(1)).alias("_n"), F.min("instrument_id").alias("instrument_id"))
@@ -370,3 +391,17 @@ def normalize_families(pages: DataFrame, refs: DataFrame) -> Normalized:
     )
     rows, issues = _actions(r.withColumn("issue_code", code))
     return Normalized(rows, issues.unionByName(_with_severity(basis)), errors)
+
+
+#: Action normalizers of single-ticker pages by endpoint.
+ACTION_ENDPOINTS: dict[str, Callable[[DataFrame], Normalized]] = {"splits": normalize_splits, "dividends": normalize_dividends, "ticker_events": normalize_ticker_events}
+
+
+def normalize_by_endpoint(pages: DataFrame) -> Normalized:
+    """Actions of pages with a column `endpoint`; a page of an endpoint without a normalizer is a batch error."""
+    parts = [(f(pages.filter(F.col("endpoint") == k).drop("endpoint"))) for k, f in ACTION_ENDPOINTS.items()]
+    unknown = pages.filter(~F.coalesce(F.col("endpoint").isin(*ACTION_ENDPOINTS), F.lit(False))).select("raw_batch_id", F.lit("endpoint").alias("reason"))
+    rows, issues, errors = parts[0].rows, parts[0].issues, parts[0].batch_errors.unionByName(unknown)
+    for p in parts[1:]:
+        rows, issues, errors = rows.unionByName(p.rows), issues.unionByName(p.issues, allowMissingColumns=True), errors.unionByName(p.batch_errors)
+    return Normalized(rows, issues, errors)
