@@ -32,10 +32,10 @@ BLOCK = frozenset(
 DROPPED = frozenset("head nav footer aside form script style noscript template svg math iframe object canvas audio video select textarea button dialog menu map datalist".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 NAMES = frozenset(
-    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar aside menu nav navbar navigation breadcrumb breadcrumbs footer masthead cookie cookies consent gdpr notice notices popup modal newsletter subscribe subscription signup comment comments discussion disqus replies responses respond share sharing social related recommended widget toolbar pagination pager login search skip".split()
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar aside menu nav navbar navigation breadcrumb breadcrumbs footer masthead cookie cookies consent gdpr notice notices popup modal newsletter subscribe subscription signup comment comments discussion disqus replies responses respond share sharing social related recommended widget toolbar pagination pager login search skip alert alerts toast paywall overlay lightbox dropdown copyright disclaimer teaser teasers".split()
 )
+HEADS = frozenset("header topbar".split())
 OPEN_NAMES = frozenset("with has no without".split())
-HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: A start tag on the left closes an open one of the same group, up to the nearest boundary.
 CLOSES = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 BOUNDS = frozenset("ul ol dl table article main section div body td th blockquote aside nav".split())
@@ -43,11 +43,11 @@ _SPLIT = re.compile("[^a-z0-9]+")
 _CUT_OFF = re.compile(r"<(?:[a-zA-Z/!?][^<>]*)?$")
 
 
-def _named(value: str) -> bool:
+def _named(value: str, names: frozenset[str] = NAMES) -> bool:
     """Does a class or id name one of the parts to leave out? `comment-list` and `left-sidebar` do, `has-sidebar` doesn't."""
     for name in value.lower().split():
         parts = [x for x in _SPLIT.split(name) if x]
-        if parts and (parts[0] in NAMES or parts[-1] in NAMES) and not OPEN_NAMES & {*parts[:-1]}:
+        if parts and (parts[0] in names or parts[-1] in names) and not OPEN_NAMES & {*parts[:-1]}:
             return True
     return False
 
@@ -98,7 +98,6 @@ class _Lines(HTMLParser):
         self.stack.append((tag, self.hidden, self.path))
         if not self.hidden:
             if tag in DROPPED or attrs and self.left_out(tag, attrs) or tag == "header" and not self.inside("article", "main"):
-                self.flush()
                 self.hidden = len(self.stack)
             elif tag in ("article", "main", "div", "section", "td", "body", "header"):
                 own = "main" if ("role", "main") in attrs else "article" if ("role", "article") in attrs else tag
@@ -111,7 +110,7 @@ class _Lines(HTMLParser):
     def left_out(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
         for k, v in attrs:
             if k in ("class", "id"):
-                if v and tag not in ("body", "html", "article", "main") and _named(v):
+                if v and tag not in ("body", "html", "main") and (_named(v) or _named(v, HEADS) and not self.inside("article", "main")):
                     return True
             elif k == "role":
                 if v in ROLES:
@@ -132,7 +131,7 @@ class _Lines(HTMLParser):
             if self.stack[i][0] == tag:
                 self.pop_to(i)
                 return
-            if tag not in BLOCK and self.stack[i][0] in BLOCK:
+            if tag not in BLOCK and tag not in DROPPED and self.stack[i][0] in BLOCK:
                 return  # an inline end tag doesn't close a block
 
     def handle_data(self, data: str) -> None:
@@ -180,12 +179,9 @@ def extract(html: str | None, sigma: float = 1.0, cut: float = 0.5, share: float
         if ok:
             for i in path:
                 mass[i] = mass.get(i, 0) + len(text)
-    roots = {i for kind in ("article", "main") for i in mass if kinds[i] == kind and not any(kinds[k] == "main" for k in mass if kind == "article" and not any(kinds[j] == "article" for j in mass))}
-    articles = {i for i in roots if kinds[i] == "article"}
-    roots = articles or roots
-    if not roots:
-        whole = mass[0]
-        roots = {max(i for i, m in mass.items() if m >= share * whole)}  # ids grow with depth along a path
+    of = lambda kind: {i for i in mass if kinds[i] == kind}
+    # Ids grow with depth along a path, so the largest one that holds enough is the smallest container.
+    roots = of("article") or of("main") or {max(i for i, m in mass.items() if m >= share * mass[0])}
     heads = {i for i, k in enumerate(kinds) if k == "header"}
     return "\n\n".join(text for text, _, path in lines if roots.intersection(path) and not heads.intersection(path))
 
