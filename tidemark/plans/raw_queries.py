@@ -140,7 +140,7 @@ def shared(spark) -> str:
 
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="tidemark-")
     return found.rstrip("/")
