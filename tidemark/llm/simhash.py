@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import blocks, kept, written
+from tidemark.llm.common import blocks, join_found, kept, written
 
 SHINGLE = 4
 SEED = 42
@@ -133,7 +133,7 @@ def links(nodes: DataFrame, radius: int = RADIUS, hot: int = HOT) -> DataFrame:
     """Edges (u, v) between distinct fingerprints, v < u: a spanning forest of the links within each band value."""
     n = nodes.count()
     banded = nodes.select("fingerprint", F.explode(_bands(F.col("fingerprint"), radius)).alias("band"))
-    crowded = written(banded.groupBy("band").count().filter(F.col("count") > hot), "bands")
+    crowded = written(banded.groupBy("band").count().filter(F.col("count") > hot), "bands", (radius + 1) * n // hot)
     packs = max(1, (radius + 1) * n // hot)
 
     def compare(table: pa.Table) -> pa.Table:
@@ -150,7 +150,7 @@ def links(nodes: DataFrame, radius: int = RADIUS, hot: int = HOT) -> DataFrame:
         own, salt = F.bit_count("fingerprint"), F.pmod(F.xxhash64("fingerprint"), F.col("salts")).cast("int")
         other = F.explode(F.sequence(F.lit(-radius), F.lit(radius)))
         pairs = tiled.select("fingerprint", "band", "salts", own.alias("p"), salt.alias("s"), other.alias("d")).select("*", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("t"))
-        me, it = F.struct(F.col("p"), F.col("s")), F.struct(F.col("p") + F.col("d"), F.col("t"))
+        me, it = F.struct(F.col("p"), F.col("s")), F.struct((F.col("p") + F.col("d")).alias("p"), F.col("t").alias("s"))
         pairs = pairs.select("fingerprint", "band", F.least(me, it).alias("lo"), F.greatest(me, it).alias("hi"))
         found = pairs.groupBy("band", "lo", "hi").applyInArrow(lambda t: compare(t), "u long, v long")
     packed = plain.withColumn("pack", F.pmod(F.xxhash64("band"), F.lit(packs)))
@@ -158,12 +158,12 @@ def links(nodes: DataFrame, radius: int = RADIUS, hot: int = HOT) -> DataFrame:
     return (small if found is None else small.unionByName(found)).distinct()
 
 
-def components(edges: DataFrame, limit: int = 100) -> DataFrame:
-    """node and root (its component's least node) of every node of an edge; edges are (u, v)."""
+def components(edges: DataFrame, rows: int | None = None, limit: int = 100) -> DataFrame:
+    """node and root (its component's least node) of every node of an edge; edges are (u, v), about `rows` of them."""
     def state(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
 
-    e = written(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct(), "edges")
+    e = written(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct(), "edges", rows)
     now = state(e)
     for _ in range(limit):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -171,38 +171,39 @@ def components(edges: DataFrame, limit: int = 100) -> DataFrame:
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
-        e = written(small.filter("u <> v").distinct(), "edges")
+        e = written(small.filter("u <> v").distinct(), "edges", rows)
         before, now = now, state(e)
         if now == before:
             return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
     raise RuntimeError(f"no fixed point after {limit} rounds")
 
 
-def grouped(prints: DataFrame, key: str = "doc_id", radius: int = RADIUS) -> DataFrame:
-    """Append root, the fingerprint that names the component, to rows of fingerprints (as written by the caller)."""
-    nodes = written(prints.select("fingerprint").distinct(), "nodes")
-    roots = components(links(nodes, radius))
-    return prints.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
+def rooted(per_print: DataFrame, rows: int, radius: int = RADIUS) -> DataFrame:
+    """Append root, the fingerprint that names the component, to rows of distinct fingerprints."""
+    nodes = written(per_print.select("fingerprint"), "nodes", rows)
+    roots = components(links(nodes, radius), rows, 100)
+    return per_print.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
     """key, fingerprint and component_id (the least key reachable) for each row."""
     prints = written(fingerprints(docs, key, text), "prints")
-    per_print = prints.groupBy("fingerprint").agg(F.min(key).alias("least"))
-    rooted = grouped(per_print, key, radius)
-    named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fingerprint", "component_id")
-    return prints.join(named, "fingerprint").select(key, "fingerprint", "component_id")
+    rows = prints.count()
+    named = rooted(prints.groupBy("fingerprint").agg(F.min(key).alias("least")), rows, radius)
+    named = named.join(named.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fingerprint", "component_id")
+    return join_found(prints.select(key, "fingerprint"), named, "fingerprint", prints.groupBy("fingerprint").count(), rows).select(key, "fingerprint", "component_id")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
     """Rows of docs, one of each component: the one of least key (null last), then least text digest."""
     prints = written(fingerprints(docs, key, text), "prints")
+    rows = prints.count()
     first = prints.groupBy("fingerprint").agg(F.min(F.struct(F.col(key).isNull().alias("last"), F.col(key).alias("id"), F.col("text_key"))).alias("best"))
-    rooted = grouped(first, key, radius)
-    best = rooted.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.id").alias("_id"), F.col("best.text_key").alias("_key"))
+    best = rooted(first, rows, radius).groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.id").alias("_id"), F.col("best.text_key").alias("_key"))
     keyed = docs.withColumn("_key", F.unhex(F.md5(F.coalesce(text, F.lit("")))))
     chosen = keyed.alias("d").join(best.alias("b"), F.col(f"d.{key}").eqNullSafe(F.col("b._id")) & (F.col("d._key") == F.col("b._key")), "left_semi")
-    return chosen.dropDuplicates([key, "_key"]).drop("_key")
+    repeated = not prints.groupBy(key, "text_key").count().filter("count > 1").isEmpty()
+    return (chosen.dropDuplicates([key, "_key"]) if repeated else chosen).drop("_key")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
