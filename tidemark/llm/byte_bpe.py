@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -39,7 +40,7 @@ _LOOSE = regex.compile(r"[ \t-\r] | [ \t-\r]")
 #: A single space between two characters that aren't white space.
 _JOINT = regex.compile(rf"(?<=[^{SPACE}]) (?=[^{SPACE}])")
 #: Entries of a worker's memos; a full memo starts anew.
-MEMO = 300_000
+MEMO = 500_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -85,7 +86,7 @@ class ByteBpe:
                 self.automaton.add_word(b.decode("latin-1"), i)
         self.automaton.make_automaton()
         self.shorter = [self._prefix(b) for b in self.bytes]
-        self.fit: dict[tuple[int, int], bool] = {}
+        self.fit: dict[int, bool] = {}
         self.pieces: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
@@ -99,13 +100,13 @@ class ByteBpe:
 
     def fits(self, a: int, b: int) -> bool:
         """Do the bytes of a and b merge into just these two tokens?"""
-        known = self.fit.get((a, b))
+        known = self.fit.get(a << 32 | b)
         if known is None:
-            if len(self.fit) >= 4 * MEMO:
+            if len(self.fit) >= MEMO:
                 self.fit.clear()
             x, y = self.bytes[a], self.bytes[b]
             joined = x + y
-            known = self.fit[a, b] = _merged([joined[k : k + 1] for k in range(len(joined))], self.ranks) == [x, y]
+            known = self.fit[a << 32 | b] = _merged([joined[k : k + 1] for k in range(len(joined))], self.ranks) == [x, y]
         return known
 
     def encode_piece(self, piece: bytes) -> list[int]:
@@ -144,12 +145,16 @@ class ByteBpe:
                 at -= len(size[token])
                 token = self.shorter[token]
 
+    def _encoded(self, piece: str) -> bytes:
+        ids = self.encode_piece(piece.encode())
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def _piece(self, piece: str) -> bytes:
-        found = self.pieces.get(piece)
+        found = self.parts.get(piece) or self.pieces.get(piece)
         if found is None:
-            if len(self.pieces) >= MEMO:
+            if len(self.pieces) >= MEMO // 2:
                 self.pieces.clear()
-            found = np.array(self.encode_piece(piece.encode()), "<u4").tobytes()
+            found = self._encoded(piece)
             if len(piece) < 64:
                 self.pieces[piece] = found
         return found
@@ -159,7 +164,8 @@ class ByteBpe:
         if found is None:
             if len(self.parts) >= MEMO:
                 self.parts.clear()
-            found = b"".join(map(self._piece, PATTERN.findall(part)))
+            pieces = PATTERN.findall(part)
+            found = self._encoded(part) if len(pieces) == 1 else b"".join(map(self._piece, pieces))
             if len(part) < 64:
                 self.parts[part] = found
         return found

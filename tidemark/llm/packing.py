@@ -33,7 +33,7 @@ from tidemark.llm.common import blocks, kept
 END = 2
 #: Shorter room than this is left as padding instead of cutting a piece for it.
 LEAST_CUT = 16
-MEMO = 1_200_000
+MEMO = 700_000
 
 
 @dataclass(frozen=True)
