@@ -1,8 +1,9 @@
 """Corpus preparation as five written stages.
 
 Each stage works on all that its predecessor kept: language identification drops texts without a clear language, the
-quality cascade drops what a rule rejects, near-dedup keeps one document of each group of near copies, substring dedup cuts
-repeated passages out of the texts, and packing cuts the documents into sequences of tokens.
+quality cascade drops what a rule rejects, near-dedup keeps one document of each group of near copies (Jaccard similarity of
+five-word shingles 0.8 or more), substring dedup cuts repeated passages out of the texts, and packing cuts the documents into
+sequences of tokens.
 
 A table without documents goes through all stages as an empty one. Rows with null text leave in the first stage.
 """
@@ -15,7 +16,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language_id, packing, quality_cascade, simhash, substring_dedup
+from tidemark.llm import language_id, near_copies, packing, quality_cascade, substring_dedup
 from tidemark.llm.common import shared_dir, ship_package
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -35,7 +36,7 @@ def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    return simhash.keep_one(docs).select(*docs.columns)
+    return near_copies.keep_one(docs).select(*docs.columns)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -163,3 +163,68 @@ def test_pipeline_of_an_empty_table(spark, tmp_path):
 
     spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(0).write.parquet(str(tmp_path / "documents.parquet"))
     assert cp.run(spark, str(tmp_path)).count() == 0
+
+
+def word_sets(texts, width=5):
+    sets = []
+    for t in texts:
+        w = (t or "").encode().lower().split()
+        sets.append({tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))})
+    return sets
+
+
+def brute_near_copies(ids, texts, least=0.8):
+    sets = word_sets(texts)
+    parent = list(range(len(ids)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(ids)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both / len(sets[i] | sets[j]) >= least:
+                parent[find(i)] = find(j)
+    return sorted({min(ids[j] for j in range(len(ids)) if find(j) == find(i)) for i in range(len(ids))})
+
+
+def test_near_dedup_stage_equals_brute_force_jaccard(spark, frame, odd):
+    import corpus_pipeline as cp
+
+    rng = random.Random(7)
+    texts = list(odd)
+    for _ in range(30):  # copies with one to eight words changed, some on both sides of 0.8, and their copies
+        words = [rng.choice("abcdefghij") + str(rng.randint(0, 300)) for _ in range(rng.randint(60, 150))]
+        texts.append(" ".join(words))
+        for changes in (1, 2, 3, 4, 8):
+            copy = list(words)
+            for i in rng.sample(range(len(copy)), changes):
+                copy[i] = f"new{rng.random()}"
+            texts.append(" ".join(copy))
+    kept = [r["doc_id"] for r in cp.drop_near_copies(spark, frame(texts), "").collect()]
+    assert sorted(kept) == brute_near_copies(list(range(len(texts))), texts)
+
+
+def test_near_dedup_stage_of_the_sample_documents(spark, sf):
+    import corpus_pipeline as cp
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = docs.collect()
+    kept = [r["doc_id"] for r in cp.drop_near_copies(spark, docs, sf).collect()]
+    assert sorted(kept) == brute_near_copies([r["doc_id"] for r in rows], [r["text"] for r in rows])
+
+
+def test_crowded_bands_lose_no_pair(spark, frame, monkeypatch):
+    from tidemark.llm import near_copies
+
+    # A chain whose ends are far apart: all meet in one band, and each is near its neighbours only.
+    words = [f"w{i}" for i in range(200)]
+    texts = [" ".join(words[8 * k : 8 * k + 100]) for k in range(12)]
+    monkeypatch.setattr(near_copies, "bands", lambda hashes: [1, 2])
+    monkeypatch.setattr(near_copies.links, "__defaults__", (*near_copies.links.__defaults__[:-1], 3))
+    docs = frame(texts)
+    nodes = docs.sparkSession.createDataFrame([(near_copies.words_and_node(t)[1], 96, [1, 2]) for t in texts], "node long, size long, bands array<bigint>")
+    edges = [tuple(r) for r in near_copies.links(docs, nodes).collect()]
+    assert len({r["root"] for r in simhash.components(spark.createDataFrame(edges, "u long, v long")).collect()}) == 1

@@ -1,0 +1,149 @@
+"""Near copies by the Jaccard similarity of word shingles: MinHash bands propose pairs, exact similarity decides.
+
+Texts of equal words are one node. A node's MinHash values are cut into bands, and only nodes with an equal band meet: a
+pair of similarity 0.8 shares none of the 32 bands of 5 with a chance of (1 - 0.8^5)^32, three in a million, a more similar
+pair with less. All pairs that meet and whose numbers of shingles allow the similarity are compared by their texts in two
+rounds: each node with the least node of its bands first, then all pairs of a band that the first round left in different
+components. So a band of thousands of near copies costs one comparison for each, and no pair that meets is left out.
+
+Defined cases: texts without words (null, empty, white space) are copies of each other; fewer words than a shingle are one
+shingle; an empty table gives an empty result.
+"""
+
+from __future__ import annotations
+
+import hashlib
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
+
+from tidemark.llm.common import blocks, join_found, kept, written
+from tidemark.llm.simhash import components, one_of_each, shingle_hashes
+
+SHINGLE = 5
+LEAST = 0.8
+SEED = 42
+BANDS = 32
+BAND_ROWS = 5
+#: Rows of a band's nodes that one task holds against all nodes of the band.
+HOT = 1000
+_FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, BANDS * BAND_ROWS, np.uint64) << np.uint64(1) | np.uint64(1)
+#: Shingles whose values under all factors are in memory at once.
+_STEP = 2048
+
+
+def words_and_node(text: str) -> tuple[str, int]:
+    """The words with one blank between them, A-Z lower-cased, and a signed 64-bit digest of them."""
+    joined = b" ".join(text.encode().lower().split())
+    return joined.decode(), int.from_bytes(hashlib.md5(joined).digest()[:8], "little", signed=True)
+
+
+def bands(hashes: np.ndarray) -> list[int]:
+    """A signed 64-bit value for each band of the MinHash values of distinct shingle hashes; none for no shingle."""
+    if not len(hashes):
+        return []
+    least = np.min([(hashes[i : i + _STEP, None] * _FACTORS).min(axis=0) for i in range(0, len(hashes), _STEP)], axis=0)
+    values = [xxhash.xxh64_intdigest(row.tobytes(), k) for k, row in enumerate(least.reshape(BANDS, BAND_ROWS))]
+    return np.array(values, np.uint64).view(np.int64).tolist()
+
+
+def sketches(docs: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
+    """key, text_key and node for each row; size (distinct shingles) and bands for the first row of a node in its task, else null."""
+    schema = docs.select(key).schema.add("text_key", "binary").add("node", "long").add("size", "long").add("bands", ArrayType(LongType()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch, texts in blocks(batches, text):
+            nodes, sizes, found = [], [], []
+            for x in texts:
+                words, node = words_and_node(x)
+                nodes.append(node)
+                if node in seen:
+                    sizes.append(None)
+                    found.append(None)
+                    continue
+                seen.add(node)
+                hashes = np.unique(np.array(shingle_hashes(words, shingle), np.uint64))
+                sizes.append(len(hashes))
+                found.append(bands(hashes))
+            keys = [hashlib.md5(x.encode()).digest() for x in texts]
+            yield pa.RecordBatch.from_arrays([*kept(batch, [key]), pa.array(keys, pa.binary()), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=schema.names)
+
+    return docs.select(key, text).mapInArrow(run, schema)
+
+
+def node_words(docs: DataFrame, text: str) -> DataFrame:
+    """node and words, once for each node of a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for _, texts in blocks(batches, text):
+            found = {node: words for words, node in map(words_and_node, texts) if node not in seen}
+            seen.update(found)
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(found.values(), pa.string())], names=["node", "words"])
+
+    return docs.select(text).mapInArrow(run, "node long, words string")
+
+
+def similar_pairs(pairs: DataFrame, words: DataFrame, shingle: int, least: float) -> DataFrame:
+    """The pairs (u, v) of nodes whose texts' sets of shingles have a Jaccard similarity of `least` or more."""
+    pairs = written(pairs.distinct(), "pairs")
+    rows = pairs.count()
+    for side in ("u", "v"):
+        pairs = join_found(pairs, words.select(F.col("node").alias(side), F.col("words").alias(f"{side}_words")), side, pairs.groupBy(side).count(), rows)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, set[int]] = {}
+
+        def shingles(node: int, text: str) -> set[int]:
+            if node not in held:
+                if len(held) >= 64:
+                    held.clear()
+                held[node] = set(shingle_hashes(text, shingle))
+            return held[node]
+
+        for batch in batches:
+            found = []
+            for u, v, a, b in zip(*(x.to_pylist() for x in kept(batch, ["u", "v", "u_words", "v_words"])), strict=True):
+                x, y = shingles(u, a), shingles(v, b)
+                both = len(x & y)
+                if both / (len(x) + len(y) - both) >= least:
+                    found.append((u, v))
+            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["u", "v"])
+
+    return written(pairs.select("u", "v", "u_words", "v_words").mapInArrow(run, "u long, v long"), "similar")
+
+
+def links(docs: DataFrame, nodes: DataFrame, text: str = "text", shingle: int = SHINGLE, least: float = LEAST, hot: int = HOT) -> DataFrame:
+    """Edges (u, v) that connect all similar nodes which meet in a band; nodes has node, size and bands."""
+    fit = lambda a, b: F.least(a, b) / F.greatest(a, b) >= least
+    banded = nodes.select("node", "size", F.explode("bands").alias("band"))
+    shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("count"), F.min(F.struct("node", "size")).alias("lead")).filter("count > 1")
+    shared = written(banded.join(shared, "band"), "shared")
+    words = written(node_words(docs, text).join(shared.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]), "words")
+    stars = shared.filter("node <> lead.node").filter(fit(F.col("size"), F.col("lead.size"))).select(F.col("lead.node").alias("u"), F.col("node").alias("v"))
+    first = similar_pairs(stars, words, shingle, least)
+
+    labels = components(first).withColumnRenamed("root", "label")
+    labelled = shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    apart = labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("band")
+    rest = labelled.filter("node <> lead.node").join(apart, "band").withColumn("salts", F.ceil(F.col("count") / float(hot)).cast("int"))
+    mine = rest.select("band", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int").alias("part"), F.col("node").alias("u"), F.col("size").alias("u_size"), F.col("label").alias("u_label"))
+    other = rest.select("band", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("part"), F.col("node").alias("v"), F.col("size").alias("v_size"), F.col("label").alias("v_label"))
+    met = mine.join(other, ["band", "part"]).filter("u < v and u_label <> v_label").filter(fit(F.col("u_size"), F.col("v_size")))
+    return first.unionByName(similar_pairs(met.select("u", "v"), words, shingle, least))
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, least: float = LEAST) -> DataFrame:
+    """Rows of docs, one of each group that chains of near copies connect: the one of least key (null last), then least text digest."""
+    prints = written(sketches(docs, key, text, shingle), "sketches")
+    nodes = prints.filter("size is not null").groupBy("node").agg(F.first("size").alias("size"), F.first("bands").alias("bands"))
+    roots = components(links(docs, nodes, text, shingle, least))
+    first = prints.groupBy("node").agg(F.min(F.struct(F.col(key).isNull().alias("last"), F.col(key).alias("id"), F.col("text_key"))).alias("best"))
+    best = first.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("best").alias("best"))
+    return one_of_each(docs, prints, best, key, text)

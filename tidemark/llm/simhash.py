@@ -199,7 +199,12 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: i
     prints = written(fingerprints(docs, key, text), "prints")
     rows = prints.count()
     first = prints.groupBy("fingerprint").agg(F.min(F.struct(F.col(key).isNull().alias("last"), F.col(key).alias("id"), F.col("text_key"))).alias("best"))
-    best = rooted(first, rows, radius).groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.id").alias("_id"), F.col("best.text_key").alias("_key"))
+    return one_of_each(docs, prints, rooted(first, rows, radius).groupBy("root").agg(F.min("best").alias("best")), key, text)
+
+
+def one_of_each(docs: DataFrame, prints: DataFrame, best: DataFrame, key: str, text: str) -> DataFrame:
+    """The rows of docs that `best` names (best.id, best.text_key), each once; prints has key and text_key of all rows."""
+    best = best.select(F.col("best.id").alias("_id"), F.col("best.text_key").alias("_key"))
     keyed = docs.withColumn("_key", F.unhex(F.md5(F.coalesce(text, F.lit("")))))
     chosen = keyed.alias("d").join(best.alias("b"), F.col(f"d.{key}").eqNullSafe(F.col("b._id")) & (F.col("d._key") == F.col("b._key")), "left_semi")
     repeated = not prints.groupBy(key, "text_key").count().filter("count > 1").isEmpty()
