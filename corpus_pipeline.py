@@ -1,6 +1,6 @@
 """Corpus preparation as five written stages.
 
-Each stage works on all that its predecessor kept: language identification drops texts without a clear language, the
+Each stage works on all that its predecessor kept: language identification drops texts whose words have no clear language, the
 quality cascade drops what a rule rejects, near-dedup keeps one document of each group of near copies (Jaccard similarity of
 five-word shingles 0.8 or more), substring dedup cuts repeated passages out of the texts, and packing cuts the documents into
 sequences of tokens.
@@ -20,14 +20,14 @@ from tidemark.llm import language_id, near_copies, packing, quality_cascade, sub
 from tidemark.llm.common import shared_dir, ship_package
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-#: A text stays if its words' mean marginal of its language is at least this.
-LEAST_SCORE = 0.5
+#: A text stays if the mean of its words' largest marginals is at least this, whatever the shares of its languages.
+LEAST_CERTAINTY = 0.5
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    found = language_id.predict(docs, language_id.fit(docs))
-    return found.filter((F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    found = language_id.predict(docs, language_id.fit(docs), certainty="_certainty")
+    return found.filter((F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("_certainty") >= LEAST_CERTAINTY)).select(*docs.columns)
 
 
 def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -221,8 +221,13 @@ def label_texts(texts: list[str], crf: Crf) -> tuple[list[np.ndarray], list[list
 
 def classify(texts: list[str], crf: Crf) -> list[tuple[str, float]]:
     """Language and score of each text."""
+    return [(label, score) for label, score, _ in classify_surely(texts, crf)]
+
+
+def classify_surely(texts: list[str], crf: Crf) -> list[tuple[str, float, float]]:
+    """Language, score and certainty of each text; certainty is the mean over words of each word's largest marginal."""
     if not crf.labels:
-        return [(UNDETERMINED, 0.0)] * len(texts)
+        return [(UNDETERMINED, 0.0, 0.0)] * len(texts)
     scores, counts, pending, pending_size = [], np.zeros(len(texts), np.int64), [], 0
 
     def flush() -> None:
@@ -251,17 +256,19 @@ def classify(texts: list[str], crf: Crf) -> list[tuple[str, float]]:
     flush()
     found = np.concatenate(scores) if scores else np.zeros((0, len(crf.labels)), np.float32)
     some = np.flatnonzero(counts)
-    sums = np.zeros((len(texts), len(crf.labels)))
+    sums, sure = np.zeros((len(texts), len(crf.labels))), np.zeros(len(texts))
     if len(some):
         m, _ = forward_backward(found, counts[some], crf.transitions, crf.start)
-        sums[some] = np.add.reduceat(m.astype(np.float64), np.cumsum(counts[some]) - counts[some], axis=0)
+        firsts = np.cumsum(counts[some]) - counts[some]
+        sums[some] = np.add.reduceat(m.astype(np.float64), firsts, axis=0)
+        sure[some] = np.add.reduceat(m.max(axis=1).astype(np.float64), firsts)
     out = []
-    for x, n, s in zip(texts, counts.tolist(), sums, strict=True):
+    for x, n, s, c in zip(texts, counts.tolist(), sums, sure.tolist(), strict=True):
         if n and any(map(str.isalpha, x)):
             k = int(np.argmax(s))
-            out.append((crf.labels[k], min(1.0, float(s[k] / n))))
+            out.append((crf.labels[k], min(1.0, float(s[k] / n)), min(1.0, c / n)))
         else:
-            out.append((UNDETERMINED, 0.0))
+            out.append((UNDETERMINED, 0.0, 0.0))
     return out
 
 
@@ -282,16 +289,18 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "
     return train(texts, labels)
 
 
-def predict(docs: DataFrame, crf: Crf, text: str = "text") -> DataFrame:
-    """All rows with lang_pred and score appended."""
-    rest = [c for c in docs.columns if c not in ("lang_pred", "score")]
+def predict(docs: DataFrame, crf: Crf, text: str = "text", certainty: str | None = None) -> DataFrame:
+    """All rows with lang_pred and score appended, and the certainty under the given name."""
+    rest = [c for c in docs.columns if c not in ("lang_pred", "score", certainty)]
     schema = docs.select(*rest).schema.add("lang_pred", "string").add("score", "double")
+    if certainty:
+        schema = schema.add(certainty, "double")
     model = docs.sparkSession.sparkContext.broadcast(crf)  # a fixed number of weights for each label
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in blocks(batches, text, 8 << 20):
-            found = classify(texts, model.value)
-            columns = [pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())]
+            found = classify_surely(texts, model.value)
+            columns = [pa.array([f[k] for f in found], kind) for k, kind in enumerate((pa.string(), pa.float64(), pa.float64()))][: 3 if certainty else 2]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=schema.names)
 
     return docs.select(*rest).mapInArrow(run, schema)
