@@ -2,8 +2,8 @@
 
 The standard library's streaming parser turns a page into lines, one for each block of text, with the number of tags seen
 since the line before. Text-to-tag ratios are smoothed with a Gaussian kernel and cut at a threshold; lines above it are
-content. The element that holds the content (the article, else the main part, else the smallest container with nearly
-all of it) is the region, and all its lines are the main text, short ones included. Menus, headers, footers, sidebars,
+content. The region is the smallest container that holds all clusters of such lines; articles, else main parts, are it
+instead if they hold nearly all characters of the clusters. All lines of the region are the main text, short ones included. Menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles and reader comments never become lines.
 
 Defined cases: a null or empty page, or one with no text outside those parts, gives an empty text; a page cut off in the
@@ -162,7 +162,7 @@ def content_lines(lines: list[tuple[str, int, tuple[int, ...]]], sigma: float =
     return [x >= limit for x in ratios]
 
 
-def extract(html: str | None, sigma: float = 1.0, cut: float = 0.5, share: float = 0.8) -> str:
+def extract(html: str | None, sigma: float = 1.0, cut: float = 0.5, share: float = 0.95) -> str:
     """The main text of a page: the blocks of its content region, joined by an empty line."""
     if not html:
         return ""
@@ -179,9 +179,13 @@ def extract(html: str | None, sigma: float = 1.0, cut: float = 0.5, share: float
         if ok:
             for i in path:
                 mass[i] = mass.get(i, 0) + len(text)
-    of = lambda kind: {i for i in mass if kinds[i] == kind}
-    # Ids grow with depth along a path, so the largest one that holds enough is the smallest container.
-    roots = of("article") or of("main") or {max(i for i, m in mass.items() if m >= share * mass[0])}
+    # Ids grow with depth along a path, so the largest one that holds all is the smallest container.
+    roots = {max(i for i, m in mass.items() if m == mass[0])}
+    for kind in ("article", "main"):
+        own = {i for i in mass if kinds[i] == kind}
+        if sum(len(text) for (text, _, path), ok in zip(lines, good, strict=True) if ok and own.intersection(path)) >= share * mass[0]:
+            roots = own
+            break
     heads = {i for i, k in enumerate(kinds) if k == "header"}
     return "\n\n".join(text for text, _, path in lines if roots.intersection(path) and not heads.intersection(path))
 
