@@ -3,10 +3,11 @@
 An example has three sizes: tokens, segments (one a piece) and loss-bearing tokens (all but those of a prompt). Sequences
 have a limit on each. The dot-product heuristic fills one sequence at a time: of the pieces that fit, it takes the one
 whose sizes have the largest dot product with the room left, each dimension weighted by how scarce it is. When no whole
-piece fits, the best one is cut at the room left. Examples longer than a sequence fill whole sequences first.
+piece fits, the best one is cut at the room left. Examples longer than a sequence fill whole sequences first. Pieces of
+equal sizes are interchangeable, so each choice is among the distinct sizes of a group.
 
-Packing is local to a partition: groups of about 4 MB of text are packed as they stream by and the open sequence goes on
-into the next group, so nothing is shuffled and memory is bounded. The last sequence of a partition is cut at powers of
+Packing is local to a partition: groups of about 4 MB of text and at most 16,384 rows are packed as they stream by and the
+open sequence goes on into the next group, so nothing is shuffled and memory is bounded. The last sequence of a partition is cut at powers of
 two, which need no padding. A sequence id is the partition's number in the high bits and a count in the low ones.
 
 Defined cases: a null or empty text is its end token alone; a text of any length is cut into as many pieces as needed; each
@@ -15,6 +16,10 @@ token lies in exactly one piece; repeated rows are packed once each; other colum
 
 from __future__ import annotations
 
+import os
+import re
+import sys
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -33,7 +38,12 @@ from tidemark.llm.common import blocks, kept
 END = 2
 #: Shorter room than this is left as padding instead of cutting a piece for it.
 LEAST_CUT = 16
-MEMO = 700_000
+#: Parts in the memo, half of them in each generation.
+MEMO = 1_000_000
+#: Letters beyond ASCII as the byte-level alphabet writes their UTF-8 bytes: bytes without a printable form follow U+0100.
+_UNPRINTED = [b for b in range(256) if not (0x21 <= b <= 0x7E or 0xA1 <= b <= 0xFF and b != 0xAD)]
+_BYTES = {c: "".join(chr(256 + _UNPRINTED.index(b) if b in _UNPRINTED else b) for b in chr(c).encode()) for c in range(0x80, 0x100)}
+_STOP = re.compile(r"(?<=[^\W_])([.,]) ")
 
 
 @dataclass(frozen=True)
@@ -46,59 +56,60 @@ class Limits:
 class PartEncoder:
     """Ids of whole texts by a tokenizer that drops white space and marks word ends, with a memo of space-separated parts.
 
-    The tokenizer's normalization and splitting never look across a space, so a text's ids are its parts' ids in a row.
-    New words of plain letters are encoded in one call and told apart by the tokens that end a word.
+    The tokenizer's normalization and splitting never look across a space, so a text's ids are its parts' ids in a row. A
+    full stop or comma between a letter and a space is a part of its own there too. The memo has two generations: when the
+    young one is full it becomes the old one, so parts in use stay known and the others go.
     """
 
-    def __init__(self, path: str, suffix: str = "</w>") -> None:
+    def __init__(self, path: str, memo: int = MEMO) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
-        vocabulary = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
-        self.memo: dict[str, bytes] = {"": b""}
+        self.young: dict[str, bytes] = {"": b""}
+        self.old: dict[str, bytes] = {}
+        self.limit = memo // 2
 
     def _learn(self, parts: list[str]) -> None:
-        """Put the ids of all parts into the memo."""
-        plain = max(map(max, parts), default="") <= "\xff"  # then lower case and composition never change the number of letters
-        cores = {}
-        for p in parts:
-            core = p.rstrip(".,")
-            cores[p] = core.lower() if core.isalpha() and (plain or max(core) <= "\xff") else p
-        known = self.memo
-        new = {x for p, core in cores.items() for x in (core, p[len(core) :]) if x not in known}
-        if len(known) + len(new) + len(cores) > MEMO:
-            known = self.memo = {"": b""}
-            new = {x for p, core in cores.items() for x in (core, p[len(core) :]) if x}
-        words = [x for x in new if x.isalpha() and (plain or max(x) <= "\xff")]
-        rest = list(new.difference(words))
+        """Put the ids of all parts into the young generation."""
+        rest, known, model = [], self.young, self.tokenizer.model.tokenize
+        for x in parts:
+            if x.isalpha() and _latin(x):  # one word, which the model takes as it is but for case and bytes
+                known[x] = _pack([t.id for t in model(x.lower().translate(_BYTES))])
+            else:
+                rest.append(x)
         for x, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            known[x] = np.array(e.ids, "<u4").tobytes()
-        lines = [words[i : i + 2000] for i in range(0, len(words), 2000)]
-        for line, e in zip(lines, self.tokenizer.encode_batch_fast([" ".join(x) for x in lines], add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, "<u4")
-            raw, cuts = ids.tobytes(), (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
-            at = 0
-            for x, cut in zip(line, cuts, strict=True):
-                known[x] = raw[at:cut]
-                at = cut
-        for p, core in cores.items():
-            known[p] = known[core] + known[p[len(core) :]]
+            known[x] = _pack(e.ids)
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        split = [x.replace("\n", " ").split(" ") for x in texts]
-        missing = {p for parts in split for p in parts if p not in self.memo}
-        if len(missing) > MEMO // 4:  # more than the memo holds beside older parts
-            return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        split = [_STOP.sub(r" \1 ", (x.lower() if _latin(x) else x).replace("\n", " ")).split(" ") for x in texts]
+        missing = set().union(*split).difference(self.young)
         if missing:
-            known = self.memo
-            self._learn(list(missing))
-            if self.memo is not known:  # it was emptied
-                self._learn(list({p for parts in split for p in parts if p not in self.memo}))
-        get = self.memo.__getitem__
+            if len(self.young) + len(missing) > self.limit:
+                self.old, self.young = self.young, {"": b""}
+                missing = set().union(*split).difference(self.young)
+            known = missing.intersection(self.old)
+            self.young.update(zip(known, map(self.old.__getitem__, known)))
+            self._learn(list(missing.difference(known)))
+        get = self.young.__getitem__
         return [b"".join(map(get, parts)) for parts in split]
 
 
+def _pack(ids: list[int]) -> bytes:
+    found = array("I", ids)
+    if sys.byteorder == "big":
+        found.byteswap()
+    return found.tobytes()
+
+
+def _latin(x: str) -> bool:
+    """Only characters up to U+00FF? Then lower-casing and composition never change their number."""
+    try:
+        x.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> PartEncoder:
     return PartEncoder(path)
@@ -151,37 +162,72 @@ def pack(pieces: list[Piece], limits: Limits = Limits()) -> tuple[list[list[Piec
             done.append([whole])
         if p.length:
             todo.append(p)
-    sizes = np.array([p.sizes for p in todo], np.float64).reshape(-1, 3)
-    share = sizes / cap
-    scarce = share.sum(0)
-    weight = scarce / max(scarce.sum(), 1e-9)
-    alive = np.ones(len(todo), bool)
-    left = len(todo)
+    rooms = _Classes(todo, cap)
     current: list[Piece] = []
     room = cap.copy()
-    while left:
-        fits = alive & (sizes <= room).all(1)
-        score = share @ (weight * room / cap)
-        if fits.any():
-            k = int(np.argmax(np.where(fits, score, -1.0)))
-            current.append(todo[k])
-            room -= sizes[k]
-            alive[k] = False
-            left -= 1
+    while rooms.left:
+        p = rooms.take(room)
+        if p is not None:
+            current.append(p)
+            room -= p.sizes
             continue
         space = int(min(room[0], room[2]))
         if space >= LEAST_CUT and room[1] >= 1:
-            k = int(np.argmax(np.where(alive, score, -1.0)))
-            part, rest = todo[k].cut(space)
+            part, rest = rooms.take(room, whole=False).cut(space)
             current.append(part)
-            todo[k] = rest
-            sizes[k] = rest.sizes
-            share[k] = sizes[k] / cap
+            rooms.add(rest)
         done.append(current)
         current, room = [], cap.copy()
     return done, current
 
 
+class _Classes:
+    """Pieces by their distinct sizes, and the choice of the best one for a room."""
+
+    def __init__(self, pieces: list[Piece], cap: np.ndarray) -> None:
+        self.cap, self.left, self.n = cap, 0, 0
+        self.at: dict[tuple[int, int, int], int] = {}
+        self.held: list[list[Piece]] = []
+        self.sizes = np.empty((64, 3))
+        for p in pieces:
+            self.add(p)
+        counts = np.array([len(x) for x in self.held], np.float64)
+        scarce = counts @ (self.sizes[: self.n] / cap)
+        self.weight = scarce / max(scarce.sum(), 1e-9) / cap
+
+    def add(self, p: Piece) -> None:
+        k = self.at.get(p.sizes)
+        if k is None:
+            k = self.at[p.sizes] = self.n
+            if self.n == len(self.sizes):
+                self.sizes = np.concatenate((self.sizes, np.empty_like(self.sizes)))
+            self.sizes[k] = p.sizes
+            self.held.append([])
+            self.n += 1
+        self.held[k].append(p)
+        self.left += 1
+
+    def take(self, room: np.ndarray, whole: bool = True) -> Piece | None:
+        """The piece of the largest dot product, of all or of those that fit whole; None if none does."""
+        sizes = self.sizes[: self.n]
+        score = sizes @ (self.weight * room / self.cap) + 1e-12
+        if whole:
+            score *= (sizes <= room).all(1)
+        k = int(np.argmax(score)) if self.n else 0
+        if not self.n or score[k] <= 0:
+            return None
+        p = self.held[k].pop()
+        self.left -= 1
+        if not self.held[k]:  # the last class moves into the empty one's place
+            del self.at[p.sizes]
+            self.n -= 1
+            if k < self.n:
+                self.sizes[k], self.held[k] = self.sizes[self.n], self.held[self.n]
+                self.at[self.held[k][0].sizes] = k
+            self.held.pop()
+        return p
+
+
 def _closed(sequence: list[Piece], limits: Limits) -> list[list[Piece]]:
     """A sequence with room for much more than a cut, which its segments or loss tokens closed, goes by powers of two."""
     return [sequence] if sum(p.length for p in sequence) > limits.tokens - LEAST_CUT else powers(sequence)
