@@ -7,7 +7,7 @@ import numpy as np
 import xxhash
 from oracle import check
 
-from tidemark.llm import simhash, substring_dedup
+from tidemark.llm import similar_texts, simhash, substring_dedup
 
 
 def test_substring_query_agrees_with_its_sql(spark, sf):
@@ -36,7 +36,7 @@ def test_substring_dedup_equals_brute_force(spark, frame, odd):
 
 
 def test_substring_dedup_of_an_empty_table_and_small_buckets(spark, frame):
-    assert substring_dedup.remove_repeats(frame([]) if False else frame(["a"]).limit(0)).count() == 0
+    assert substring_dedup.remove_repeats(frame(["a"]).limit(0)).count() == 0
     texts = ["q " + "a b c d e f g", "a b c d e f g z", "lone words here only"]
     found = substring_dedup.repeated_intervals(frame(texts), 50, width=3, bucket_windows=1).collect()
     assert sorted((r["first"], r["end"]) for r in found) == [([0], [7]), ([1], [8])]
@@ -120,15 +120,16 @@ def test_near_copies_of_odd_texts(spark, frame, odd):
     rows = {r["doc_id"]: r for r in simhash.near_duplicates(frame(odd, fingerprint="x")).collect()}
     assert [rows[i]["component_id"] for i in (0, 1, 2)] == [0, 0, 0] and rows[0]["fingerprint"] == 0
     assert rows[6]["component_id"] == 5
-    kept = simhash.keep_one(frame(odd, _key="x") if False else frame(odd, other="x"))
-    assert sorted(r["doc_id"] for r in kept.collect()) == sorted({r["component_id"] for r in rows.values()})
-    assert simhash.near_duplicates(frame(odd).limit(0)).count() == 0 and simhash.keep_one(frame(odd).limit(0)).count() == 0
+    kept = similar_texts.keep_one(frame(odd, _key="x", _id="y", _SALT="z", digest="w", band="v"))
+    assert sorted(r["doc_id"] for r in kept.collect()) == brute_near_copies(list(range(len(odd))), odd)
+    assert kept.columns == ["doc_id", "text", "_key", "_id", "_SALT", "digest", "band"] and {r["_key"] for r in kept.collect()} == {"x"}
+    assert simhash.near_duplicates(frame(odd).limit(0)).count() == 0 and similar_texts.keep_one(frame(odd).limit(0)).count() == 0
 
 
 def test_one_of_repeated_rows_and_null_ids_stays(spark):
     rows = [(None, "one text with some words"), (None, "one text with some words"), (7, "quite another text it is, to be sure"), (7, "quite another text it is, to be sure"), (None, "quite another text it is, to be sure")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    kept = [tuple(r) for r in simhash.keep_one(df).collect()]
+    kept = [tuple(r) for r in similar_texts.keep_one(df).collect()]
     assert sorted(kept, key=str) == sorted([(None, "one text with some words"), (7, "quite another text it is, to be sure")], key=str)
 
 
@@ -146,8 +147,7 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
         assert k == 4 or at.columns == docs.columns
     before, after = seen["near_dedup"]
     ids = [r["doc_id"] for r in before.collect()]
-    roots = brute_components(ids, [brute_print(r["text"]) for r in before.collect()])
-    assert sorted(r["doc_id"] for r in after.collect()) == sorted(set(roots))
+    assert sorted(r["doc_id"] for r in after.collect()) == brute_near_copies(ids, [r["text"] for r in before.collect()])
     before, after = seen["substring_dedup"]
     order = before.orderBy("doc_id").collect()
     got = {r["doc_id"]: r for r in after.collect()}
@@ -217,14 +217,34 @@ def test_near_dedup_stage_of_the_sample_documents(spark, sf):
 
 
 def test_crowded_bands_lose_no_pair(spark, frame, monkeypatch):
-    from tidemark.llm import near_copies
-
-    # A chain whose ends are far apart: all meet in one band, and each is near its neighbours only.
+    # A chain whose ends are far apart: all meet in two bands, and each is near its neighbours only.
     words = [f"w{i}" for i in range(200)]
     texts = [" ".join(words[8 * k : 8 * k + 100]) for k in range(12)]
-    monkeypatch.setattr(near_copies, "bands", lambda hashes: [1, 2])
-    monkeypatch.setattr(near_copies.links, "__defaults__", (*near_copies.links.__defaults__[:-1], 3))
-    docs = frame(texts)
-    nodes = docs.sparkSession.createDataFrame([(near_copies.words_and_node(t)[1], 96, [1, 2]) for t in texts], "node long, size long, bands array<bigint>")
-    edges = [tuple(r) for r in near_copies.links(docs, nodes).collect()]
-    assert len({r["root"] for r in simhash.components(spark.createDataFrame(edges, "u long, v long")).collect()}) == 1
+    docs = frame(texts).selectExpr("doc_id AS id", "text")
+    nodes = similar_texts.sketches(docs, (8, 4)).selectExpr("node", "array(1L, 2L) AS bands", "print")
+    for hot in (3, 4000):
+        edges = [tuple(r) for r in similar_texts.links(similar_texts.node_words(docs), nodes, hot=hot).collect()]
+        assert len({r["root"] for r in simhash.components(spark.createDataFrame(edges, "u long, v long")).collect()}) == 1
+
+
+def test_bits_of_similar_sets_differ_as_planned():
+    rng = np.random.default_rng(3)
+    lanes = similar_texts._lanes(32)
+    for n in (50, 100, 400):
+        rates = []
+        for _ in range(20):
+            h = rng.integers(0, 1 << 63, n + n // 8, np.uint64)
+            a, b = h[:n], h[n // 8 :]  # similarity 7/9
+            rates.append(np.mean(similar_texts.wide_simhash(a, lanes) != similar_texts.wide_simhash(b, lanes)))
+        print(n, np.mean(rates), np.std(rates))
+        assert np.mean(rates) < similar_texts.FLIP + 0.01
+
+
+def test_stars_cover_every_row_with_a_near_one():
+    rng = np.random.default_rng(9)
+    for _ in range(50):
+        n = int(rng.integers(2, 40))
+        near = np.triu(rng.random((n, n)) < 0.1, 1)
+        p, q = np.nonzero(near)
+        centre, row = similar_texts.stars(n, p, q)
+        assert set(centre) | set(row) == set(p) | set(q) and all(near[min(a, b), max(a, b)] for a, b in zip(centre, row, strict=True))

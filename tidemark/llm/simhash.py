@@ -1,7 +1,7 @@
 """Near-duplicates by SimHash, linked by tiled exact comparison.
 
 Fingerprints that differ in at most `radius` bits agree in at least one of radius + 1 bands of bits, so only fingerprints
-with an equal band meet. The distinct fingerprints of a band value are sorted by population count and cut into tiles; tile
+with an equal band meet. The distinct fingerprints of each band value are sorted by population count and cut into tiles; tile
 pairs whose population counts differ beyond the radius are skipped, the others are compared whole with exclusive-or and
 bit counts. Each comparison hands on a spanning forest of its links, so a group of thousands of near copies costs one edge
 for each member, and no link is lost. A band value with very many fingerprints is compared by many tasks, one for each
@@ -24,13 +24,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import blocks, join_found, kept, written
+from tidemark.llm.common import blocks, drop_written, join_found, kept, written
 
 SHINGLE = 4
 SEED = 42
 RADIUS = 4
-#: Rows of a tile in memory.
-TILE = 2048
+#: Rows of a tile.
+TILE = 256
 #: A band value with more distinct fingerprints than this is dealt out over several tasks.
 HOT = 20_000
 _LANE = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
@@ -91,33 +91,39 @@ class _Forest:
                 self.label = up
 
 
-def compare_tiles(x: np.ndarray, counts: np.ndarray, forest: _Forest, at: int, radius: int, tile: int = TILE) -> None:
-    """Link all rows of x (sorted by population count; row 0 is row `at` of the forest) within the radius."""
-    for i in range(0, len(x), tile):
-        a, high = x[i : i + tile], int(counts[min(i + tile, len(x)) - 1])
-        for j in range(i, len(x), tile):
+def near_tiles(prints: np.ndarray, counts: np.ndarray, radius: int, tile: int = TILE) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(row, row, near or not) of each pair of tiles that may hold near rows; prints (one row of words each) are sorted by population count."""
+    words = [np.ascontiguousarray(prints[:, k]) for k in range(prints.shape[1])]
+    for i in range(0, len(prints), tile):
+        high = int(counts[min(i + tile, len(prints)) - 1])
+        for j in range(i, len(prints), tile):
             if int(counts[j]) - high > radius:
                 break  # later tiles have still higher population counts
-            near = np.bitwise_count(a[:, None] ^ x[None, j : j + tile]) <= radius
-            p, q = np.nonzero(near)
-            forest.join(p + (at + i), q + (at + j))
+            apart = [np.bitwise_count(w[i : i + tile, None] ^ w[None, j : j + tile]) for w in words]
+            yield i, j, (apart[0] if len(apart) == 1 else np.sum(apart, axis=0, dtype=np.uint16)) <= radius
 
 
-def linked_rows(group: np.ndarray, prints: np.ndarray, radius: int, small: int = 48) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest (child, parent) of the links between rows of the same group."""
-    counts = np.bitwise_count(prints)
+def compare_tiles(prints: np.ndarray, counts: np.ndarray, forest: _Forest, at: int, radius: int, tile: int = TILE) -> None:
+    """Link all rows of prints (sorted by population count; row 0 is row `at` of the forest) within the radius."""
+    for i, j, near in near_tiles(prints[:, None], counts, radius, tile):
+        p, q = np.nonzero(near)
+        forest.join(p + (at + i), q + (at + j))
+
+
+def grouped(group: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order by group and population count, and where each group starts in it, with the end."""
     order = np.lexsort((counts, group))
-    group, prints, counts = group[order], prints[order], counts[order]
-    starts = np.concatenate(([0], np.flatnonzero(np.diff(group)) + 1, [len(group)])) if len(group) else np.zeros(1, int)
-    sizes = np.diff(starts)
-    forest = _Forest(len(group))
-    of_small = np.repeat(sizes <= small, sizes)
-    for d in range(1, min(small, int(sizes.max(initial=0)))):  # groups of a few rows, all at once
-        i = np.flatnonzero((group[:-d] == group[d:]) & of_small[:-d] & (np.bitwise_count(prints[:-d] ^ prints[d:]) <= radius))
-        forest.join(i, i + d)
-    for k in np.flatnonzero(sizes > small):
-        a, b = starts[k], starts[k + 1]
-        compare_tiles(prints[a:b], counts[a:b], forest, a, radius)
+    return order, np.concatenate(([0], np.flatnonzero(np.diff(group[order])) + 1, [len(group)])) if len(group) else np.zeros(1, int)
+
+
+def linked_rows(group: np.ndarray, prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest (child, parent) of the links between rows of the same group."""
+    order, starts = grouped(group, np.bitwise_count(prints))
+    prints = prints[order]
+    counts, forest = np.bitwise_count(prints), _Forest(len(group))
+    for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+        if b - a > 1:
+            compare_tiles(prints[a:b], counts[a:b], forest, a, radius)
     child = np.flatnonzero(forest.label != np.arange(len(group)))
     return prints[child], prints[forest.label[child]]
 
@@ -158,57 +164,47 @@ def links(nodes: DataFrame, radius: int = RADIUS, hot: int = HOT) -> DataFrame:
     return (small if found is None else small.unionByName(found)).distinct()
 
 
-def components(edges: DataFrame, rows: int | None = None, limit: int = 100) -> DataFrame:
-    """node and root (its component's least node) of every node of an edge; edges are (u, v), about `rows` of them."""
+def components(edges: DataFrame, rows: int | None = None) -> DataFrame:
+    """node and root (its component's least node) of every node of an edge; edges are (u, v), about `rows` of them.
+
+    Rounds go on until nothing changes; their number grows with the logarithm of the longest chain. Both sides of each join
+    are dealt by a shuffle of their own, so that adaptive execution splits the edges of a node that has very many.
+    """
+
     def state(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
 
     e = written(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct(), "edges", rows)
     now = state(e)
-    for _ in range(limit):
+    while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.repartition("u").join(least.repartition("u"), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
-        e = written(small.filter("u <> v").distinct(), "edges", rows)
+        small = large.repartition("u").join(low.repartition("u"), "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
+        last, e = e, written(small.filter("u <> v").distinct(), "edges", rows)
+        drop_written(last)
         before, now = now, state(e)
         if now == before:
             return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    raise RuntimeError(f"no fixed point after {limit} rounds")
 
 
 def rooted(per_print: DataFrame, rows: int, radius: int = RADIUS) -> DataFrame:
     """Append root, the fingerprint that names the component, to rows of distinct fingerprints."""
     nodes = written(per_print.select("fingerprint"), "nodes", rows)
-    roots = components(links(nodes, radius), rows, 100)
+    roots = components(links(nodes, radius), rows)
     return per_print.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
     """key, fingerprint and component_id (the least key reachable) for each row."""
-    prints = written(fingerprints(docs, key, text), "prints")
-    rows = prints.count()
-    named = rooted(prints.groupBy("fingerprint").agg(F.min(key).alias("least")), rows, radius)
-    named = named.join(named.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fingerprint", "component_id")
-    return join_found(prints.select(key, "fingerprint"), named, "fingerprint", prints.groupBy("fingerprint").count(), rows).select(key, "fingerprint", "component_id")
-
-
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
-    """Rows of docs, one of each component: the one of least key (null last), then least text digest."""
-    prints = written(fingerprints(docs, key, text), "prints")
+    prints = written(fingerprints(docs.select(F.col(key).alias("id"), F.col(text).alias("text")), "id", "text"), "prints")
     rows = prints.count()
-    first = prints.groupBy("fingerprint").agg(F.min(F.struct(F.col(key).isNull().alias("last"), F.col(key).alias("id"), F.col("text_key"))).alias("best"))
-    return one_of_each(docs, prints, rooted(first, rows, radius).groupBy("root").agg(F.min("best").alias("best")), key, text)
-
-
-def one_of_each(docs: DataFrame, prints: DataFrame, best: DataFrame, key: str, text: str) -> DataFrame:
-    """The rows of docs that `best` names (best.id, best.text_key), each once; prints has key and text_key of all rows."""
-    best = best.select(F.col("best.id").alias("_id"), F.col("best.text_key").alias("_key"))
-    keyed = docs.withColumn("_key", F.unhex(F.md5(F.coalesce(text, F.lit("")))))
-    chosen = keyed.alias("d").join(best.alias("b"), F.col(f"d.{key}").eqNullSafe(F.col("b._id")) & (F.col("d._key") == F.col("b._key")), "left_semi")
-    repeated = not prints.groupBy(key, "text_key").count().filter("count > 1").isEmpty()
-    return (chosen.dropDuplicates([key, "_key"]) if repeated else chosen).drop("_key")
+    named = written(rooted(prints.groupBy("fingerprint").agg(F.min("id").alias("least")), rows, radius), "rooted", rows)
+    first = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = named.repartition("root").join(first.repartition("root"), "root").select("fingerprint", "component_id")
+    found = join_found(prints.select("id", "fingerprint"), named, "fingerprint", prints.groupBy("fingerprint").count(), rows)
+    return found.select(F.col("id").alias(key), "fingerprint", "component_id")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
