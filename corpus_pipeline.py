@@ -16,7 +16,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language_id, near_copies, packing, quality_cascade, substring_dedup
+from tidemark.llm import language_id, packing, quality_cascade, similar_texts, substring_dedup
 from tidemark.llm.common import shared_dir, ship_package
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -36,7 +36,7 @@ def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    return near_copies.keep_one(docs).select(*docs.columns)
+    return similar_texts.keep_one(docs).select(*docs.columns)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
