@@ -28,10 +28,11 @@ def test_substring_dedup_equals_brute_force(spark, frame, odd):
     rng = random.Random(5)
     for width, vocabulary in ((2, 12), (3, 6), (5, 3)):
         texts = [" ".join(rng.choice("abcdefghijkl"[:vocabulary]) for _ in range(rng.randint(0, 30))) + rng.choice(["", "\n", "\t x"]) for _ in range(40)] + odd
-        rows = {r["doc_id"]: r for r in substring_dedup.remove_repeats(frame(texts, n_words="x", first="y"), width=width).collect()}
+        rows = {r["doc_id"]: r for r in substring_dedup.remove_repeats(frame(texts, n_words="x", _key="y", _first="z", _END="w", _salt="v", _salts="u", count="t"), width=width).collect()}
         for i, kept in enumerate(brute_cut(texts, width)):
             assert (rows[i]["text"] or "").encode().split() == kept
             assert rows[i]["n_words"] - rows[i]["n_removed"] == len(kept)
+            assert [rows[i][c] for c in ("n_words_input", "_key", "_first", "_END", "_salt", "_salts", "count")] == list("xyzwvut")
         assert rows[40]["text"] is None
 
 

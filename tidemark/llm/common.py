@@ -88,6 +88,30 @@ def unused(name: str, *frames: DataFrame) -> str:
     return name
 
 
+def aside(columns: list[str], outputs: tuple[str, ...]) -> dict[str, str]:
+    """New names of the columns that clash with an output, whatever their case: `n_words` becomes `n_words_input`."""
+    taken, new = {c.lower() for c in (*columns, *outputs)}, {}
+    for c in columns:
+        if c.lower() in {o.lower() for o in outputs}:
+            name = f"{c}_input"
+            while name.lower() in taken:
+                name += "_"
+            taken.add(name.lower())
+            new[c] = name
+    return new
+
+
+def set_aside(df: DataFrame, *outputs: str) -> DataFrame:
+    """df with the columns that clash with an output renamed, so that an operator loses none and overwrites none."""
+    return df.withColumnsRenamed(aside(df.columns, outputs))
+
+
+def own_columns(df: DataFrame, columns: list[str], *outputs: str) -> DataFrame:
+    """The given columns of an operator's input, under their own names, from its result."""
+    renamed = aside(columns, outputs)
+    return df.select(*(F.col(f"`{renamed.get(c, c)}`").alias(c) for c in columns))
+
+
 def join_found(left: DataFrame, right: DataFrame, key: str, counts: DataFrame, rows: int, how: str = "left") -> DataFrame:
     """left joined with right, which has one row a key, where a few keys may hold most of the `rows` rows of left.
 

@@ -21,9 +21,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import blocks
+from tidemark.llm.common import blocks, set_aside
 
-#: Bound of the training sample: rows of each label, and characters of a row.
+#: Bound of the training sample: rows of each label, and UTF-8 bytes of a row (shorter ones than 200 only if a label has no other).
 ROWS_PER_LABEL = 200
 LONGEST_ROW = 50_000
 BITS = 17
@@ -290,20 +290,24 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "
 
 
 def predict(docs: DataFrame, crf: Crf, text: str = "text", certainty: str | None = None) -> DataFrame:
-    """All rows with lang_pred and score appended, and the certainty under the given name."""
-    rest = [c for c in docs.columns if c not in ("lang_pred", "score", certainty)]
-    schema = docs.select(*rest).schema.add("lang_pred", "string").add("score", "double")
+    """All rows with lang_pred and score appended, and the certainty under the given name.
+
+    Scores are rounded to six digits, so equal texts have equal scores whatever stands beside them.
+    """
+    outputs = ("lang_pred", "score", *([certainty] if certainty else []))
+    docs = set_aside(docs, *outputs)
+    schema = docs.select("*").schema.add("lang_pred", "string").add("score", "double")
     if certainty:
         schema = schema.add(certainty, "double")
     model = docs.sparkSession.sparkContext.broadcast(crf)  # a fixed number of weights for each label
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in blocks(batches, text, 8 << 20):
-            found = classify_surely(texts, model.value)
-            columns = [pa.array([f[k] for f in found], kind) for k, kind in enumerate((pa.string(), pa.float64(), pa.float64()))][: 3 if certainty else 2]
+            found = [(name, round(score, 6), round(sure, 6)) for name, score, sure in classify_surely(texts, model.value)]
+            columns = [pa.array([f[k] for f in found], kind) for k, kind in enumerate((pa.string(), pa.float64(), pa.float64()))][: len(outputs)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=schema.names)
 
-    return docs.select(*rest).mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import blocks, kept
+from tidemark.llm.common import blocks, kept, set_aside
 
 RATE = 8000  # samples a second
 PACKET = 4000  # samples of a packet: half a second
@@ -205,8 +205,8 @@ def load(media: bytes) -> tuple[bytes, dict[str, float]]:
         "pages": sum(s.pages for s in streams.values()),
         "packets": len(timed),
         "seconds": len(payload) / RATE,
-        "mean": float(samples.mean(dtype=np.float64)),
-        "rms": float(np.sqrt((level * level).mean(dtype=np.float64))),
+        "mean": float(samples.mean(dtype=np.float64)) if len(samples) else 0.0,
+        "rms": float(np.sqrt((level * level).mean(dtype=np.float64))) if len(samples) else 0.0,
         "crossings": int(np.count_nonzero((samples[1:] < 128) != (samples[:-1] < 128))),
     }
 
@@ -219,7 +219,8 @@ def payload_of(text: str) -> tuple[int, bytes]:
 
 def to_media(docs: DataFrame, text: str = "text", media: str = "media", keep: list[str] | None = None) -> DataFrame:
     """Rows with the columns `keep` (all but text if not given), n_bytes, and each text stored as Ogg in a binary column."""
-    rest = [c for c in docs.columns if c not in (text, "n_bytes", media)] if keep is None else keep
+    docs = set_aside(docs, "n_bytes", media)
+    rest = [c for c in docs.columns if c != text] if keep is None else keep
     schema = docs.select(*rest).schema.add("n_bytes", "long").add(media, "binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,9 +233,11 @@ def to_media(docs: DataFrame, text: str = "text", media: str = "media", keep: li
 
 def media_features(rows: DataFrame, media: str = "media") -> DataFrame:
     """Replace the binary column by what reading it gives: payload size and digests, size and digest of the stored form, features."""
+    outputs = {"payload_bytes": "long", "payload_sha256": "string", "tail_crc32": "long", "media_bytes": "long", "media_sha256": "string", "feature": "string"}
+    rows = set_aside(rows, *outputs)
     rest = [c for c in rows.columns if c != media]
     schema = rows.select(*rest).schema
-    for name, kind in (("payload_bytes", "long"), ("payload_sha256", "string"), ("tail_crc32", "long"), ("media_bytes", "long"), ("media_sha256", "string"), ("feature", "string")):
+    for name, kind in outputs.items():
         schema = schema.add(name, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

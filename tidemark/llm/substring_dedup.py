@@ -12,7 +12,8 @@ about one in 10^9 is taken for a repeat by chance.
 
 Defined cases: a null text stays null with no words; texts of fewer words than a window are never cut; equal texts repeat
 each other, so copies lose all words that a window covers, in all rows; rows with equal or null ids are told apart by
-their text alone; an empty table gives an empty result; further columns pass through.
+their text alone; an empty table gives an empty result; further columns pass through, one named n_words or n_removed as
+`n_words_input` or `n_removed_input`.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ROWS_PER_FILE, blocks, join_found, words_of, written
+from tidemark.llm.common import ROWS_PER_FILE, blocks, join_found, set_aside, unused, words_of, written
 
 WIDTH = 35
 #: Windows that one bucket counts at a time, about.
@@ -229,25 +230,27 @@ def cut_words(text: str, first: list[int], end: list[int]) -> tuple[str, int, in
 
 def remove_repeats(docs: DataFrame, text: str = "text", width: int = WIDTH) -> DataFrame:
     """All rows with text cut, and columns n_words (before) and n_removed."""
-    keyed = docs.withColumn("_key", F.unhex(F.md5(text)))
-    counts = written(keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("count"), F.max(F.octet_length(text)).alias("bytes")), "texts", int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) * ROWS_PER_FILE // 8)
+    docs = set_aside(docs, "n_words", "n_removed")
+    key, first, end = (unused(x, docs) for x in ("_key", "_first", "_end"))
+    keyed = docs.withColumn(key, F.unhex(F.md5(text)))
+    counts = written(keyed.groupBy(key).agg(F.count(F.lit(1)).alias("count"), F.max(F.octet_length(text)).alias("bytes")), "texts", int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) * ROWS_PER_FILE // 8)
     total = counts.agg(F.sum("count").alias("rows"), F.sum(F.col("count") * F.col("bytes")).alias("size")).first()
     rows = total["rows"] or 0
     found = written(repeated_intervals(docs, total["size"] or 0, text, width), "intervals", rows)
-    rest = [c for c in docs.columns if c not in (text, "n_words", "n_removed")]
+    rest = [c for c in docs.columns if c != text]
     schema = docs.select(*rest, text).schema.add("n_words", "long").add("n_removed", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch, _ in blocks(batches, text):
             at = batch.schema.names.index
-            texts, first, end = (batch.column(at(c)).to_pylist() for c in (text, "_first", "_end"))
-            cut = [(None, 0, 0) if x is None else cut_words(x, a or [], b or []) for x, a, b in zip(texts, first, end, strict=True)]
+            texts, starts, ends = (batch.column(at(c)).to_pylist() for c in (text, first, end))
+            cut = [(None, 0, 0) if x is None else cut_words(x, a or [], b or []) for x, a, b in zip(texts, starts, ends, strict=True)]
             columns = [pa.array([r[k] for r in cut], kind) for k, kind in enumerate((pa.string(), pa.int64(), pa.int64()))]
             yield pa.RecordBatch.from_arrays([*(batch.column(at(c)) for c in rest), *columns], names=schema.names)
 
-    found = found.select(F.col("text_key").alias("_key"), F.col("first").alias("_first"), F.col("end").alias("_end"))
-    joined = join_found(keyed.select(*rest, text, "_key"), found, "_key", counts, rows)
-    return joined.select(*rest, text, "_first", "_end").mapInArrow(run, schema)
+    found = found.select(F.col("text_key").alias(key), F.col("first").alias(first), F.col("end").alias(end))
+    joined = join_found(keyed.select(*rest, text, key), found, key, counts, rows)
+    return joined.select(*rest, text, first, end).mapInArrow(run, schema)
 
 
 SQL = r"""

@@ -2,12 +2,12 @@
 
 A rule is a host and a path prefix. It becomes an anchored regular expression over `host || path`, and is filed under one
 of its literal tokens: the one that the judged URLs hold least often. A URL's own tokens fetch candidate rules from that
-index, and only candidates run their regular expression. The rule list is configuration held by the driver, at most
-MAX_RULES rules, and is a literal of the plan: no join, no shuffle of URLs, no broadcast that grows with the data.
+index, and only candidates run their regular expression. A list of at most LITERAL_RULES rules is a literal of the plan: no
+join, no shuffle of URLs. A longer list, or a table of rules of any length, is joined with the distinct URLs by token.
 
 Defined cases: a null URL, or one without `://`, has an empty host and path, matches no rule and takes the default
-verdict. Repeated rows are judged alike, an empty table gives an empty result, and columns of the input stay out of the
-way because the operator only appends its four columns (an input column of such a name is an error).
+verdict. Repeated rows are judged alike, an empty table gives an empty result, and an input column of an output's name stays
+as `<name>_input`. Of rules with the same host and path the one that blocks counts.
 """
 
 from __future__ import annotations
@@ -18,9 +18,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ascii_lower, let
+from tidemark.llm.common import ascii_lower, let, set_aside, unused
 
-MAX_RULES = 2000
+LITERAL_RULES = 2000
+OUTPUTS = ("host", "path", "rule", "verdict")
 VERDICTS = ("allow", "block")
 _TOKEN = re.compile("[A-Za-z0-9]+")
 #: Same tokens in a URL: runs of ASCII letters and digits.
@@ -84,14 +85,17 @@ def _tokens(host: Column, path: Column) -> Column:
     return F.array_distinct(F.split(F.concat(host, path), _SPLIT))
 
 
-def filter_urls(pages: DataFrame, rules: list[UrlRule], url: str = "url", default: str = "allow") -> DataFrame:
-    """Append host, path, rule (name of the longest fitting rule or null) and verdict to every row."""
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"{len(rules)} rules; the index is a literal of at most {MAX_RULES}")
-    taken = {"host", "path", "rule", "verdict"} & {c.lower() for c in pages.columns}
-    if taken:
-        raise ValueError(f"columns {sorted(taken)} are already there")
+def filter_urls(pages: DataFrame, rules: list[UrlRule] | DataFrame, url: str = "url", default: str = "allow") -> DataFrame:
+    """Append host, path, rule (name of the longest fitting rule or null) and verdict to every row.
+
+    A table of rules has the string columns verdict, host and path.
+    """
+    pages = set_aside(pages, *OUTPUTS)
     pages = pages.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
+    if isinstance(rules, list) and len(rules) > LITERAL_RULES:
+        rules = pages.sparkSession.createDataFrame([(r.verdict, r.host, r.path) for r in rules], "verdict string, host string, path string")
+    if isinstance(rules, DataFrame):
+        return _by_table(pages, rules, default)
     if not rules:
         return pages.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(default)})
     index: dict[str, list[UrlRule]] = {}
@@ -108,7 +112,33 @@ def filter_urls(pages: DataFrame, rules: list[UrlRule], url: str = "url", defaul
     if loose:
         found = F.concat(found, F.array(*map(entry, loose)))
     fits = let(subject, lambda s: F.array_max(F.filter(found, lambda r: F.regexp_like(s, r["pattern"]))))
-    return pages.withColumn("_fit", fits).withColumns({"rule": F.col("_fit.name"), "verdict": F.coalesce(F.col("_fit.verdict"), F.lit(default))}).drop("_fit")
+    best = unused("_fit", pages)
+    return pages.withColumn(best, fits).withColumns({"rule": F.col(f"{best}.name"), "verdict": F.coalesce(F.col(f"{best}.verdict"), F.lit(default))}).drop(best)
+
+
+def _by_table(pages: DataFrame, rules: DataFrame, default: str) -> DataFrame:
+    """The same with rules as a table: URLs meet the rules filed under one of their tokens by a join.
+
+    Distinct URLs are judged once. Both sides of each join are dealt by a shuffle of their own, so that adaptive execution
+    splits a token or URL that very many rows hold.
+    """
+    rules = rules.select(F.lower("host").alias("h"), F.coalesce("path", F.lit("")).alias("p"), "verdict").groupBy("h", "p").agg(F.max("verdict").alias("v"))
+    name = F.concat("h", "p")
+    # Tokens that every fitting URL holds whole, as in UrlRule.tokens.
+    whole = F.when(F.col("p") == "", name).otherwise(F.regexp_replace(name, r"[\p{L}\p{N}]+\z", ""))
+    quoted = F.concat(F.lit(r"\A(?:[^/]*\.)?\Q"), F.replace(name, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"), F.when(F.col("p") == "", r"(?:/|\z)").otherwise(""))
+    tokens = F.filter(F.array_distinct(F.split(whole, _SPLIT)), lambda t: t != "")
+    rules = rules.select(name.alias("name"), "v", quoted.alias("pattern"), F.explode(F.when(F.size(tokens) > 0, tokens).otherwise(F.array(F.lit("")))).alias("token"))
+    subjects = pages.select("host", "path").distinct()
+    # The empty token stands for rules without any; every URL looks it up.
+    held = subjects.select("host", "path", F.explode(F.array_union(_tokens(F.col("host"), F.col("path")), F.array(F.lit("")))).alias("token"))
+    counts = held.groupBy("token").count()
+    rarity = F.struct(F.coalesce("count", F.lit(0)), -F.length("token"), "token")
+    filed = rules.join(counts, "token", "left").groupBy("name", "v", "pattern").agg(F.min_by("token", rarity).alias("token"))
+    met = held.repartition("token").join(filed.repartition("token"), "token").filter(F.regexp_like(F.concat("host", "path"), F.col("pattern")))
+    best = met.groupBy("host", "path").agg(F.max(F.struct(F.length("name").alias("size"), "name", "v")).alias("fit")).select("host", "path", F.col("fit.name").alias("rule"), F.col("fit.v").alias("verdict"))
+    found = pages.repartition("host", "path").join(best.repartition("host", "path"), ["host", "path"], "left")
+    return found.select(*pages.columns, "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"))
 
 
 #: The production rule list.
