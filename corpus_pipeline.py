@@ -10,14 +10,12 @@ A table without documents goes through all stages as an empty one. Rows with nul
 
 from __future__ import annotations
 
-import uuid
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import language_id, packing, quality_cascade, similar_texts, substring_dedup
-from tidemark.llm.common import shared_dir, ship_package
+from tidemark.llm.common import own_columns, scratch_path, ship_package, unused
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: A text stays if the mean of its words' largest marginals is at least this, whatever the shares of its languages.
@@ -26,12 +24,14 @@ LEAST_CERTAINTY = 0.5
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    found = language_id.predict(docs, language_id.fit(docs), certainty="_certainty")
-    return found.filter((F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("_certainty") >= LEAST_CERTAINTY)).select(*docs.columns)
+    certainty = unused("_certainty", docs)
+    found = language_id.predict(docs, language_id.fit(docs), certainty=certainty)
+    return own_columns(found.filter((F.col("lang_pred") != language_id.UNDETERMINED) & (F.col(certainty) >= LEAST_CERTAINTY)), docs.columns, "lang_pred", "score")
 
 
 def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality_cascade.cascade(docs, quality_cascade.all_rules()).filter(F.col("rejected_by").isNull()).select(*docs.columns)
+    found = quality_cascade.judged(docs).filter(F.col("rejected_by").isNull())
+    return own_columns(found, docs.columns, "rejected_by")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +45,7 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     left = substring_dedup.remove_repeats(docs)
     if "n_chars" in docs.columns:
         left = left.withColumn("n_chars", F.char_length("text").cast("long"))
-    return left.select(*docs.columns)
+    return own_columns(left, docs.columns, "n_words", "n_removed")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,14 +60,14 @@ STAGES = [
     ("substring_dedup", cut_repeated_passages),
     ("packing", pack_sequences),
 ]
-#: A trained model decides in the first stage, so no SQL gives the rows; tests hold each stage against a brute-force version.
+#: A trained model decides in the first stage, so no SQL gives the rows; tests hold the stages against brute-force versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages to documents; each result is written to the shared folder and read by the next stage."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    base = f"{shared_dir(spark).rstrip('/')}/tidemark-pipeline-{uuid.uuid4().hex}"
+    base = scratch_path(spark, "pipeline")
     for k, (name, stage) in enumerate(STAGES):
         out = stage(spark, docs, sf_dir)
         out.write.parquet(f"{base}/{k}-{name}")
