@@ -23,3 +23,45 @@ def test_title_outside_the_div():
 
 def test_an_article_with_all_of_it_is_the_region():
     assert extract(f"<body><div>x</div><article>{P * 3}</article></body>") == "\n\n".join([LONG.strip()] * 3)
+
+
+def test_names_do_not_take_out_most_of_the_page():
+    article = "\n\n".join(["The title", *[LONG.strip()] * 3])
+    inner = f"<h1>The title</h1>{P * 3}"
+    for page in (f'<article class="news-alert">{inner}</article>', f'<body><p>Hi there.</p><div class="ad-free-content">{inner}</div></body>', f'<main><div id="search-results">{inner}</div></main>', f"<article><header><h1>The title</h1><p>By A. Writer</p></header>{P * 3}</article>"):
+        assert extract(page) == article, page
+
+
+def test_a_teaser_beside_a_long_div():
+    page = f"<body><article><p>A short teaser of another page.</p></article><div class=main>{P * 20}</div></body>"
+    assert extract(page) == "\n\n".join([LONG.strip()] * 20)
+
+
+def test_long_reader_comments_stay_out():
+    comments = "".join(f"<div class=comment><p>{LONG}</p></div>" for _ in range(8))
+    for name in ("comments", "comment-list", "reader comments-section"):
+        assert extract(f'<body><div><h1>T</h1>{P * 3}</div><div class="{name}">{comments}</div></body>').count(LONG.strip()) == 3
+
+
+def test_pages_without_semantic_tags():
+    import random
+
+    rng = random.Random(11)
+    for _ in range(40):
+        body = [f"Sentence {rng.random()} of the text that runs on and on, for this is prose, and prose it stays." * rng.randint(1, 4) for _ in range(rng.randint(3, 12))]
+        menu = "".join(f"<li><a href=/{i}>Item {i}</a></li>" for i in range(rng.randint(3, 9)))
+        page = f"<html><body><div class='top-menu'><ul>{menu}</ul></div><table><tr><td><ul>{menu}</ul></td><td><div><h1>Head</h1>{''.join(f'<p>{x}</p>' for x in body)}</div></td></tr></table><div id=footer><p>All rights are reserved by the owner of this site.</p></div></body></html>"
+        assert extract(page) == "\n\n".join(["Head", *body])
+
+
+def test_deep_pages_take_linear_time():
+    import time
+
+    def seconds(n):
+        page = "<div><b>" * n + P
+        t = time.perf_counter()
+        assert extract(page) == LONG.strip()
+        return time.perf_counter() - t
+
+    seconds(1000)
+    assert seconds(40_000) < 3

@@ -1,28 +1,36 @@
 """Main text of web pages: parser events, text-to-tag ratio per line, Gaussian smoothing and threshold clustering.
 
 The standard library's streaming parser turns a page into lines, one for each block of text, with the number of tags seen
-since the line before. Text-to-tag ratios are smoothed with a Gaussian kernel and cut at a threshold; lines above it are
-content. The region is the smallest container that holds all clusters of such lines; articles, else main parts, are it
-instead if they hold nearly all characters of the clusters. All lines of the region are the main text, short ones included. Menus, headers, footers, sidebars,
-notices, adverts, forms, scripts, styles and reader comments never become lines.
+since the line before. Text-to-tag ratios are smoothed with a Gaussian kernel and cut at a threshold; runs of lines above it
+are the content clusters, and a container's mass is the number of characters of the clusters in it. From the page downwards,
+the region is the container that still holds nearly all of the mass: 95 % of it, or 80 % if the container is an article or
+main part. Several articles that together hold it are the region together. All lines of the region are the main text, short
+ones included, and a page title (h1) just before it.
+
+Scripts, styles, forms, menus, footers, sidebars and hidden parts, by element, role or attribute, never become lines. A class or
+id that names such a part (adverts, notices, reader comments and so on) takes the part out only while the clusters bear it
+out: a part named so outright stays out while a tenth of the mass is elsewhere, one that has such a word in its name while
+half of the mass is. Of a header inside the content only headings stay.
 
 Defined cases: a null or empty page, or one with no text outside those parts, gives an empty text; a page cut off in the
 middle gives what came before; markup that isn't closed is closed where the next block or the parent ends; repeated rows
-give the same text. Other columns pass through.
+give the same text. Other columns pass through, one named like the output as `<name>_input`.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import blocks
+from tidemark.llm.common import blocks, set_aside
 
 #: Element and class names by their role in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -32,10 +40,14 @@ BLOCK = frozenset(
 DROPPED = frozenset("head nav footer aside form script style noscript template svg math iframe object canvas audio video select textarea button dialog menu map datalist".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 NAMES = frozenset(
-    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar aside menu nav navbar navigation breadcrumb breadcrumbs footer masthead cookie cookies consent gdpr notice notices popup modal newsletter subscribe subscription signup comment comments discussion disqus replies responses respond share sharing social related recommended widget toolbar pagination pager login search skip alert alerts toast paywall overlay lightbox dropdown copyright disclaimer teaser teasers".split()
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar aside menu nav navbar navigation breadcrumb breadcrumbs footer masthead cookie cookies consent gdpr notice notices popup modal newsletter subscribe subscription signup comment comments discussion disqus replies responses respond share sharing social related recommended widget toolbar pagination pager login search skip alert alerts toast paywall overlay lightbox dropdown copyright disclaimer teaser teasers commentlist".split()
 )
 HEADS = frozenset("header topbar".split())
 OPEN_NAMES = frozenset("with has no without".split())
+#: Words beside such a name that don't change what it says.
+NEUTRAL = frozenset("area block bottom box button container content inner item left list main outer page right row section site top wrap wrapper".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+CONTAINERS = frozenset("article main div section td body header".split())
 #: A start tag on the left closes an open one of the same group, up to the nearest boundary.
 CLOSES = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 BOUNDS = frozenset("ul ol dl table article main section div body td th blockquote aside nav".split())
@@ -43,34 +55,39 @@ _SPLIT = re.compile("[^a-z0-9]+")
 _CUT_OFF = re.compile(r"<(?:[a-zA-Z/!?][^<>]*)?$")
 
 
-def _named(value: str, names: frozenset[str] = NAMES) -> bool:
-    """Does a class or id name one of the parts to leave out? `comment-list` and `left-sidebar` do, `has-sidebar` doesn't."""
+@lru_cache(maxsize=4096)
+def _named(value: str, names: frozenset[str] = NAMES) -> int:
+    """Does a class or id name one of the parts to leave out? 2 if outright (`comment-list`), 1 if among other words (`ad-free-content`), 0 if not (`has-sidebar`)."""
+    found = 0
     for name in value.lower().split():
         parts = [x for x in _SPLIT.split(name) if x]
         if parts and (parts[0] in names or parts[-1] in names) and not OPEN_NAMES & {*parts[:-1]}:
-            return True
-    return False
+            found = max(found, 2 if all(x in names or x in NEUTRAL or x.isdigit() for x in parts) else 1)
+    return found
 
 
 class _Lines(HTMLParser):
-    """Collects lines as (text, tags before it, ids of the open containers)."""
+    """Collects lines as (text, tags before it, container, heading or not); a container is (parent, kind, strength of its name)."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, tuple[int, ...]]] = []
-        self.kinds: list[str] = ["html"]
-        self.stack: list[tuple[str, int, tuple[int, ...]]] = []
+        self.lines: list[tuple[str, int, int, str]] = []
+        self.containers: list[tuple[int, str, int]] = [(-1, "html", 0)]
+        self.stack: list[tuple[str, int, int, bool, str]] = []
+        self.open: Counter[str] = Counter()
         self.hidden = 0  # depth of the stack at which a part to leave out began
         self.buffer: list[str] = []
         self.tags = 0
-        self.path: tuple[int, ...] = (0,)
+        self.at = 0  # innermost container
+        self.inside = False  # an article or main part is open
+        self.heading = ""
 
     def flush(self) -> None:
         if self.buffer:
             text = " ".join("".join(self.buffer).split())
             self.buffer.clear()
             if text:
-                self.lines.append((text, self.tags, self.path))
+                self.lines.append((text, self.tags, self.at, self.heading))
                 self.tags = 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -79,54 +96,59 @@ class _Lines(HTMLParser):
             if tag == "br" or tag == "hr":
                 self.buffer.append(" ") if tag == "br" else self.flush()
             return
-        if tag in CLOSES:
+        closed = CLOSES.get(tag) or (("p",) if tag in BLOCK else ())  # a block ends an open paragraph
+        if any(self.open[x] for x in closed):
             for i in range(len(self.stack) - 1, -1, -1):
-                if self.stack[i][0] in CLOSES[tag]:
-                    self.pop_to(i)
-                    break
-                if self.stack[i][0] in BOUNDS:
-                    break
-        elif tag in BLOCK:
-            for i in range(len(self.stack) - 1, -1, -1):  # a block ends an open paragraph
-                if self.stack[i][0] == "p":
+                if self.stack[i][0] in closed:
                     self.pop_to(i)
                     break
                 if self.stack[i][0] in BOUNDS:
                     break
         if tag in BLOCK:
             self.flush()
-        self.stack.append((tag, self.hidden, self.path))
-        if not self.hidden:
-            if tag in DROPPED or attrs and self.left_out(tag, attrs) or tag == "header" and not self.inside("article", "main"):
-                self.hidden = len(self.stack)
-            elif tag in ("article", "main", "div", "section", "td", "body", "header"):
-                own = "main" if ("role", "main") in attrs else "article" if ("role", "article") in attrs else tag
-                self.kinds.append(own)
-                self.path = (*self.path, len(self.kinds) - 1)
-
-    def inside(self, *kinds: str) -> bool:
-        return any(self.kinds[i] in kinds for i in self.path)
+        self.stack.append((tag, self.hidden, self.at, self.inside, self.heading))
+        self.open[tag] += 1
+        if self.hidden:
+            return
+        if tag in HEADINGS:
+            self.heading = tag
+        strength = self.strength(tag, attrs) if attrs else 0
+        if tag in DROPPED or strength > 2 or tag == "header" and not self.inside:
+            self.hidden = len(self.stack)
+        elif strength or tag in CONTAINERS:
+            kind = "main" if ("role", "main") in attrs else "article" if ("role", "article") in attrs else tag
+            if kind in ("div", "section", "header") and self.inside and (kind == "header" or any(k in ("class", "id") and v and _named(v, HEADS) == 2 for k, v in attrs)):
+                kind = "header"
+            self.containers.append((self.at, kind, strength))
+            self.at = len(self.containers) - 1
+            self.inside = self.inside or kind in ("article", "main")
 
-    def left_out(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+    def strength(self, tag: str, attrs: list[tuple[str, str | None]]) -> int:
+        """3 for a part that is left out in any case, else what its class and id say."""
+        found = 0
         for k, v in attrs:
             if k in ("class", "id"):
-                if v and tag not in ("body", "html", "main") and (_named(v) or _named(v, HEADS) and not self.inside("article", "main")):
-                    return True
+                if v and tag not in ("body", "html", "main"):
+                    found = max(found, _named(v), 0 if self.inside else _named(v, HEADS))
             elif k == "role":
                 if v in ROLES:
-                    return True
+                    return 3
             elif k == "hidden" or k == "aria-hidden" and v == "true" or k == "style" and v and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", v):
-                return True
-        return False
+                return 3
+        return found
 
     def pop_to(self, i: int) -> None:
         if any(x[0] in BLOCK for x in self.stack[i:]):
             self.flush()
-        _, self.hidden, self.path = self.stack[i]
+        for x in self.stack[i:]:
+            self.open[x[0]] -= 1
+        _, self.hidden, self.at, self.inside, self.heading = self.stack[i]
         del self.stack[i:]
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
+        if not self.open[tag]:
+            return
         for i in range(len(self.stack) - 1, -1, -1):
             if self.stack[i][0] == tag:
                 self.pop_to(i)
@@ -154,15 +176,53 @@ def smooth(values: list[float], sigma: float = 1.0) -> list[float]:
     return out
 
 
-def content_lines(lines: list[tuple[str, int, tuple[int, ...]]], sigma: float = 1.0, cut: float = 0.5) -> list[bool]:
+def content_lines(lines: list[tuple[str, int, int, str]], sigma: float = 1.0, cut: float = 0.5) -> list[bool]:
     """True for lines whose smoothed text-to-tag ratio reaches `cut` standard deviations of the smoothed ratios."""
-    ratios = smooth([len(text) / max(1, tags) for text, tags, _ in lines], sigma)
+    ratios = smooth([len(line[0]) / max(1, line[1]) for line in lines], sigma)
     mean = sum(ratios) / len(ratios)
     limit = min(cut * math.sqrt(sum((x - mean) ** 2 for x in ratios) / len(ratios)), max(ratios))
     return [x >= limit for x in ratios]
 
 
-def extract(html: str | None, sigma: float = 1.0, cut: float = 0.5, share: float = 0.95) -> str:
+def _masses(lines: list[tuple[str, int, int, str]], good: list[bool], containers: list[tuple[int, str, int]], out: list[bool]) -> list[int]:
+    """Characters of the clusters in each container, without those of parts left out. Parents come before children."""
+    mass = [0] * len(containers)
+    for (text, _, at, _), ok in zip(lines, good, strict=True):
+        if ok and not out[at]:
+            mass[at] += len(text)
+    for i in range(len(containers) - 1, 0, -1):
+        mass[containers[i][0]] += mass[i]
+    return mass
+
+
+def _left_out(containers: list[tuple[int, str, int]], mass: list[int]) -> list[bool]:
+    """Containers whose names take them out, where the clusters bear it out, with all that they hold."""
+    out, gone = [False] * len(containers), 0
+    for i, (parent, _, strength) in enumerate(containers):
+        if i and out[parent]:
+            out[i] = True
+        elif strength and (2 * mass[i] <= mass[0] if strength == 1 else 10 * (mass[0] - gone - mass[i]) >= mass[0]):
+            out[i] = True
+            gone += mass[i]
+    return out
+
+
+def _region(containers: list[tuple[int, str, int]], mass: list[int]) -> set[int]:
+    children: dict[int, list[int]] = {}
+    for i, (parent, _, _) in enumerate(containers):
+        if mass[i]:
+            children.setdefault(parent, []).append(i)
+    at = 0
+    while own := children.get(at):
+        best = max(own, key=mass.__getitem__)
+        if mass[best] * 100 < mass[0] * (80 if containers[best][1] in ("article", "main") else 95):
+            articles = [i for i in own if containers[i][1] == "article"]
+            return set(articles) if sum(mass[i] for i in articles) * 100 >= mass[0] * 95 else {at}
+        at = best
+    return {at}
+
+
+def extract(html: str | None, sigma: float = 1.0, cut: float = 0.5) -> str:
     """The main text of a page: the blocks of its content region, joined by an empty line."""
     if not html:
         return ""
@@ -170,29 +230,28 @@ def extract(html: str | None, sigma: float = 1.0, cut: float = 0.5, share: float
     parser.feed(_CUT_OFF.sub("", html))
     parser.close()
     parser.flush()
-    lines, kinds = parser.lines, parser.kinds
+    lines, containers = parser.lines, parser.containers
     if not lines:
         return ""
     good = content_lines(lines, sigma, cut)
-    mass: dict[int, int] = {}
-    for (text, _, path), ok in zip(lines, good, strict=True):
-        if ok:
-            for i in path:
-                mass[i] = mass.get(i, 0) + len(text)
-    # Ids grow with depth along a path, so the largest one that holds all is the smallest container.
-    roots = {max(i for i, m in mass.items() if m == mass[0])}
-    for kind in ("article", "main"):
-        own = {i for i in mass if kinds[i] == kind}
-        if sum(len(text) for (text, _, path), ok in zip(lines, good, strict=True) if ok and own.intersection(path)) >= share * mass[0]:
-            roots = own
-            break
-    heads = {i for i, k in enumerate(kinds) if k == "header"}
-    return "\n\n".join(text for text, _, path in lines if roots.intersection(path) and not heads.intersection(path))
+    out = _left_out(containers, _masses(lines, good, containers, [False] * len(containers)))
+    mass = _masses(lines, good, containers, out)
+    roots = _region(containers, mass)
+    within, header = [False] * len(containers), [False] * len(containers)
+    for i, (parent, kind, _) in enumerate(containers):
+        within[i] = i in roots or parent >= 0 and within[parent]
+        header[i] = kind == "header" or parent >= 0 and header[parent]
+    chosen = [k for k, (_, _, at, heading) in enumerate(lines) if within[at] and not out[at] and (heading or not header[at])]
+    titles = [k for k, (_, _, at, heading) in enumerate(lines) if heading == "h1" and not out[at]]
+    if len(titles) == 1 and chosen and titles[0] < chosen[0]:
+        chosen = titles + chosen
+    return "\n\n".join(lines[k][0] for k in chosen)
 
 
 def extract_main_text(pages: DataFrame, html: str = "html", out: str = "text") -> DataFrame:
     """Replace the column html by the main text in a column `out`; all other columns pass through."""
-    rest = [c for c in pages.columns if c not in (html, out)]
+    pages = pages if out == html else set_aside(pages, out)
+    rest = [c for c in pages.columns if c != html]
     schema = pages.select(*rest, F.lit("").alias(out)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
