@@ -3,6 +3,7 @@
 import hashlib
 import random
 import zlib
+from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -10,6 +11,8 @@ import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from tidemark.llm import byte_bpe, html_extract, language_id, ogg_media, packing, token_counts
 
@@ -129,42 +132,167 @@ def test_bpe_digest_of_odd_texts(spark, frame, odd, reference_encoding):
 
 
 # token counts
+def counted(pieces, count):
+    return sum(map(count, pieces))
+
+
 def test_edited_trees_equal_counting_anew(monkeypatch):
     monkeypatch.setattr(token_counts, "LEAF", 4)
     count, rng = token_counts.counter(RANKS), random.Random(3)
     alphabet = "abc \u00e9's 12.,!\n\t  \u4e2d  the"
-    for _ in range(1500):
+    for k in range(1500):
         x = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 120)))
-        tree = token_counts.TokenTree(x, count)
+        tree = token_counts.TokenTree.build(x, count)
         for _ in range(4):
             a = rng.randint(0, len(x) + 2)
-            b, new = a + rng.choice([0, 0, 1, 3, 20]), "".join(rng.choice(alphabet) for _ in range(rng.choice([0, 1, 3, 8])))
+            b, new = a + rng.choice([0, 0, 1, 3, 20]), "".join(rng.choice(alphabet) for _ in range(rng.choice([0, 1, 3, 8, 90 if k % 7 == 0 else 2])))
             x = x[: min(a, len(x))] + new + x[min(max(a, b), len(x)) :]
             tree.edit(a, b, new)
             pieces = byte_bpe.PATTERN.findall(x)
-            assert tree.text() == x and tree.tokens == sum(map(count, pieces)) and tree.length == len(x)
+            text, lengths, counts = tree.state()
+            assert text == x and lengths == list(map(len, pieces)) and counts == list(map(count, pieces))
+            assert tree.tokens == sum(counts) and tree.length == len(x)
 
 
 def test_edits_encode_little_of_a_long_text():
-    tree = token_counts.TokenTree("word and more " * 20_000, token_counts.counter(RANKS))
+    tree = token_counts.TokenTree.build("word and more " * 20_000, token_counts.counter(RANKS))
     tree.edit(100_000, 100_004, "other")
     assert tree.encoded < 60
 
 
-def test_edited_counts_of_odd_texts(spark, frame, odd):
-    from pyspark.sql import functions as F
+def test_leaves_split_after_a_long_insertion():
+    tree = token_counts.TokenTree.build("a few words", token_counts.counter(RANKS))
+    tree.edit(2, 2, "word and more " * 100_000)
+    assert max(len(x[1]) for x in tree.leaves) <= 2 * token_counts.LEAF
+    before = tree.encoded
+    for k in range(50):
+        tree.edit(20_000 * k, 20_000 * k + 4, "other")
+    assert tree.encoded - before < 50 * 60
+
 
-    df = frame(odd, n_tokens="x").withColumn("edits", F.when(F.col("doc_id") != 3, token_counts.review_edits(F.col("text"))))
+def test_edited_counts_of_odd_texts(spark, frame, odd):
+    df = frame(odd, n_tokens="x", Counts="y", n_edits="z")
+    trees = token_counts.token_trees(df, RANKS)
+    assert {(r["n_tokens_input"], r["Counts_input"], r["n_edits"]) for r in trees.collect()} == {("x", "y", "z")}
+    trees = trees.withColumn("edits", F.when(F.col("doc_id") != 3, token_counts.review_edits(F.col("text"))))
     count = token_counts.counter(RANKS)
-    rows = {r["doc_id"]: r for r in token_counts.edited_counts(df, RANKS).collect()}
-    edits = {r["doc_id"]: r["edits"] for r in df.collect()}
+    rows = {r["doc_id"]: r for r in token_counts.edit_trees(trees, RANKS).collect()}
+    edits = {r["doc_id"]: r["edits"] for r in trees.collect()}
     for i, t in enumerate(odd):
         x = t or ""
-        assert rows[i]["n_tokens"] == sum(map(count, byte_bpe.PATTERN.findall(x)))
+        assert rows[i]["n_tokens"] == counted(byte_bpe.PATTERN.findall(x), count) and rows[i]["n_edits_input"] == "z"
         for e in edits[i] or []:
             a, b = min(e["start"], len(x)), min(max(e["start"], e["end"]), len(x))
             x = x[:a] + e["replacement"] + x[b:]
-        assert (rows[i]["n_tokens_edited"], rows[i]["n_chars_edited"]) == (sum(map(count, byte_bpe.PATTERN.findall(x))), len(x))
+        assert (rows[i]["n_tokens_edited"], rows[i]["n_chars_edited"], rows[i]["text"]) == (counted(byte_bpe.PATTERN.findall(x), count), len(x), x)
+    assert token_counts.token_trees(df.limit(0), RANKS).count() == 0
+
+
+def test_a_second_run_encodes_only_edits(spark, sf, tmp_path):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    token_counts.token_trees(docs, RANKS).write.parquet(str(tmp_path / "1"))
+    trees = spark.read.parquet(str(tmp_path / "1"))
+    for run in (2, 3):
+        edit = F.when(F.length("text") > 10_000, F.array(F.struct(F.lit(5000).alias("start"), F.lit(5004).alias("end"), F.lit("other").alias("replacement"))))
+        token_counts.edit_trees(trees.withColumn("edits", edit), RANKS).drop(*token_counts.EDITED[2:]).write.parquet(str(tmp_path / f"{run}"))
+        done = spark.read.parquet(str(tmp_path / f"{run}"))
+        total = done.agg(F.sum("n_chars_encoded").alias("encoded"), F.sum(F.length("text")).alias("chars"), F.sum("n_edits").alias("edits")).first()
+        assert total["edits"] > 0 and total["encoded"] < 0.01 * total["chars"]
+        trees = done.drop("n_edits", "n_chars_encoded")
+    assert trees.filter(F.length("lengths") != F.length("counts")).count() == 0
+
+
+def test_token_count_query_equals_counting_anew(spark, sf):
+    docs = {r["doc_id"]: r for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", token_counts.review_edits(F.col("text")).alias("edits")).collect()}
+    ours = tiktoken.Encoding("counts", pat_str=public_tokenizers.PATTERN, mergeable_ranks=byte_bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), special_tokens={})
+    rows = {r["doc_id"]: r for r in token_counts.query(spark, sf).collect()}
+    assert len(rows) == len(docs)
+    for i, d in docs.items():
+        x = d["text"] or ""
+        assert rows[i]["n_tokens"] == len(ours.encode_ordinary(x))
+        for e in d["edits"]:
+            a, b = min(e["start"], len(x)), min(max(e["start"], e["end"]), len(x))
+            x = x[:a] + e["replacement"] + x[b:]
+        assert (rows[i]["n_tokens_edited"], rows[i]["n_chars_edited"]) == (len(ours.encode_ordinary(x)), len(x))
+
+
+# the other queries as registered, over the whole table
+def test_media_query_equals_brute_force(spark, sf):
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = {r["doc_id"]: r for r in ogg_media.query(spark, sf).collect()}
+    assert rows.keys() == docs.keys()
+    for i, t in docs.items():
+        raw = (t or "").encode()
+        payload = raw + bytes(max(64, -(-len(raw) // 64) * 64) - len(raw))
+        media = ogg_media.store(payload)
+        r = rows[i]
+        assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
+        assert (r["media_bytes"], r["media_sha256"]) == (len(media), hashlib.sha256(media).hexdigest())
+
+
+def test_bpe_query_equals_the_library(spark, sf):
+    ours = tiktoken.Encoding("query", pat_str=public_tokenizers.PATTERN, mergeable_ranks=byte_bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), special_tokens={})
+    rows = {r["doc_id"]: r for r in byte_bpe.query(spark, sf).collect()}
+    docs = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    assert rows.keys() == docs.keys()
+    for i, t in docs.items():
+        ids = ours.encode_ordinary(t)
+        r = rows[i]
+        assert (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(t.encode()).hexdigest())
+
+
+def test_packing_query_places_every_token_once(spark, sf):
+    coder = Tokenizer.from_file(WORDS)
+    ids = {r["doc_id"]: [*coder.encode(r["text"] or "", add_special_tokens=False).ids, 2] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    pieces, sequences = defaultdict(list), defaultdict(list)
+    for r in packing.query(spark, sf).collect():
+        own = np.array(ids[r["doc_id"]][r["start"] : r["start"] + r["length"]], "<u4")
+        assert r["ids_crc32"] == zlib.crc32(own.tobytes()) and r["doc_tokens"] == len(ids[r["doc_id"]])
+        pieces[r["doc_id"]].append((r["start"], r["length"]))
+        sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert pieces.keys() == ids.keys()
+    for i, found in pieces.items():
+        at = 0
+        for start, length in sorted(found):
+            assert start == at and length > 0
+            at += length
+        assert at == len(ids[i])
+    padding = 0
+    for found in sequences.values():
+        at = 0
+        for offset, length in sorted(found):
+            assert offset == at
+            at += length
+        assert at <= 4096
+        padding += 0 if at & (at - 1) == 0 else 4096 - at
+    assert padding < 0.01 * sum(map(len, ids.values()))
+
+
+def test_packing_of_instruction_data_keeps_all_three_limits(spark, sf):
+    """Prompt and answer of the conversations: prompts carry no loss, and tokens, segments and loss tokens all bind somewhere."""
+    turns = spark.read.parquet(f"{sf}/conversations.parquet").filter("role = 'user' OR role = 'assistant'")
+    pairs = turns.groupBy("conv_id").agg(F.concat_ws(" ", F.collect_list(F.when(F.col("role") == "user", F.col("text")))).alias("prompt"), F.concat_ws(" ", F.collect_list(F.when(F.col("role") == "assistant", F.col("text")))).alias("answer"))
+    limits = packing.Limits(tokens=400, segments=6, loss=160)
+    rows = packing.pack_documents(pairs, WORDS, key="conv_id", text="answer", prompt="prompt", limits=limits).collect()
+    coder = Tokenizer.from_file(WORDS)
+    heads = {r["conv_id"]: len(coder.encode(r["prompt"], add_special_tokens=False).ids) for r in pairs.collect()}
+    used = defaultdict(lambda: [0, 0, 0])
+    for r in rows:
+        u = used[r["sequence_id"]]
+        u[0] += r["length"]
+        u[1] += 1
+        u[2] += max(0, r["start"] + r["length"] - max(r["start"], heads[r["conv_id"]]))
+    assert all(u[0] <= 400 and u[1] <= 6 and u[2] <= 160 for u in used.values())
+    assert max(u[0] for u in used.values()) > 400 - packing.LEAST_CUT and max(u[1] for u in used.values()) == 6 and max(u[2] for u in used.values()) > 160 - packing.LEAST_CUT
+
+
+def test_many_empty_texts_pack_in_time(spark):
+    import time
+
+    df = spark.range(200_000).selectExpr("id AS doc_id", "IF(id % 2 = 0, '', CAST(NULL AS STRING)) AS text")
+    t = time.perf_counter()
+    assert packing.pack_documents(df, WORDS).agg(F.sum("length")).first()[0] == 200_000
+    assert time.perf_counter() - t < 60
 
 
 # packing
@@ -193,8 +321,6 @@ def test_powers_of_two():
 
 
 def test_packed_documents(spark, frame, odd):
-    from tokenizers import Tokenizer
-
     texts = [*odd, "<|endoftext|> and \u0130stanbul \u03a3\u0391\u03a3 e\u0301 don't 12.5", "a b c " * 4000]
     library = Tokenizer.from_file(WORDS)
     rows = packing.pack_documents(frame(texts, ids="x"), WORDS).collect()
@@ -216,8 +342,13 @@ def test_packed_documents(spark, frame, odd):
 def test_prompts_carry_no_loss(spark):
     df = spark.createDataFrame([(1, "question one two", "answer"), (2, None, "b")], "doc_id long, prompt string, text string")
     rows = packing.pack_documents(df, WORDS, prompt="prompt").collect()
-    assert sum(r["length"] for r in rows if r["doc_id"] == 1) == rows[0]["doc_tokens"] if rows[0]["doc_id"] == 1 else True
     assert sum(r["length"] for r in rows) == sum({r["doc_id"]: r["doc_tokens"] for r in rows}.values())
+    piece = packing.Piece("x", 2, 10, prompt=5)
+    assert piece.sizes == (10, 1, 7) and [p.sizes[2] for p in piece.cut(2)] == [0, 7]
+    # 40 answers of five loss tokens behind prompts of 20: the limit of 16 loss tokens closes a sequence after three.
+    df = spark.createDataFrame([(k, "one two three four five " * 4, "one two three four") for k in range(40)], "doc_id long, prompt string, text string").coalesce(1)
+    rows = packing.pack_documents(df, WORDS, prompt="prompt", limits=packing.Limits(tokens=4096, segments=100, loss=16)).collect()
+    assert len({r["sequence_id"] for r in rows}) >= 40 * 5 / 16
 
 
 # language identification
