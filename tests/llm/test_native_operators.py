@@ -103,9 +103,9 @@ def test_the_bound_of_mostly_repeats_is_exact(spark, frame):
 def test_cascade_verdict_does_not_depend_on_order(spark, frame, odd):
     texts = [*odd, "word " * 60, " ".join(f"w{i} and" for i in range(60)), "## " + "| word " * 60]
     df = frame(texts, rejected_BY="mine", _words="yours")
-    rules = qc.base_rules("_w") + qc.content_rules("_w")
-    forward = {r["doc_id"]: r["rejected_by"] is None for r in qc.cascade(with_words(df), rules).collect()}
-    chain = F.coalesce(*(F.when(F.coalesce(r.rejects, F.lit(True)), F.lit(r.name)) for r in rules[::-1]))
+    rules = qc.base_rules() + qc.content_rules()
+    forward = {r["doc_id"]: r["rejected_by"] is None for r in qc.cascade(with_words(df), rules, F.col("_w")).collect()}
+    chain = F.coalesce(*(F.when(F.coalesce(r.rejects(F.col("_w")), F.lit(True)), F.lit(r.name)) for r in rules[::-1]))
     assert forward == {r["doc_id"]: r["x"] is None for r in with_words(df).withColumn("x", chain).collect()}
     assert forward[len(odd) + 1] and not forward[len(odd)]
     judged = qc.judged(df)
@@ -113,23 +113,31 @@ def test_cascade_verdict_does_not_depend_on_order(spark, frame, odd):
     assert judged.columns == ["doc_id", "text", "rejected_BY_input", "_words", "rejected_by"]
     assert {(r["rejected_BY_input"], r["_words"]) for r in judged.collect()} == {("mine", "yours")}
     assert qc.judged(df.limit(0)).count() == 0
-    assert qc.cascade(df, []).filter("rejected_by IS NULL").count() == df.count()
+    assert qc.cascade(df, [], words_of(F.col("text"))).filter("rejected_by IS NULL").count() == df.count()
 
 
-def test_a_rejected_row_runs_no_later_rule(spark, frame):
-    broken = qc.QualityRule("z", F.raise_error(F.lit("must not run")).isNotNull())
-    measured = [(broken, 1.0, 0.0), (qc.QualityRule("a", F.lit(True)), 1.0, 0.5)]
-    chain = F.lit(None).cast("string")
-    for r in reversed(qc.order_rules(measured)):
-        chain = F.when(F.coalesce(r.rejects, F.lit(True)), F.lit(r.name)).otherwise(chain)
-    assert {r["x"] for r in frame(["a", None]).select(chain.alias("x")).collect()} == {"a"}
+def test_a_rejected_row_runs_no_later_rule(spark, frame, monkeypatch):
+    broken = qc.QualityRule("z", lambda w: F.raise_error(F.lit("must not run")).isNotNull())
+    measured = [(broken, 1.0, 0.0), (qc.QualityRule("a", lambda w: F.lit(True)), 1.0, 0.5)]
+    monkeypatch.setattr(qc, "measure_rules", lambda *args: measured)
+    found = qc.judged(frame(["a", None]))
+    assert {r["rejected_by"] for r in found.collect()} == {"a"} and found.filter("rejected_by IS NULL").count() == 0
+
+
+def test_a_filter_on_the_verdict_splits_each_text_once(spark, frame):
+    import time
+
+    df = frame([" ".join(f"w{i}" for i in range(60_000))] * 4)
+    t = time.perf_counter()
+    assert qc.judged(df).filter("rejected_by IS NULL").count() == 4
+    assert time.perf_counter() - t < 60
 
 
 @pytest.mark.parametrize(("text", "rule"), [("ab " * 30 + "!? " * 40, "few_letters"), ("\n".join(f"line {i} goes on..." for i in range(20)), "cut_off_lines"), ("\n".join(f"- item {chr(97 + i)}" for i in range(26)), "bullets"), ("x" * 1001 + " of them", "endless_word"), ("ab ba", "few_characters"), ("### a", "symbols"), ("one line\n" * 9, "duplicate_lines"), ("a b c", "word_length")])
 def test_content_rules_one_by_one(spark, frame, text, rule):
-    rejects = {r.name: r.rejects for r in qc.content_rules("_w")}[rule]
+    rejects = {r.name: r.rejects for r in qc.content_rules()}[rule]
     plain = "Running prose of ordinary words stays.\nIt has lines, and each of them ends like a sentence."
-    assert [r["x"] for r in with_words(frame([text, plain])).orderBy("doc_id").select(rejects.alias("x")).collect()] == [True, False]
+    assert [r["x"] for r in with_words(frame([text, plain])).orderBy("doc_id").select(rejects(F.col("_w")).alias("x")).collect()] == [True, False]
 
 
 def test_rules_are_ordered_by_rejection_per_cost():

@@ -272,7 +272,7 @@ def test_packing_of_instruction_data_keeps_all_three_limits(spark, sf):
     """Prompt and answer of the conversations: prompts carry no loss, and tokens, segments and loss tokens all bind somewhere."""
     turns = spark.read.parquet(f"{sf}/conversations.parquet").filter("role = 'user' OR role = 'assistant'")
     pairs = turns.groupBy("conv_id").agg(F.concat_ws(" ", F.collect_list(F.when(F.col("role") == "user", F.col("text")))).alias("prompt"), F.concat_ws(" ", F.collect_list(F.when(F.col("role") == "assistant", F.col("text")))).alias("answer"))
-    limits = packing.Limits(tokens=400, segments=6, loss=160)
+    limits = packing.Limits(tokens=400, segments=4, loss=160)
     rows = packing.pack_documents(pairs, WORDS, key="conv_id", text="answer", prompt="prompt", limits=limits).collect()
     coder = Tokenizer.from_file(WORDS)
     heads = {r["conv_id"]: len(coder.encode(r["prompt"], add_special_tokens=False).ids) for r in pairs.collect()}
@@ -282,8 +282,8 @@ def test_packing_of_instruction_data_keeps_all_three_limits(spark, sf):
         u[0] += r["length"]
         u[1] += 1
         u[2] += max(0, r["start"] + r["length"] - max(r["start"], heads[r["conv_id"]]))
-    assert all(u[0] <= 400 and u[1] <= 6 and u[2] <= 160 for u in used.values())
-    assert max(u[0] for u in used.values()) > 400 - packing.LEAST_CUT and max(u[1] for u in used.values()) == 6 and max(u[2] for u in used.values()) > 160 - packing.LEAST_CUT
+    assert all(u[0] <= 400 and u[1] <= 4 and u[2] <= 160 for u in used.values())
+    assert max(u[0] for u in used.values()) > 400 - packing.LEAST_CUT and max(u[1] for u in used.values()) == 4 and max(u[2] for u in used.values()) > 160 - packing.LEAST_CUT
 
 
 def test_many_empty_texts_pack_in_time(spark):

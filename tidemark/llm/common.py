@@ -64,13 +64,13 @@ def _filesystem(spark: SparkSession, path: str, call: str, *args) -> None:
     getattr(found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), call)(found, *args)
 
 
-def written(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+def written(df: DataFrame, name: str, rows: int | None = None, codec: str | None = None) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back, which cuts lineage and survives lost executors.
 
     With `rows`, about that many narrow rows are expected and files get ROWS_PER_FILE each (8 files at least).
     """
     path = scratch_path(df.sparkSession, name)
-    (df if rows is None else df.coalesce(max(8, -(-rows // ROWS_PER_FILE)))).write.parquet(path)
+    (df if rows is None else df.coalesce(max(8, -(-rows // ROWS_PER_FILE)))).write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -14,12 +14,13 @@ other columns pass through untouched, and one with an output's name as `<name>_i
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import let, set_aside, unused, words_of, written
+from tidemark.llm.common import let, set_aside, words_of, written
 
 #: Rows of the sample that orders the rules, of any length.
 SAMPLE_ROWS = 1000
@@ -28,8 +29,10 @@ METRICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"
 
 @dataclass(frozen=True)
 class QualityRule:
+    """`rejects` gets the text's words and gives the condition that rejects the row."""
+
     name: str
-    rejects: Column
+    rejects: Callable[[Column], Column]
 
 
 def word_chars(words: Column) -> Column:
@@ -89,11 +92,11 @@ def mostly_repeats(words: Column, width: int = 3) -> Column:
 def with_base_metrics(docs: DataFrame, words: str, text: str = "text") -> DataFrame:
     """Append n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words; the column `words` holds the text's words."""
     c = F.col(text)
-    values = (F.size(words).cast("long"), word_chars(F.col(words)), n_symbols(c), n_dup_lines(c), n_repeat_words(F.col(words)))
+    values = (F.size(words).cast("long"), word_chars(F.col(words)), n_symbols(c), n_dup_lines(c), let(F.col(words), lambda w: n_repeat_words(w)))
     return set_aside(docs, *METRICS).withColumns(dict(zip(METRICS, values, strict=True)))
 
 
-def measure_rules(docs: DataFrame, rules: list[QualityRule], sample_rows: int = SAMPLE_ROWS) -> list[tuple[QualityRule, float, float]]:
+def measure_rules(docs: DataFrame, rules: list[QualityRule], words: Column, sample_rows: int = SAMPLE_ROWS) -> list[tuple[QualityRule, float, float]]:
     """(rule, seconds a row, share rejected) on a written sample of at most sample_rows rows; the least time of two runs counts."""
     total = docs.count()
     drawn = written(docs.sample(min(1.0, 20.0 * sample_rows / max(total, 1)), seed=17).limit(sample_rows), "sample")
@@ -109,8 +112,8 @@ def measure_rules(docs: DataFrame, rules: list[QualityRule], sample_rows: int =
             best = min(best, time.perf_counter() - t)
         return best, bad
 
-    base, _ = timed(F.lit(False))
-    times = [(r, *timed(r.rejects)) for r in rules]
+    base, _ = timed(let(words, lambda w: F.size(w) < 0))
+    times = [(r, *timed(let(words, r.rejects))) for r in rules]
     return [(r, max(s - base, 1e-4) / rows, bad / rows) for r, s, bad in times]
 
 
@@ -119,49 +122,51 @@ def order_rules(measured: list[tuple[QualityRule, float, float]]) -> list[Qualit
     return [r for r, cost, share in sorted(measured, key=lambda x: (-x[2] / x[1], x[1], x[0].name))]
 
 
-def cascade(docs: DataFrame, rules: list[QualityRule], sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+def cascade(docs: DataFrame, rules: list[QualityRule], words: Column, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """Append `rejected_by`: the first rule of the ordered cascade that rejects the row, null if none does.
 
-    Rules are expressions over columns of docs; a column of docs that is itself computed is computed once for all rules.
+    The whole chain is one expression over `words`, which is computed once for all rules of a row, also if a filter on the
+    result is pushed below other columns.
     """
     docs = set_aside(docs, "rejected_by")
-    chain = F.lit(None).cast("string")
-    for r in reversed(order_rules(measure_rules(docs, rules, sample_rows))):
-        chain = F.when(F.coalesce(r.rejects, F.lit(True)), F.lit(r.name)).otherwise(chain)
-    return docs.withColumn("rejected_by", chain)
+    ordered = order_rules(measure_rules(docs, rules, words, sample_rows))
+
+    def chain(w: Column) -> Column:
+        found = F.lit(None).cast("string")
+        for r in reversed(ordered):
+            found = F.when(F.coalesce(r.rejects(w), F.lit(True)), F.lit(r.name)).otherwise(found)
+        return found
+
+    return docs.withColumn("rejected_by", let(words, chain))
 
 
-def base_rules(words: str) -> list[QualityRule]:
-    w = F.col(words)
-    return [QualityRule("too_few_words", F.size(w) < 50), QualityRule("repeated_windows", mostly_repeats(w))]
+def base_rules() -> list[QualityRule]:
+    return [QualityRule("too_few_words", lambda w: F.size(w) < 50), QualityRule("repeated_windows", lambda w: mostly_repeats(w))]
 
 
-def content_rules(words: str, text: str = "text", known: dict[str, Column] | None = None) -> list[QualityRule]:
+def content_rules(text: str = "text", known: dict[str, Column] | None = None) -> list[QualityRule]:
     """Rules beyond the base ones, with thresholds far from what running prose has; known has metrics that docs holds already."""
-    w, c, known = F.col(words), F.col(text), known or {}
-    chars = known.get("word_chars", word_chars(w))
-    n, n_lines = F.size(w), F.size(lines_of(c))
+    c, known = F.col(text), known or {}
+    n_lines = F.size(lines_of(c))
 
     def lines(pattern: str) -> Column:
         return F.regexp_count(F.coalesce(c, F.lit("")), F.lit(pattern))
 
     return [
-        QualityRule("symbols", known.get("n_symbols", n_symbols(c)) * 10 > n * 3),
-        QualityRule("duplicate_lines", known.get("n_dup_lines", n_dup_lines(c)) * 10 > n_lines * 6),
-        QualityRule("word_length", let(chars, lambda x: (x > n * 15) | (x * 10 < n * 18))),
-        QualityRule("few_letters", F.size(F.filter(w, lambda x: F.regexp_like(x, F.lit(r"\p{L}")))) * 10 < n * 6),
-        QualityRule("cut_off_lines", lines(r"(?m)(?:\.\.\.|…)$") * 10 > n_lines * 3),
-        QualityRule("bullets", lines(r"(?m)^[•*-] ") * 10 > n_lines * 9),
-        QualityRule("endless_word", F.exists(w, lambda x: F.length(x) > 1000)),
-        QualityRule("few_characters", F.size(F.array_distinct(F.split(F.coalesce(c, F.lit("")), ""))) < 12),
+        QualityRule("symbols", lambda w: known.get("n_symbols", n_symbols(c)) * 10 > F.size(w) * 3),
+        QualityRule("duplicate_lines", lambda w: known.get("n_dup_lines", n_dup_lines(c)) * 10 > n_lines * 6),
+        QualityRule("word_length", lambda w: let(known.get("word_chars", word_chars(w)), lambda x: (x > F.size(w) * 15) | (x * 10 < F.size(w) * 18))),
+        QualityRule("few_letters", lambda w: F.size(F.filter(w, lambda x: F.regexp_like(x, F.lit(r"\p{L}")))) * 10 < F.size(w) * 6),
+        QualityRule("cut_off_lines", lambda w: lines(r"(?m)(?:\.\.\.|…)$") * 10 > n_lines * 3),
+        QualityRule("bullets", lambda w: lines(r"(?m)^[•*-] ") * 10 > n_lines * 9),
+        QualityRule("endless_word", lambda w: F.exists(w, lambda x: F.length(x) > 1000)),
+        QualityRule("few_characters", lambda w: F.size(F.array_distinct(F.split(F.coalesce(c, F.lit("")), ""))) < 12),
     ]
 
 
 def judged(docs: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """docs with rejected_by from all rules; each metric is computed only for rows that reach its rule."""
-    words = unused("_words", docs)
-    split = docs.withColumn(words, words_of(F.col(text)))
-    return cascade(split, base_rules(words) + content_rules(words, text), sample_rows).drop(words)
+    return cascade(docs, base_rules() + content_rules(text), words_of(F.col(text)), sample_rows)
 
 
 SQL = r"""
@@ -194,5 +199,5 @@ def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     counted = with_base_metrics(docs.withColumn("words", words_of(F.col("text"))), "words")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    rules = [QualityRule("base", failed), *content_rules("words", known={m: F.col(m) for m in METRICS})]
-    return cascade(counted, rules).select("doc_id", *METRICS, failed.alias("base_failed"), F.col("rejected_by").isNull().alias("kept"))
+    rules = [QualityRule("base", lambda w: failed), *content_rules(known={m: F.col(m) for m in METRICS})]
+    return cascade(counted, rules, F.col("words")).select("doc_id", *METRICS, failed.alias("base_failed"), F.col("rejected_by").isNull().alias("kept"))

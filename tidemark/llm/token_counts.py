@@ -258,5 +258,5 @@ def review_edits(text):
 def query(spark, sf_dir: str) -> DataFrame:
     """Build and write the trees of all documents, then apply the edits to what was written."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    trees = written(token_trees(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), ranks), "trees")
+    trees = written(token_trees(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), ranks), "trees", codec="zstd")
     return edit_trees(trees.withColumn("edits", review_edits(F.col("text"))), ranks).select("doc_id", "n_tokens", *EDITED)
