@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import clock
 from tidemark.functions.text import name_uuid, slug
 from tidemark.plans.flow import process_pages
+from tidemark.sources import normalize, raw
 from tidemark.sources import normalize as nz
 from tidemark.sources.store import BarStore
 
@@ -61,7 +62,7 @@ def test_actions_by_endpoint(spark):
     pages = spark.createDataFrame(rows, "raw_batch_id string, endpoint string, payload binary, request_id string, provider_identifier string, instrument_id string, source_id string, start_date date, end_date date")
     out = nz.normalize_by_endpoint(pages)
     got = {r["action_type"]: r for r in out.rows.collect()}
-    assert set(got) == {"split", "dividend", "ticker_change"} and str(got["dividend"]["amount"]) == "0.12345600" and got["ticker_change"]["old_ticker"] == "OLD"
+    assert set(got) == {"split", "dividend", "ticker_change"} and str(got["dividend"]["amount"]) == "0.123456000000000000" and got["ticker_change"]["old_ticker"] == "OLD"
     assert sorted((r["raw_batch_id"], r["reason"]) for r in out.batch_errors.collect()) == [("b4", "anchor"), ("b5", "endpoint")]
     assert [r["code"] for r in out.issues.collect()] == ["provider_definition"]
 
@@ -70,5 +71,35 @@ def test_name_uuids_and_slugs(spark):
     names = ["a", "é x", ""]
     got = [r[0] for r in spark.createDataFrame([(n,) for n in names], "n string").select(name_uuid(str(uuid.NAMESPACE_DNS), F.col("n"))).collect()]
     assert got == [str(uuid.uuid5(uuid.NAMESPACE_DNS, n)) for n in names]
-    slugs = [r[0] for r in spark.createDataFrame([("Nul",), (" É/é ",), ("..",)], "n string").select(slug(F.col("n"))).collect()]
-    assert slugs == ["nul-value", "e-e", "unknown"]
+    slugs = [r[0] for r in spark.createDataFrame([("Nul",), (" É/é ",), ("_x_",), ("Šx",), ("ﬁn™ 中",)], "n string").select(slug(F.col("n"))).collect()]
+    assert slugs == ["_nul", "e-e", "x", "sx", "fintm"]
+    with pytest.raises(Exception, match="no safe folder name"):
+        spark.createDataFrame([("..",)], "n string").select(slug(F.col("n"))).collect()
+
+
+@pytest.mark.parametrize(
+    ("key", "value", "request_id", "rules"),
+    [
+        ("next_url", "x", "r-1", ["sensitive_key"]), ("signing_key", "x", "r-1", ["sensitive_key"]), ("request_header", "x", "r-1", ["sensitive_key"]), ("X-Api-Key", "x", None, ["sensitive_key"]),
+        ("note", "password: hunter2", "r-1", ["sensitive_value"]), ("note", "see Bearer abc", "r-1", ["sensitive_value"]), ("session", "regular", "r-1", []), ("page", "1", "https://x", ["request_id"]), ("page", "1", "a?b", ["request_id"]),
+    ],
+)
+def test_metadata_safety(spark, key, value, request_id, rules):
+    df = spark.createDataFrame([({key: value}, "/v2/bars", "json.gz", request_id)], "m map<string,string>, e string, x string, r string")
+    assert df.select(raw.unsafe_metadata(F.col("m"), F.col("e"), F.col("x"), F.col("r"))).first()[0] == rules
+
+
+def test_a_batch_of_another_request_id_or_extension_collides(spark):
+    from datetime import datetime
+
+    schema = "batch_id string, provider string, dataset string, endpoint string, retrieved_at timestamp, media_type string, request_metadata map<string,string>, payload binary, file_extension string, provider_request_id string"
+    row = lambda ext, rid: ("b", "p", "d", "/e", datetime(2025, 1, 2), "application/json", {}, bytearray(b"{}"), ext, rid)
+    landed = raw.manifest(spark.createDataFrame([row("json", "r1")], schema))
+    for ext, rid, want in (("json", "r1", "replay"), ("json", "r2", "collision"), ("csv", "r1", "collision")):
+        assert raw.classify_landing(spark.createDataFrame([row(ext, rid)], schema), landed).first()["landing"] == want
+
+
+def test_actions_without_ids_with_many_digits(spark):
+    v = F.parse_json(F.lit('{"cash_amount": 0.123456789012345678, "long": 0.1234567890123456789, "v": "abc", "n": null, "s": "12.5"}'))
+    got = spark.range(1).select(normalize.exact(v, "$.cash_amount").cast("string").alias("a"), normalize.exact(v, "$.long").alias("b"), *(normalize.unparsable(v, f"$.{k}").alias(k) for k in ("v", "n", "s", "none"))).first()
+    assert tuple(got) == ("0.123456789012345678", None, True, False, False, False)

@@ -2,13 +2,27 @@
 
 from __future__ import annotations
 
+import json
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Device names that no partition value may take.
 RESERVED = ("con", "prn", "aux", "nul", *(f"com{i}" for i in range(1, 10)), *(f"lpt{i}" for i in range(1, 10)))
-_ACCENTED = "ÀÁÂÃÄÅàáâãäåÇçÈÉÊËèéêëÌÍÎÏìíîïÑñÒÓÔÕÖòóôõöÙÚÛÜùúûüÝýÿ"
-_PLAIN = "AAAAAAaaaaaaCcEEEEeeeeIIIIiiiiNnOOOOOoooooUUUUuuuuYyy"
+
+
+def _foldings() -> dict[str, str]:
+    """What compatibility decomposition leaves in ASCII of each other character of the basic plane, where it leaves anything."""
+    found = {}
+    for n in range(0x80, 0x10000):
+        plain = unicodedata.normalize("NFKD", chr(n)).encode("ascii", "ignore").decode()
+        if plain:
+            found[chr(n)] = plain
+    return found
+
+
+_FOLDED = json.dumps(_foldings())
 
 
 def strip(c: Column) -> Column:
@@ -16,11 +30,17 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, r"^\s+|\s+$", "")
 
 
+def folded(c: Column) -> Column:
+    """ASCII letters of a text after compatibility decomposition: accents go, ligatures come apart, other characters vanish."""
+    table = F.from_json(F.lit(_FOLDED), "map<string,string>")
+    letters = F.transform(F.split(c, ""), lambda x: F.when(x.rlike(r"^[\x00-\x7F]*$"), x).otherwise(F.coalesce(table[x], F.lit(""))))
+    return F.when(c.rlike(r"[^\x00-\x7F]"), F.array_join(letters, "")).otherwise(c)
+
+
 def slug(c: Column) -> Column:
-    """A value as a safe partition folder: ASCII letters, digits, `-` and `_`, lower case, never a reserved name or empty."""
-    folded = F.translate(c, _ACCENTED, _PLAIN)
-    x = F.lower(F.regexp_replace(F.regexp_replace(folded, "[^A-Za-z0-9_-]+", "-"), "^-+|-+$", ""))
-    return F.when(x == "", "unknown").when(x.isin(*RESERVED), F.concat(x, F.lit("-value"))).otherwise(x)
+    """A value as a safe partition folder: ASCII letters, digits, `-` and `_`, lower case, never a reserved name. A value that leaves nothing is an error."""
+    x = F.lower(F.regexp_replace(F.regexp_replace(folded(c), "[^A-Za-z0-9_-]+", "-"), "^[-_]+|[-_]+$", ""))
+    return F.when(x == "", F.raise_error(F.concat(F.lit("no safe folder name in: "), c)).cast("string")).when(x.isin(*RESERVED), F.concat(F.lit("_"), x)).otherwise(x)
 
 
 def canonical_uuid(c: Column) -> Column:

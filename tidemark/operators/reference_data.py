@@ -37,9 +37,14 @@ def reference_matches(requested: DataFrame, rows: DataFrame, on: str) -> DataFra
 
 
 def refs_fingerprint(refs: DataFrame) -> DataFrame:
-    """request_id and the SHA-256 of its sorted (instrument, identifier) pairs as JSON; the order of rows doesn't matter."""
-    pairs = F.array_sort(F.collect_set(F.struct("instrument_id", "provider_identifier")))
-    return refs.groupBy("request_id").agg(F.to_json(pairs).alias("manifest"), F.count(F.lit(1)).alias("refs")).withColumn("fingerprint", F.sha2("manifest", 256))
+    """request_id, the version-1 manifest of its sorted (instrument, identifier) pairs, and its SHA-256; the order of rows doesn't matter.
+
+    Pairs are made distinct before they are collected, so an array is as long as the request's distinct pairs.
+    """
+    rows = refs.groupBy("request_id", "instrument_id", "provider_identifier").agg(F.count(F.lit(1)).alias("rows"))
+    pairs = F.array_sort(F.collect_list(F.struct("instrument_id", "provider_identifier")))
+    listed = rows.groupBy("request_id").agg(F.to_json(F.struct(pairs.alias("references"), F.lit(1).alias("version"))).alias("manifest"), F.sum("rows").alias("refs"))
+    return listed.withColumn("fingerprint", F.sha2("manifest", 256))
 
 
 def bad_identifier(c: Column) -> Column:

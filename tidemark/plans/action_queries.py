@@ -196,7 +196,7 @@ SELECT universe, strftime(day, '%Y-%m-%d') AS day, count(DISTINCT c_custkey) AS
     "instrument_refs_fingerprint": (
         instrument_refs_fingerprint,
         """WITH r AS (SELECT l_orderkey AS request_id, count(*) AS refs, list_sort(list(DISTINCT CAST(l_partkey AS VARCHAR))) AS ids FROM lineitem GROUP BY 1)
-SELECT request_id, refs, sha256('[' || array_to_string(['{"instrument_id":"' || x || '","provider_identifier":"P' || x || '"}' FOR x IN ids], ',') || ']') AS fingerprint FROM r""",
+SELECT request_id, refs, sha256('{"references":[' || array_to_string(['{"instrument_id":"' || x || '","provider_identifier":"P' || x || '"}' FOR x IN ids], ',') || '],"version":1}') AS fingerprint FROM r""",
     ),
     "request_plan": (
         request_plan,

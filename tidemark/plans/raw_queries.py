@@ -21,10 +21,10 @@ def _batches(spark, sf_dir):
     return e.select(
         k, F.concat(F.lit("b"), (k - k % 10 / 10).cast("long").cast("string")).alias("batch_id"), F.concat(F.lit("Provider "), F.upper("event_type")).alias("provider"), F.when(k % 3 == 0, "bars.5m").otherwise("Café Aux").alias("dataset"),
         F.concat(F.lit("/v2/"), F.col("event_type"), F.when(k % 17 == 0, "?x=1").otherwise("")).alias("endpoint"), F.col("ts").cast("timestamp").alias("retrieved_at"), F.lit("application/json").alias("media_type"),
-        F.when(k % 29 == 0, "JSON/..").otherwise("json").alias("extension"),
+        F.when(k % 29 == 0, "JSON/..").when(k % 2 == 0, "json.gz").otherwise("json").alias("extension"),
         F.create_map(
             F.lit("page_number"), (k % 7).cast("string"), F.lit("response_status"), F.when(k % 13 == 0, "429").otherwise("200"), F.when(k % 19 == 0, "X-Api-Key").otherwise("latency_ms"),
-            F.when(k % 23 == 0, "NaN").when(k % 11 == 0, "12d").otherwise(F.round(F.col("value") * 4).cast("int").cast("string")), F.lit("note"), F.when(k % 31 == 0, "https://x/y").otherwise("none"),
+            F.when(k % 23 == 0, "NaN").when(k % 11 == 0, "12d").otherwise(F.round(F.col("value") * 4).cast("int").cast("string")), F.lit("note"), F.when(k % 31 == 0, "https://x/y").when(k % 37 == 0, "password: hunter2").otherwise("none"), F.lit("session"), F.lit("regular"),
             F.lit("rate_limit_remaining"), (k % 97).cast("string"),
         ).alias("request_metadata"),
         F.encode("props", "UTF-8").alias("payload"),
@@ -59,7 +59,7 @@ def metadata_violations(spark, sf_dir):
 
 
 def partition_slugs(spark, sf_dir):
-    names = table(spark, sf_dir, "part").select(F.col("p_partkey"), F.when(F.col("p_partkey") % 50 == 0, F.lit("CON")).when(F.col("p_partkey") % 50 == 1, F.concat(F.lit(" Ünïted/"), F.col("p_name"), F.lit(" "))).otherwise(F.col("p_brand")).alias("name"))
+    names = table(spark, sf_dir, "part").select(F.col("p_partkey"), F.when(F.col("p_partkey") % 50 == 0, F.lit("CON")).when(F.col("p_partkey") % 50 == 2, F.lit("_Šx ﬁn™_")).when(F.col("p_partkey") % 50 == 1, F.concat(F.lit(" Ünïted/"), F.col("p_name"), F.lit(" "))).otherwise(F.col("p_brand")).alias("name"))
     return names.select("p_partkey", slug(F.col("name")).alias("slug"))
 
 
@@ -68,7 +68,7 @@ def response_outcomes(spark, sf_dir):
     e = table(spark, sf_dir, "events")
     k = F.col("event_id") % 12
     status = F.when(k == 1, 401).when(k == 2, 403).when(k == 3, 422).when(k == 4, 422).when(k == 5, 429).when(k == 6, 500).otherwise(200)
-    body = F.when(k == 3, '{"code": 42210000, "message": "x"}').when(k == 7, '{"status": "error", "code": 401}').when(k == 8, '{"status": "error", "code": 429}').when(k == 9, "[1]").otherwise(F.col("props"))
+    body = F.when(k == 3, '{"code": 42210000, "message": "x"}').when(k == 7, '{"status": "error", "code": 401}').when(k == 8, '{"status": "error", "code": 429}').when(k == 9, "[1]").when(k == 10, '{"status": "error", "code": 403}').when(k == 11, '{"status": "partial"}').otherwise(F.col("props"))
     x = e.withColumns({"outcome": raw.outcome(status, raw.parsed(F.encode(body, "UTF-8"))), "kind": k})
     return x.groupBy("kind", "outcome").agg(F.count(F.lit(1)).alias("responses"))
 
@@ -153,7 +153,7 @@ def coerced_bars(spark, sf_dir):
     return x.select("instrument_id", "source_id", "raw_batch_id", F.unix_micros("timestamp_start").alias("start_us"), joined(F.col("quality_flags")).alias("flags"))
 
 
-_SLUG = "trim(regexp_replace(strip_accents({c}), '[^A-Za-z0-9_-]+', '-', 'g'), '-')"
+_SLUG = "trim(regexp_replace(strip_accents({c}), '[^A-Za-z0-9_-]+', '-', 'g'), '-_')"
 _DATASET = "CASE WHEN event_id % 3 = 0 THEN 'bars-5m' ELSE 'cafe-aux' END"
 _W = "timeframe = '5m' AND session = 'regular' AND adjustment_state = 'unadjusted' AND timestamp_start >= TIMESTAMP '1996-02-01' AND timestamp_start < TIMESTAMP '1998-09-01'"
 _LEFT = adapters.bars_sql("left")
@@ -172,12 +172,12 @@ SELECT 'b' || b AS batch_id, CASE WHEN c > 1 THEN 'collision' WHEN NOT EXISTS (S
     ),
     "metadata_violations": (
         metadata_violations,
-        """WITH r AS (SELECT event_id, array_to_string([x FOR x IN [CASE WHEN event_id % 19 = 0 THEN 'sensitive_key' END, CASE WHEN event_id % 31 = 0 THEN 'sensitive_value' END, CASE WHEN event_id % 17 = 0 THEN 'endpoint' END, CASE WHEN event_id % 29 = 0 THEN 'extension' END] IF x IS NOT NULL], ',') AS rules FROM events) SELECT * FROM r WHERE rules <> ''""",
+        """WITH r AS (SELECT event_id, array_to_string([x FOR x IN [CASE WHEN event_id % 19 = 0 THEN 'sensitive_key' END, CASE WHEN event_id % 31 = 0 OR event_id % 37 = 0 THEN 'sensitive_value' END, CASE WHEN event_id % 17 = 0 THEN 'endpoint' END, CASE WHEN event_id % 29 = 0 THEN 'extension' END] IF x IS NOT NULL], ',') AS rules FROM events) SELECT * FROM r WHERE rules <> ''""",
     ),
-    "partition_slugs": (partition_slugs, f"SELECT p_partkey, CASE WHEN p_partkey % 50 = 0 THEN 'con-value' WHEN p_partkey % 50 = 1 THEN lower({_SLUG.format(c=chr(39) + ' Ünïted/' + chr(39) + ' || p_name')}) ELSE lower({_SLUG.format(c='p_brand')}) END AS slug FROM part"),
+    "partition_slugs": (partition_slugs, f"SELECT p_partkey, CASE WHEN p_partkey % 50 = 0 THEN '_con' WHEN p_partkey % 50 = 2 THEN 'sx-fintm' WHEN p_partkey % 50 = 1 THEN lower({_SLUG.format(c=chr(39) + ' Ünïted/' + chr(39) + ' || p_name')}) ELSE lower({_SLUG.format(c='p_brand')}) END AS slug FROM part"),
     "response_outcomes": (
         response_outcomes,
-        """SELECT event_id % 12 AS kind, CASE event_id % 12 WHEN 1 THEN 'authentication' WHEN 2 THEN 'access' WHEN 3 THEN 'entitlement' WHEN 4 THEN 'http_error' WHEN 5 THEN 'rate_limit' WHEN 6 THEN 'http_error' WHEN 7 THEN 'authentication' WHEN 8 THEN 'rate_limit' ELSE 'ok' END AS outcome, count(*) AS responses FROM events GROUP BY 1, 2""",
+        """SELECT event_id % 12 AS kind, CASE event_id % 12 WHEN 1 THEN 'authentication' WHEN 2 THEN 'access' WHEN 3 THEN 'entitlement' WHEN 4 THEN 'http_error' WHEN 5 THEN 'rate_limit' WHEN 6 THEN 'http_error' WHEN 7 THEN 'authentication' WHEN 8 THEN 'rate_limit' WHEN 9 THEN 'malformed_response' WHEN 10 THEN 'entitlement' WHEN 11 THEN 'malformed_response' ELSE 'ok' END AS outcome, count(*) AS responses FROM events GROUP BY 1, 2""",
     ),
     "enriched_responses": (enriched_responses, "SELECT event_id, CASE WHEN event_id % 5 > 1 THEN event_id % 100 END AS remaining, CASE WHEN event_id % 7 <> 0 THEN 'r-' || event_id END AS request_id, round(value, 2) AS latency_ms FROM events"),
     "page_chain_audit": (

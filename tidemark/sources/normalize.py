@@ -43,8 +43,14 @@ def number(v: Column, path: str) -> Column:
     return F.when(ok & finite(x), x)
 
 
+def unparsable(v: Column, path: str) -> Column:
+    """Something stands at path, but no finite number."""
+    return F.try_variant_get(v, path, "string").isNotNull() & number(v, path).isNull()
+
+
 def exact(v: Column, path: str) -> Column:
-    return F.try_variant_get(v, path, "decimal(18,8)")
+    """A decimal at path with all its digits; null if it has more than 18 behind the point."""
+    return F.when(~F.try_variant_get(v, path, "string").rlike(r"\.\d{18}\d*[1-9]"), F.try_variant_get(v, path, "decimal(38,18)"))
 
 
 def text(v: Column, path: str) -> Column:
@@ -104,7 +110,11 @@ def single_references(pages: DataFrame, refs: DataFrame) -> tuple[DataFrame, Dat
 
 
 def _bar_fields(r: Column, names: dict[str, str]) -> dict[str, Column]:
-    return {k: number(r, f"$.{p}") for k, p in names.items()}
+    bad = F.lit(False)
+    for k, p in names.items():
+        if k in ("volume", "vwap"):
+            bad = bad | unparsable(r, f"$.{p}")
+    return {k: number(r, f"$.{p}") for k, p in names.items()} | {"bad_number": bad}
 
 
 _SHORT = {"open": "o", "high": "h", "low": "l", "close": "c", "volume": "v", "vwap": "vw"}
@@ -199,7 +209,7 @@ def classified(records: DataFrame, sessions: DataFrame, volume_required: bool =
     malformed = F.lit(False)
     for c in needed:
         malformed = malformed | F.col(c).isNull()
-    malformed = malformed | F.col("session_date").isNull()
+    malformed = malformed | F.col("session_date").isNull() | F.coalesce("bad_number", F.lit(False))
     five_end = F.col("t") + F.expr("INTERVAL '5' MINUTE")
     free = ~daily & (F.col("session") == "unknown")
     begin = F.when(daily, F.col("_open")).otherwise(F.col("t"))
@@ -263,7 +273,7 @@ def _actions(c: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _nulls(*names: str) -> dict[str, Column]:
-    kinds = {"split_ratio": "decimal(38,20)", "amount": "decimal(18,8)"}
+    kinds = {"split_ratio": "decimal(38,20)", "amount": "decimal(38,18)"}
     return {n: F.lit(None).cast(kinds.get(n, "string")) for n in names}
 
 
@@ -277,8 +287,9 @@ def _result_items(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def ratio(to: Column, of: Column) -> Column:
-    """Quotient of two decimals with 20 digits behind the point."""
-    return F.when((to > 0) & (of > 0), to / of).cast("decimal(38,20)")
+    """Quotient of two decimals of at most 8 digits behind the point, with 20 digits; null for others."""
+    a, b = to.cast("decimal(18,8)"), of.cast("decimal(18,8)")
+    return F.when((to > 0) & (of > 0) & (a == to) & (b == of), a / b).cast("decimal(38,20)")
 
 
 def normalize_splits(pages: DataFrame) -> Normalized:
@@ -286,7 +297,7 @@ def normalize_splits(pages: DataFrame) -> Normalized:
     r, errors = _result_items(pages)
     v = F.col("_r")
     r = r.withColumns({"action_type": F.lit("split"), "effective_date": day(v, "$.execution_date"), "split_ratio": ratio(exact(v, "$.split_to"), exact(v, "$.split_from")), "provider_record_id": text(v, "$.id"), "_type": text(v, "$.adjustment_type"), "_ticker": text(v, "$.ticker"), **_nulls("amount", "currency", "old_ticker", "new_ticker")})
-    bad = F.col("effective_date").isNull() | F.col("split_ratio").isNull() | F.col("_type").isNull() | F.col("_ticker").isNull() | F.col("provider_record_id").isNull()
+    bad = F.col("effective_date").isNull() | F.col("split_ratio").isNull() | F.col("_type").isNull() | F.col("_ticker").isNull()
     code = (
         F.when(bad, "malformed_record")
         .when(~F.col("_type").isin("forward_split", "reverse_split"), "unsupported_corporate_action")
@@ -302,7 +313,7 @@ def normalize_dividends(pages: DataFrame) -> Normalized:
     r, errors = _result_items(pages)
     v = F.col("_r")
     r = r.withColumns({"action_type": F.lit("dividend"), "effective_date": day(v, "$.ex_dividend_date"), "amount": exact(v, "$.cash_amount"), "currency": F.upper(text(v, "$.currency")), "provider_record_id": text(v, "$.id"), "_ticker": text(v, "$.ticker"), **_nulls("split_ratio", "old_ticker", "new_ticker")})
-    bad = F.col("effective_date").isNull() | ~F.coalesce(F.col("amount") > 0, F.lit(False)) | F.col("currency").isNull() | F.col("_ticker").isNull() | F.col("provider_record_id").isNull()
+    bad = F.col("effective_date").isNull() | ~F.coalesce(F.col("amount") > 0, F.lit(False)) | F.col("currency").isNull() | F.col("_ticker").isNull()
     code = (
         F.when(bad, "incomplete_corporate_action")
         .when(F.col("_ticker") != F.col("provider_identifier"), "unmapped_instrument")
@@ -381,7 +392,7 @@ def normalize_families(pages: DataFrame, refs: DataFrame) -> Normalized:
     incomplete = F.lit("incomplete_corporate_action")
     code = (
         F.when(F.col("action_type").isNull(), "unsupported_corporate_action")
-        .when(lacking | F.col("provider_record_id").isNull(), incomplete)
+        .when(lacking, incomplete)
         .when(name & F.col("effective_date").isNull(), incomplete)
         .when(F.col("instrument_id").isNull(), "unmapped_instrument")
         .when(cash & F.col("currency").isNull(), incomplete)

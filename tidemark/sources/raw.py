@@ -1,6 +1,7 @@
 """Raw pages: landing with collision checks, manifests, integrity, metadata safety, response and page-chain audits.
 
-A raw batch is a row: batch_id, provider, dataset, endpoint, retrieved_at, media_type, request_metadata (map), payload.
+A raw batch is a row: batch_id, provider, dataset, endpoint, retrieved_at, media_type, request_metadata (map), payload, and if
+known source_id, license_classification, file_extension and provider_request_id.
 """
 
 from __future__ import annotations
@@ -11,9 +12,12 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.text import finite, iso, slug
 
-# What must not appear in stored request metadata.
-SENSITIVE_PARTS = ("authorization", "apikey", "api_key", "token", "secret", "password", "credential", "signature", "cookie", "session")
-_SECRET_VALUE = r"(?i)://|^(bearer|basic) |(^|[?&])(apikey|api_key|token|secret)="
+# What must not appear in stored request metadata, as a word of a key, anywhere in a key, and in a value.
+SENSITIVE_WORDS = ("authorization", "cookie", "credential", "credentials", "header", "headers", "key", "password", "secret", "token", "uri", "url")
+SENSITIVE_FRAGMENTS = ("apikey", "authorization", "cookie", "credential", "header", "password", "secret", "token", "uri", "url")
+_COMPLETE_URL = r"(?i)[a-z][a-z0-9+.-]*://"
+_SECRET_VALUE = r"(?i)(?:\b(?:basic|bearer)\s+|(?:authorization|api[_-]?key|access[_-]?token|token|password|secret)\s*[:=])"
+_EXTENSION = r"^[A-Za-z0-9][A-Za-z0-9._-]{0,31}$"
 HTTP_OUTCOMES = {401: "authentication", 403: "access", 429: "rate_limit"}
 
 
@@ -33,9 +37,10 @@ def sealed(batches: DataFrame) -> DataFrame:
 
 
 def manifest(batches: DataFrame) -> DataFrame:
-    """sealed() with the manifest: compact JSON of the batch's fields in alphabetical order."""
+    """sealed() with the manifest: compact JSON of all that is known of the batch."""
+    more = {c: F.col(c) if c in batches.columns else F.lit(None).cast("string") for c in ("file_extension", "license_classification", "provider_request_id", "source_id")}
     fields = F.struct(
-        F.col("batch_id"), F.col("dataset"), F.col("endpoint").alias("logical_endpoint"), F.col("media_type"), F.col("provider"),
+        *(c.alias(n) for n, c in more.items()), F.col("batch_id"), F.col("dataset"), F.col("endpoint").alias("logical_endpoint"), F.col("media_type"), F.col("provider"),
         F.map_from_entries(F.array_sort(F.map_entries("request_metadata"))).alias("request_metadata"), iso(F.col("retrieved_at")).alias("retrieved_at"),
         F.lit(1).alias("schema_version"), F.col("sha256"), F.col("size_bytes"),
     )
@@ -86,16 +91,23 @@ def integrity_errors(landed: DataFrame) -> DataFrame:
     return x.withColumn("reason", reason).filter("reason IS NOT NULL").select("batch_id", "reason")
 
 
-def unsafe_metadata(metadata: Column, endpoint: Column, extension: Column) -> Column:
-    """Names of the safety rules that a batch's metadata breaks."""
+def unsafe_metadata(metadata: Column, endpoint: Column, extension: Column, request_id: Column | None = None) -> Column:
+    """Names of the safety rules that a batch's metadata, endpoint, file extension and provider's request id break."""
     entries = F.map_entries(metadata)
-    key = lambda e: F.regexp_replace(F.lower(e["key"]), "[-. ]", "_")
+
+    def sensitive(e: Column) -> Column:
+        words = F.split(F.lower(e["key"]), "[^a-z0-9]+")
+        return F.arrays_overlap(words, F.lit(list(SENSITIVE_WORDS))) | F.array_join(words, "").rlike("|".join(SENSITIVE_FRAGMENTS))
+
+    secret = lambda c: c.rlike(_COMPLETE_URL) | c.rlike(_SECRET_VALUE)
     rules = {
-        "sensitive_key": F.exists(entries, lambda e: key(e).rlike("|".join(SENSITIVE_PARTS))),
-        "sensitive_value": F.exists(entries, lambda e: e["value"].rlike(_SECRET_VALUE)),
+        "sensitive_key": F.exists(entries, sensitive),
+        "sensitive_value": F.exists(entries, lambda e: F.coalesce(secret(e["value"]), F.lit(False))),
         "endpoint": endpoint.rlike(r"://|[?#]"),
-        "extension": ~extension.rlike("^[a-z0-9]{1,16}$"),
+        "extension": ~extension.rlike(_EXTENSION) | extension.contains(".."),
     }
+    if request_id is not None:
+        rules["request_id"] = secret(request_id) | request_id.rlike(r"[?#\n\r]")
     return F.array_compact(F.array(*(F.when(F.coalesce(v, F.lit(False)), F.lit(k)) for k, v in rules.items())))
 
 
@@ -128,14 +140,20 @@ def parsed(payload: Column) -> Column:
 
 
 def outcome(status: Column, body: Column) -> Column:
-    """What a response amounts to, from its status and, where that says too little, its body's code and status."""
+    """What a response amounts to, from its status and, where that says too little, its body's code and status.
+
+    A successful response whose body is no JSON object, has an unknown status, or an error without a status code is malformed.
+    """
     code = F.try_variant_get(body, "$.code", "int")
-    failed = F.try_variant_get(body, "$.status", "string") == "error"
+    said = F.lower(F.try_variant_get(body, "$.status", "string"))
     known = F.create_map(*(F.lit(x) for kv in HTTP_OUTCOMES.items() for x in kv))
-    by_code = F.when((code == 422) | (code == 42210000), "entitlement").otherwise(F.coalesce(known[code], F.lit("http_error")))
+    by_code = F.when(~F.coalesce(code.between(100, 599), F.lit(False)), "malformed_response").when(code == 403, "entitlement").otherwise(F.coalesce(known[code], F.lit("http_error")))
+    fine = status.between(200, 299)
     return (
-        F.when(status.between(200, 299) & F.coalesce(failed, F.lit(False)), by_code)
-        .when(status.between(200, 299), "ok")
+        F.when(fine & body.isNull(), "malformed_response")
+        .when(fine & (said == "error"), by_code)
+        .when(fine & said.isNotNull() & ~said.isin("ok", "delayed"), "malformed_response")
+        .when(fine, "ok")
         .when((status == 422) & (code == 42210000), "entitlement")
         .otherwise(F.coalesce(known[status], F.lit("http_error")))
     )
