@@ -222,7 +222,7 @@ def test_crowded_bands_lose_no_pair(spark, frame, monkeypatch):
     words = [f"w{i}" for i in range(200)]
     texts = [" ".join(words[8 * k : 8 * k + 100]) for k in range(12)]
     docs = frame(texts).selectExpr("doc_id AS id", "text")
-    nodes = similar_texts.sketches(docs, (8, 4)).selectExpr("node", "array(1L, 2L) AS bands", "print")
+    nodes = similar_texts.sketches(docs, (8, 4)).selectExpr("node", "array(1L, 2L) AS bands", "size", "wide")
     for hot in (3, 4000):
         edges = [tuple(r) for r in similar_texts.links(similar_texts.node_words(docs), nodes, hot=hot).collect()]
         assert len({r["root"] for r in simhash.components(spark.createDataFrame(edges, "u long, v long")).collect()}) == 1

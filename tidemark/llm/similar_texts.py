@@ -4,9 +4,11 @@ Texts of equal words are one node. A node has a wide SimHash of its distinct fiv
 differ in each bit with a chance of about acos(8/9) / pi = 0.15, a little more for few shingles. Nodes that agree in one of
 the fingerprint's bands meet; the number of bands is such that a pair of similarity 0.8 misses all with a chance of MISS, and
 a band has as many bits as keep the nodes of a band value few. All nodes of a band value are compared by the first 128 bits,
-in tiles sorted by population count, as exact comparison does for 64 bits.
+in tiles sorted by population count, as exact comparison does for 64 bits. A pair whose sets differ in size by more than a
+quarter can't reach 0.8 and is none.
 
-Exact Jaccard similarity of the texts' shingles decides each pair. First, the nodes of a band value are covered by stars,
+Exact Jaccard similarity of the texts' shingles decides each pair that their odd sketches (512 bits, each flipped by every
+shingle that falls on it, so that two of them tell the size of the symmetric difference) leave in question. First, the nodes of a band value are covered by stars,
 whose centre is the node with most near ones, so a group of thousands of near copies costs one comparison for each. Then
 all near pairs of a band value that the first round left in different components are compared, so none is left out.
 
@@ -27,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from tidemark.llm.common import blocks, join_found, kept, unused, written
+from tidemark.llm.common import blocks, drop_written, join_found, kept, unused, written
 from tidemark.llm.simhash import components, grouped, near_tiles, shingle_hashes
 
 SHINGLE = 5
@@ -40,6 +42,8 @@ FLIP = 0.165
 #: Bits of the fingerprint by which nodes that meet are compared, and the distance that a pair of similarity 0.8 has at most (3.5 deviations over the mean).
 WORDS = 2
 RADIUS = math.ceil(64 * WORDS * FLIP + 3.5 * math.sqrt(64 * WORDS * FLIP * (1 - FLIP)))
+#: Bits of an odd sketch; it follows the fingerprint's bits in the column `wide`.
+ODD = 512
 #: Nodes of a band value that one task holds.
 HOT = 4000
 
@@ -73,42 +77,61 @@ def words_and_node(text: str) -> tuple[str, int]:
 
 
 def sketches(docs: DataFrame, plan: tuple[int, int], shingle: int = SHINGLE) -> DataFrame:
-    """id, text_key and node for each row of (id, text); bands and print for the first row of a node in its task, else null."""
+    """id, text_key and node for each row of (id, text); bands, size (distinct shingles) and wide for the first row of a node in its task, else null."""
     bits, bands = plan
     lanes = _lanes(max(WORDS, -(-bits * bands // 64)))
-    schema = docs.select("id").schema.add("text_key", "binary").add("node", "long").add("bands", ArrayType(LongType())).add("print", "binary")
+    schema = docs.select("id").schema.add("text_key", "binary").add("node", "long").add("bands", ArrayType(LongType())).add("size", "integer").add("wide", "binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         weights, numbers = 1 << np.arange(bits), np.arange(bands) << 32
         for batch, texts in blocks(batches):
-            nodes, found, prints = [], [], []
+            nodes, found, sizes, prints = [], [], [], []
             for x in texts:
                 words, node = words_and_node(x)
                 nodes.append(node)
                 if node in seen:
                     found.append(None)
+                    sizes.append(None)
                     prints.append(None)
                     continue
                 seen.add(node)
-                on = wide_simhash(np.unique(np.array(shingle_hashes(words, shingle), np.uint64)), lanes)
+                hashes = np.unique(np.array(shingle_hashes(words, shingle), np.uint64))
+                on = wide_simhash(hashes, lanes)
+                sizes.append(len(hashes))
                 found.append(numbers | on[: bits * bands].reshape(bands, bits) @ weights if words else [])
-                prints.append(np.packbits(on[: 64 * WORDS], bitorder="little").tobytes())
+                odd = np.bincount((hashes & np.uint64(ODD - 1)).astype(int), minlength=ODD) & 1 == 1
+                prints.append(np.packbits(np.concatenate((on[: 64 * WORDS], odd)), bitorder="little").tobytes())
             keys = [hashlib.md5(x.encode()).digest() for x in texts]
             yield pa.RecordBatch.from_arrays(
-                [*kept(batch, ["id"]), pa.array(keys, pa.binary()), pa.array(nodes, pa.int64()), pa.array(found, pa.list_(pa.int64())), pa.array(prints, pa.binary())], names=schema.names
+                [*kept(batch, ["id"]), pa.array(keys, pa.binary()), pa.array(nodes, pa.int64()), pa.array(found, pa.list_(pa.int64())), pa.array(sizes, pa.int32()), pa.array(prints, pa.binary())],
+                names=schema.names,
             )
 
     return docs.mapInArrow(run, schema)
 
 
-def near_pairs(prints: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs of rows within the radius; prints are sorted by population count."""
+def reachable(a: np.ndarray, b: np.ndarray, a_size: np.ndarray, b_size: np.ndarray, least: float) -> np.ndarray:
+    """Whether the odd sketches of two sets allow a similarity of `least`, for each row.
+
+    Their difference never exceeds the sets' symmetric difference; where that is large it stays below, by chance within the
+    limit taken here (4 deviations).
+    """
+    most = np.floor((a_size + b_size) * ((1 - least) / (1 + least)) + 1e-9)
+    mean = ODD / 2 * (1 - np.exp(-2 * most / ODD))
+    limit = np.minimum(most, mean + 4 * np.sqrt(ODD / 4 * (1 - np.exp(-4 * most / ODD))))
+    return np.bitwise_count(a ^ b).sum(axis=1, dtype=np.uint16) <= limit
+
+
+def near_pairs(prints: np.ndarray, counts: np.ndarray, sizes: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of rows within the radius whose sizes allow a similarity of `least`; prints are sorted by population count."""
     first, second = [], []
     for i, j, near in near_tiles(prints, counts, RADIUS):
         p, q = np.nonzero(np.triu(near, 1) if i == j else near)
-        first.append(p + i)
-        second.append(q + j)
+        p, q = p + i, q + j
+        fit = np.minimum(sizes[p], sizes[q]) >= least * np.maximum(sizes[p], sizes[q])
+        first.append(p[fit])
+        second.append(q[fit])
     return (np.concatenate(first), np.concatenate(second)) if first else (np.zeros(0, int), np.zeros(0, int))
 
 
@@ -132,56 +155,77 @@ def stars(n: int, p: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return (np.concatenate(centres), np.concatenate(rows)) if rows else (np.zeros(0, int), np.zeros(0, int))
 
 
-def _words(column: pa.ChunkedArray) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), "<u8").reshape(-1, WORDS)
+def _words(column: pa.ChunkedArray | pa.Array, words: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), "<u8").reshape(-1, words)
 
 
-def _by_group(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(rows of the table, their prints, population counts) of each band value with several rows, sorted by population count."""
-    prints = _words(table.column("print"))
+def _by_group(table: pa.Table, prints: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(rows of the table, their prints, population counts, sizes) of each band value with several rows, sorted by population count."""
+    sizes = table.column("size").to_numpy()
     counts = np.bitwise_count(prints).sum(axis=1)
     order, starts = grouped(table.column("band").to_numpy(), counts)
     for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
         if b - a > 1:
             rows = order[a:b]
-            yield rows, prints[rows], counts[rows]
+            yield rows, prints[rows], counts[rows], sizes[rows]
 
 
-_STAR = pa.schema([("u", pa.int64()), ("v", pa.int64()), ("band", pa.int64()), ("print", pa.binary())])
-
-
-def _cover(table: pa.Table) -> pa.Table:
-    """Stars as pairs (u, v); rows of a band value with further near pairs come as (u, null, band, print)."""
-    nodes, band, prints = (table.column(c) for c in ("node", "band", "print"))
+def _cover(table: pa.Table, least: float) -> pa.Table:
+    """Stars as pairs (u, v); rows of a band value with further near pairs come as (u, null, band)."""
+    nodes, band = (table.column(c).to_numpy() for c in ("node", "band"))
     u, v, open_rows = [], [], []
-    for rows, own, counts in _by_group(table):
-        p, q = near_pairs(own, counts)
+    for rows, own, counts, sizes in _by_group(table, _words(table.column("print"), WORDS)):
+        p, q = near_pairs(own, counts, sizes, least)
         if len(p):
             centre, row = stars(len(rows), p, q)
             u.append(rows[centre])
             v.append(rows[row])
             if len(p) > len(row):
                 open_rows.append(rows[np.unique(np.concatenate((p, q)))])
-    at = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
-    more = at(open_rows)
-    pairs = pa.table([nodes.take(pa.array(at(u))), nodes.take(pa.array(at(v))), pa.nulls(len(at(u)), pa.int64()), pa.nulls(len(at(u)), pa.binary())], schema=_STAR)
-    rest = pa.table([nodes.take(pa.array(more)), pa.nulls(len(more), pa.int64()), band.take(pa.array(more)), prints.take(pa.array(more))], schema=_STAR)
-    return pa.concat_tables([pairs, rest])
+    u, v, more = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (u, v, open_rows))
+    columns = {
+        "u": pa.array(np.concatenate((nodes[u], nodes[more]))),
+        "v": pa.concat_arrays([pa.array(nodes[v]), pa.nulls(len(more), pa.int64())]),
+        "band": pa.concat_arrays([pa.nulls(len(u), pa.int64()), pa.array(band[more])]),
+    }
+    return pa.table(columns)
 
 
-def _apart(table: pa.Table) -> pa.Table:
-    """All near pairs of different labels."""
+def _apart(table: pa.Table, least: float) -> pa.Table:
+    """All near pairs of different labels whose odd sketches allow the similarity."""
     nodes, labels = table.column("node").to_numpy(), table.column("label").to_numpy()
+    wide, size = _words(table.column("wide"), WORDS + ODD // 64), table.column("size").to_numpy()
+    odd = wide[:, WORDS:]
     u, v = [], []
-    for rows, own, counts in _by_group(table):
+    for rows, own, counts, sizes in _by_group(table, wide[:, :WORDS]):
         if len(np.unique(labels[rows])) > 1:
-            p, q = (rows[x] for x in near_pairs(own, counts))
+            p, q = (rows[x] for x in near_pairs(own, counts, sizes, least))
             differ = labels[p] != labels[q]
-            u.append(nodes[p[differ]])
-            v.append(nodes[q[differ]])
+            p, q = p[differ], q[differ]
+            for i in range(0, len(p), 1 << 16):
+                a, b = p[i : i + (1 << 16)], q[i : i + (1 << 16)]
+                near = reachable(odd[a], odd[b], size[a], size[b], least)
+                u.append(nodes[a[near]])
+                v.append(nodes[b[near]])
     return pa.table([pa.array(np.concatenate(x) if x else [], pa.int64()) for x in (u, v)], names=["u", "v"])
 
 
+def likely(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+    """The pairs (u, v) whose odd sketches allow the similarity, each once, u < v."""
+    pairs = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    for side in ("u", "v"):
+        pairs = pairs.join(nodes.select(F.col("node").alias(side), F.struct("size", F.substring("wide", 8 * WORDS + 1, ODD // 8).alias("odd")).alias(f"{side}_of")), side)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                a, b = kept(batch, ["u_of", "v_of"])
+                near = reachable(*(_words(x.field("odd"), ODD // 64) for x in (a, b)), *(x.field("size").to_numpy() for x in (a, b)), least)
+                yield batch.select(["u", "v"]).filter(pa.array(near))
+
+    return pairs.select("u", "v", "u_of", "v_of").mapInArrow(run, "u long, v long")
+
+
 def _tiled(banded: DataFrame, rows: int, compare, schema: str, hot: int) -> DataFrame:
     """Apply compare to packs of whole band values; one with over `hot` nodes goes to a task for each pair of its parts.
 
@@ -198,18 +242,23 @@ def _tiled(banded: DataFrame, rows: int, compare, schema: str, hot: int) -> Data
 
 
 def links(words: DataFrame, nodes: DataFrame, shingle: int = SHINGLE, least: float = LEAST, hot: int = HOT) -> DataFrame:
-    """Edges (u, v) that connect all similar nodes which meet in a band; nodes has node, bands and print."""
-    banded = nodes.select("node", "print", F.explode("bands").alias("band"))
+    """Edges (u, v) that connect all similar nodes which meet in a band; nodes has node, bands, size and wide."""
+    banded = nodes.select("node", "size", F.substring("wide", 1, 8 * WORDS).alias("print"), F.explode("bands").alias("band"))
     rows = nodes.agg(F.sum(F.size("bands"))).first()[0] or 0
-    covered = written(_tiled(banded, rows, _cover, "u long, v long, band long, print binary", hot), "stars")
-    first = similar_pairs(covered.filter("v is not null").select("u", "v"), words, shingle, least)
-    more = covered.filter("v is null").select(F.col("u").alias("node"), "band", "print").distinct()
+    covered = written(_tiled(banded, rows, lambda x: _cover(x, least), "u long, v long, band long", hot), "stars")
+    first = similar_pairs(likely(covered.filter("v is not null").select("u", "v"), nodes, least), words, shingle, least)
+    more = covered.filter("v is null").select(F.col("u").alias("node"), "band").distinct()
     if more.isEmpty():
+        drop_written(covered)
         return first
     labels = components(first).withColumnRenamed("root", "label")
     more = written(more.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "labelled")
-    apart = more.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("band")
-    found = written(_tiled(more.join(apart, "band", "left_semi"), more.count(), _apart, "u long, v long", hot), "apart")
+    drop_written(covered)
+    bands = more.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("band")
+    apart = written(more.join(bands, "band", "left_semi").join(nodes.select("node", "size", "wide"), "node"), "open")
+    drop_written(more)
+    found = written(_tiled(apart, apart.count(), lambda x: _apart(x, least), "u long, v long", hot), "apart")
+    drop_written(apart)
     return first if found.isEmpty() else first.unionByName(similar_pairs(found, words, shingle, least))
 
 
@@ -231,10 +280,10 @@ def similar_pairs(pairs: DataFrame, words: DataFrame, shingle: int, least: float
 
     words has node and words of all texts; only those of nodes in a pair are shuffled, each once.
     """
-    pairs = written(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "pairs")
+    pairs = chosen = written(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "pairs")
     rows = pairs.count()
     met = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    words = written(words.join(met, "node", "left_semi").dropDuplicates(["node"]), "words")
+    words = written(words.join(met, "node", "left_semi").dropDuplicates(["node"]), "words", codec="zstd")
     for side in ("u", "v"):
         pairs = join_found(pairs, words.select(F.col("node").alias(side), F.col("words").alias(f"{side}_words")), side, pairs.groupBy(side).count(), rows)
 
@@ -257,7 +306,10 @@ def similar_pairs(pairs: DataFrame, words: DataFrame, shingle: int, least: float
                     found.append((u, v))
             yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["u", "v"])
 
-    return written(pairs.select("u", "v", "u_words", "v_words").mapInArrow(run, "u long, v long"), "similar")
+    found = written(pairs.select("u", "v", "u_words", "v_words").mapInArrow(run, "u long, v long"), "similar")
+    drop_written(chosen)
+    drop_written(words)
+    return found
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, least: float = LEAST) -> DataFrame:
@@ -265,7 +317,7 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle:
     plain = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     rows = docs.count()
     prints = written(sketches(plain, band_plan(rows), shingle), "sketches")
-    nodes = prints.filter("bands is not null").select("node", "bands", "print").dropDuplicates(["node"])
+    nodes = prints.filter("bands is not null").select("node", "bands", "size", "wide").dropDuplicates(["node"])
     roots = components(links(node_words(plain), nodes, shingle, least))
     first = prints.groupBy("node").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "text_key")).alias("best"))
     best = first.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("best").alias("best"))
