@@ -317,7 +317,7 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle:
     plain = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     rows = docs.count()
     prints = written(sketches(plain, band_plan(rows), shingle), "sketches")
-    nodes = prints.filter("bands is not null").select("node", "bands", "size", "wide").dropDuplicates(["node"])
+    nodes = written(prints.filter("bands is not null").select("node", "bands", "size", "wide").dropDuplicates(["node"]), "nodes", codec="zstd")
     roots = components(links(node_words(plain), nodes, shingle, least))
     first = prints.groupBy("node").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "text_key")).alias("best"))
     best = first.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("best").alias("best"))
