@@ -60,6 +60,11 @@ def expected_keys(windows: DataFrame, sessions_: DataFrame) -> DataFrame:
     return daily.withColumn("timestamp_start", F.col("start")).select(*out).unionByName(intraday.select(*out))
 
 
+def ordered_keys(keys: DataFrame) -> DataFrame:
+    """Expected keys in order of segment, instrument, timeframe and start."""
+    return keys.orderBy("segment", "instrument_id", "timeframe", "timestamp_start")
+
+
 def misaligned_windows(windows: DataFrame, sessions_: DataFrame) -> DataFrame:
     """Five-minute windows whose overlap with a session starts off its five-minute grid."""
     w = windows.filter("timeframe = '5m'").withColumn("session_date", F.explode(F.sequence(F.to_date(F.from_utc_timestamp("start", ZONE)), F.to_date(F.from_utc_timestamp("end", ZONE)))))

@@ -72,11 +72,12 @@ def aligned(left: DataFrame, right: DataFrame, by: Sequence[str], seconds: int)
     return named, moved
 
 
-def compare_bars(left: DataFrame, right: DataFrame, config: BarComparison, expected: DataFrame | None = None, by: Sequence[str] = ()) -> DataFrame:
+def compare_bars(left: DataFrame, right: DataFrame, config: BarComparison, expected: DataFrame | None = None, by: Sequence[str] = (), venue_where: Column | None = None) -> DataFrame:
     """Findings: key, ordinal, metric, classification, left and right value (number or text), and raw batches of both sides.
 
     A key with several rows on a side is one duplicate finding; a key that a side lacks is one availability finding; else
-    interval, session, adjustment, currency and then each number are compared. `by` names further key columns.
+    interval, session, adjustment, currency and then each number are compared. `by` names further key columns. With
+    `venue_where` (a condition on the key), differences of venue metrics are the venue's only where it holds.
     """
     keys = [*by, *BAR_KEY]
     lg, rg = group_bars(left, by), group_bars(right, by)
@@ -123,7 +124,7 @@ def compare_bars(left: DataFrame, right: DataFrame, config: BarComparison, expec
         if m not in config.excluded_metrics:
             absolute, relative = (t.volume_absolute, t.volume_relative) if m == "volume" else (t.price_absolute, t.price_relative)
             kind = F.when(adjusted, "adjustment_difference").when(session | moved_bounds, timing)
-            kind = kind.when(F.lit(m in config.venue_metrics), "venue_feed_difference").otherwise("unresolved_discrepancy")
+            kind = kind.when(F.lit(m in config.venue_metrics) & (F.lit(True) if venue_where is None else venue_where), "venue_feed_difference").otherwise("unresolved_discrepancy")
             found.append(F.when(one & ~nearly_equal(value("l", m), value("r", m), absolute, relative), finding(m, kind, value("l", m), value("r", m))))
     listed = both.select(*keys, "lraw", "rraw", F.explode(F.array_compact(F.array(*found))).alias("f"))
     return listed.select(*keys, "f.*", F.col("lraw").alias("left_raw"), F.col("rraw").alias("right_raw"))
@@ -157,6 +158,12 @@ def ordered_findings(findings: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return findings.orderBy(*by, *BAR_KEY, "ordinal")
 
 
+def rendered_findings(findings: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Ordered findings with both values as text, as a report shows them."""
+    shown = {f"{s}_value": F.coalesce(F.col(f"{s}_text"), F.col(f"{s}_number").cast("string")) for s in ("left", "right")}
+    return ordered_findings(findings.withColumns(shown), by).drop("left_text", "right_text", "left_number", "right_number")
+
+
 def sanitized(findings: DataFrame) -> DataFrame:
     """What may leave a run: counts by metric and class, no values and no ids."""
     return findings.groupBy("metric", "classification").agg(F.count(F.lit(1)).alias("findings"))
@@ -181,11 +188,17 @@ def numeric_differences(findings: DataFrame) -> DataFrame:
     return both.groupBy("metric").agg(F.count(F.lit(1)).alias("findings"), F.avg(gap).alias("mean_absolute"), F.max(gap).alias("max_absolute"), F.avg(share).alias("mean_relative"), F.max(share).alias("max_relative"))
 
 
+def compare_segments(left: DataFrame, right: DataFrame, providers: tuple[str, str], intraday: Column, expected: DataFrame | None = None, segment: str = "segment") -> DataFrame:
+    """Findings within segments: VWAP is never compared, and differences of volume are the venue's in intraday segments only."""
+    config = BarComparison(*providers, venue_metrics=frozenset({"volume"}), excluded_metrics=frozenset({"vwap"}))
+    return compare_bars(left, right, config, expected, (segment,), intraday)
+
+
 def segment_rollup(left: DataFrame, right: DataFrame, findings: DataFrame, segment: str = "segment") -> DataFrame:
-    """Per segment: rows of both sides, duplicate findings, all findings, and whether it passes (rows on both sides, no duplicates)."""
+    """Per segment: rows of both sides, findings, those of duplicates and of the venue, and whether it passes (rows on both sides, no duplicates)."""
     l_rows = left.groupBy(segment).agg(F.count(F.lit(1)).alias("left_rows"))
     r_rows = right.groupBy(segment).agg(F.count(F.lit(1)).alias("right_rows"))
-    f_rows = findings.groupBy(segment).agg(F.count(F.lit(1)).alias("findings"), F.count_if(F.col("metric") == "duplicate_bar").alias("duplicates"))
+    f_rows = findings.groupBy(segment).agg(F.count(F.lit(1)).alias("findings"), F.count_if(F.col("metric") == "duplicate_bar").alias("duplicates"), F.count_if(F.col("classification") == "venue_feed_difference").alias("venue"))
     x = l_rows.join(r_rows, segment, "full").join(f_rows, segment, "full").fillna(0)
     return x.withColumn("passed", (F.col("left_rows") > 0) & (F.col("right_rows") > 0) & (F.col("duplicates") == 0))
 

@@ -53,14 +53,15 @@ def rule_masks(policy: ValidationPolicy = ValidationPolicy()) -> dict[str, Colum
 
 
 def validate_bars(bars: DataFrame, policy: ValidationPolicy = ValidationPolicy()) -> DataFrame:
-    """All rows with quality_flags renewed: other flags first, then this module's in rule order."""
+    """All rows with quality_flags renewed: other flags first, then this module's in rule order. A null or blank flag fails the query."""
     missing = set(REQUIRED) - set(bars.columns)
     if missing:
         raise ValueError(f"missing columns {sorted(missing)}")
     managed = F.array(*(F.lit(x) for x in BAR_FLAGS))
     marked = bars.withColumns({f"_{k}": v for k, v in rule_masks(policy).items()})
     found = F.array_compact(F.array(*(F.when(F.col(f"_{k}"), F.lit(k)) for k in BAR_FLAGS)))
-    flags = F.concat(F.array_except(clean_flags(F.col("quality_flags")), managed), found)
+    given = F.when(bad_flags(F.col("quality_flags")), F.raise_error(F.lit("a quality flag is null or blank"))).otherwise(clean_flags(F.col("quality_flags")))
+    flags = F.concat(F.array_except(given, managed), found)
     return marked.withColumn("quality_flags", flags).drop(*(f"_{k}" for k in BAR_FLAGS))
 
 

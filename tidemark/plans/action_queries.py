@@ -118,13 +118,50 @@ def row_constraint_violations(spark, sf_dir):
     spoiled = adapters.actions(spark, sf_dir).withColumns(
         {
             "amount": F.when(F.col("raw_batch_id").endswith("7"), -F.col("amount")).otherwise(F.col("amount")),
-            "currency": F.when(F.col("raw_batch_id").endswith("8"), F.lower("currency")).otherwise(F.col("currency")),
+            "currency": F.when(F.col("raw_batch_id").endswith("8"), F.lower("currency")).when(F.col("raw_batch_id").endswith("6"), F.lit("US")).otherwise(F.col("currency")),
             "new_ticker": F.when(F.col("raw_batch_id").endswith("9"), F.lower("old_ticker")).otherwise(F.col("new_ticker")),
         }
     )
+    spoiled = constraints.upper_codes(spoiled, "currency")
     return constraints.violations(spoiled, constraints.action_rules(), ["instrument_id", "raw_batch_id"]).groupBy("rule", "raw_batch_id").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def bar_constraint_violations(spark, sf_dir):
+    """Bars with an empty interval, an early ingest time, a lower-case currency, padded record ids or infinite prices, some of each."""
+    k = F.pmod(F.unix_seconds("timestamp_start") / 300, F.lit(101)).cast("int")
+    spoiled = adapters.bars(spark, sf_dir).withColumns(
+        {
+            "timestamp_end": F.when(k == 1, F.col("timestamp_start")).otherwise(F.col("timestamp_end")),
+            "ingested_at": F.when(k == 2, F.expr("retrieved_at - INTERVAL '1' SECOND")).otherwise(F.col("ingested_at")),
+            "currency": F.when(k == 3, F.lower("currency")).otherwise(F.col("currency")),
+            "provider_record_id": F.when(k == 4, F.lit(" 7")).otherwise(F.col("provider_record_id")),
+            "vwap": F.when(k == 5, float("-inf")).otherwise(F.col("vwap")),
+        }
+    )
+    return constraints.violations(spoiled, constraints.bar_rules(), ["instrument_id"]).groupBy("rule", "instrument_id").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def validity_violations(spark, sf_dir):
+    """Tickers of customers as validity intervals; where the order's key ends in 0 the interval ends as it starts."""
+    h = history(spark, sf_dir).withColumn("valid_to", F.when(F.col("ticker").endswith("0"), F.col("valid_from")).otherwise(F.col("valid_to")))
+    codes = {"primary_currency": F.when(F.col("ticker").endswith("1"), "US").when(F.col("ticker").endswith("2"), "usd"), "mic": F.when(F.col("ticker").endswith("3"), "XNYSE").otherwise("XNAS")}
+    return constraints.violations(h.withColumns(codes), constraints.interval_rules() | constraints.instrument_rules(), ["owner", "ticker"])
+
+
+def session_violations(spark, sf_dir):
+    """The calendar of ship dates with some sessions moved, emptied, lengthened, unnamed or repeated, by the day of the month."""
+    d = F.dayofmonth("session_date")
+    s = _calendar(spark, sf_dir).withColumns(
+        {
+            "start": F.when(d == 3, F.expr("start - INTERVAL '1' DAY")).otherwise(F.col("start")),
+            "end": F.when(d == 4, F.col("start")).when(d == 5, F.expr("end + INTERVAL '8' HOUR")).otherwise(F.col("end")),
+            "source": F.when(d == 6, F.lit(" ")).otherwise(F.lit("calendar")),
+        }
+    )
+    found = constraints.session_violations(s.unionByName(s.filter(d == 7)))
+    return found.select(_DAY("session_date", "yyyy-MM-dd").alias("session_date"), "rule").groupBy("session_date", "rule").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def request_violations(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
     requests = lines.select(F.col("l_orderkey").alias("request_id"), F.col("l_partkey").alias("instrument_id"), F.col("l_suppkey").alias("provider_identifier"), F.col("l_shipdate").cast("timestamp").alias("start"), (F.col("l_shipdate") + F.expr("INTERVAL '1' DAY") * (F.col("l_linenumber") - 1)).cast("timestamp").alias("end"))
@@ -206,10 +243,25 @@ SELECT "window", (i // 8 + 1)::BIGINT AS batch, string_agg(c_custkey::VARCHAR, '
     "provider_identifiers": (provider_identifiers, "SELECT s_suppkey, 'first' AS provider, s_name AS identifier, trim(s_name) = '' OR contains(s_name, ',') AS bad FROM supplier UNION ALL SELECT s_suppkey, 'second', upper(s_name), trim(s_name) = '' OR contains(s_name, ',') FROM supplier WHERE s_nationkey > 12"),
     "row_constraint_violations": (
         row_constraint_violations,
-        f"""WITH a AS (SELECT * REPLACE (CASE WHEN raw_batch_id LIKE '%7' THEN 0 - amount ELSE amount END AS amount, CASE WHEN raw_batch_id LIKE '%8' THEN lower(currency) ELSE currency END AS currency, CASE WHEN raw_batch_id LIKE '%9' THEN lower(old_ticker) ELSE new_ticker END AS new_ticker) FROM ({LEFT})),
+        f"""WITH a AS (SELECT * REPLACE (CASE WHEN raw_batch_id LIKE '%7' THEN 0 - amount ELSE amount END AS amount, CASE WHEN raw_batch_id LIKE '%6' THEN 'US' ELSE currency END AS currency, CASE WHEN raw_batch_id LIKE '%9' THEN lower(old_ticker) ELSE new_ticker END AS new_ticker) FROM ({LEFT})),
 v AS (SELECT raw_batch_id, unnest([CASE WHEN action_type = 'split' AND NOT coalesce(split_ratio > 0, false) THEN 'ratio_not_positive' END, CASE WHEN action_type = 'dividend' AND NOT coalesce(amount > 0, false) THEN 'amount_not_positive' END,
-  CASE WHEN action_type = 'dividend' AND NOT coalesce(regexp_full_match(currency, '[A-Z]{{3}}'), false) THEN 'currency_not_three_upper' END, CASE WHEN action_type = 'ticker_change' AND lower(old_ticker) = lower(new_ticker) THEN 'same_ticker' END]) AS rule FROM a)
+  CASE WHEN action_type = 'dividend' AND coalesce(length(currency), 0) <> 3 THEN 'currency_not_three_characters' END, CASE WHEN action_type = 'ticker_change' AND lower(old_ticker) = lower(new_ticker) THEN 'same_ticker' END]) AS rule FROM a)
 SELECT rule, raw_batch_id, count(*) AS rows FROM v WHERE rule IS NOT NULL GROUP BY 1, 2""",
+    ),
+    "bar_constraint_violations": (
+        bar_constraint_violations,
+        f"""WITH k AS (SELECT *, (epoch_us(timestamp_start) // 300000000) % 101 AS k FROM ({adapters.bars_sql('left')}))
+SELECT m.rule, instrument_id, count(*) AS rows FROM k JOIN (VALUES (1, 'empty_interval'), (2, 'ingested_before_retrieved'), (3, 'currency_not_upper'), (4, 'text_not_trimmed'), (5, 'vwap_not_finite')) AS m(k, rule) USING (k) WHERE m.k <> 3 OR currency IS NOT NULL GROUP BY 1, 2""",
+    ),
+    "validity_violations": (
+        validity_violations,
+        f"""WITH {_HISTORY} SELECT owner, ticker, CASE right(ticker, 1) WHEN '0' THEN 'empty_validity' WHEN '1' THEN 'currency_length' ELSE 'mic_length' END AS rule FROM h WHERE right(ticker, 1) IN ('0', '1', '3')""",
+    ),
+    "session_violations": (
+        session_violations,
+        CALENDAR
+        + """, m(d, rule, rows) AS (VALUES (3, 'starts_on_another_date', 1), (3, 'longer_than_a_day', 1), (4, 'empty_session', 1), (4, 'ends_on_another_date', 0), (5, 'ends_on_another_date', 1), (6, 'blank_source', 1), (7, 'repeated_date', 2))
+SELECT strftime(cal.d, '%Y-%m-%d') AS session_date, rule, rows::BIGINT AS rows FROM cal JOIN m ON day(cal.d) = m.d WHERE rows > 0 AND (m.rule <> 'ends_on_another_date' OR cal.e + 28800000000 > epoch_us(timezone('UTC', timezone('America/New_York', CAST(cal.d AS TIMESTAMP) + INTERVAL 1 DAY))))""",
     ),
     "request_violations": (
         request_violations,

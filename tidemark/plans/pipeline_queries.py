@@ -20,6 +20,8 @@ from tidemark.streaming.ingest import ingest_available
 def _metrics(spark, sf_dir):
     """Metrics of each raw batch of the symbol-map and series shapes; the batch's order stands for its page."""
     orders = table(spark, sf_dir, "lineitem").select(F.concat(F.lit("b"), F.col("l_orderkey").cast("string")).alias("raw_batch_id")).distinct().withColumn("payload", F.encode("raw_batch_id", "UTF-8"))
+    number = F.substring("raw_batch_id", 2, 20).cast("long")
+    orders = orders.withColumn("request_metadata", F.create_map(F.lit("latency_ms"), F.when(number % 10 == 3, "fast").otherwise((number % 500).cast("string")), F.lit("rate_limit_remaining"), (number % 97 + 5).cast("string"), F.lit("api_credits_used"), F.when(number % 4 == 0, (number % 7).cast("string"))))
     out = None
     for shape in ("symbol_map", "series"):
         x = nq.SHAPES[shape](spark, sf_dir)
@@ -29,17 +31,29 @@ def _metrics(spark, sf_dir):
 
 
 def pipeline_summary(spark, sf_dir):
-    return metrics.pipeline_summary(_metrics(spark, sf_dir), "shape")
+    x = _summary_of(spark, sf_dir)
+    listed = lambda c: F.array_join(F.transform(F.map_entries(c), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",")
+    numbers = [F.col(c).cast("long").alias(c) for c in ("latency_sum", "latency_max", "remaining_min", "credits_max")]
+    return x.select("shape", "batches", "bytes", "rows", "issues", "errors", "flags", "latencies", *numbers, "credit_samples", listed("flag_counts").alias("flag_counts"), "pipeline_pass")
+
+
+def _summary_of(spark, sf_dir):
+    """Batch metrics are written once, since the summary reads them three times."""
+    path = f"{shared(spark)}/tidemark-metrics-{uuid.uuid4().hex}"
+    found = _metrics(spark, sf_dir)
+    found.write.parquet(path)
+    return metrics.pipeline_summary(spark.read.schema(found.schema).parquet(path), "shape")
 
 
 def acceptance(spark, sf_dir):
     checks = {"rows": F.col("rows") > 0, "no_errors": F.col("errors") == 0, "few_flags": F.col("flags") * 5 < F.col("rows"), "pipeline": F.col("pipeline_pass")}
-    return metrics.acceptance(pipeline_summary(spark, sf_dir), checks, "shape")
+    return metrics.acceptance(_summary_of(spark, sf_dir), checks, "shape")
 
 
 def adjustment_evidence(spark, sf_dir):
+    """The source of a bar stands for its provider."""
     evidence = adapters.bars(spark, sf_dir, "right").withColumn("adjustment", F.col("adjustment_state"))
-    return metrics.adjustment_evidence(evidence, adapters.bars(spark, sf_dir, "left"))
+    return metrics.adjustment_evidence(evidence, adapters.bars(spark, sf_dir, "left"), "source_id")
 
 
 def ticker_continuity(spark, sf_dir):
@@ -60,7 +74,7 @@ def page_stream(spark, sf_dir):
         ids = lambda c, k: F.concat(F.lit(f"00000000-0000-4000-8{k:03d}-"), F.lpad(F.regexp_replace(c, "[a-z]", ""), 12, "0"))
         return type(x)(x.rows.withColumns({"instrument_id": ids("instrument_id", 1), "source_id": ids("source_id", 2), "raw_batch_id": ids("raw_batch_id", 3)}), x.issues, x.batch_errors)
 
-    ingest_available(spark, f"{root}/landing", pages.schema, normalizer, store, f"{root}/checkpoint")
+    ingest_available(spark, f"{root}/landing", pages.schema, normalizer, store, f"{root}/checkpoint", side=f"{root}/side")
     return store.query().groupBy(F.year("timestamp_start").alias("year")).agg(F.count(F.lit(1)).alias("bars"), F.count_distinct("raw_batch_id").alias("batches"))
 
 
@@ -86,7 +100,7 @@ _SUMMARY = _summary()
 _DAY = "CAST(timezone('America/New_York', timezone('UTC', timestamp_start)) AS DATE)"
 _LAST = "QUALIFY row_number() OVER (PARTITION BY {k}instrument_id, day ORDER BY timestamp_start DESC, raw_batch_id DESC, open DESC, high DESC, low DESC, close DESC) = 1"
 QUERIES = {
-    "pipeline_summary": (pipeline_summary, _SUMMARY + " SELECT * FROM summary"),
+    "pipeline_summary": (pipeline_summary, _SUMMARY + " SELECT summary.*, CASE WHEN flags > 0 THEN 'duplicate_bar=' || flags ELSE '' END AS flag_counts, n.* FROM summary, (SELECT count(*) FILTER (k % 10 <> 3) AS latencies, (sum(k % 500) FILTER (k % 10 <> 3))::BIGINT AS latency_sum, max(k % 500) FILTER (k % 10 <> 3) AS latency_max, min(k % 97 + 5) AS remaining_min, count(*) FILTER (k % 4 = 0) AS credit_samples, max(k % 7) FILTER (k % 4 = 0) AS credits_max FROM (SELECT DISTINCT l_orderkey AS k FROM lineitem)) AS n"),
     "acceptance": (
         acceptance,
         _SUMMARY + """ SELECT shape, unnest(['rows', 'no_errors', 'few_flags', 'pipeline']) AS check, unnest([CASE WHEN rows > 0 THEN 'PASS' ELSE 'FAIL' END, CASE WHEN errors = 0 THEN 'PASS' ELSE 'FAIL' END, CASE WHEN flags * 5 < rows THEN 'PASS' ELSE 'FAIL' END, CASE WHEN pipeline_pass THEN 'PASS' ELSE 'FAIL' END]) AS verdict FROM summary""",
@@ -94,10 +108,10 @@ QUERIES = {
     "adjustment_evidence": (
         adjustment_evidence,
         f"""WITH r AS (SELECT *, {_DAY} AS day FROM ({adapters.bars_sql('right')})), l AS (SELECT *, {_DAY} AS day FROM ({adapters.bars_sql('left')})),
-a AS (SELECT * FROM r {_LAST.format(k='adjustment_state, ')}), b AS (SELECT * FROM l {_LAST.format(k='')}),
-s AS (SELECT adjustment_state AS adjustment, count(DISTINCT raw_batch_id) AS pages, count(*) AS rows FROM r GROUP BY 1),
-c AS (SELECT a.adjustment_state AS adjustment, count(*) AS compared, count(*) FILTER (a.open <> b.open OR a.high <> b.high OR a.low <> b.low OR a.close <> b.close) AS different FROM a JOIN b USING (instrument_id, day) GROUP BY 1)
-SELECT adjustment, pages, rows, coalesce(compared, 0) AS compared, coalesce(different, 0) AS different FROM s LEFT JOIN c USING (adjustment)""",
+a AS (SELECT * FROM r {_LAST.format(k='source_id, adjustment_state, ')}), b AS (SELECT * FROM l {_LAST.format(k='source_id, ')}),
+s AS (SELECT source_id, adjustment_state AS adjustment, count(DISTINCT raw_batch_id) AS pages, count(*) AS rows FROM r GROUP BY 1, 2),
+c AS (SELECT source_id, a.adjustment_state AS adjustment, count(*) AS compared, count(*) FILTER (a.open <> b.open OR a.high <> b.high OR a.low <> b.low OR a.close <> b.close) AS different FROM a JOIN b USING (source_id, instrument_id, day) GROUP BY 1, 2)
+SELECT source_id, adjustment, pages, rows, coalesce(compared, 0) AS compared, coalesce(different, 0) AS different FROM s LEFT JOIN c USING (source_id, adjustment)""",
     ),
     "ticker_continuity": (ticker_continuity, "SELECT CASE WHEN l_partkey % 50 <> 0 THEN 'mapped' ELSE 'unmapped' END AS mode, count(*) AS rows, count(DISTINCT l_orderkey) AS pages FROM lineitem GROUP BY 1"),
     "page_stream": (page_stream, nq._CODES + " SELECT year(make_timestamp(t))::INTEGER AS year, count(*) AS bars, count(DISTINCT l_orderkey) AS batches FROM j WHERE mc IS NULL GROUP BY 1"),

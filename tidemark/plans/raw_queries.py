@@ -25,7 +25,7 @@ def _batches(spark, sf_dir):
         F.create_map(
             F.lit("page_number"), (k % 7).cast("string"), F.lit("response_status"), F.when(k % 13 == 0, "429").otherwise("200"), F.when(k % 19 == 0, "X-Api-Key").otherwise("latency_ms"),
             F.when(k % 23 == 0, "NaN").when(k % 11 == 0, "12d").otherwise(F.round(F.col("value") * 4).cast("int").cast("string")), F.lit("note"), F.when(k % 31 == 0, "https://x/y").when(k % 37 == 0, "password: hunter2").otherwise("none"), F.lit("session"), F.lit("regular"),
-            F.lit("rate_limit_remaining"), (k % 97).cast("string"),
+            F.lit("rate_limit_remaining"), (k % 97).cast("string"), F.lit("rate_limit_capacity"), F.when(k % 5 == 0, "-1").otherwise((k % 5 * 100).cast("string")),
         ).alias("request_metadata"),
         F.encode("props", "UTF-8").alias("payload"),
     )
@@ -76,9 +76,10 @@ def response_outcomes(spark, sf_dir):
 def enriched_responses(spark, sf_dir):
     e = table(spark, sf_dir, "events")
     k = F.col("event_id")
-    headers = F.create_map(F.lit("x-ratelimit-remaining"), F.when(k % 5 == 0, "-1").when(k % 5 == 1, "inf").otherwise((k % 100).cast("string")), F.when(k % 2 == 0, "x-request-id").otherwise("request-id"), F.when(k % 7 == 0, "http://id").otherwise(F.concat(F.lit("r-"), k.cast("string"))))
-    x = raw.enriched(e.select(k, headers.alias("headers"), (F.col("value") / 1000).alias("elapsed_s")))
-    return x.select("event_id", F.col("rate_limit_remaining").cast("long").alias("remaining"), "request_id", F.round("latency_ms", 2).alias("latency_ms"))
+    headers = F.create_map(F.when(k % 3 == 0, "X-RateLimit-Remaining").when(k % 3 == 1, "api-credits-left").otherwise("x-rate-limit-remaining"), F.when(k % 5 == 0, "-1").when(k % 5 == 1, "inf").otherwise((k % 100).cast("string")), F.when(k % 2 == 0, "X-Request-Id").otherwise("apca-request-id"), F.when(k % 7 == 0, "http://id").otherwise(F.concat(F.lit("r-"), k.cast("string"))), F.lit("Retry-After"), F.when(k % 4 == 0, "soon").otherwise((k % 60).cast("string")))
+    body = F.concat(F.lit('{"request_id": '), F.when(k % 21 == 0, F.concat(F.lit('"b'), k.cast("string"), F.lit('"'))).when(k % 14 == 0, k.cast("string")).otherwise("true"), F.lit("}"))
+    x = raw.enriched(e.select(k, headers.alias("headers"), F.encode(body, "UTF-8").alias("body"), (F.col("value") / 1000).alias("elapsed_s")))
+    return x.select("event_id", F.col("retry_after_s").cast("long").alias("retry_after"), F.col("rate_limit_remaining").cast("long").alias("remaining"), "request_id", F.round("latency_ms", 2).alias("latency_ms"))
 
 
 def page_chain_audit(spark, sf_dir):
@@ -91,7 +92,7 @@ def page_chain_audit(spark, sf_dir):
 
 
 def runtime_summary(spark, sf_dir):
-    return raw.runtime_summary(_batches(spark, sf_dir)).select("provider", "batches", "datasets", "statuses", "latencies", F.col("latency_sum").cast("long").alias("latency_sum"), F.col("latency_max").cast("long").alias("latency_max"), F.col("remaining_min").cast("long").alias("remaining_min"))
+    return raw.runtime_summary(_batches(spark, sf_dir)).select("provider", "batches", "datasets", "statuses", "latencies", F.col("latency_sum").cast("long").alias("latency_sum"), F.col("latency_max").cast("long").alias("latency_max"), F.col("remaining_min").cast("long").alias("remaining_min"), "capacities")
 
 
 NAMESPACE = "6ba7b810-9dad-11d1-80b4-00c04fd430c8"
@@ -179,7 +180,7 @@ SELECT 'b' || b AS batch_id, CASE WHEN c > 1 THEN 'collision' WHEN NOT EXISTS (S
         response_outcomes,
         """SELECT event_id % 12 AS kind, CASE event_id % 12 WHEN 1 THEN 'authentication' WHEN 2 THEN 'access' WHEN 3 THEN 'entitlement' WHEN 4 THEN 'http_error' WHEN 5 THEN 'rate_limit' WHEN 6 THEN 'http_error' WHEN 7 THEN 'authentication' WHEN 8 THEN 'rate_limit' WHEN 9 THEN 'malformed_response' WHEN 10 THEN 'entitlement' WHEN 11 THEN 'malformed_response' ELSE 'ok' END AS outcome, count(*) AS responses FROM events GROUP BY 1, 2""",
     ),
-    "enriched_responses": (enriched_responses, "SELECT event_id, CASE WHEN event_id % 5 > 1 THEN event_id % 100 END AS remaining, CASE WHEN event_id % 7 <> 0 THEN 'r-' || event_id END AS request_id, round(value, 2) AS latency_ms FROM events"),
+    "enriched_responses": (enriched_responses, "SELECT event_id, CASE WHEN event_id % 4 > 0 THEN event_id % 60 END AS retry_after, CASE WHEN event_id % 5 > 1 THEN event_id % 100 END AS remaining, CASE WHEN event_id % 7 <> 0 THEN 'r-' || event_id WHEN event_id % 21 = 0 THEN 'b' || event_id WHEN event_id % 14 = 0 THEN event_id::VARCHAR END AS request_id, round(value, 2) AS latency_ms FROM events"),
     "page_chain_audit": (
         page_chain_audit,
         """WITH p AS (SELECT user_id AS r, event_id AS k, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events),
@@ -190,7 +191,7 @@ u AS (SELECT r AS request_id, unnest(l) AS problem FROM s) SELECT * FROM u WHERE
     ),
     "runtime_summary": (
         runtime_summary,
-        f"""SELECT 'Provider ' || upper(event_type) AS provider, count(*) AS batches, 'Café Aux,bars.5m' AS datasets, '200,429' AS statuses, count({_CASE_LAT}) AS latencies, sum({_CASE_LAT})::BIGINT AS latency_sum, max({_CASE_LAT})::BIGINT AS latency_max, min(event_id % 97) AS remaining_min FROM events GROUP BY event_type""",
+        f"""SELECT 'Provider ' || upper(event_type) AS provider, count(*) AS batches, 'Café Aux,bars.5m' AS datasets, '200,429' AS statuses, count({_CASE_LAT}) AS latencies, sum({_CASE_LAT})::BIGINT AS latency_sum, max({_CASE_LAT})::BIGINT AS latency_max, min(event_id % 97) AS remaining_min, '100,200,300,400' AS capacities FROM events GROUP BY event_type""",
     ),
     "source_identities": (
         source_identities,

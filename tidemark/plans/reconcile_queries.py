@@ -53,9 +53,15 @@ def missing_expected(spark, sf_dir):
 
 
 def segment_rollup(spark, sf_dir):
-    """Segments here are the exchange years of the bars."""
-    left, right = (x.withColumn("segment", F.year("timestamp_start")) for x in sides(spark, sf_dir))
-    return rb.segment_rollup(left, right, rb.compare_bars(left, right, CONFIG, by=("segment",)))
+    """Segments here are the timeframes and years of the bars."""
+    left, right = (x.withColumn("segment", F.concat_ws("-", "timeframe", F.year("timestamp_start"))) for x in sides(spark, sf_dir))
+    return rb.segment_rollup(left, right, rb.compare_segments(left, right, ("left", "right"), F.col("segment").startswith("5m")))
+
+
+def first_findings(spark, sf_dir):
+    """The hundred findings that a report shows first, in key order and then in the order of metrics."""
+    x = rb.rendered_findings(findings(spark, sf_dir)).filter("ordinal < 6").limit(100)
+    return x.select("instrument_id", "timeframe", F.unix_micros("timestamp_start").alias("start_us"), F.col("ordinal").cast("long").alias("ordinal"), "metric", "left_value", "right_value")
 
 
 def numeric_differences(spark, sf_dir):
@@ -148,10 +154,14 @@ SELECT metric, count(*) AS findings, round(avg(g), 4) AS mean_absolute, max(g) A
     ),
     "segment_rollup": (
         segment_rollup,
-        f"WITH l AS (SELECT *, timestamp_start AS ts, year(timestamp_start)::INTEGER AS segment FROM ({LEFT})), r AS (SELECT *, timestamp_start AS ts, year(timestamp_start)::INTEGER AS segment FROM ({RIGHT})),"
+        f"WITH l AS (SELECT *, timestamp_start AS ts, timeframe || '-' || year(timestamp_start) AS segment FROM ({LEFT})), r AS (SELECT *, timestamp_start AS ts, timeframe || '-' || year(timestamp_start) AS segment FROM ({RIGHT})),"
         + _compared("segment, ", "SELECT segment, instrument_id, timeframe, ts FROM l WHERE false")
-        + """, x AS (SELECT segment, count(*) AS left_rows FROM l GROUP BY 1), y AS (SELECT segment, count(*) AS right_rows FROM r GROUP BY 1), z AS (SELECT segment, count(*) AS findings, count(*) FILTER (metric = 'duplicate_bar') AS duplicates FROM found GROUP BY 1)
-SELECT segment, coalesce(left_rows, 0) AS left_rows, coalesce(right_rows, 0) AS right_rows, coalesce(findings, 0) AS findings, coalesce(duplicates, 0) AS duplicates, coalesce(left_rows, 0) > 0 AND coalesce(right_rows, 0) > 0 AND coalesce(duplicates, 0) = 0 AS passed FROM x FULL JOIN y USING (segment) FULL JOIN z USING (segment)""",
+        + """, x AS (SELECT segment, count(*) AS left_rows FROM l GROUP BY 1), y AS (SELECT segment, count(*) AS right_rows FROM r GROUP BY 1), z AS (SELECT segment, count(*) AS findings, count(*) FILTER (metric = 'duplicate_bar') AS duplicates, count(*) FILTER (classification = 'venue_feed_difference' AND segment LIKE '5m%') AS venue FROM found WHERE metric <> 'vwap' GROUP BY 1)
+SELECT segment, coalesce(left_rows, 0) AS left_rows, coalesce(right_rows, 0) AS right_rows, coalesce(findings, 0) AS findings, coalesce(duplicates, 0) AS duplicates, coalesce(venue, 0) AS venue, coalesce(left_rows, 0) > 0 AND coalesce(right_rows, 0) > 0 AND coalesce(duplicates, 0) = 0 AS passed FROM x FULL JOIN y USING (segment) FULL JOIN z USING (segment)""",
+    ),
+    "first_findings": (
+        first_findings,
+        FOUND + "SELECT instrument_id, timeframe, epoch_us(ts) AS start_us, ordinal::BIGINT AS ordinal, metric, left_text AS left_value, right_text AS right_value FROM found WHERE ordinal < 6 ORDER BY instrument_id, timeframe, ts, ordinal LIMIT 100",
     ),
     "adjustment_behavior": (
         adjustment_behavior,

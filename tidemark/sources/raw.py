@@ -117,20 +117,34 @@ def safe_number(text: Column) -> Column:
     return F.when(finite(x) & (x >= 0), x)
 
 
+# The headers that carry each number and the provider's request id, the first present one counts.
+NUMBER_HEADERS = {
+    "rate_limit_capacity": ("x-ratelimit-limit", "x-rate-limit-limit"),
+    "rate_limit_remaining": ("x-ratelimit-remaining", "x-rate-limit-remaining", "api-credits-left"),
+    "rate_limit_reset": ("x-ratelimit-reset", "x-rate-limit-reset"),
+    "api_credits_used": ("api-credits-used",),
+    "retry_after_s": ("retry-after",),
+}
+REQUEST_ID_HEADERS = ("x-request-id", "request-id", "apca-request-id")
+_REQUEST_ID = r"^[A-Za-z0-9._:-]{1,256}$"
+
+
 def enriched(responses: DataFrame) -> DataFrame:
-    """Responses (headers map, status, elapsed seconds) with latency in milliseconds, limits from headers and a safe request id."""
-    h = F.col("headers")
-    first = lambda *names: F.coalesce(*(h[n] for n in names))
-    request = first("x-request-id", "request-id")
-    return responses.withColumns(
-        {
-            "latency_ms": F.round(F.col("elapsed_s") * 1000, 3),
-            "rate_limit_capacity": safe_number(first("x-ratelimit-limit", "ratelimit-limit")),
-            "rate_limit_remaining": safe_number(first("x-ratelimit-remaining", "ratelimit-remaining")),
-            "api_credits_used": safe_number(first("api-credits-used")),
-            "request_id": F.when(request.rlike("^[A-Za-z0-9._:-]{1,128}$") & ~request.contains("://"), request),
-        }
-    )
+    """Responses (headers map, elapsed seconds, and body if known) with latency in milliseconds, limits and a safe request id.
+
+    Header names count whatever their case. The request id is the first safe one of the headers, else the body's (text or a
+    whole number).
+    """
+    def header(name: str) -> Column:
+        return F.get(F.filter(F.map_entries("headers"), lambda e: F.lower(e["key"]) == name), 0)["value"]
+
+    ids = [header(n) for n in REQUEST_ID_HEADERS]
+    if "body" in responses.columns:
+        said = F.try_variant_get(parsed(F.col("body")), "$.request_id", "variant")
+        kind = F.schema_of_variant(said)
+        ids.append(F.when(kind.isin("STRING", "BIGINT"), F.try_variant_get(said, "$", "string")))
+    numbers = {name: safe_number(F.coalesce(*map(header, names))) for name, names in NUMBER_HEADERS.items()}
+    return responses.withColumns({"latency_ms": F.round(F.col("elapsed_s") * 1000, 3), **numbers, "request_id": F.coalesce(*(F.when(x.rlike(_REQUEST_ID), x) for x in ids))})
 
 
 def parsed(payload: Column) -> Column:
@@ -177,11 +191,18 @@ def page_chain_audit(pages: DataFrame, most: int = 1000) -> DataFrame:
     return g.select("request_id", F.explode(F.array_compact(F.array(*(F.when(F.col(n), F.lit(n)) for n in names)))).alias("problem"))
 
 
-def runtime_summary(batches: DataFrame) -> DataFrame:
-    """Per provider: batches, datasets, statuses, and latency and limits from the stored metadata."""
+def runtime_summary(batches: DataFrame, provider: str | None = None) -> DataFrame:
+    """Per provider: batches, datasets, statuses, and latency and limits from the stored metadata.
+
+    With `provider`, a batch of another one (whatever its case) fails the query when it runs.
+    """
     m = F.col("request_metadata")
-    x = batches.select("provider", "dataset", m["response_status"].alias("status"), safe_number(m["latency_ms"]).alias("latency"), safe_number(m["rate_limit_remaining"]).alias("remaining"), safe_number(m["api_credits_used"]).alias("credits"))
+    if provider is not None:
+        other = F.lower("provider") != provider.strip().lower()
+        batches = batches.withColumn("provider", F.when(other, F.raise_error(F.lit("a raw batch of another provider"))).otherwise(F.lit(provider.strip())))
+    x = batches.select("provider", "dataset", safe_number(m["rate_limit_capacity"]).alias("capacity"), m["response_status"].alias("status"), safe_number(m["latency_ms"]).alias("latency"), safe_number(m["rate_limit_remaining"]).alias("remaining"), safe_number(m["api_credits_used"]).alias("credits"))
     return x.groupBy("provider").agg(
         F.count(F.lit(1)).alias("batches"), F.array_join(F.array_sort(F.collect_set("dataset")), ",").alias("datasets"), F.array_join(F.array_sort(F.collect_set("status")), ",").alias("statuses"),
         F.count("latency").alias("latencies"), F.sum("latency").alias("latency_sum"), F.max("latency").alias("latency_max"), F.min("remaining").alias("remaining_min"), F.max("credits").alias("credits_max"),
+        F.array_join(F.transform(F.array_sort(F.collect_set("capacity")), lambda c: c.cast("long").cast("string")), ",").alias("capacities"),
     )

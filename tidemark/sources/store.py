@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import UTC, datetime
 
@@ -18,7 +19,7 @@ _SORT = tuple(c for c in BAR_COLUMNS if c != "quality_flags")
 
 @dataclass(frozen=True)
 class BarQuery:
-    """Filters of a scan: any of them may be left out; [start, end) are aware instants."""
+    """Filters of a scan: any of them may be left out; [start, end) are aware instants, ids are UUIDs in any spelling."""
 
     instruments: tuple[str, ...] = ()
     sources: tuple[str, ...] = ()
@@ -33,6 +34,8 @@ class BarQuery:
             value = getattr(self, name)
             if value is not None and value not in allowed:
                 raise ValueError(f"unknown {name}: {value!r}")
+        for name in ("instruments", "sources"):
+            object.__setattr__(self, name, tuple(str(uuid.UUID(x)) for x in getattr(self, name)))
         for bound in (self.start, self.end):
             if bound is not None and bound.tzinfo is None:
                 raise ValueError("bounds need a zone")

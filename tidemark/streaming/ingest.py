@@ -13,15 +13,27 @@ from pyspark.sql import types as T
 
 from tidemark.operators.validation import ValidationPolicy, validate_bars
 from tidemark.sources.normalize import Normalized
+from tidemark.sources.raw import integrity_errors
 from tidemark.sources.store import BarStore
 
 
 def ingest_available(
-    spark: SparkSession, landing: str, schema: T.StructType, normalizer: Callable[[DataFrame], Normalized], store: BarStore, checkpoint: str, policy: ValidationPolicy = ValidationPolicy(duplicate_scope="batch"), files_per_trigger: int = 100
+    spark: SparkSession, landing: str, schema: T.StructType, normalizer: Callable[[DataFrame], Normalized], store: BarStore, checkpoint: str, policy: ValidationPolicy = ValidationPolicy(duplicate_scope="batch"), files_per_trigger: int = 100, side: str | None = None
 ) -> None:
-    """Process all pages that are in the landing folder and not yet seen, then stop."""
-
-    def step(pages: DataFrame, _: int) -> None:
+    """Process all pages that are in the landing folder and not yet seen, then stop.
+
+    With `side`, the issues and batch errors of each micro-batch are kept under side/issues and side/batch_errors, in a
+    folder of the micro-batch's number, which a repeated micro-batch overwrites. Pages that carry a batch_id
+    and a manifest, as land() writes them, are checked against it first; a spoiled page fails the stream.
+    """
+
+    def step(pages: DataFrame, number: int) -> None:
+        if "manifest" in pages.columns and not integrity_errors(pages).isEmpty():
+            raise ValueError("a landed payload fails its checksum")
+        if side:
+            found = normalizer(pages)
+            for name, rows in (("issues", found.issues), ("batch_errors", found.batch_errors)):
+                rows.write.mode("overwrite").parquet(f"{side.rstrip('/')}/{name}/micro_batch={number}")
         there = store.query().select("raw_batch_id").distinct()
         fresh = pages.join(there, "raw_batch_id", "left_anti")
         bars = validate_bars(normalizer(fresh).rows, policy)
