@@ -27,14 +27,69 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
+import tiktoken
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import blocks, kept
+from tidemark.llm.common import blocks, kept, set_aside
 
 #: White space as the pattern's `\s` means it; written out because engines differ on U+001C to U+001F and U+0085.
 _WIDE = "".join(f"{chr(92)}u{x:04x}" for x in (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
 SPACE = r"\t-\r \x85\xa0" + _WIDE
-PATTERN = regex.compile(public_tokenizers.PATTERN.replace(r"[^\s\p{L}\p{N}]", rf"[^{SPACE}\p{{L}}\p{{N}}]").replace(r"\s", f"[{SPACE}]").replace(r"\S", f"[^{SPACE}]"))
+
+
+def _pattern(letters: str, numbers: str) -> regex.Pattern:
+    own = public_tokenizers.PATTERN.replace(r"[^\s\p{L}\p{N}]", f"[^{SPACE}{letters}{numbers}]").replace(r"\s", f"[{SPACE}]").replace(r"\S", f"[^{SPACE}]")
+    return regex.compile("(?V1)" + own.replace(r"\p{L}", letters).replace(r"\p{N}", numbers))
+
+
+#: The tokenizer's pattern by this engine's tables of letters and numbers; texts with characters of _otherwise() need exact_pattern().
+PATTERN = _pattern(r"\p{L}", r"\p{N}")
+
+
+def _engine(kind: str) -> set[str]:
+    """All characters of a class by the tables of the tokenizer library's own engine."""
+    probe = tiktoken.Encoding("probe", pat_str=kind + "{1,64}", mergeable_ranks={bytes([k]): k for k in range(256)}, special_tokens={})
+    return set(probe.decode(probe.encode_ordinary("".join(map(chr, (*range(0xD800), *range(0xE000, 0x110000)))))))
+
+
+@lru_cache(maxsize=1)
+def _tables() -> dict[str, tuple[set[str], set[str]]]:
+    """For letters and numbers: the characters that only this engine counts among them, and those that only the library's does."""
+    every = "".join(map(chr, (*range(0xD800), *range(0xE000, 0x110000))))
+    return {kind: (own - theirs, theirs - own) for kind in (r"\p{L}", r"\p{N}") for own, theirs in [(set(regex.findall(kind, every)), _engine(kind))]}
+
+
+@lru_cache(maxsize=1)
+def _otherwise() -> frozenset[str]:
+    """Characters that the two engines class differently, for their tables are of different Unicode versions."""
+    return frozenset().union(*(x for pair in _tables().values() for x in pair))
+
+
+@lru_cache(maxsize=1)
+def exact_pattern() -> regex.Pattern:
+    """The pattern with the library's own letters and numbers."""
+
+    def listed(chars: set[str]) -> str:
+        codes, runs = sorted(map(ord, chars)), []
+        for c in codes:
+            if runs and c == runs[-1][1] + 1:
+                runs[-1][1] = c
+            else:
+                runs.append([c, c])
+        return "".join(f"{chr(92)}U{a:08x}-{chr(92)}U{b:08x}" for a, b in runs)
+
+    def own(kind: str) -> str:
+        less, more = map(listed, _tables()[kind])
+        return f"[{f'[{kind}--[{less}]]' if less else kind}{more}]"
+
+    return _pattern(own(r"\p{L}"), own(r"\p{N}"))
+
+
+def pattern_for(text: str) -> regex.Pattern:
+    """PATTERN where both engines agree on all characters of the text, else the exact one."""
+    return PATTERN if text.isascii() or _otherwise().isdisjoint(set(text)) else exact_pattern()
+
+
 _UNUSUAL = regex.compile(rf"[\x1c-\x1f\x85\xa0{_WIDE}]")
 _LOOSE = regex.compile(r"[ \t-\r] | [ \t-\r]")
 #: A single space between two characters that aren't white space.
@@ -164,7 +219,7 @@ class ByteBpe:
         if found is None:
             if len(self.parts) >= MEMO:
                 self.parts.clear()
-            pieces = PATTERN.findall(part)
+            pieces = pattern_for(part).findall(part)
             found = self._encoded(part) if len(pieces) == 1 else b"".join(map(self._piece, pieces))
             if len(part) < 64:
                 self.parts[part] = found
@@ -192,8 +247,9 @@ def codec(path: str) -> ByteBpe:
 
 
 def encode_documents(docs: DataFrame, ranks_path: str, text: str = "text", ids: str = "ids", keep: list[str] | None = None) -> DataFrame:
-    """Rows with the columns `keep` (all but text if not given) and the ids of the whole text as a binary column."""
-    rest = [c for c in docs.columns if c not in (text, ids)] if keep is None else keep
+    """Rows with the columns `keep` (all but text if not given) and the ids of the whole text as a binary column; an input column of its name becomes `<name>_input`."""
+    docs = set_aside(docs, ids)
+    rest = [c for c in docs.columns if c != text] if keep is None else keep
     schema = docs.select(*rest, docs[text].cast("binary").alias(ids)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import byte_bpe, html_extract, language_id, ogg_media, packing, quality_cascade, simhash, substring_dedup, token_counts, url_filter
+from tidemark.llm import byte_bpe, html_extract, language_id, ogg_media, packing, quality_cascade, simhash, substring_dedup, token_counts, url_filter, word_bpe
 from tidemark.llm.common import ship_package
 
 MODULES = {
@@ -20,6 +20,7 @@ MODULES = {
     "op8_packing": packing,
     "op9_byte_bpe": byte_bpe,
     "op10_token_counts": token_counts,
+    "op11_word_bpe": word_bpe,
 }
 
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.byte_bpe import MEMO, PATTERN, ByteBpe
+from tidemark.llm.byte_bpe import MEMO, ByteBpe, pattern_for
 from tidemark.llm.common import blocks, kept, set_aside, written
 
 #: Pre-tokens of a leaf.
@@ -76,7 +76,7 @@ class TokenTree:
 
     @classmethod
     def build(cls, text: str, count: _Counter) -> TokenTree:
-        pieces = PATTERN.findall(text)
+        pieces = pattern_for(text).findall(text)
         return cls(text, list(map(len, pieces)), list(map(count, pieces)), count)
 
     def state(self) -> tuple[str, list[int], list[int]]:
@@ -176,7 +176,7 @@ class TokenTree:
                 p += len(x)
             fresh: list[str] = []
             tail = None
-            for m in PATTERN.finditer(text):
+            for m in pattern_for(text).finditer(text):
                 a, b = m.span()
                 if a in joints and a >= start - at + len(new):
                     tail = region[joints[a] :]
@@ -207,7 +207,7 @@ def token_trees(docs: DataFrame, ranks_path: str, text: str = "text") -> DataFra
         for batch, texts in blocks(batches, text):
             lengths, counts, totals = [], [], []
             for x in texts:
-                pieces = PATTERN.findall(x)
+                pieces = pattern_for(x).findall(x)
                 found = list(map(count, pieces))
                 lengths.append(np.array(list(map(len, pieces)), "<u4").tobytes())
                 counts.append(np.array(found, "<u4").tobytes())
