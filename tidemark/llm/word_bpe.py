@@ -218,13 +218,14 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", block_chars
 
 
 def piece_table(spark, path: str) -> DataFrame:
-    """The vocabulary as rows: id, piece (its bytes as Latin-1 characters)."""
+    """The vocabulary as rows: id (from 0 without a gap), piece (its bytes as Latin-1 characters)."""
 
     def latin(piece: str) -> str:
         own = [_BYTE_OF.get(c, -1) for c in piece]
         return (bytes(own) if -1 not in own else piece.encode()).decode("latin-1")
 
-    return spark.createDataFrame(sorted((i, latin(p)) for p, i in tokenizer(path).get_vocab(with_added_tokens=True).items()), "id int, piece string")
+    found = {i: latin(p) for p, i in tokenizer(path).get_vocab(with_added_tokens=True).items()}
+    return spark.createDataFrame([(i, found.get(i, "")) for i in range(max(found) + 1)], "id int, piece string")
 
 
 def decode_documents(coded: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
