@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import byte_bpe, hard_negatives, html_extract, language_id, ogg_media, packing, quality_cascade, simhash, substring_dedup, token_counts, url_filter, word_bpe
+from tidemark.llm import byte_bpe, conversation_repair, hard_negatives, html_extract, language_id, ogg_media, packing, quality_cascade, simhash, substring_dedup, token_counts, url_filter, word_bpe
 from tidemark.llm.common import ship_package
 
 MODULES = {
@@ -22,6 +22,7 @@ MODULES = {
     "op10_token_counts": token_counts,
     "op11_word_bpe": word_bpe,
     "op12_hard_negatives": hard_negatives,
+    "op13_conversation_repair": conversation_repair,
 }
 
 
