@@ -43,7 +43,7 @@ from tidemark.llm.byte_bpe import pattern_for
 from tidemark.llm.common import blocks, kept, scratch_path, set_aside, unused
 
 #: Characters of a block's texts.
-BLOCK_CHARS = 32 << 20
+BLOCK_CHARS = 16 << 20
 #: Bytes of distinct words that one part of the word table takes at most, before repeats between blocks are gone.
 PART_BYTES = 64 << 20
 #: Words that a gathering step handles at once.
@@ -199,19 +199,19 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", block_chars
         sizes[at] = lengths
         starts[at] = np.cumsum(lengths) - lengths
         flat = np.frombuffer(b"".join(ids), "<u4").astype(np.int32)
-        out, counts = [], [np.zeros(1, np.int64)]
-        for chunk in documents.select(["positions"]).combine_chunks().to_batches(max_chunksize=256):
-            column = chunk.column(0)
+        out = []
+        for chunk in documents.combine_chunks().to_batches(max_chunksize=256):
+            column = chunk.column(chunk.schema.names.index("positions"))
             ends, words = column.offsets.to_numpy().astype(np.int64) - column.offsets[0].as_py(), column.flatten().to_numpy(zero_copy_only=False)
-            total = np.concatenate([[0], np.cumsum(sizes[words])])
-            counts.append(np.diff(total[ends]))
+            values = [np.zeros(0, np.int32)]
             for k in range(0, len(words), GATHER_WORDS):
                 w = words[k : k + GATHER_WORDS]
                 n = sizes[w]
-                out.append(flat[np.repeat(starts[w] - (np.cumsum(n) - n), n) + np.arange(n.sum())])
-        values = np.concatenate(out) if out else np.zeros(0, np.int32)
-        offsets = np.cumsum(np.concatenate(counts))
-        return pa.table([*(documents.column(c) for c in rest), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))], names=schema.names)
+                values.append(flat[np.repeat(starts[w] - (np.cumsum(n) - n), n) + np.arange(n.sum())])
+            offsets = np.concatenate([[0], np.cumsum(sizes[words])])[ends]
+            coded = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(values)))
+            out.append(pa.RecordBatch.from_arrays([*kept(chunk, rest), coded], names=schema.names))
+        return pa.Table.from_batches(out)
 
     rows = table.filter(F.col("words").isNull()).select("block", *rest, "positions")
     return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(gather, schema)
