@@ -43,7 +43,8 @@ MEMO = 1_000_000
 #: Letters beyond ASCII as the byte-level alphabet writes their UTF-8 bytes: bytes without a printable form follow U+0100.
 _UNPRINTED = [b for b in range(256) if not (0x21 <= b <= 0x7E or 0xA1 <= b <= 0xFF and b != 0xAD)]
 _BYTES = {c: "".join(chr(256 + _UNPRINTED.index(b) if b in _UNPRINTED else b) for b in chr(c).encode()) for c in range(0x80, 0x100)}
-_STOP = re.compile(r"(?<=[^\W_])([.,]) ")
+#: Characters that can end a word before a full stop or comma.
+_WORD = re.compile(r"[^\W_]")
 
 
 @dataclass(frozen=True)
@@ -57,7 +58,8 @@ class PartEncoder:
     """Ids of whole texts by a tokenizer that drops white space and marks word ends, with a memo of space-separated parts.
 
     The tokenizer's normalization and splitting never look across a space, so a text's ids are its parts' ids in a row. A
-    full stop or comma between a letter and a space is a part of its own there too. The memo has two generations: when the
+    full stop or comma between a letter and a space is a part of its own there too, unless normalization takes the letter
+    apart into a letter and a mark, which goes with the stop. The memo has two generations: when the
     young one is full it becomes the old one, so parts in use stay known and the others go.
     """
 
@@ -67,6 +69,13 @@ class PartEncoder:
         self.young: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
         self.limit = memo // 2
+        self.stop = re.compile(rf"(?<=[^\W_{self._apart()}])([.,]) ")
+
+    def _apart(self) -> str:
+        """The letters and numbers that normalization makes more than one character of."""
+        found = [c for c in map(chr, (*range(0x80, 0xD800), *range(0xE000, 0x110000))) if _WORD.match(c)]
+        normal = self.tokenizer.normalizer.normalize_str("|".join(found)).split("|") if self.tokenizer.normalizer else found
+        return "".join(c for c, x in zip(found, normal, strict=True) if len(x) != 1)
 
     def _learn(self, parts: list[str]) -> None:
         """Put the ids of all parts into the young generation."""
@@ -81,7 +90,7 @@ class PartEncoder:
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        split = [_STOP.sub(r" \1 ", (x.lower() if _latin(x) else x).replace("\n", " ")).split(" ") for x in texts]
+        split = [self.stop.sub(r" \1 ", (x.lower() if _latin(x) else x).replace("\n", " ")).split(" ") for x in texts]
         missing = set().union(*split).difference(self.young)
         if missing:
             if len(self.young) + len(missing) > self.limit:
