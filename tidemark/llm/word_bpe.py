@@ -173,9 +173,9 @@ def encode_words(dealt: DataFrame, path: str) -> DataFrame:
     return dealt.mapInArrow(run, "block long, slots binary, ids binary")
 
 
-def encode_documents(docs: DataFrame, path: str, text: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """docs without text, with the ids of the whole text as array<int> in `ids`."""
-    docs = set_aside(docs, "ids", "block", "positions", "words", "word_bytes")
+def encode_documents(docs: DataFrame, path: str, text: str = "text", block_chars: int = BLOCK_CHARS, digest: bool = False) -> DataFrame:
+    """docs without text, with the ids of the whole text as array<int> in `ids`; with `digest` also n_tokens and ids_sha256 (of little-endian unsigned 32-bit ids)."""
+    docs = set_aside(docs, "ids", "block", "positions", "words", "word_bytes", *(("n_tokens", "ids_sha256") if digest else ()))
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"tidemark_words_{uuid.uuid4().hex}"
@@ -187,6 +187,8 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", block_chars
     answers = encode_words(dealt.repartition(max(parts, -(-size // PART_BYTES)), "part"), path)
     rest = [c for c in docs.columns if c != text]
     schema = docs.select(*(F.when(F.lit(True), docs[c]).alias(c) for c in rest)).schema.add("ids", ArrayType(IntegerType()))
+    if digest:
+        schema = schema.add("n_tokens", "long").add("ids_sha256", "string")
 
     def gather(documents: pa.Table, answered: pa.Table) -> pa.Table:
         slots, ids = [], []
@@ -209,8 +211,12 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", block_chars
                 n = sizes[w]
                 values.append(flat[np.repeat(starts[w] - (np.cumsum(n) - n), n) + np.arange(n.sum())])
             offsets = np.concatenate([[0], np.cumsum(sizes[words])])[ends]
-            coded = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(values)))
-            out.append(pa.RecordBatch.from_arrays([*kept(chunk, rest), coded], names=schema.names))
+            found = np.concatenate(values)
+            columns = [*kept(chunk, rest), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(found))]
+            if digest:
+                own = found.astype("<u4")
+                columns += [pa.array(np.diff(offsets)), pa.array([hashlib.sha256(own[a:b]).hexdigest() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)], pa.string())]
+            out.append(pa.RecordBatch.from_arrays(columns, names=schema.names))
         return pa.Table.from_batches(out)
 
     rows = table.filter(F.col("words").isNull()).select("block", *rest, "positions")
@@ -239,17 +245,7 @@ def decode_documents(coded: DataFrame, path: str, ids: str = "ids", text: str =
 
 def encode_digest(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
     """Per row: n_tokens, ids_sha256 of the ids (little-endian unsigned 32-bit), decoded_sha256 of the text that decoding them gives."""
-    coded = encode_documents(docs.select(key, text), path, text, block_chars)
-    schema = coded.select(key).schema.add("n_tokens", "long").add("ids_sha256", "string").add("ids", ArrayType(IntegerType()))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            column = batch.column(batch.schema.names.index("ids"))
-            ends, values = column.offsets.to_numpy().tolist(), column.values.to_numpy().astype("<u4")
-            spans = list(zip(ends[:-1], ends[1:], strict=True))
-            yield pa.RecordBatch.from_arrays([*kept(batch, [key]), pa.array([b - a for a, b in spans], pa.int64()), pa.array([hashlib.sha256(values[a:b].tobytes()).hexdigest() for a, b in spans]), column], names=schema.names)
-
-    decoded = decode_documents(coded.mapInArrow(run, schema), path)
+    decoded = decode_documents(encode_documents(docs.select(key, text), path, text, block_chars, digest=True), path)
     return decoded.select(key, "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
