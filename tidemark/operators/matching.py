@@ -1,31 +1,60 @@
-"""Matching of observations whose positions differ slightly, without a nested-loop join."""
+"""Matching of observations whose positions differ slightly, by windows over blocks of positions and without a join."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+#: A block of positions is at least this many tolerances long.
+BLOCK = 64
+
+
+def with_partners(rows: DataFrame, keys: Sequence[str], position: Column, tolerance: int, roles: Mapping[str, tuple[Column, Column]], payload: Column | None = None, block: int | None = None) -> DataFrame:
+    """rows with a boolean for each role: has the row a partner, each of the two being the other's only candidate?
+
+    A role is a pair of conditions that no row meets both of. Candidates of a row that meets one are the rows with equal keys
+    that meet the other and lie elsewhere, at most `tolerance` away (whole numbers). Positions are cut into blocks, and rows within two
+    tolerances of a block's ends are copied into its neighbour, so each block sees all that decides its own rows: all roles
+    cost one shuffle by keys and block, and no key is one task. With `payload` rows of a role's first condition also get
+    `<role>_partner`, their partner's payload. A tolerance of 0 pairs nothing.
+    """
+    kind = None if payload is None else rows.select(payload.alias("p")).schema[0].dataType
+    if tolerance <= 0:
+        return rows.withColumns({n: F.lit(False) for n in roles} | ({} if kind is None else {f"{n}_partner": F.lit(None).cast(kind) for n in roles}))
+    size = max(block or 0, BLOCK * tolerance)
+    marks = {f"_{side}_{n}": F.coalesce(c, F.lit(False)) for n, pair in roles.items() for side, c in zip("ab", pair, strict=True)}
+    at, home = F.col("_at"), F.col("_home")
+    x = rows.withColumns(marks | {"_at": position.cast("long")}).withColumn("_home", at - F.pmod(at, F.lit(size)))
+    reach = 2 * tolerance
+    beside = F.array_compact(F.array(home, F.when(at - home < reach, home - size), F.when(home + size - at <= reach, home + size)))
+    x = x.withColumn("_block", F.explode(F.coalesce(beside, F.array(F.lit(None).cast("long")))))
+    ordered = W.partitionBy(*keys, "_block").orderBy("_at")
+    before, after = ordered.rangeBetween(-tolerance, -1), ordered.rangeBetween(1, tolerance)
+    x = x.withColumns({f"_n{side}_{n}": F.count_if(F.col(f"_{other}_{n}")).over(before) + F.count_if(F.col(f"_{other}_{n}")).over(after) for n in roles for side, other in ("ab", "ba")})
+    met = {}
+    for n in roles:
+        for side, other in ("ab", "ba"):
+            seen = F.when(F.col(f"_{other}_{n}"), F.col(f"_n{other}_{n}"))
+            back = F.coalesce(F.sum(seen).over(before), F.lit(0)) + F.coalesce(F.sum(seen).over(after), F.lit(0))
+            met[f"_m{side}_{n}"] = F.coalesce(F.col(f"_{side}_{n}") & (F.col(f"_n{side}_{n}") == 1) & (back == 1), F.lit(False))
+        if payload is not None:
+            own = F.when(F.col(f"_b_{n}"), payload)
+            met[f"_p_{n}"] = F.coalesce(F.first(own, ignorenulls=True).over(before), F.first(own, ignorenulls=True).over(after))
+    x = x.withColumns(met).filter(F.col("_block").eqNullSafe(home))
+    found = {n: F.col(f"_ma_{n}") | F.col(f"_mb_{n}") for n in roles}
+    if payload is not None:
+        found |= {f"{n}_partner": F.when(F.col(f"_ma_{n}"), F.col(f"_p_{n}")) for n in roles}
+    return x.select(*(F.col(f"`{c}`") for c in rows.columns), *(c.alias(n) for n, c in found.items()))
+
 
 def mutually_unique_pairs(left: DataFrame, right: DataFrame, keys: Sequence[str], position: str, tolerance: int) -> DataFrame:
     """Pairs of rows with equal keys and 0 < |difference of position| <= tolerance where each side has one candidate only.
 
-    position is a whole number in both frames. Rows meet by the bucket position // tolerance and its two neighbours, an
-    equi-join that shuffles by keys and bucket. Result: keys, left_position, right_position. A tolerance of 0 pairs nothing.
+    Result: keys, left_position, right_position.
     """
-    empty = left.select(*keys, F.col(position).alias("left_position"), F.col(position).alias("right_position"))
-    if tolerance <= 0:
-        return empty.filter(F.lit(False))
-
-    def bucket(c: Column) -> Column:
-        return F.floor(c / float(tolerance)).cast("long")
-
-    a = left.select(*keys, F.col(position).alias("left_position"), bucket(F.col(position)).alias("_b"))
-    b = right.select(*keys, F.col(position).alias("right_position"), F.explode(F.sequence(bucket(F.col(position)) - 1, bucket(F.col(position)) + 1)).alias("_b"))
-    gap = F.abs(F.col("left_position") - F.col("right_position"))
-    near = a.join(b, [*keys, "_b"]).filter((gap > 0) & (gap <= tolerance)).drop("_b")
-    one_left = F.count(F.lit(1)).over(W.partitionBy(*keys, "left_position"))
-    one_right = F.count(F.lit(1)).over(W.partitionBy(*keys, "right_position"))
-    return near.withColumns({"_l": one_left, "_r": one_right}).filter("_l = 1 AND _r = 1").drop("_l", "_r")
+    both = left.select(*keys, F.col(position).alias("_p"), F.lit(True).alias("_left")).unionByName(right.select(*keys, F.col(position).alias("_p"), F.lit(False).alias("_left")))
+    found = with_partners(both, keys, F.col("_p"), tolerance, {"_met": (F.col("_left"), ~F.col("_left"))}, F.col("_p"))
+    return found.filter("_met AND _left").select(*keys, F.col("_p").alias("left_position"), F.col("_met_partner").alias("right_position"))

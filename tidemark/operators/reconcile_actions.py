@@ -5,38 +5,44 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.matching import mutually_unique_pairs
+from tidemark.operators.matching import with_partners
 from tidemark.schemas import ACTION_KEY
 
 _ROW = ("split_ratio", "amount", "currency", "old_ticker", "new_ticker")
 METRIC_ORDER = ("duplicate_action", "availability", "effective_date", "split_ratio", "dividend_amount", "currency", "old_ticker", "new_ticker")
 
 
-def group_actions(actions: DataFrame) -> DataFrame:
-    return actions.groupBy(*ACTION_KEY).agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_set("raw_batch_id")).alias("raw"), F.min(F.struct(*_ROW)).alias("row"))
+def keyed_actions(left: DataFrame, right: DataFrame) -> DataFrame:
+    """One row a key of either side, from one shuffle: ln and rn count rows, lraw and rraw are the distinct raw batches sorted, l and r a row."""
+    every = left.select(*ACTION_KEY, F.lit("l").alias("_side"), "raw_batch_id", F.struct(*_ROW).alias("_row")).unionByName(right.select(*ACTION_KEY, F.lit("r").alias("_side"), "raw_batch_id", F.struct(*_ROW).alias("_row")))
+    found = []
+    for n in "lr":
+        own = F.col("_side") == n
+        found += [F.count_if(own).alias(f"{n}n"), F.array_sort(F.collect_set(F.when(own, F.col("raw_batch_id")))).alias(f"{n}raw"), F.min(F.when(own, F.col("_row"))).alias(n)]
+    return every.groupBy(*ACTION_KEY).agg(*found)
+
+
+def _aligned(keyed: DataFrame, days: int) -> DataFrame:
+    """Keyed actions where a single one of the right side only, at most `days` apart, has moved to its partner's date on the left."""
+    left, right = (F.col("ln") == 1) & (F.col("rn") == 0), (F.col("rn") == 1) & (F.col("ln") == 0)
+    own = F.struct(F.col("effective_date").alias("own_date"), "rn", "rraw", "r")
+    x = with_partners(keyed, ["instrument_id", "action_type"], F.unix_date("effective_date"), days, {"_shift": (left, right)}, own)
+    at = F.col("_shift_partner")
+    moved = {"own_date": F.when(at.isNotNull(), at.own_date).when(F.col("rn") > 0, F.col("effective_date"))} | {c: F.when(at.isNotNull(), at[c]).otherwise(F.col(c)) for c in ("rn", "rraw", "r")}
+    return x.filter(~(F.col("_shift") & right)).withColumns(moved).drop("_shift_partner")
 
 
 def aligned_actions(left: DataFrame, right: DataFrame, days: int) -> DataFrame:
     """Pairs of single unmatched actions of one instrument and type at most `days` apart: keys, left_date, right_date."""
-    alone_left = left.filter("n = 1").join(right.select(*ACTION_KEY), list(ACTION_KEY), "left_anti")
-    alone_right = right.filter("n = 1").join(left.select(*ACTION_KEY), list(ACTION_KEY), "left_anti")
-    day = F.unix_date("effective_date").cast("long").alias("at")
-    pairs = mutually_unique_pairs(alone_left.select("instrument_id", "action_type", day), alone_right.select("instrument_id", "action_type", day), ["instrument_id", "action_type"], "at", days)
-    return pairs.select("instrument_id", "action_type", F.date_from_unix_date(F.col("left_position").cast("int")).alias("left_date"), F.date_from_unix_date(F.col("right_position").cast("int")).alias("right_date"))
+    return _aligned(keyed_actions(left, right), days).filter("_shift").select("instrument_id", "action_type", F.col("effective_date").alias("left_date"), F.col("own_date").alias("right_date"))
 
 
 def compare_actions(left: DataFrame, right: DataFrame, days: int = 7) -> DataFrame:
     """Findings over actions: key, ordinal, metric, classification, both values as text, raw batches of both sides. Values compare exactly."""
     if not 0 <= days <= 7:
         raise ValueError("dates may be aligned over seven days at most")
-    lg, rg = group_actions(left), group_actions(right)
-    pairs = aligned_actions(lg, rg, days)
     keys = list(ACTION_KEY)
-    named = pairs.select("instrument_id", "action_type", F.col("right_date").alias("effective_date"), F.col("left_date").alias("_to"))
-    moved = rg.join(named, keys, "left").select("instrument_id", "action_type", F.coalesce("_to", "effective_date").alias("effective_date"), F.col("effective_date").alias("own_date"), F.col("n").alias("rn"), F.col("raw").alias("rraw"), F.col("row").alias("r"))
-    both = lg.select(*keys, F.col("n").alias("ln"), F.col("raw").alias("lraw"), F.col("row").alias("l")).join(moved, keys, "full")
-    empty = F.array().cast("array<string>")
-    both = both.withColumns({"ln": F.coalesce("ln", F.lit(0)), "rn": F.coalesce("rn", F.lit(0)), "lraw": F.coalesce("lraw", empty), "rraw": F.coalesce("rraw", empty)})
+    both = _aligned(keyed_actions(left, right), days)
 
     def finding(metric: str, kind: str, a: Column, b: Column) -> Column:
         return F.struct(F.lit(METRIC_ORDER.index(metric)).alias("ordinal"), F.lit(metric).alias("metric"), F.lit(kind).alias("classification"), a.cast("string").alias("left_text"), b.cast("string").alias("right_text"))
@@ -67,9 +73,13 @@ def compare_actions(left: DataFrame, right: DataFrame, days: int = 7) -> DataFra
     return listed.select(*keys, "f.*", F.col("lraw").alias("left_raw"), F.col("rraw").alias("right_raw"))
 
 
-def action_metrics(actions: DataFrame, provider: str) -> DataFrame:
-    g = group_actions(actions)
-    return g.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("observations"), F.count(F.lit(1)).alias("unique_keys"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicates")).select(F.lit(provider).alias("provider"), "*")
+def action_metrics(left: DataFrame, right: DataFrame, providers: tuple[str, str]) -> DataFrame:
+    """One row a provider: observations, unique keys and surplus rows, from one pass over the keys."""
+    totals = []
+    for n, provider in zip("lr", providers, strict=True):
+        rows = F.col(f"{n}n")
+        totals.append(F.struct(F.lit(provider).alias("provider"), F.coalesce(F.sum(rows), F.lit(0)).alias("observations"), F.count_if(rows > 0).alias("unique_keys"), F.coalesce(F.sum(F.when(rows > 0, rows - 1)), F.lit(0)).alias("duplicates")))
+    return keyed_actions(left, right).agg(F.array(*totals).alias("x")).select(F.explode("x").alias("x")).select("x.*")
 
 
 def action_counts(actions: DataFrame) -> DataFrame:

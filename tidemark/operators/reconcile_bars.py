@@ -9,10 +9,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import iso
-from tidemark.operators.matching import mutually_unique_pairs
+from tidemark.operators.matching import with_partners
 from tidemark.schemas import BAR_KEY, CLASSES, NUMERIC_METRICS
 
 _ROW = ("timestamp_end", "session", "adjustment_state", "currency", *NUMERIC_METRICS)
+#: Seconds of a block of observations that are matched together.
+BLOCK_SECONDS = 21_600
 #: Findings of a key come in this order.
 METRIC_ORDER = ("duplicate_bar", "availability", "interval_boundary", "session", "adjustment", "currency", *NUMERIC_METRICS)
 
@@ -54,41 +56,55 @@ def nearly_equal(a: Column, b: Column, absolute: float, relative: float) -> Colu
     return (a.isNull() & b.isNull()) | F.coalesce(close, F.lit(False)) | F.coalesce(a == b, F.lit(False))
 
 
-def group_bars(bars: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """One row a key: how many rows, their distinct raw batches sorted, and a row (the row, where there is one)."""
-    return bars.groupBy(*by, *BAR_KEY).agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_set("raw_batch_id")).alias("raw"), F.min(F.struct(*_ROW)).alias("row"))
+def keyed_bars(left: DataFrame, right: DataFrame | None = None, expected: DataFrame | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """One row a key that either side has or that is expected, from one shuffle of all three.
 
-
-def aligned(left: DataFrame, right: DataFrame, by: Sequence[str], seconds: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs of single unmatched 5m keys shifted by at most `seconds`, and right with the paired keys renamed to left's."""
+    For left (l) and right (r): ln and rn count rows, lraw and rraw are the distinct raw batches sorted, l and r a row (the
+    row, where there is one); `wanted` tells whether the key is expected.
+    """
     keys = [*by, *BAR_KEY]
+    row = F.struct(*_ROW)
+    sides = [x.select(*keys, F.lit(n).alias("_side"), F.col("raw_batch_id").alias("_raw"), row.alias("_row")) for n, x in (("l", left), ("r", right)) if x is not None]
+    if expected is not None:
+        kind = left.select(row.alias("x")).schema[0].dataType
+        sides.append(expected.select(*keys, F.lit("e").alias("_side"), F.lit(None).cast("string").alias("_raw"), F.lit(None).cast(kind).alias("_row")))
+    every = sides[0]
+    for x in sides[1:]:
+        every = every.unionByName(x)
+    found = {}
+    for n in "lr":
+        own = F.col("_side") == n
+        found |= {f"{n}n": F.count_if(own), f"{n}raw": F.array_sort(F.collect_set(F.when(own, F.col("_raw")))), n: F.min(F.when(own, F.col("_row")))}
+    return every.groupBy(*keys).agg(*(c.alias(n) for n, c in found.items()), F.max(F.col("_side") == "e").alias("wanted"))
+
+
+def _aligned(keyed: DataFrame, by: Sequence[str], seconds: int) -> DataFrame:
+    """Keyed bars where a single 5m row of the right side only, shifted by at most `seconds`, has moved to its partner's key on the left."""
     five = F.col("timeframe") == "5m"
-    alone_left = left.filter(five & (F.col("n") == 1)).join(right.select(*keys), keys, "left_anti")
-    alone_right = right.filter(five & (F.col("n") == 1)).join(left.select(*keys), keys, "left_anti")
-    at = F.unix_micros("timestamp_start").alias("at")
-    pairs = mutually_unique_pairs(alone_left.select(*by, "instrument_id", "timeframe", at), alone_right.select(*by, "instrument_id", "timeframe", at), [*by, "instrument_id", "timeframe"], "at", seconds * 1_000_000)
-    named = pairs.select(*by, "instrument_id", "timeframe", F.timestamp_micros("left_position").alias("_to"), F.timestamp_micros("right_position").alias("timestamp_start"))
-    moved = right.join(named, keys, "left").withColumns({"own_start": F.col("timestamp_start"), "timestamp_start": F.coalesce("_to", "timestamp_start")}).drop("_to")
-    return named, moved
+    left = five & (F.col("ln") == 1) & (F.col("rn") == 0)
+    right = five & (F.col("rn") == 1) & (F.col("ln") == 0)
+    own = F.struct(F.col("timestamp_start").alias("own_start"), "rn", "rraw", "r")
+    x = with_partners(keyed, [*by, "instrument_id", "timeframe"], F.unix_micros("timestamp_start"), seconds * 1_000_000, {"_shift": (left, right)}, own, BLOCK_SECONDS * 1_000_000)
+    at = F.col("_shift_partner")
+    moved = {"own_start": F.when(at.isNotNull(), at.own_start).when(F.col("rn") > 0, F.col("timestamp_start"))} | {c: F.when(at.isNotNull(), at[c]).otherwise(F.col(c)) for c in ("rn", "rraw", "r")}
+    return x.filter(~(F.col("_shift") & right)).withColumns(moved).drop("_shift_partner")
 
 
-def compare_bars(left: DataFrame, right: DataFrame, config: BarComparison, expected: DataFrame | None = None, by: Sequence[str] = (), venue_where: Column | None = None) -> DataFrame:
-    """Findings: key, ordinal, metric, classification, left and right value (number or text), and raw batches of both sides.
+def shifted_pairs(left: DataFrame, right: DataFrame, by: Sequence[str] = (), seconds: int = 60) -> DataFrame:
+    """Pairs of single 5m keys that one side lacks each, shifted by at most `seconds`: by, instrument_id, timeframe, left_start, right_start."""
+    x = _aligned(keyed_bars(left, right, by=by), by, seconds).filter("_shift")
+    return x.select(*by, "instrument_id", "timeframe", F.col("timestamp_start").alias("left_start"), F.col("own_start").alias("right_start"))
+
+
+def compared_bars(left: DataFrame, right: DataFrame, config: BarComparison, expected: DataFrame | None = None, by: Sequence[str] = (), venue_where: Column | None = None) -> DataFrame:
+    """One row a key with its rows on both sides (ln, rn), raw batches and an array `found` of findings.
 
     A key with several rows on a side is one duplicate finding; a key that a side lacks is one availability finding; else
     interval, session, adjustment, currency and then each number are compared. `by` names further key columns. With
     `venue_where` (a condition on the key), differences of venue metrics are the venue's only where it holds.
     """
     keys = [*by, *BAR_KEY]
-    lg, rg = group_bars(left, by), group_bars(right, by)
-    pairs, moved = aligned(lg, rg, by, config.tolerance.alignment_seconds)
-    a = lg.select(*keys, F.col("n").alias("ln"), F.col("raw").alias("lraw"), F.col("row").alias("l"))
-    b = moved.select(*keys, F.col("own_start"), F.col("n").alias("rn"), F.col("raw").alias("rraw"), F.col("row").alias("r"))
-    both = a.join(b, keys, "full")
-    if expected is not None:
-        wanted = expected.select(*keys).distinct().join(pairs.select(*keys), keys, "left_anti")
-        both = both.join(wanted, keys, "full")
-    both = both.withColumns({"ln": F.coalesce("ln", F.lit(0)), "rn": F.coalesce("rn", F.lit(0)), "lraw": F.coalesce("lraw", F.array().cast("array<string>")), "rraw": F.coalesce("rraw", F.array().cast("array<string>"))})
+    both = _aligned(keyed_bars(left, right, expected, by), by, config.tolerance.alignment_seconds)
 
     def value(side: str, name: str) -> Column:
         return F.col(f"{side}.{name}")
@@ -126,31 +142,49 @@ def compare_bars(left: DataFrame, right: DataFrame, config: BarComparison, expec
             kind = F.when(adjusted, "adjustment_difference").when(session | moved_bounds, timing)
             kind = kind.when(F.lit(m in config.venue_metrics) & (F.lit(True) if venue_where is None else venue_where), "venue_feed_difference").otherwise("unresolved_discrepancy")
             found.append(F.when(one & ~nearly_equal(value("l", m), value("r", m), absolute, relative), finding(m, kind, value("l", m), value("r", m))))
-    listed = both.select(*keys, "lraw", "rraw", F.explode(F.array_compact(F.array(*found))).alias("f"))
-    return listed.select(*keys, "f.*", F.col("lraw").alias("left_raw"), F.col("rraw").alias("right_raw"))
+    return both.select(*keys, "ln", "rn", "lraw", "rraw", F.array_compact(F.array(*found)).alias("found"))
 
 
-def missing_expected(groups: DataFrame, expected: DataFrame, seconds: int, by: Sequence[str] = ()) -> DataFrame:
-    """Expected keys that are not observed, less those aligned with an observed key that isn't expected (several rows count too)."""
-    keys = [*by, *BAR_KEY]
-    wanted = expected.select(*keys).distinct()
-    absent = wanted.join(groups.select(*keys), keys, "left_anti")
-    spare = groups.join(wanted, keys, "left_anti")
-    at = F.unix_micros("timestamp_start").alias("at")
-    five = F.col("timeframe") == "5m"
-    pairs = mutually_unique_pairs(absent.filter(five).select(*by, "instrument_id", "timeframe", at), spare.filter(five).select(*by, "instrument_id", "timeframe", at), [*by, "instrument_id", "timeframe"], "at", seconds * 1_000_000)
-    met = pairs.select(*by, "instrument_id", "timeframe", F.timestamp_micros("left_position").alias("timestamp_start"))
-    return absent.join(met, keys, "left_anti")
+def findings_of(compared: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Findings: key, ordinal, metric, classification, left and right value (number or text), and raw batches of both sides."""
+    listed = compared.select(*by, *BAR_KEY, "lraw", "rraw", F.explode("found").alias("f"))
+    return listed.select(*by, *BAR_KEY, "f.*", F.col("lraw").alias("left_raw"), F.col("rraw").alias("right_raw"))
+
 
+def compare_bars(left: DataFrame, right: DataFrame, config: BarComparison, expected: DataFrame | None = None, by: Sequence[str] = (), venue_where: Column | None = None) -> DataFrame:
+    """The findings of compared_bars()."""
+    return findings_of(compared_bars(left, right, config, expected, by, venue_where), by)
+
+
+def coverage(left: DataFrame, right: DataFrame | None, expected: DataFrame, by: Sequence[str] = (), seconds: int = 60) -> DataFrame:
+    """Keyed bars with left_missing and right_missing: expected keys that a side lacks.
+
+    A 5m key that a side lacks isn't missing if it is aligned with a key that the side has and nobody expects (several rows count too).
+    """
+    wanted, five = F.col("wanted"), F.col("timeframe") == "5m"
+    roles = {f"_{n}": (five & wanted & (F.col(f"{n}n") == 0), five & ~wanted & (F.col(f"{n}n") > 0)) for n in "lr"}
+    x = with_partners(keyed_bars(left, right, expected, by), [*by, "instrument_id", "timeframe"], F.unix_micros("timestamp_start"), seconds * 1_000_000, roles, block=BLOCK_SECONDS * 1_000_000)
+    return x.withColumns({f"{side}_missing": wanted & (F.col(f"{n}n") == 0) & ~F.col(f"_{n}") for n, side in (("l", "left"), ("r", "right"))}).drop(*roles)
 
-def provider_metrics(bars: DataFrame, expected: DataFrame, provider: str, seconds: int = 60) -> DataFrame:
-    """One row: observations, unique keys, surplus rows, expected and missing keys of a provider."""
-    groups = group_bars(bars)
-    own = groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("observations"), F.count(F.lit(1)).alias("unique_keys"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicates"))
-    want = expected.select(*BAR_KEY).distinct().agg(F.count(F.lit(1)).alias("expected"))
-    miss = missing_expected(groups, expected, seconds).agg(F.count(F.lit(1)).alias("missing"))
-    one = F.lit(1).alias("_k")
-    return own.select("*", one).join(want.select("*", one), "_k").join(miss.select("*", one), "_k").select(F.lit(provider).alias("provider"), "observations", "unique_keys", "duplicates", "expected", "missing")
+
+def missing_expected(bars: DataFrame, expected: DataFrame, seconds: int = 60, by: Sequence[str] = ()) -> DataFrame:
+    """Expected keys that the bars lack, less the aligned ones."""
+    return coverage(bars, None, expected, by, seconds).filter("left_missing").select(*by, *BAR_KEY)
+
+
+def provider_metrics(left: DataFrame, right: DataFrame, expected: DataFrame, providers: tuple[str, str], seconds: int = 60) -> DataFrame:
+    """One row a provider: observations, unique keys, surplus rows, expected and missing keys, all from one pass over the keys."""
+    x = coverage(left, right, expected, (), seconds)
+    totals = []
+    for n, side in (("l", "left"), ("r", "right")):
+        rows = F.col(f"{n}n")
+        totals.append(
+            F.struct(
+                F.lit(providers["lr".index(n)]).alias("provider"), F.coalesce(F.sum(rows), F.lit(0)).alias("observations"), F.count_if(rows > 0).alias("unique_keys"), F.coalesce(F.sum(F.when(rows > 0, rows - 1)), F.lit(0)).alias("duplicates"),
+                F.count_if("wanted").alias("expected"), F.count_if(f"{side}_missing").alias("missing"),
+            )
+        )
+    return x.agg(F.array(*totals).alias("x")).select(F.explode("x").alias("x")).select("x.*")
 
 
 def ordered_findings(findings: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -188,18 +222,23 @@ def numeric_differences(findings: DataFrame) -> DataFrame:
     return both.groupBy("metric").agg(F.count(F.lit(1)).alias("findings"), F.avg(gap).alias("mean_absolute"), F.max(gap).alias("max_absolute"), F.avg(share).alias("mean_relative"), F.max(share).alias("max_relative"))
 
 
-def compare_segments(left: DataFrame, right: DataFrame, providers: tuple[str, str], intraday: Column, expected: DataFrame | None = None, segment: str = "segment") -> DataFrame:
-    """Findings within segments: VWAP is never compared, and differences of volume are the venue's in intraday segments only."""
+def compared_segments(left: DataFrame, right: DataFrame, providers: tuple[str, str], intraday: Column, expected: DataFrame | None = None, segment: str = "segment") -> DataFrame:
+    """compared_bars() within segments: VWAP is never compared, and differences of volume are the venue's in intraday segments only."""
     config = BarComparison(*providers, venue_metrics=frozenset({"volume"}), excluded_metrics=frozenset({"vwap"}))
-    return compare_bars(left, right, config, expected, (segment,), intraday)
+    return compared_bars(left, right, config, expected, (segment,), intraday)
 
 
-def segment_rollup(left: DataFrame, right: DataFrame, findings: DataFrame, segment: str = "segment") -> DataFrame:
+def segment_rollup(compared: DataFrame, segment: str = "segment") -> DataFrame:
     """Per segment: rows of both sides, findings, those of duplicates and of the venue, and whether it passes (rows on both sides, no duplicates)."""
-    l_rows = left.groupBy(segment).agg(F.count(F.lit(1)).alias("left_rows"))
-    r_rows = right.groupBy(segment).agg(F.count(F.lit(1)).alias("right_rows"))
-    f_rows = findings.groupBy(segment).agg(F.count(F.lit(1)).alias("findings"), F.count_if(F.col("metric") == "duplicate_bar").alias("duplicates"), F.count_if(F.col("classification") == "venue_feed_difference").alias("venue"))
-    x = l_rows.join(r_rows, segment, "full").join(f_rows, segment, "full").fillna(0)
+
+    def which(name: str, value: str) -> Column:
+        return F.sum(F.size(F.filter("found", lambda f: f[name] == value)))
+
+    x = compared.groupBy(segment).agg(
+        F.sum("ln").alias("left_rows"), F.sum("rn").alias("right_rows"), F.sum(F.size("found")).cast("long").alias("findings"),
+        which("metric", "duplicate_bar").cast("long").alias("duplicates"), which("classification", "venue_feed_difference").cast("long").alias("venue"),
+    )
+    x = x.filter("left_rows > 0 OR right_rows > 0 OR findings > 0")
     return x.withColumn("passed", (F.col("left_rows") > 0) & (F.col("right_rows") > 0) & (F.col("duplicates") == 0))
 
 

@@ -25,13 +25,11 @@ def action_findings(spark, sf_dir):
 
 
 def action_shifted_pairs(spark, sf_dir):
-    a, b = (ra.group_actions(x) for x in sides(spark, sf_dir))
-    return ra.aligned_actions(a, b, 7).select("instrument_id", "action_type", _DAY("left_date", "yyyy-MM-dd").alias("left_date"), _DAY("right_date", "yyyy-MM-dd").alias("right_date"))
+    return ra.aligned_actions(*sides(spark, sf_dir), 7).select("instrument_id", "action_type", _DAY("left_date", "yyyy-MM-dd").alias("left_date"), _DAY("right_date", "yyyy-MM-dd").alias("right_date"))
 
 
 def action_provider_metrics(spark, sf_dir):
-    a, b = sides(spark, sf_dir)
-    return ra.action_metrics(a, "left").unionByName(ra.action_metrics(b, "right"))
+    return ra.action_metrics(*sides(spark, sf_dir), ("left", "right"))
 
 
 def action_counts(spark, sf_dir):

@@ -19,8 +19,8 @@ def sides(spark, sf_dir):
 
 def expected(left):
     """Keys that both sides should have: left's, and some ten minutes later that mostly nobody has."""
-    later = left.filter(F.col("raw_batch_id").endswith("7")).withColumn("timestamp_start", F.expr("timestamp_start + INTERVAL '10' MINUTE"))
-    return left.select(*BAR_KEY).unionByName(later.select(*BAR_KEY)).distinct()
+    starts = F.array_compact(F.array("timestamp_start", F.when(F.col("raw_batch_id").endswith("7"), F.expr("timestamp_start + INTERVAL '10' MINUTE"))))
+    return left.select("instrument_id", "timeframe", F.explode(starts).alias("timestamp_start"))
 
 
 def findings(spark, sf_dir):
@@ -37,25 +37,23 @@ def bar_findings(spark, sf_dir):
 
 def shifted_pairs(spark, sf_dir):
     left, right = sides(spark, sf_dir)
-    pairs, _ = rb.aligned(rb.group_bars(left), rb.group_bars(right), (), 60)
-    return pairs.select("instrument_id", "timeframe", F.unix_micros("_to").alias("left_us"), F.unix_micros("timestamp_start").alias("right_us"))
+    return rb.shifted_pairs(left, right).select("instrument_id", "timeframe", F.unix_micros("left_start").alias("left_us"), F.unix_micros("right_start").alias("right_us"))
 
 
 def bar_provider_metrics(spark, sf_dir):
     left, right = sides(spark, sf_dir)
-    want = expected(left)
-    return rb.provider_metrics(left, want, "left").unionByName(rb.provider_metrics(right, want, "right"))
+    return rb.provider_metrics(left, right, expected(left), ("left", "right"))
 
 
 def missing_expected(spark, sf_dir):
     left, right = sides(spark, sf_dir)
-    return rb.missing_expected(rb.group_bars(right), expected(left), 60).select("instrument_id", "timeframe", F.unix_micros("timestamp_start").alias("start_us"))
+    return rb.missing_expected(right, expected(left)).select("instrument_id", "timeframe", F.unix_micros("timestamp_start").alias("start_us"))
 
 
 def segment_rollup(spark, sf_dir):
     """Segments here are the timeframes and years of the bars."""
     left, right = (x.withColumn("segment", F.concat_ws("-", "timeframe", F.year("timestamp_start"))) for x in sides(spark, sf_dir))
-    return rb.segment_rollup(left, right, rb.compare_segments(left, right, ("left", "right"), F.col("segment").startswith("5m")))
+    return rb.segment_rollup(rb.compared_segments(left, right, ("left", "right"), F.col("segment").startswith("5m")))
 
 
 def first_findings(spark, sf_dir):
@@ -125,6 +123,18 @@ met_{side} AS (SELECT * FROM near_{side} QUALIFY count(*) OVER (PARTITION BY ins
 missing_{side} AS (SELECT * FROM absent_{side} ANTI JOIN met_{side} USING (instrument_id, timeframe, ts))"""
 
 
+#: Each side is read once, and near keys meet by minute.
+MISSING = f"""
+WITH l AS MATERIALIZED (SELECT instrument_id, timeframe, timestamp_start AS ts, raw_batch_id FROM ({LEFT})), r AS MATERIALIZED (SELECT instrument_id, timeframe, timestamp_start AS ts FROM ({RIGHT})),
+k AS MATERIALIZED (
+  SELECT instrument_id, timeframe, ts, max(wanted) AS wanted, max(1 - wanted) AS seen
+  FROM (SELECT instrument_id, timeframe, ts, 1 AS wanted FROM l UNION ALL SELECT instrument_id, timeframe, ts + INTERVAL 10 MINUTE, 1 FROM l WHERE raw_batch_id LIKE '%7' UNION ALL SELECT instrument_id, timeframe, ts, 0 FROM r) GROUP BY 1, 2, 3),
+m AS (SELECT *, epoch_us(ts) // 60000000 AS minute FROM k WHERE wanted = 1 AND seen = 0),
+s AS (SELECT instrument_id, timeframe, ts AS sts, unnest([epoch_us(ts) // 60000000 - 1, epoch_us(ts) // 60000000, epoch_us(ts) // 60000000 + 1]) AS minute FROM k WHERE wanted = 0 AND seen = 1 AND timeframe = '5m'),
+near AS (SELECT m.instrument_id, m.timeframe, ts, sts FROM m JOIN s USING (instrument_id, timeframe, minute) WHERE abs(epoch_us(ts) - epoch_us(sts)) <= 60000000),
+met AS (SELECT * FROM near QUALIFY count(*) OVER (PARTITION BY instrument_id, timeframe, ts) = 1 AND count(*) OVER (PARTITION BY instrument_id, timeframe, sts) = 1)
+SELECT instrument_id, timeframe, epoch_us(ts) AS start_us FROM m ANTI JOIN met USING (instrument_id, timeframe, ts)"""
+
 _NUM = "open, high, low, close, volume"
 QUERIES = {
     "bar_findings": (
@@ -144,7 +154,7 @@ QUERIES = {
 SELECT metric, count(*) AS findings, round(avg(g), 4) AS mean_absolute, max(g) AS max_absolute, round(avg(s), 8) AS mean_relative, max(s) AS max_relative FROM d GROUP BY 1""",
     ),
     "shifted_pairs": (shifted_pairs, FOUND + "SELECT instrument_id, timeframe, epoch_us(ts) AS left_us, epoch_us(rts) AS right_us FROM pairs"),
-    "missing_expected": (missing_expected, f"{BASE} {_grouped('r')}, {_missing('r')} SELECT instrument_id, timeframe, epoch_us(ts) AS start_us FROM missing_r"),
+    "missing_expected": (missing_expected, MISSING),
     "bar_provider_metrics": (
         bar_provider_metrics,
         f"{BASE} {_grouped('l')}, {_grouped('r')}, {_missing('l')}, {_missing('r')} "
