@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,18 +57,42 @@ def violation_counts(df: DataFrame) -> DataFrame:
     return counts.select(F.explode(F.array(*(F.struct(F.lit(k).alias("check"), F.col(k).alias("rows")) for k in found))).alias("x")).select("x.*")
 
 
+def _shaped(plain: DataFrame) -> DataFrame:
+    shaped = {c: canonical_uuid(F.col(c)) for c in UUID_COLUMNS}
+    shaped["quality_flags"] = F.array_sort(trimmed_flags(F.col("quality_flags")))
+    return plain.withColumns(shaped).select(*BAR_COLUMNS)
+
+
+def _plain(df: DataFrame) -> DataFrame:
+    check_columns(df)
+    return df.select(*(F.col(f.name).cast("array<string>" if f.name == "quality_flags" else f.dataType).alias(f.name) for f in BAR_SCHEMA))
+
+
 def coerce(df: DataFrame, verify: bool = True) -> DataFrame:
     """The frame cast to the canonical schema, UUIDs canonical, flags trimmed and sorted. With verify, one aggregate fails on any bad row."""
-    check_columns(df)
-    plain = df.select(*(F.col(f.name).cast("array<string>" if f.name == "quality_flags" else f.dataType).alias(f.name) for f in BAR_SCHEMA))
+    plain = _plain(df)
     if verify:
         counts = plain.agg(*(F.count_if(v).alias(k) for k, v in violations().items())).first().asDict()
         failed = {k: n for k, n in counts.items() if n}
         if failed:
             raise CanonicalError(f"rows failing checks: {failed}")
-    shaped = {c: canonical_uuid(F.col(c)) for c in UUID_COLUMNS}
-    shaped["quality_flags"] = F.array_sort(trimmed_flags(F.col("quality_flags")))
-    return plain.withColumns(shaped).select(*BAR_COLUMNS)
+    return _shaped(plain)
+
+
+def coerce_watched(df: DataFrame) -> tuple[DataFrame, Callable[[], None]]:
+    """The coerced frame and a check for after the job that computes its rows (one at least), which fails if any row broke a rule.
+
+    Violations are counted as rows pass, so a job that writes the frame reads its input once.
+    """
+    watch = Observation()
+    seen = _plain(df).observe(watch, *(F.count_if(v).alias(k) for k, v in violations().items()))
+
+    def check() -> None:
+        failed = {k: n for k, n in watch.get.items() if n}
+        if failed:
+            raise CanonicalError(f"rows failing checks: {failed}")
+
+    return _shaped(seen), check
 
 
 def empty_bars(spark) -> DataFrame:

@@ -21,15 +21,18 @@ def counts_of(rows: DataFrame, by: str, code: str, name: str) -> DataFrame:
     return counts.groupBy(by).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(code, "n")))).alias(name))
 
 
-def batch_metrics(pages: DataFrame, bars: DataFrame, issues: DataFrame) -> DataFrame:
+def batch_metrics(pages: DataFrame, bars: DataFrame, issues: DataFrame, batch_errors: DataFrame | None = None) -> DataFrame:
     """Per raw batch: payload size, rows, issues and flags with counts by code, months stored, numbers of its request, and passes.
 
-    A batch passes with rows and without an error issue. pages has raw_batch_id, payload and, if known, provider, dataset
+    A batch passes with rows and without an error issue; a batch error counts as one. pages has raw_batch_id, payload and, if known, provider, dataset
     and request_metadata.
     """
     month = F.struct("timeframe", F.trunc("timestamp_start", "month"))
     rows = bars.groupBy("raw_batch_id").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size("quality_flags")).alias("flags"), F.count_distinct(month).alias("parts"))
     found = issues.groupBy("raw_batch_id").agg(F.count(F.lit(1)).alias("issues"), F.count_if(F.col("severity") == "error").alias("errors"))
+    if batch_errors is not None:
+        issues = issues.select("raw_batch_id", "code", "severity").unionByName(batch_errors.select("raw_batch_id", F.col("reason").alias("code"), F.lit("error").alias("severity")))
+        found = issues.groupBy("raw_batch_id").agg(F.count(F.lit(1)).alias("issues"), F.count_if(F.col("severity") == "error").alias("errors"))
     flag_counts = counts_of(bars.select("raw_batch_id", F.explode("quality_flags").alias("flag")), "raw_batch_id", "flag", "flag_counts")
     known = [c for c in ("provider", "dataset") if c in pages.columns]
     number = lambda n: safe_number(F.col("request_metadata")[n]) if "request_metadata" in pages.columns else F.lit(None).cast("double")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from tidemark.operators import metrics
@@ -11,20 +9,22 @@ from tidemark.operators.validation import validate_bars
 from tidemark.plans import adapters
 from tidemark.plans import normalize_queries as nq
 from tidemark.plans.adapters import table
-from tidemark.plans.raw_queries import shared
-from tidemark.sources.normalize import normalize_symbol_map
+from tidemark.plans.flow import bound_normalizer, process_pages
+from tidemark.sources import raw
+from tidemark.sources.files import scratch_folder
+from tidemark.sources.normalize import stored
 from tidemark.sources.store import BarStore
 from tidemark.streaming.ingest import ingest_available
 
 
 def _metrics(spark, sf_dir):
-    """Metrics of each raw batch of the symbol-map and series shapes; the batch's order stands for its page."""
+    """Metrics of each raw batch of the symbol-map and series shapes, whose pages are parsed once each; the batch's order stands for its page."""
     orders = table(spark, sf_dir, "lineitem").select(F.concat(F.lit("b"), F.col("l_orderkey").cast("string")).alias("raw_batch_id")).distinct().withColumn("payload", F.encode("raw_batch_id", "UTF-8"))
     number = F.substring("raw_batch_id", 2, 20).cast("long")
     orders = orders.withColumn("request_metadata", F.create_map(F.lit("latency_ms"), F.when(number % 10 == 3, "fast").otherwise((number % 500).cast("string")), F.lit("rate_limit_remaining"), (number % 97 + 5).cast("string"), F.lit("api_credits_used"), F.when(number % 4 == 0, (number % 7).cast("string"))))
     out = None
     for shape in ("symbol_map", "series"):
-        x = nq.SHAPES[shape](spark, sf_dir)
+        x = stored(nq.SHAPES[shape](spark, sf_dir), scratch_folder(spark, "outcome"))
         m = metrics.batch_metrics(orders, validate_bars(x.rows), x.issues).withColumn("shape", F.lit(shape))
         out = m if out is None else out.unionByName(m)
     return out
@@ -39,7 +39,7 @@ def pipeline_summary(spark, sf_dir):
 
 def _summary_of(spark, sf_dir):
     """Batch metrics are written once, since the summary reads them three times."""
-    path = f"{shared(spark)}/tidemark-metrics-{uuid.uuid4().hex}"
+    path = scratch_folder(spark, "metrics")
     found = _metrics(spark, sf_dir)
     found.write.parquet(path)
     return metrics.pipeline_summary(spark.read.schema(found.schema).parquet(path), "shape")
@@ -61,20 +61,53 @@ def ticker_continuity(spark, sf_dir):
     return metrics.continuity(lines, F.col("l_partkey") % 50 != 0)
 
 
-def page_stream(spark, sf_dir):
-    """Pages land as files and stream into a store; the result counts the store's bars by year."""
-    root = f"{shared(spark)}/tidemark-stream-{uuid.uuid4().hex}"
-    pages = nq.symbol_map_pages(spark, sf_dir)
-    pages.write.parquet(f"{root}/landing")
-    store = BarStore(spark, f"{root}/store")
-    refs, sessions = nq._refs(spark, sf_dir), nq._calendar(spark, sf_dir)
+def _uuid(c, kind: int):
+    return F.concat(F.lit(f"00000000-0000-4000-8{kind:03d}-"), F.lpad(F.regexp_replace(c, "[a-z]", ""), 12, "0"))
+
+
+def _batches(spark, sf_dir):
+    """Raw batches of the symbol-map pages. Some name an unknown request, come from another source, or say another session than asked for."""
+    k = F.regexp_replace("raw_batch_id", "b", "").cast("long")
+    x = nq.symbol_map_pages(spark, sf_dir)
+    return x.select(
+        _uuid(F.col("raw_batch_id"), 3).alias("batch_id"), F.when(k % 29 == 0, "r0").otherwise("r1").alias("request_id"), F.when(k % 31 == 0, _uuid(F.lit("9"), 2)).otherwise(_uuid(F.lit("1"), 2)).alias("source_id"),
+        F.lit("P").alias("provider"), F.when(k % 2 == 0, "bars").otherwise("bars again").alias("dataset"), F.lit("/v2/bars").alias("endpoint"), "retrieved_at", "ingested_at", F.lit("application/json").alias("media_type"),
+        F.create_map(F.lit("session"), F.when(k % 37 == 0, "overnight").otherwise("regular")).alias("request_metadata"), "payload",
+    )
+
+
+def _requests(spark):
+    """The one request that the pages answer."""
+    start, end = (F.lit(x).cast("timestamp") for x in (nq._START, nq._END))
+    return spark.range(1).select(
+        F.lit("r1").alias("request_id"), _uuid(F.lit("1"), 2).alias("source_id"), F.create_map(F.lit("session"), F.lit("regular")).alias("expected_metadata"),
+        F.lit("5m").alias("timeframe"), start.alias("start"), end.alias("end"), F.lit("regular").alias("session"), F.lit("unadjusted").alias("adjustment_state"), F.lit(True).alias("daily_verified"),
+    )
 
-    def normalizer(p):
-        x = normalize_symbol_map(p, refs, sessions)
-        ids = lambda c, k: F.concat(F.lit(f"00000000-0000-4000-8{k:03d}-"), F.lpad(F.regexp_replace(c, "[a-z]", ""), 12, "0"))
-        return type(x)(x.rows.withColumns({"instrument_id": ids("instrument_id", 1), "source_id": ids("source_id", 2), "raw_batch_id": ids("raw_batch_id", 3)}), x.issues, x.batch_errors)
 
-    ingest_available(spark, f"{root}/landing", pages.schema, normalizer, store, f"{root}/checkpoint", side=f"{root}/side")
+def _instruments(spark, sf_dir):
+    return nq._refs(spark, sf_dir).withColumn("instrument_id", _uuid(F.col("instrument_id"), 1))
+
+
+def landed_flow(spark, sf_dir):
+    """All pages through landing, binding, normalization, store and read-back: batches by what became of them, with their rows and issues."""
+    root = scratch_folder(spark, "flow")
+    batches = _batches(spark, sf_dir)
+    done = process_pages(batches, _requests(spark), "symbol_map", _instruments(spark, sf_dir), nq._calendar(spark, sf_dir), f"{root}/raw", BarStore(spark, f"{root}/bars"))
+    x = done.metrics.join(done.batch_errors, "raw_batch_id", "left")
+    checks = F.bool_and(F.col("raw_pass") & F.col("replay_pass") & F.col("stored_pass") & F.col("query_pass") & ~F.col("replayed"))
+    return x.groupBy(F.coalesce("reason", F.lit("read")).alias("outcome")).agg(F.count(F.lit(1)).alias("batches"), F.sum("rows").alias("rows"), F.sum("issues").alias("issues"), F.count_if("normalization_pass").alias("passed"), checks.alias("whole"))
+
+
+def page_stream(spark, sf_dir):
+    """Pages that were landed stream into a store, twice, the second time as a stream that has forgotten all; the result counts the store's bars by year."""
+    root = scratch_folder(spark, "stream")
+    raw.land(_batches(spark, sf_dir), f"{root}/raw")
+    store = BarStore(spark, f"{root}/store")
+    normalizer = bound_normalizer("symbol_map", _requests(spark), _instruments(spark, sf_dir), nq._calendar(spark, sf_dir))
+    schema = spark.read.parquet(f"{root}/raw").schema
+    for turn in "ab":
+        ingest_available(spark, f"{root}/raw", schema, normalizer, store, f"{root}/checkpoint-{turn}", f"{root}/side-{turn}", name=f"stream-{turn}")
     return store.query().groupBy(F.year("timestamp_start").alias("year")).agg(F.count(F.lit(1)).alias("bars"), F.count_distinct("raw_batch_id").alias("batches"))
 
 
@@ -96,6 +129,7 @@ b_{shape} AS (SELECT o.l_orderkey, coalesce(r.n, 0) AS n, coalesce(f, 0) AS f, c
     return nq._CODES + f", {g}, " + ", ".join(parts) + f", summary AS ({union})"
 
 
+_BOUND = "CASE WHEN l_orderkey % 29 = 0 THEN 'request' WHEN l_orderkey % 31 = 0 THEN 'source' WHEN l_orderkey % 37 = 0 THEN 'request_metadata' ELSE 'read' END"
 _SUMMARY = _summary()
 _DAY = "CAST(timezone('America/New_York', timezone('UTC', timestamp_start)) AS DATE)"
 _LAST = "QUALIFY row_number() OVER (PARTITION BY {k}instrument_id, day ORDER BY timestamp_start DESC, raw_batch_id DESC, open DESC, high DESC, low DESC, close DESC) = 1"
@@ -114,5 +148,10 @@ c AS (SELECT source_id, a.adjustment_state AS adjustment, count(*) AS compared,
 SELECT source_id, adjustment, pages, rows, coalesce(compared, 0) AS compared, coalesce(different, 0) AS different FROM s LEFT JOIN c USING (source_id, adjustment)""",
     ),
     "ticker_continuity": (ticker_continuity, "SELECT CASE WHEN l_partkey % 50 <> 0 THEN 'mapped' ELSE 'unmapped' END AS mode, count(*) AS rows, count(DISTINCT l_orderkey) AS pages FROM lineitem GROUP BY 1"),
-    "page_stream": (page_stream, nq._CODES + " SELECT year(make_timestamp(t))::INTEGER AS year, count(*) AS bars, count(DISTINCT l_orderkey) AS batches FROM j WHERE mc IS NULL GROUP BY 1"),
+    "page_stream": (page_stream, nq._CODES + f" SELECT year(make_timestamp(t))::INTEGER AS year, count(*) AS bars, count(DISTINCT l_orderkey) AS batches FROM j WHERE mc IS NULL AND {_BOUND} = 'read' GROUP BY 1"),
+    "landed_flow": (
+        landed_flow,
+        nq._CODES + f""", b AS (SELECT l_orderkey, {_BOUND} AS outcome, count(*) FILTER (mc IS NULL) AS n, count(*) FILTER (mc IS NOT NULL) AS i, count(*) FILTER (mc IN ('unmapped_instrument', 'malformed_record')) AS e FROM j GROUP BY 1)
+SELECT outcome, count(*) AS batches, sum(CASE WHEN outcome = 'read' THEN n ELSE 0 END)::BIGINT AS rows, sum(CASE WHEN outcome = 'read' THEN i ELSE 1 END)::BIGINT AS issues, count(*) FILTER (outcome = 'read' AND e = 0) AS passed, true AS whole FROM b GROUP BY 1""",
+    ),
 }

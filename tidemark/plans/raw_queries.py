@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from datetime import UTC, datetime
 
 from pyspark.sql import functions as F
@@ -12,6 +11,7 @@ from tidemark.operators.canonical import coerce
 from tidemark.plans import adapters
 from tidemark.plans.adapters import table
 from tidemark.sources import normalize, raw, store
+from tidemark.sources.files import scratch_folder
 
 
 def _batches(spark, sf_dir):
@@ -128,25 +128,13 @@ def partition_keys(spark, sf_dir):
 
 def store_roundtrip(spark, sf_dir):
     """Bars written to the store, scanned back through partition pruning, counted by partition."""
-    root = f"{shared(spark)}/tidemark-store-{uuid.uuid4().hex}"
+    root = scratch_folder(spark, "store")
     bars = adapters.bars(spark, sf_dir)
     store.BarStore(spark, root).append(bars)
     back = store.BarStore(spark, root).query(QUERY)
     return back.groupBy("timeframe", F.year("timestamp_start").alias("year"), F.month("timestamp_start").alias("month")).agg(F.count(F.lit(1)).alias("bars"), F.count_distinct("instrument_id").alias("instruments"), F.max("high").alias("high"))
 
 
-def shared(spark) -> str:
-    """The folder that driver and executors share; a temporary one only in local mode."""
-    import tempfile
-
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        if spark.sparkContext.master.split("[")[0] != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="tidemark-")
-    return found.rstrip("/")
-
-
 def coerced_bars(spark, sf_dir):
     """Coercion of upper-case, braced ids and padded flags."""
     b = adapters.bars(spark, sf_dir).withColumns({"instrument_id": F.concat(F.lit("{"), F.upper("instrument_id"), F.lit("}")), "source_id": F.concat(F.lit("urn:uuid:"), F.col("source_id")), "raw_batch_id": F.regexp_replace("raw_batch_id", "-", ""), "quality_flags": F.array_union("quality_flags", F.array(F.lit(" a_flag\t")))})

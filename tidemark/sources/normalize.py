@@ -19,10 +19,17 @@ from pyspark.sql import functions as F
 from tidemark.functions.clock import new_york_date
 from tidemark.functions.text import finite
 from tidemark.operators.reconcile_actions import in_range
+from tidemark.schemas import BAR_COLUMNS
 from tidemark.sources.raw import parsed
 
 # Severities of issue codes (the rest are errors).
 SEVERITY = {"outside_requested_interval": "info", "outside_requested_session": "warning", "session_bounds_missing": "warning", "daily_semantics_unverified": "warning", "unsupported_corporate_action": "warning", "corporate_action_date_basis": "warning", "provider_definition": "info"}
+#: What an issue of a code says.
+MESSAGES = {
+    "malformed_record": "the record lacks a readable time or number", "unmapped_instrument": "the symbol isn't one of the request", "provider_response_error": "the provider returned no usable series",
+    "daily_semantics_unverified": "daily bars of this request aren't verified", "session_bounds_missing": "no session is known on that date", "outside_requested_session": "the bar lies outside the session", "outside_requested_interval": "the bar lies outside the requested interval",
+    "unsupported_corporate_action": "the kind of action isn't supported", "incomplete_corporate_action": "the action lacks a needed value", "corporate_action_date_basis": "dates are on the provider's basis", "provider_definition": "inferred from the provider's definition",
+}
 _RFC = r"^\d{4}-\d{2}-\d{2}[Tt ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?([Zz]|[+-]\d{2}:?\d{2})$"
 _NAIVE = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}(:\d{2})?$"
 _DATE = r"^\d{4}-\d{2}-\d{2}$"
@@ -31,9 +38,27 @@ _MS_LIMIT = 253_402_300_799_999
 
 @dataclass(frozen=True)
 class Normalized:
+    """What pages hold. `outcome`, if there is one, has all of it in one frame, so that one pass over the pages can keep it (see stored())."""
+
     rows: DataFrame
     issues: DataFrame
     batch_errors: DataFrame
+    outcome: DataFrame | None = None
+
+
+def split_outcome(outcome: DataFrame) -> Normalized:
+    """Rows, issues and batch errors of an outcome frame: a row's `reason` tells an error of its page, its `code` an issue of its record."""
+    good = outcome.filter("reason IS NULL")
+    issues = good.filter("code IS NOT NULL").select("raw_batch_id", "code", "record_index", "severity", "message", "provider_record_id")
+    return Normalized(good.filter("code IS NULL").select(*BAR_COLUMNS), issues, outcome.filter("reason IS NOT NULL").select("raw_batch_id", "reason"), outcome)
+
+
+def stored(found: Normalized, path: str) -> Normalized:
+    """The same, read from one written table, so that pages are parsed once however often rows, issues and errors are read."""
+    if found.outcome is None:
+        raise ValueError("this normalizer gives no outcome frame")
+    found.outcome.write.mode("overwrite").parquet(path, compression="zstd")
+    return split_outcome(found.outcome.sparkSession.read.schema(found.outcome.schema).parquet(path))
 
 
 def number(v: Column, path: str) -> Column:
@@ -81,17 +106,23 @@ def request_mismatch(expected: Column, actual: Column) -> Column:
     return F.exists(F.map_keys(expected), lambda k: ~expected[k].eqNullSafe(actual[k]))
 
 
-def bound_pages(pages: DataFrame, requests: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pages joined with their request (request_id, source_id, expected_metadata, ...), and batch errors.
+def bind(pages: DataFrame, requests: DataFrame) -> DataFrame:
+    """Pages with the columns of their request (request_id, source_id, expected_metadata, ...) and `reason`, null where all is well.
 
-    A page must name a known request, come from the request's source and echo all metadata that the request expects.
+    A page must name a known request, come from the request's source and echo all metadata that the request expects. Bar
+    normalizers take pages with a reason and make it the page's batch error.
     """
     own = [c for c in requests.columns if c not in ("request_id", "source_id", "expected_metadata")]
     r = requests.select("request_id", F.col("source_id").alias("_source"), F.col("expected_metadata").alias("_expected"), F.lit(True).alias("_known"), *own)
     x = pages.join(r, "request_id", "left")
     reason = F.when(F.col("_known").isNull(), "request").when(~F.col("source_id").eqNullSafe(F.col("_source")), "source").when(F.coalesce(request_mismatch(F.col("_expected"), F.col("request_metadata")), F.col("_expected").isNotNull()), "request_metadata")
-    x = x.withColumn("reason", reason)
-    return x.filter("reason IS NULL").select(*pages.columns, *own), x.filter("reason IS NOT NULL").select("raw_batch_id", "reason")
+    return x.withColumn("reason", reason).select(*pages.columns, *own, "reason")
+
+
+def bound_pages(pages: DataFrame, requests: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pages that bind() finds well, and batch errors of the others."""
+    x = bind(pages, requests)
+    return x.filter("reason IS NULL").drop("reason"), x.filter("reason IS NOT NULL").select("raw_batch_id", "reason")
 
 
 def chunk_identifiers(manifest: Column) -> Column:
@@ -102,11 +133,28 @@ def chunk_identifiers(manifest: Column) -> Column:
     return F.when(ok, names)
 
 
-def single_references(pages: DataFrame, refs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pages of one ticker with the instrument of their identifier, and errors for pages without exactly one match."""
+def checked_chunk(pages: DataFrame) -> DataFrame:
+    """Pages with `chunk`, the symbols of their manifest, where it comes as text in `manifest_chunk`.
+
+    A manifest that is malformed, has another fingerprint (SHA-256) than `chunk_fingerprint` says, or names a reference that
+    isn't one of the request's (`request_references`: array of struct of instrument_id and provider_identifier) makes its page an error.
+    """
+    if "manifest_chunk" not in pages.columns:
+        return pages
+    m = F.from_json("manifest_chunk", "references array<struct<instrument_id: string, provider_identifier: string>>")["references"]
+    chunk = chunk_identifiers(F.col("manifest_chunk"))
+    known = F.forall(m, lambda r: F.exists("request_references", lambda q: (q["provider_identifier"] == r["provider_identifier"]) & (q["instrument_id"] == r["instrument_id"])))
+    reason = (
+        F.when(F.col("reason").isNotNull(), F.col("reason")) if "reason" in pages.columns else F.when(F.lit(False), F.lit(None).cast("string"))
+    ).when(chunk.isNull(), "chunk_manifest").when(~F.col("chunk_fingerprint").eqNullSafe(F.sha2("manifest_chunk", 256)), "chunk_fingerprint").when(~F.coalesce(known, F.lit(False)), "chunk_references")
+    return pages.withColumns({"chunk": F.coalesce(chunk, F.array().cast("array<string>")), "reason": reason})
+
+
+def single_references(pages: DataFrame, refs: DataFrame) -> DataFrame:
+    """Pages of one ticker with the instrument of their identifier, and `reason` set where it hasn't exactly one match."""
     n = refs.groupBy("request_id", "provider_identifier").agg(F.count(F.lit(1)).alias("_n"), F.min("instrument_id").alias("instrument_id"))
     x = pages.join(n, ["request_id", "provider_identifier"], "left")
-    return x.filter("_n = 1").drop("_n"), x.filter("coalesce(_n, 0) <> 1").select("raw_batch_id", F.lit("instrument_reference").alias("reason"))
+    return x.withColumn("reason", F.when(F.coalesce("_n", F.lit(0)) != 1, "instrument_reference")).drop("_n")
 
 
 def _bar_fields(r: Column, names: dict[str, str]) -> dict[str, Column]:
@@ -121,79 +169,102 @@ _SHORT = {"open": "o", "high": "h", "low": "l", "close": "c", "volume": "v", "vw
 _LONG = {"open": "open", "high": "high", "low": "low", "close": "close", "volume": "volume"}
 
 
-def results_records(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    v = parsed(F.col("payload"))
-    x = pages.withColumn("_v", v)
+def _without_reason(pages: DataFrame) -> DataFrame:
+    return pages if "reason" in pages.columns else pages.withColumn("reason", F.lit(None).cast("string"))
+
+
+def _records(x: DataFrame, columns: list[str], items: Column, index: str = "record_index") -> DataFrame:
+    """One row for each item of good pages (`index` and _r), and one without an item for each page with a reason; pages without items leave."""
+    found = x.select(*columns, F.posexplode_outer(F.when(F.col("reason").isNull(), items)).alias(index, "_r"))
+    return found.filter(F.col("reason").isNotNull() | F.col(index).isNotNull())
+
+
+def results_records(pages: DataFrame) -> DataFrame:
+    """Records of one ticker's pages. Pages that already have a `reason` keep it."""
+    pages = _without_reason(pages)
+    x = pages.withColumn("_v", parsed(F.col("payload")))
     adjusted = F.try_variant_get("_v", "$.adjusted", "boolean")
     items = F.try_variant_get("_v", "$.results", "array<variant>")
     none = F.is_variant_null(F.coalesce(F.try_variant_get("_v", "$.results", "variant"), F.parse_json(F.lit("null"))))
     reason = (
-        F.when(F.col("_v").isNull(), "invalid_json")
+        F.when(F.col("reason").isNotNull(), F.col("reason"))
+        .when(F.col("_v").isNull(), "invalid_json")
         .when(~F.coalesce(text(F.col("_v"), "$.status") == "OK", F.lit(False)), "status")
         .when(~F.coalesce(adjusted == F.col("adjusted"), F.lit(False)), "adjusted_flag")
         .when(~F.coalesce(text(F.col("_v"), "$.ticker") == F.col("provider_identifier"), F.lit(False)), "ticker")
         .when(items.isNull() & ~none, "results")
     )
-    x = x.withColumns({"reason": reason, "_items": items})
-    errors = x.filter("reason IS NOT NULL").select("raw_batch_id", "reason")
-    r = x.filter("reason IS NULL").select(*pages.columns, F.posexplode("_items").alias("record_index", "_r"))
+    r = _records(x.withColumns({"reason": reason, "_items": items}), pages.columns, F.col("_items"))
     fields = _bar_fields(F.col("_r"), _SHORT)
-    return r.withColumns({**fields, "t": epoch_ms(F.col("_r"), "$.t"), "session_date": F.lit(None).cast("date"), "currency": F.lit(None).cast("string"), "series_issue": F.lit(None).cast("string"), "symbol": F.col("provider_identifier")}).drop("_r"), errors
+    return r.withColumns({**fields, "t": epoch_ms(F.col("_r"), "$.t"), "session_date": F.lit(None).cast("date"), "currency": F.lit(None).cast("string"), "series_issue": F.lit(None).cast("string"), "symbol": F.col("provider_identifier")}).drop("_r")
+
 
+def symbol_map_records(pages: DataFrame, refs: DataFrame) -> DataFrame:
+    """Record indexes run across symbols in the order of the document.
 
-def symbol_map_records(pages: DataFrame, refs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Record indexes run across symbols in the order of the document."""
+    With a column `feed`, a page must come from the source of its feed (`feed_source_id`), or the page is in error.
+    """
+    pages = _without_reason(pages)
     body = F.decode("payload", "UTF-8")
     x = pages.withColumn("_v", parsed(F.col("payload")))
     x = x.withColumns({"_m": F.try_variant_get("_v", "$.bars", "map<string,array<variant>>"), "_keys": F.json_object_keys(F.get_json_object(body, "$.bars"))})
-    reason = F.when(F.col("_v").isNull(), "invalid_json").when(F.col("_m").isNull(), "bars")
-    x = x.withColumn("reason", reason)
-    errors = x.filter("reason IS NOT NULL").select("raw_batch_id", "reason")
+    reason = F.when(F.col("reason").isNotNull(), F.col("reason"))
+    if "feed_source_id" in pages.columns:
+        reason = reason.when(~F.col("source_id").eqNullSafe(F.col("feed_source_id")), "source")
+    reason = reason.when(F.col("_v").isNull(), "invalid_json").when(F.col("_m").isNull(), "bars")
     sizes = F.transform("_keys", lambda k: F.size(F.col("_m")[k]))
-    ok = x.filter("reason IS NULL").withColumn("_sizes", sizes).select(*pages.columns, "_m", "_sizes", F.posexplode("_keys").alias("_k", "symbol"))
+    x = x.withColumns({"reason": reason, "_sizes": sizes})
+    by_symbol = _records(x, [*pages.columns, "_m", "_sizes"], F.col("_keys"), "_k").withColumnRenamed("_r", "symbol")
     before = F.aggregate(F.slice("_sizes", 1, F.col("_k")), F.lit(0), lambda a, n: a + n)
-    r = ok.select(*pages.columns, "symbol", before.alias("_before"), F.posexplode(F.col("_m")[F.col("symbol")]).alias("_i", "_r"))
+    r = _records(by_symbol.withColumn("_before", F.when(F.col("_k").isNotNull(), before)), [*pages.columns, "symbol", "_before"], F.col("_m")[F.col("symbol")], "_i")
     fields = _bar_fields(F.col("_r"), _SHORT)
     r = r.withColumns({**fields, "t": rfc3339(text(F.col("_r"), "$.t")), "record_index": F.col("_before") + F.col("_i"), "session_date": F.lit(None).cast("date"), "currency": F.lit("USD")}).drop("_r", "_i", "_before")
     r = r.join(refs.select("request_id", F.col("provider_identifier").alias("symbol"), "instrument_id"), ["request_id", "symbol"], "left")
-    return r.withColumn("series_issue", F.when(F.col("instrument_id").isNull(), "unmapped_instrument")), errors
+    return r.withColumn("series_issue", F.when(F.col("instrument_id").isNull(), "unmapped_instrument"))
+
 
+def series_records(pages: DataFrame, refs: DataFrame, interval: Column) -> DataFrame:
+    """Records, and rows with a series_issue and no record for whole series: unusable ones and symbols that the response lacks.
 
-def series_records(pages: DataFrame, refs: DataFrame, interval: Column) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Records, issues of whole series (one each, without a record), and batch errors. `chunk` lists the requested symbols."""
+    The symbols that a request asked for are in `chunk`, or in `manifest_chunk`, the request's reference manifest as text
+    (see checked_chunk()), whose `chunk_fingerprint` is then checked too.
+    """
+    pages = _without_reason(checked_chunk(pages))
     x = pages.withColumn("_v", parsed(F.col("payload")))
     keys = F.json_object_keys(F.decode("payload", "UTF-8"))
     single = F.arrays_overlap(keys, F.array(*map(F.lit, ("meta", "values", "status", "code", "message"))))
     own = text(F.col("_v"), "$.meta.symbol")
     x = x.withColumns({"_single": single, "_symbols": F.when(single, F.when(own.isNull(), F.array().cast("array<string>")).otherwise(F.array(own))).otherwise(keys), "_map": F.when(~single, F.try_variant_get("_v", "$", "map<string,variant>"))})
-    reason = F.when(F.col("_v").isNull(), "invalid_json").when(~F.col("_single") & F.col("_map").isNull(), "envelope")
-    x = x.withColumn("reason", reason)
-    errors = x.filter("reason IS NOT NULL").select("raw_batch_id", "reason")
-    x = x.filter("reason IS NULL")
+    reason = F.when(F.col("reason").isNotNull(), F.col("reason")).when(F.col("_v").isNull(), "invalid_json").when(~F.col("_single") & F.col("_map").isNull(), "envelope")
     code = F.lit("provider_response_error")
-    unusable = x.filter(F.col("_single") & (F.size("_symbols") == 0)).select("raw_batch_id", code.alias("code"))
-    absent = x.select("raw_batch_id", F.explode(F.array_except("chunk", "_symbols")).alias("symbol")).select("raw_batch_id", code.alias("code"))
-    s = x.select(*pages.columns, "_single", "_v", "_map", F.posexplode("_symbols").alias("_k", "symbol")).withColumn("_s", F.when(F.col("_single"), F.col("_v")).otherwise(F.col("_map")[F.col("symbol")]))
-    s = s.drop("_single", "_v", "_map").join(refs.select("request_id", F.col("provider_identifier").alias("symbol"), "instrument_id"), ["request_id", "symbol"], "left")
+    entry = lambda symbol, there: F.struct(symbol.alias("symbol"), F.lit(there).alias("there"))
+    unusable = F.when(F.col("_single") & (F.size("_symbols") == 0), F.array(entry(F.lit(None).cast("string"), False))).otherwise(F.array().cast("array<struct<symbol:string,there:boolean>>"))
+    listed = F.concat(F.transform("_symbols", lambda k: entry(k, True)), unusable, F.transform(F.array_except("chunk", "_symbols"), lambda k: entry(k, False)))
+    x = x.withColumn("reason", reason)
+    s = _records(x, [*pages.columns, "_single", "_v", "_map"], listed, "_k").withColumns({"symbol": F.col("_r.symbol"), "_there": F.col("_r.there")}).drop("_r")
+    s = s.withColumn("_s", F.when(F.col("_single"), F.col("_v")).otherwise(F.col("_map")[F.col("symbol")])).drop("_single", "_v", "_map")
+    s = s.join(refs.select("request_id", F.col("provider_identifier").alias("symbol"), "instrument_id"), ["request_id", "symbol"], "left")
     body = F.col("_s")
     s = s.withColumn("_values", F.try_variant_get(body, "$.values", "array<variant>"))
     problem = (
-        F.when(F.col("instrument_id").isNull() | ~F.array_contains("chunk", F.col("symbol")), "unmapped_instrument")
+        F.when(F.col("reason").isNotNull(), F.lit(None).cast("string"))
+        .when(~F.col("_there"), code)
+        .when(F.col("instrument_id").isNull() | ~F.array_contains("chunk", F.col("symbol")), "unmapped_instrument")
         .when(~F.coalesce(text(body, "$.status") == "ok", F.lit(False)), code)
         .when(F.try_variant_get(body, "$.meta", "map<string,variant>").isNull() | F.col("_values").isNull(), code)
         .when(text(body, "$.meta.symbol").isNull() | text(body, "$.meta.interval").isNull(), code)
         .when((text(body, "$.meta.symbol") != F.col("symbol")) | (text(body, "$.meta.interval") != interval), code)
     )
-    s = s.withColumn("_problem", problem)
-    issues = s.filter("_problem IS NOT NULL").select("raw_batch_id", F.col("_problem").alias("code")).unionByName(unusable).unionByName(absent)
-    good = s.filter("_problem IS NULL").withColumn("currency", F.nullif(F.trim(text(body, "$.meta.currency")), F.lit("")))
-    r = good.select(*pages.columns, "symbol", "instrument_id", "currency", "_k", F.posexplode("_values").alias("_i", "_r"))
+    s = s.withColumns({"series_issue": problem, "currency": F.nullif(F.trim(text(body, "$.meta.currency")), F.lit(""))})
+    whole = F.col("series_issue").isNotNull()
+    r = s.select(*pages.columns, "symbol", "instrument_id", "currency", "series_issue", "_k", F.posexplode_outer(F.when(~whole & F.col("reason").isNull(), F.col("_values"))).alias("_i", "_r"))
+    r = r.filter(F.col("reason").isNotNull() | whole | F.col("_i").isNotNull())
     at = text(F.col("_r"), "$.datetime")
     fields = _bar_fields(F.col("_r"), _LONG)
-    index = F.row_number().over(W.partitionBy("raw_batch_id").orderBy("_k", "_i")) - 1
+    numbered = F.col("_i").isNotNull()
+    index = F.when(numbered, F.row_number().over(W.partitionBy("raw_batch_id", numbered).orderBy("_k", "_i")) - 1)
     daily = F.col("timeframe") == "1d"
-    r = r.withColumns({**fields, "vwap": F.lit(None).cast("double"), "record_index": index, "session_date": F.when(daily, day(F.col("_r"), "$.datetime")), "t": F.when(~daily, naive_utc(at)), "series_issue": F.lit(None).cast("string")}).drop("_r", "_i", "_k")
-    return r, issues, errors
+    return r.withColumns({**fields, "vwap": F.lit(None).cast("double"), "record_index": index, "session_date": F.when(daily, day(F.col("_r"), "$.datetime")), "t": F.when(~daily, naive_utc(at))}).drop("_r", "_i", "_k")
 
 
 def classified(records: DataFrame, sessions: DataFrame, volume_required: bool = False) -> DataFrame:
@@ -230,33 +301,32 @@ def _with_severity(issues: DataFrame) -> DataFrame:
     return issues.withColumn("severity", F.coalesce(level[F.col("code")], F.lit("error")))
 
 
-def _split(c: DataFrame, errors: DataFrame, more: DataFrame | None = None) -> Normalized:
-    """Bars in canonical columns (provenance from the page), issues and batch errors."""
-    rows = c.filter("issue_code IS NULL").select(
-        "instrument_id", "timeframe", "timestamp_start", "timestamp_end", "open", "high", "low", "close", "volume", "vwap", "currency", F.col("bar_session").alias("session"), "adjustment_state", "source_id",
-        "raw_batch_id", F.lit(None).cast("string").alias("provider_record_id"), F.lit(None).cast("timestamp").alias("available_at"), "retrieved_at", "ingested_at", F.array().cast("array<string>").alias("quality_flags"),
+def _outcome(c: DataFrame) -> Normalized:
+    """Bars in canonical columns (provenance from the page), issues with severity and message, and batch errors, all of one frame."""
+    level = F.create_map(*(F.lit(x) for kv in SEVERITY.items() for x in kv))
+    said = F.create_map(*(F.lit(x) for kv in MESSAGES.items() for x in kv))
+    code, wrong = F.col("issue_code"), F.col("reason").isNotNull()
+    return split_outcome(
+        c.select(
+            "raw_batch_id", "reason", F.when(~wrong, code).alias("code"), F.when(~wrong, F.col("record_index")).cast("long").alias("record_index"), F.when(~wrong & code.isNotNull(), F.coalesce(level[code], F.lit("error"))).alias("severity"),
+            F.when(~wrong & code.isNotNull(), said[code]).alias("message"), F.lit(None).cast("string").alias("provider_record_id"),
+            "instrument_id", "timeframe", "timestamp_start", "timestamp_end", "open", "high", "low", "close", "volume", "vwap", "currency", F.col("bar_session").alias("session"), "adjustment_state", "source_id",
+            F.lit(None).cast("timestamp").alias("available_at"), "retrieved_at", "ingested_at", F.array().cast("array<string>").alias("quality_flags"),
+        )
     )
-    issues = c.filter("issue_code IS NOT NULL").select("raw_batch_id", F.col("issue_code").alias("code"), F.col("record_index").cast("long").alias("record_index"))
-    if more is not None:
-        issues = issues.unionByName(more.withColumn("record_index", F.lit(None).cast("long")))
-    return Normalized(rows, _with_severity(issues), errors)
 
 
 def normalize_results(pages: DataFrame, refs: DataFrame, sessions: DataFrame) -> Normalized:
-    known, unknown = single_references(pages, refs)
-    records, errors = results_records(known)
-    return _split(classified(records, sessions), errors.unionByName(unknown))
+    return _outcome(classified(results_records(single_references(pages, refs)), sessions))
 
 
 def normalize_symbol_map(pages: DataFrame, refs: DataFrame, sessions: DataFrame) -> Normalized:
-    records, errors = symbol_map_records(pages, refs)
-    return _split(classified(records, sessions), errors)
+    return _outcome(classified(symbol_map_records(pages, refs), sessions))
 
 
 def normalize_series(pages: DataFrame, refs: DataFrame, sessions: DataFrame) -> Normalized:
     interval = F.when(F.col("timeframe") == "1d", "1day").otherwise("5min")
-    records, issues, errors = series_records(pages, refs, interval)
-    return _split(classified(records, sessions), errors, issues)
+    return _outcome(classified(series_records(pages, refs, interval), sessions))
 
 
 #: Normalizers by payload shape: (pages, refs, sessions) -> Normalized. A new provider adds its own.

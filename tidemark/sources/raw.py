@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import finite, iso, slug
+from tidemark.sources.files import names_in
 
 # What must not appear in stored request metadata, as a word of a key, anywhere in a key, and in a value.
 SENSITIVE_WORDS = ("authorization", "cookie", "credential", "credentials", "header", "headers", "key", "password", "secret", "token", "uri", "url")
@@ -61,15 +62,13 @@ def classify_landing(incoming: DataFrame, landed: DataFrame) -> DataFrame:
 
 
 def land(incoming: DataFrame, root: str) -> DataFrame:
-    """Append new batches under root; replays are no-ops and any collision fails the whole call. Returns id and landing."""
+    """Append new batches under root; replays are no-ops and any collision fails the whole call. Returns id and landing.
+
+    One writer at a time may land under a root: what another one lands between the comparison and the write isn't seen.
+    """
     spark = incoming.sparkSession
     ready = manifest(incoming)
-    try:
-        landed = spark.read.parquet(root)
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-            raise
-        landed = ready.limit(0)
+    landed = spark.read.parquet(root) if [n for n in names_in(spark, root) if n[0] not in "._"] else ready.limit(0)
     found = classify_landing(incoming, landed)
     bad = [r["batch_id"] for r in found.filter("landing = 'collision'").limit(5).collect()]
     if bad:

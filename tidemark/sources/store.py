@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from dataclasses import dataclass
 from datetime import UTC, datetime
@@ -10,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.canonical import CanonicalError, coerce, empty_bars
+from tidemark.operators.canonical import CanonicalError, coerce_watched, empty_bars
 from tidemark.schemas import ADJUSTMENTS, BAR_COLUMNS, BAR_SCHEMA, SESSIONS, TIMEFRAMES
+from tidemark.sources.files import create_marker, delete, names_in
 
 _ON_DISK = T.StructType([*BAR_SCHEMA.fields, T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType())])
 _SORT = tuple(c for c in BAR_COLUMNS if c != "quality_flags")
@@ -71,41 +73,75 @@ def partition_keys(bars: DataFrame) -> DataFrame:
     return bars.select("timeframe", F.year("timestamp_start").alias("year"), F.month("timestamp_start").alias("month")).distinct()
 
 
+_PUBLISH_ID = re.compile(r"[A-Za-z0-9][A-Za-z0-9._-]{0,127}")
+_REGISTRY = "raw_batch_id string, rows long"
+
+
 class BarStore:
-    """Append-only store under root/timeframe=/year=/month=."""
+    """Append-only store. Each append is a publish of its own:
+
+    root/data/publish=ID/timeframe=/year=/month= has its bars, root/batches/publish=ID its raw batch ids with their rows, and
+    root/published/ID is an empty marker, created in one step once both are whole. Readers see marked publishes only, so an
+    append that dies before its marker leaves nothing visible, and the same publish id can be written again over it. Batch ids
+    are looked up in the registry, which has a row a batch; the bars of the store are never scanned for it. One writer at a
+    time may append to a store; readers need no lock.
+    """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
-        self.spark, self.root = spark, root
+        self.spark, self.root = spark, root.rstrip("/")
 
-    def _files(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(_ON_DISK).parquet(self.root)
-        except Exception as e:
-            if "PATH_NOT_FOUND" in str(e):
-                return None
-            raise
+    def publishes(self) -> list[str]:
+        return names_in(self.spark, f"{self.root}/published")
 
-    def append(self, bars: DataFrame, batches: DataFrame | None = None) -> None:
-        """Coerce and write bars of batches that aren't there yet. `batches` (raw_batch_id) lists the ids that bars may have.
+    def published_batches(self) -> DataFrame:
+        """raw_batch_id and rows of all published batches."""
+        done = self.publishes()
+        if not done:
+            return self.spark.createDataFrame([], _REGISTRY)
+        return self.spark.read.schema(f"{_REGISTRY}, publish string").parquet(f"{self.root}/batches").filter(F.col("publish").isin(done)).drop("publish")
 
-        An empty frame, a batch already published or a row of another batch fails the call. Rows of a month meet by a
-        hash of month and instrument, so that no month is written by one task.
+    def append(self, bars: DataFrame, batches: DataFrame | None = None, publish_id: str | None = None) -> bool:
+        """Coerce and write bars of batches that aren't there yet, in one pass over them. `batches` (raw_batch_id) lists the ids that bars may have.
+
+        An empty frame, a row that breaks a rule, a batch already published or a row of another batch fails the call and leaves
+        the store as it was. With `publish_id`, a call whose id is already published does nothing and returns False. Rows of a
+        month meet by a hash of month and instrument, so that no month is written by one task.
         """
-        ready = coerce(bars)
-        if ready.isEmpty():
-            raise CanonicalError("there are no bars to append")
-        ids = ready.select("raw_batch_id").distinct()
-        if batches is not None and not ids.join(batches, "raw_batch_id", "left_anti").isEmpty():
-            raise CanonicalError("bars of another raw batch")
-        there = self._files()
-        if there is not None and not ids.join(there.select("raw_batch_id"), "raw_batch_id", "left_semi").isEmpty():
-            raise CanonicalError("a raw batch is already published")
+        publish = publish_id or uuid.uuid4().hex
+        if not _PUBLISH_ID.fullmatch(publish):
+            raise ValueError(f"a publish id has letters, digits, dots, dashes and underscores: {publish!r}")
+        if publish in self.publishes():
+            return False
+        data, registry = f"{self.root}/data/publish={publish}", f"{self.root}/batches/publish={publish}"
+        ready, check = coerce_watched(bars)
         dated = ready.withColumns({"year": F.year("timestamp_start"), "month": F.month("timestamp_start"), "_part": F.pmod(F.xxhash64("instrument_id"), F.lit(8))})
         dealt = dated.repartition("timeframe", "year", "month", "_part").drop("_part").sortWithinPartitions("year", "month", *(F.col(c).asc_nulls_last() for c in _SORT))
-        dealt.write.mode("append").partitionBy("timeframe", "year", "month").option("compression", "zstd").parquet(self.root)
+        try:
+            dealt.write.mode("overwrite").partitionBy("timeframe", "year", "month").option("compression", "zstd").parquet(data)
+            ids = self.spark.read.schema(_ON_DISK).parquet(data).groupBy("raw_batch_id").agg(F.count(F.lit(1)).alias("rows"))
+            ids.write.mode("overwrite").parquet(registry)
+            ids = self.spark.read.schema(_REGISTRY).parquet(registry)
+            if ids.isEmpty():
+                raise CanonicalError("there are no bars to append")
+            check()
+            if batches is not None and not ids.join(batches, "raw_batch_id", "left_anti").isEmpty():
+                raise CanonicalError("bars of another raw batch")
+            if not ids.join(self.published_batches(), "raw_batch_id", "left_semi").isEmpty():
+                raise CanonicalError("a raw batch is already published")
+        except Exception:
+            for path in (data, registry):
+                delete(self.spark, path)
+            raise
+        self._commit(publish)
+        return True
+
+    def _commit(self, publish: str) -> None:
+        if not create_marker(self.spark, f"{self.root}/published/{publish}"):
+            raise CanonicalError(f"{publish} was published by another writer")
 
     def query(self, query: BarQuery = BarQuery()) -> DataFrame:
-        files = self._files()
-        if files is None:
+        done = self.publishes()
+        if not done:
             return empty_bars(self.spark)
+        files = self.spark.read.schema(T.StructType([*_ON_DISK.fields, T.StructField("publish", T.StringType())])).parquet(f"{self.root}/data").filter(F.col("publish").isin(done))
         return ordered(apply_query(files, query, partitioned=True))

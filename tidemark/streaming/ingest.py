@@ -1,7 +1,9 @@
-"""Progressive ingestion: pages that arrive in a landing folder go through normalization, validation and the store.
+"""Progressive ingestion: pages that land() writes go through binding, normalization, validation and the store.
 
-A stream reads new page files with an explicit schema; every micro-batch is normalized, validated and appended. A batch id
-that the store already holds is skipped, so a micro-batch that runs again after a failure changes nothing.
+A stream reads new landed files with an explicit schema. Every micro-batch is one publish of the store, named by the stream
+and the micro-batch's number, so a micro-batch that runs again after a failure, before or after its commit, changes nothing
+more. Its pages are parsed once, into an outcome table from which bars, issues and batch errors are read. A batch id that the
+registry of the store already holds is skipped.
 """
 
 from __future__ import annotations
@@ -9,37 +11,44 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.validation import ValidationPolicy, validate_bars
-from tidemark.sources.normalize import Normalized
+from tidemark.sources.files import names_in
+from tidemark.sources.normalize import Normalized, split_outcome, stored
 from tidemark.sources.raw import integrity_errors
 from tidemark.sources.store import BarStore
 
 
 def ingest_available(
-    spark: SparkSession, landing: str, schema: T.StructType, normalizer: Callable[[DataFrame], Normalized], store: BarStore, checkpoint: str, policy: ValidationPolicy = ValidationPolicy(duplicate_scope="batch"), files_per_trigger: int = 100, side: str | None = None
+    spark: SparkSession, landing: str, schema: T.StructType, normalizer: Callable[[DataFrame], Normalized], store: BarStore, checkpoint: str, side: str, policy: ValidationPolicy = ValidationPolicy(duplicate_scope="batch"), files_per_trigger: int = 100, name: str = "stream"
 ) -> None:
-    """Process all pages that are in the landing folder and not yet seen, then stop.
+    """Process all pages in the landing folder that weren't seen yet, then stop.
 
-    With `side`, the issues and batch errors of each micro-batch are kept under side/issues and side/batch_errors, in a
-    folder of the micro-batch's number, which a repeated micro-batch overwrites. Pages that carry a batch_id
-    and a manifest, as land() writes them, are checked against it first; a spoiled page fails the stream.
+    The outcome of each micro-batch stays in side/micro_batch=N, which a repeated micro-batch overwrites. Pages with a manifest are
+    checked against it first; a spoiled page fails the stream.
     """
 
     def step(pages: DataFrame, number: int) -> None:
+        publish = f"{name}-{number}"
+        if publish in store.publishes():
+            return
         if "manifest" in pages.columns and not integrity_errors(pages).isEmpty():
             raise ValueError("a landed payload fails its checksum")
-        if side:
-            found = normalizer(pages)
-            for name, rows in (("issues", found.issues), ("batch_errors", found.batch_errors)):
-                rows.write.mode("overwrite").parquet(f"{side.rstrip('/')}/{name}/micro_batch={number}")
-        there = store.query().select("raw_batch_id").distinct()
-        fresh = pages.join(there, "raw_batch_id", "left_anti")
-        bars = validate_bars(normalizer(fresh).rows, policy)
-        if not bars.isEmpty():
-            store.append(bars)
+        key = "raw_batch_id" if "raw_batch_id" in pages.columns else "batch_id"
+        fresh = pages.join(store.published_batches().select(F.col("raw_batch_id").alias(key)), key, "left_anti")
+        found = stored(normalizer(fresh), f"{side.rstrip('/')}/micro_batch={number}")
+        if not found.rows.isEmpty():
+            store.append(validate_bars(found.rows, policy), publish_id=publish)
 
     pages = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(landing)
     query = pages.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
+
+
+def ingested(spark: SparkSession, side: str, schema: T.StructType) -> Normalized | None:
+    """Rows, issues and batch errors of all micro-batches so far; schema is the outcome's."""
+    if not names_in(spark, side):
+        return None
+    return split_outcome(spark.read.schema(T.StructType([*schema.fields, T.StructField("micro_batch", T.LongType())])).parquet(side))
