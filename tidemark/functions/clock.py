@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 ZONE = "America/New_York"
@@ -103,13 +104,22 @@ def wire_bounds(requests: DataFrame, limit: int = 5000) -> DataFrame:
     )
 
 
-def credit_windows(log: DataFrame, by: str, ts: str, cost: str, total_limit: int, limit: int = 8) -> DataFrame:
-    """Rolling 60-second credit use (events 60 seconds old no longer count), the running total, and whether a limit is passed."""
-    from pyspark.sql import Window as W
+def credit_windows(log: DataFrame, by: str, ts: str, cost: str, total_limit: int, limit: int = 8, block_seconds: int = 600) -> DataFrame:
+    """Rolling 60-second credit use (events 60 seconds old no longer count), the running total, and whether a limit is passed.
 
-    us = F.unix_micros(ts)
-    keyed = log.withColumn("_us", us)
-    rolling = W.partitionBy(by).orderBy("_us").rangeBetween(-59_999_999, 0)
-    running = W.partitionBy(by).orderBy("_us").rangeBetween(W.unboundedPreceding, 0)
-    used = keyed.withColumns({"used_60s": F.sum(cost).over(rolling), "used_total": F.sum(cost).over(running)})
-    return used.withColumns({"over_rate": F.col("used_60s") > limit, "over_total": F.col("used_total") > total_limit}).drop("_us")
+    Time is cut into blocks of a minute at least. Blocks are summed first and the sums run up over a provider's few blocks;
+    then each block adds up its own events, with copies of the events of the minute before it. So a provider's events spread
+    over as many tasks as it has blocks.
+    """
+    size, minute = max(60, block_seconds) * 1_000_000, 59_999_999
+    us, home, block = F.col("_us"), F.col("_home"), F.col("_block")
+    x = log.withColumn("_us", F.unix_micros(ts)).withColumn("_home", us - F.pmod(us, F.lit(size)))
+    sums = x.groupBy(F.col(by).alias("_by"), home.alias("_at")).agg(F.sum(cost).alias("_sum"))
+    earlier = F.sum("_sum").over(W.partitionBy("_by").orderBy("_at").rowsBetween(W.unboundedPreceding, -1))
+    before = sums.select("_by", "_at", F.coalesce(earlier, F.lit(0)).alias("_before"))
+    copies = x.withColumn("_block", F.explode(F.array_compact(F.array(home, F.when(home + size - us <= minute, home + size)))))
+    ordered = W.partitionBy(by, "_block").orderBy("_us")
+    own = F.sum(F.when(block == home, F.col(cost))).over(ordered.rangeBetween(W.unboundedPreceding, 0))
+    used = copies.withColumns({"used_60s": F.sum(cost).over(ordered.rangeBetween(-minute, 0)), "_own": own}).filter(block == home)
+    used = used.join(before, used[by].eqNullSafe(before["_by"]) & (used["_home"] == before["_at"]), "left").withColumn("used_total", F.col("_before") + F.col("_own"))
+    return used.withColumns({"over_rate": F.col("used_60s") > limit, "over_total": F.col("used_total") > total_limit}).select(*log.columns, "used_60s", "used_total", "over_rate", "over_total")

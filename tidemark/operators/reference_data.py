@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.sources.files import scratch_folder
+
 
 def valid_on(day: Column, start: Column, end: Column) -> Column:
     """Half-open validity with an open end."""
@@ -52,11 +54,27 @@ def bad_identifier(c: Column) -> Column:
     return c.isNull() | (F.trim(c) == "") | c.rlike(r"[,\x00-\x1f\x7f]")
 
 
+def numbered(rows: DataFrame, by: str, order: str, name: str) -> DataFrame:
+    """rows with their place, from 0, among the rows of equal `by` in the order of `order`.
+
+    Rows are range-partitioned by both and written once; partitions are counted, the few counts of each `by` turn into offsets,
+    and rows are numbered within their partition. So a `by` with any share of all rows is as many tasks as it fills partitions.
+    """
+    spark, path = rows.sparkSession, scratch_folder(rows.sparkSession, "numbered")
+    rows.repartitionByRange(F.col(by), F.col(order)).withColumn("_part", F.spark_partition_id()).write.parquet(path)
+    dealt = spark.read.schema(rows.schema.add("_part", "integer")).parquet(path)
+    counts = dealt.groupBy(F.col(by).alias("_by"), F.col("_part").alias("_of")).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = F.sum("_n").over(W.partitionBy("_by").orderBy("_of").rowsBetween(W.unboundedPreceding, -1))
+    offsets = counts.select("_by", "_of", F.coalesce(earlier, F.lit(0)).alias("_before"))
+    own = dealt.withColumn("_at", F.row_number().over(W.partitionBy(by, "_part").orderBy(order)) - 1)
+    placed = own.join(offsets, own[by].eqNullSafe(offsets["_by"]) & (own["_part"] == offsets["_of"]))
+    return placed.select(*rows.columns, (F.col("_before") + F.col("_at")).alias(name))
+
+
 def request_plan(targets: DataFrame, window: str, order: str, size: int, by_reference: bool) -> DataFrame:
     """Targets of each window in batches of `size`: batch number, members in order, and the credits (a member each, or one)."""
-    at = F.row_number().over(W.partitionBy(window).orderBy(order)) - 1
-    batch = targets.withColumn("_at", at).withColumn("batch", F.floor(F.col("_at") / size) + 1)
-    plan = batch.groupBy(window, "batch").agg(F.transform(F.array_sort(F.collect_list(F.struct("_at", order))), lambda x: x[order]).alias("members"), F.count(F.lit(1)).alias("refs"))
+    batch = numbered(targets, window, order, "_place").withColumn("batch", F.floor(F.col("_place") / size) + 1)
+    plan = batch.groupBy(window, "batch").agg(F.transform(F.array_sort(F.collect_list(F.struct("_place", order))), lambda x: x[order]).alias("members"), F.count(F.lit(1)).alias("refs"))
     return plan.withColumn("credits", F.col("refs") if by_reference else F.lit(1).cast("long"))
 
 

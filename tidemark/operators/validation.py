@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import strip
@@ -39,13 +38,28 @@ def bad_flags(flags: Column) -> Column:
     return F.exists(F.coalesce(flags, F.array().cast("array<string>")), lambda x: x.isNull() | (strip(x) == ""))
 
 
+def with_repeats(bars: DataFrame, key: tuple[str, ...], name: str) -> DataFrame:
+    """bars with a boolean: has another row the same key?
+
+    Keys are counted with map-side aggregation, and only those that repeat are joined back. They are few, so Spark broadcasts
+    them where their size allows; beyond that it joins by key and splits the partitions of hot keys (adaptive skew join), which
+    a window over the key could not.
+    """
+    repeated = bars.groupBy(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(key))).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n").withColumn(name, F.lit(True))
+    same = F.lit(True)
+    for i, k in enumerate(key):
+        same = same & bars[k].eqNullSafe(repeated[f"_k{i}"])
+    found = bars.join(repeated, same, "left")
+    return found.select(*(bars[c] for c in bars.columns), F.coalesce(name, F.lit(False)).alias(name))
+
+
 def rule_masks(policy: ValidationPolicy = ValidationPolicy()) -> dict[str, Column]:
+    """Each flag's condition on bars with `_repeated` (see with_repeats())."""
     o, h, low, c = (F.col(x) for x in ("open", "high", "low", "close"))
-    key = (*DUPLICATE_KEY, "raw_batch_id") if policy.duplicate_scope == "batch" else DUPLICATE_KEY
     masks = {
         "ohlc_inconsistent": (h < low) | (h < o) | (h < c) | (low > o) | (low > c),
         "negative_volume": F.col("volume") < 0,
-        "duplicate_bar": F.count(F.lit(1)).over(W.partitionBy(*key)) > 1,
+        "duplicate_bar": F.col("_repeated"),
         "non_positive_price": (o <= 0) | (h <= 0) | (low <= 0) | (c <= 0) | F.coalesce(F.col("vwap") <= 0, F.lit(False)) if policy.check_non_positive_prices else F.lit(False),
         "unexpected_duration": (F.col("timeframe") == "5m") & (F.unix_micros("timestamp_end") - F.unix_micros("timestamp_start") != 300_000_000),
     }
@@ -58,7 +72,8 @@ def validate_bars(bars: DataFrame, policy: ValidationPolicy = ValidationPolicy()
     if missing:
         raise ValueError(f"missing columns {sorted(missing)}")
     managed = F.array(*(F.lit(x) for x in BAR_FLAGS))
-    marked = bars.withColumns({f"_{k}": v for k, v in rule_masks(policy).items()})
+    key = (*DUPLICATE_KEY, "raw_batch_id") if policy.duplicate_scope == "batch" else DUPLICATE_KEY
+    marked = with_repeats(bars, key, "_repeated").withColumns({f"_{k}": v for k, v in rule_masks(policy).items()}).drop("_repeated")
     found = F.array_compact(F.array(*(F.when(F.col(f"_{k}"), F.lit(k)) for k in BAR_FLAGS)))
     given = F.when(bad_flags(F.col("quality_flags")), F.raise_error(F.lit("a quality flag is null or blank"))).otherwise(clean_flags(F.col("quality_flags")))
     flags = F.concat(F.array_except(given, managed), found)
