@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -12,17 +13,20 @@ from pyspark.sql import functions as F
 RESERVED = ("con", "prn", "aux", "nul", *(f"com{i}" for i in range(1, 10)), *(f"lpt{i}" for i in range(1, 10)))
 
 
-def _foldings() -> dict[str, str]:
-    """What compatibility decomposition leaves in ASCII of each other character of the basic plane, where it leaves anything."""
-    found = {}
-    for n in range(0x80, 0x10000):
-        plain = unicodedata.normalize("NFKD", chr(n)).encode("ascii", "ignore").decode()
-        if plain:
-            found[chr(n)] = plain
-    return found
-
+@lru_cache(maxsize=1)
+def _foldings() -> tuple[str, str, dict[str, str]]:
+    """What compatibility decomposition leaves in ASCII of each other character of all planes, where it leaves anything.
 
-_FOLDED = json.dumps(_foldings())
+    Characters that become one letter, those letters, and what the rest become.
+    """
+    found = {}
+    for n in (*range(0x80, 0xD800), *range(0xE000, 0x110000)):
+        if unicodedata.decomposition(chr(n)):
+            plain = unicodedata.normalize("NFKD", chr(n)).encode("ascii", "ignore").decode()
+            if plain:
+                found[chr(n)] = plain
+    one = {k: v for k, v in found.items() if len(v) == 1}
+    return "".join(one), "".join(one.values()), {k: v for k, v in found.items() if len(v) > 1}
 
 
 def strip(c: Column) -> Column:
@@ -31,10 +35,15 @@ def strip(c: Column) -> Column:
 
 
 def folded(c: Column) -> Column:
-    """ASCII letters of a text after compatibility decomposition: accents go, ligatures come apart, other characters vanish."""
-    table = F.from_json(F.lit(_FOLDED), "map<string,string>")
-    letters = F.transform(F.split(c, ""), lambda x: F.when(x.rlike(r"^[\x00-\x7F]*$"), x).otherwise(F.coalesce(table[x], F.lit(""))))
-    return F.when(c.rlike(r"[^\x00-\x7F]"), F.array_join(letters, "")).otherwise(c)
+    """ASCII letters of a text after compatibility decomposition: accents go, ligatures come apart, other characters vanish.
+
+    Letters are translated one by one; the table of characters that come apart is looked at only in texts that have one.
+    """
+    letters, plain, parts = _foldings()
+    table = F.from_json(F.lit(json.dumps(parts)), "map<string,string>")
+    apart = F.array_join(F.transform(F.split(c, ""), lambda x: F.coalesce(table[x], x)), "")
+    opened = F.when(c.rlike(f"[{''.join(parts)}]"), apart).otherwise(c)
+    return F.when(c.rlike(r"[^\x00-\x7F]"), F.regexp_replace(F.translate(opened, letters, plain), r"[^\x00-\x7F]+", "")).otherwise(c)
 
 
 def slug(c: Column) -> Column:

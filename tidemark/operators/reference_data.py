@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.sources.files import scratch_folder
 
@@ -62,7 +63,7 @@ def numbered(rows: DataFrame, by: str, order: str, name: str) -> DataFrame:
     """
     spark, path = rows.sparkSession, scratch_folder(rows.sparkSession, "numbered")
     rows.repartitionByRange(F.col(by), F.col(order)).withColumn("_part", F.spark_partition_id()).write.parquet(path)
-    dealt = spark.read.schema(rows.schema.add("_part", "integer")).parquet(path)
+    dealt = spark.read.schema(T.StructType([*rows.schema.fields, T.StructField("_part", T.IntegerType())])).parquet(path)
     counts = dealt.groupBy(F.col(by).alias("_by"), F.col("_part").alias("_of")).agg(F.count(F.lit(1)).alias("_n"))
     earlier = F.sum("_n").over(W.partitionBy("_by").orderBy("_of").rowsBetween(W.unboundedPreceding, -1))
     offsets = counts.select("_by", "_of", F.coalesce(earlier, F.lit(0)).alias("_before"))

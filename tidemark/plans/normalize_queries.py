@@ -103,9 +103,21 @@ def _ticker(k):
     return F.when(k % 11 == 0, "OTHER").otherwise(F.col("sym"))
 
 
+def _rate(k):
+    """Whole rates, some with twelve digits behind the point, some so small that they can't be kept exactly, some missing."""
+    whole = (k % 5 + 1).cast("string")
+    return F.when(k % 13 == 0, None).when(k % 43 == 0, "1e-20").when(k % 10 == 6, F.concat(whole, F.lit(".000000000001"))).otherwise(whole)
+
+
+def splits(spark, sf_dir):
+    """Splits with their ratios to the last digit."""
+    x = splits_normalized(spark, sf_dir)
+    return x.rows.select("instrument_id", F.date_format("effective_date", "yyyy-MM-dd").alias("effective_date"), F.col("split_ratio").cast("string").alias("split_ratio"), "provider_record_id", "source_id")
+
+
 def splits_normalized(spark, sf_dir):
     k = F.col("k")
-    rec = F.struct(k.cast("string").alias("id"), _ticker(k).alias("ticker"), F.col("d").alias("execution_date"), F.when(k % 7 == 0, "stock_dividend").when(k % 2 == 0, "forward_split").otherwise("reverse_split").alias("adjustment_type"), (k % 4 + 1).alias("split_from"), F.when(k % 13 != 0, k % 5 + 1).alias("split_to"))
+    rec = F.struct(k.cast("string").alias("id"), _ticker(k).alias("ticker"), F.col("d").alias("execution_date"), F.when(k % 7 == 0, "stock_dividend").when(k % 2 == 0, "forward_split").otherwise("reverse_split").alias("adjustment_type"), (k % 4 + 1).alias("split_from"), _rate(k).alias("split_to"))
     return nz.normalize_splits(_payload(_action_pages(spark, sf_dir, 0, rec)))
 
 
@@ -161,7 +173,7 @@ _CODES = _LINE + f""", j AS (SELECT *, CASE WHEN l_partkey % 50 = 0 THEN 'unmapp
 _NUMS = "p AS open, p * (1 + l_tax) AS high, p * (1 + l_tax) AS close, l_quantity AS volume"
 _SEV = "CASE WHEN code IN ('outside_requested_interval', 'provider_definition') THEN 'info' WHEN code IN ('outside_requested_session', 'session_bounds_missing', 'unsupported_corporate_action', 'corporate_action_date_basis') THEN 'warning' ELSE 'error' END AS severity"
 _AO = """WITH o AS (SELECT *, o_orderkey AS k, CAST(o_orderdate AS DATE) AS d, 'C' || o_custkey AS sym, o_orderkey % 11 = 0 AS other, CAST(o_orderdate AS DATE) >= DATE '1996-01-01' AND CAST(o_orderdate AS DATE) < DATE '2000-01-01' AS inside FROM orders),
-sp AS (SELECT *, CASE WHEN k % 13 = 0 THEN 'malformed_record' WHEN k % 7 = 0 THEN 'unsupported_corporate_action' WHEN other THEN 'unmapped_instrument' WHEN NOT inside THEN 'outside_requested_interval' END AS code FROM o WHERE k % 3 = 0 AND o_custkey % 97 <> 0),
+sp AS (SELECT *, CASE WHEN k % 13 = 0 OR k % 43 = 0 THEN 'malformed_record' WHEN k % 7 = 0 THEN 'unsupported_corporate_action' WHEN other THEN 'unmapped_instrument' WHEN NOT inside THEN 'outside_requested_interval' END AS code FROM o WHERE k % 3 = 0 AND o_custkey % 97 <> 0),
 dv AS (SELECT *, CASE WHEN k % 13 = 0 THEN 'incomplete_corporate_action' WHEN other THEN 'unmapped_instrument' WHEN NOT inside THEN 'outside_requested_interval' WHEN k % 17 = 0 THEN 'incomplete_corporate_action' END AS code FROM o WHERE k % 3 = 1 AND o_custkey % 97 <> 0),
 ev AS (SELECT *, CASE WHEN k % 4 = 0 THEN sym ELSE 'N' || (k % 4) END AS tick, k % 19 <> 0 AS ok FROM o WHERE k % 3 = 2),
 evb AS (SELECT o_custkey, count(*) FILTER (ok) AS n, bool_or(ok AND tick = sym) AS anchored, max(m) AS most FROM (SELECT *, count(DISTINCT CASE WHEN ok THEN tick END) OVER (PARTITION BY o_custkey, d) AS m FROM ev) GROUP BY 1),
@@ -194,7 +206,12 @@ SELECT shape, code, {_SEV}, count(*) AS issues, count(DISTINCT i) AS batches FRO
         normalization_errors,
         "WITH p AS (SELECT DISTINCT l_partkey AS k FROM lineitem), r AS (SELECT CASE WHEN k % 50 = 0 THEN 'instrument_reference' WHEN k % 51 = 0 THEN 'status' WHEN k % 53 = 0 THEN 'adjusted_flag' WHEN k % 47 = 0 THEN 'ticker' END AS reason FROM p) SELECT reason, count(*) AS batches FROM r WHERE reason IS NOT NULL GROUP BY 1",
     ),
-    "splits": (lambda s, d: _acts(splits_normalized(s, d)), _AO + _act("split", _SPLIT, src="sp")),
+    "splits": (
+        splits,
+        _AO
+        + """, n AS (SELECT *, (k % 5 + 1)::HUGEINT * 1000000000000 + CASE WHEN k % 10 = 6 THEN 1 ELSE 0 END AS a, (k % 4 + 1)::HUGEINT * 1000000000000 AS b FROM sp WHERE code IS NULL)
+SELECT o_custkey::VARCHAR AS instrument_id, strftime(d, '%Y-%m-%d') AS effective_date, (a // b)::VARCHAR || '.' || lpad(((a % b * 1000000000000000000000 // b + 5) // 10)::VARCHAR, 20, '0') AS split_ratio, k::VARCHAR AS provider_record_id, 's' AS source_id FROM n""",
+    ),
     "dividends": (lambda s, d: _acts(dividends_normalized(s, d)), _AO + _act("dividend", amount="o_totalprice", currency="'USD'", src="dv")),
     "ticker_changes": (lambda s, d: _acts(events_normalized(s, d)), _AO + _act("ticker_change", old="old", new="tick", key="NULL::VARCHAR", src="evr", where="true")),
     "mixed_actions": (

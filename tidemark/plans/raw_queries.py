@@ -45,32 +45,52 @@ def raw_integrity(spark, sf_dir):
 
 
 def raw_collisions(spark, sf_dir):
-    """Landing of the second half of all events against the first; ten events share an id only if k % 10 is 0 for all."""
-    b = _batches(spark, sf_dir)
-    k = F.col("event_id")
-    old = raw.manifest(b.filter(k % 2 == 0).withColumn("batch_id", F.concat(F.lit("b"), F.floor(k / 4).cast("string"))).filter(k % 4 == 0))
-    new = b.withColumn("batch_id", F.concat(F.lit("b"), F.floor(k / 4).cast("string"))).filter((k % 4 == F.when(k % 5 < 2, 0).otherwise(1)) | (k % 16 == 2))
-    return raw.classify_landing(new, old)
+    """All events landed, and all of them come again: some as they were, some with another payload, some as new batches, some of those twice or with others of their id."""
+    b, k = _batches(spark, sf_dir), F.col("event_id")
+    old = raw.manifest(b.withColumn("batch_id", F.concat(F.lit("b"), k.cast("string"))))
+    kind = k % 5
+    number = F.when(kind == 2, k + 1_000_000_000).when(kind == 3, F.floor(k / 10) + 2_000_000_000).when(kind == 4, k + 3_000_000_000).otherwise(k)
+    payload = F.when(kind == 1, F.encode(F.lit("{}"), "UTF-8")).otherwise(F.col("payload"))
+    again = b.withColumns({"payload": payload, "batch_id": F.concat(F.lit("b"), number.cast("string")), "times": F.explode(F.sequence(F.lit(1), F.when(kind == 4, 2).otherwise(1)))}).drop("times")
+    return raw.classify_landing(again, old)
 
 
 def metadata_violations(spark, sf_dir):
-    x = _batches(spark, sf_dir).withColumn("rules", raw.unsafe_metadata(F.col("request_metadata"), F.col("endpoint"), F.col("extension")))
+    k = F.col("event_id")
+    said = F.when(k % 41 == 0, "r?x").when(k % 43 == 0, F.concat(F.lit("https://ids/"), k.cast("string"))).otherwise(F.concat(F.lit("r-"), k.cast("string")))
+    x = _batches(spark, sf_dir).withColumn("rules", raw.unsafe_metadata(F.col("request_metadata"), F.col("endpoint"), F.col("extension"), said))
     return x.select("event_id", joined(F.col("rules")).alias("rules")).filter("rules <> ''")
 
 
 def partition_slugs(spark, sf_dir):
-    names = table(spark, sf_dir, "part").select(F.col("p_partkey"), F.when(F.col("p_partkey") % 50 == 0, F.lit("CON")).when(F.col("p_partkey") % 50 == 2, F.lit("_Šx ﬁn™_")).when(F.col("p_partkey") % 50 == 1, F.concat(F.lit(" Ünïted/"), F.col("p_name"), F.lit(" "))).otherwise(F.col("p_brand")).alias("name"))
+    names = table(spark, sf_dir, "part").select(F.col("p_partkey"), F.when(F.col("p_partkey") % 50 == 0, F.lit("CON")).when(F.col("p_partkey") % 50 == 2, F.lit("_Šx ﬁn™_")).when(F.col("p_partkey") % 50 == 3, F.concat(F.lit("\U0001d400bc \U0001f130"), F.col("p_partkey").cast("string"))).when(F.col("p_partkey") % 50 == 1, F.concat(F.lit(" Ünïted/"), F.col("p_name"), F.lit(" "))).otherwise(F.col("p_brand")).alias("name"))
     return names.select("p_partkey", slug(F.col("name")).alias("slug"))
 
 
 def response_outcomes(spark, sf_dir):
-    """Outcomes of responses whose statuses and bodies follow from the events."""
+    """Outcomes, by both sets of rules, of responses whose statuses and bodies follow from the events."""
+    e = table(spark, sf_dir, "events")
+    k = F.col("event_id") % 18
+    status = F.when(k == 1, 401).when(k == 2, 403).when(k.isin(3, 4, 17), 422).when(k == 5, 429).when(k == 6, 500).otherwise(200)
+    bodies = {3: '{"code": 42210000, "message": "x"}', 7: '{"status": "error", "code": 401}', 8: '{"status": "error", "code": 429}', 9: "[1]", 10: '{"status": "error", "code": 403}', 11: '{"status": "partial"}', 12: '{"status": "error", "code": "401"}', 13: '{"status": "error", "code": 401.7}', 14: '{"status": "ERROR", "code": 401}', 15: '{"status": "ok"}', 16: '{"status": "error", "code": 99}', 17: '{"code": "42210000"}'}
+    body = F.col("props")
+    for n, text in bodies.items():
+        body = F.when(k == n, text).otherwise(body)
+    v = raw.parsed(F.encode(body, "UTF-8"))
+    x = e.withColumns({"outcome": raw.outcome(status, v), "http_outcome": raw.outcome(status, v, "http"), "kind": k})
+    return x.groupBy("kind", "outcome", "http_outcome").agg(F.count(F.lit(1)).alias("responses"))
+
+
+def preflight_outcomes(spark, sf_dir):
+    """Probe responses whose statuses and bodies follow from the events: what they amount to, and the observations of authorized ones."""
     e = table(spark, sf_dir, "events")
     k = F.col("event_id") % 12
-    status = F.when(k == 1, 401).when(k == 2, 403).when(k == 3, 422).when(k == 4, 422).when(k == 5, 429).when(k == 6, 500).otherwise(200)
-    body = F.when(k == 3, '{"code": 42210000, "message": "x"}').when(k == 7, '{"status": "error", "code": 401}').when(k == 8, '{"status": "error", "code": 429}').when(k == 9, "[1]").when(k == 10, '{"status": "error", "code": 403}').when(k == 11, '{"status": "partial"}').otherwise(F.col("props"))
-    x = e.withColumns({"outcome": raw.outcome(status, raw.parsed(F.encode(body, "UTF-8"))), "kind": k})
-    return x.groupBy("kind", "outcome").agg(F.count(F.lit(1)).alias("responses"))
+    status = F.when(k == 6, 401).when(k == 7, 403).when(k.isin(8, 9), 422).when(k == 10, 429).when(k == 11, 201).otherwise(200)
+    some = F.array_join(F.transform(F.sequence(F.lit(1), F.col("user_id") % 3 + 1), lambda i: i.cast("string")), ",")
+    good = F.concat(F.lit('{"bars": {"S": ['), some, F.lit("]}}"))
+    body = F.when(k == 1, '{"bars": {"T": [1]}}').when(k == 2, '{"bars": {"S": 1}}').when(k == 3, '{"bars": [1]}').when(k == 4, "nothing").when(k == 5, '{"bars": {}}').when(k == 8, '{"code": 42210000}').when(k == 9, '{"code": "42210000"}').otherwise(good)
+    x = raw.preflight(e.select(k.alias("kind"), status.alias("status"), raw.parsed(F.encode(body, "UTF-8")).alias("body"), F.lit("S").alias("identifier")))
+    return x.groupBy("kind", F.col("preflight").alias("outcome")).agg(F.count(F.lit(1)).alias("responses"), F.sum("observations").alias("observations"))
 
 
 def enriched_responses(spark, sf_dir):
@@ -83,11 +103,19 @@ def enriched_responses(spark, sf_dir):
 
 
 def page_chain_audit(spark, sf_dir):
-    """Every user's events are pages of one request."""
+    """Every user's events are pages of one request; each says which page comes next, some in ways that it may not."""
+    from pyspark.sql import Window as W
+
     e = table(spark, sf_dir, "events")
     k = F.col("event_id")
-    n = F.row_number().over(raw.W.partitionBy("user_id").orderBy("event_id"))
-    pages = e.select(F.col("user_id").alias("request_id"), k, n.alias("n")).select("request_id", F.when(k % 501 == 0, F.col("n") + 1).otherwise(F.col("n")).alias("page_number"), F.concat(F.lit("t"), F.when(k % 701 == 0, 0).otherwise(k).cast("string")).alias("token"), F.concat(F.lit("https://h/v2/"), F.when(k % 301 == 0, "other").otherwise("bars"), F.lit("?cursor=1")).alias("next_url"), F.lit("/v2/bars").alias("endpoint"))
+    n = F.row_number().over(W.partitionBy("user_id").orderBy("event_id"))
+    url = F.concat(
+        F.lit("https://"), F.when(k % 223 == 0, "other").otherwise("h"), F.lit("/v2/"), F.when(k % 301 == 0, "other").otherwise("bars"), F.lit("?Cursor=t"), F.when(k % 701 == 0, 0).otherwise(k).cast("string"),
+        F.when(k % 227 == 0, "&api%5Fkey=x").otherwise(""), F.when(k % 229 == 0, "&limit=5").otherwise(""),
+    )
+    body = F.when(k % 211 == 0, '{"next_url": 5}').when(k % 233 == 0, "[]").when(k % 239 == 0, '{"next_url": null, "next_page_token": ""}').otherwise(F.to_json(F.struct(url.alias("next_url"))))
+    pages = e.select(F.col("user_id").alias("request_id"), k, n.alias("n"), F.encode(body, "UTF-8").alias("payload"))
+    pages = pages.select("request_id", F.when(k % 501 == 0, F.col("n") + 1).otherwise(F.col("n")).alias("page_number"), "payload", F.lit("h").alias("host"), F.lit("/v2/bars").alias("endpoint"))
     return raw.page_chain_audit(pages, 70)
 
 
@@ -155,27 +183,36 @@ QUERIES = {
     ),
     "raw_collisions": (
         raw_collisions,
-        """WITH n AS (SELECT event_id // 4 AS b, event_id AS k FROM events WHERE event_id % 4 = CASE WHEN event_id % 5 < 2 THEN 0 ELSE 1 END OR event_id % 16 = 2),
-g AS (SELECT b, count(*) AS c, min(k) AS k FROM n GROUP BY 1)
-SELECT 'b' || b AS batch_id, CASE WHEN c > 1 THEN 'collision' WHEN NOT EXISTS (SELECT 1 FROM events e WHERE e.event_id = 4 * b) THEN 'new' WHEN k = 4 * b THEN 'replay' ELSE 'collision' END AS landing FROM g""",
+        """SELECT 'b' || event_id AS batch_id, CASE event_id % 5 WHEN 0 THEN 'replay' ELSE 'collision' END AS landing FROM events WHERE event_id % 5 < 2
+UNION ALL SELECT 'b' || (event_id + CASE event_id % 5 WHEN 2 THEN 1000000000 ELSE 3000000000 END), 'new' FROM events WHERE event_id % 5 IN (2, 4)
+UNION ALL SELECT 'b' || (event_id // 10 + 2000000000), CASE WHEN count(*) > 1 THEN 'collision' ELSE 'new' END FROM events WHERE event_id % 5 = 3 GROUP BY 1""",
     ),
     "metadata_violations": (
         metadata_violations,
-        """WITH r AS (SELECT event_id, array_to_string([x FOR x IN [CASE WHEN event_id % 19 = 0 THEN 'sensitive_key' END, CASE WHEN event_id % 31 = 0 OR event_id % 37 = 0 THEN 'sensitive_value' END, CASE WHEN event_id % 17 = 0 THEN 'endpoint' END, CASE WHEN event_id % 29 = 0 THEN 'extension' END] IF x IS NOT NULL], ',') AS rules FROM events) SELECT * FROM r WHERE rules <> ''""",
+        """WITH r AS (SELECT event_id, array_to_string([x FOR x IN [CASE WHEN event_id % 19 = 0 THEN 'sensitive_key' END, CASE WHEN event_id % 31 = 0 OR event_id % 37 = 0 THEN 'sensitive_value' END, CASE WHEN event_id % 17 = 0 THEN 'endpoint' END, CASE WHEN event_id % 29 = 0 THEN 'extension' END, CASE WHEN event_id % 41 = 0 OR event_id % 43 = 0 THEN 'request_id' END] IF x IS NOT NULL], ',') AS rules FROM events) SELECT * FROM r WHERE rules <> ''""",
     ),
-    "partition_slugs": (partition_slugs, f"SELECT p_partkey, CASE WHEN p_partkey % 50 = 0 THEN '_con' WHEN p_partkey % 50 = 2 THEN 'sx-fintm' WHEN p_partkey % 50 = 1 THEN lower({_SLUG.format(c=chr(39) + ' Ünïted/' + chr(39) + ' || p_name')}) ELSE lower({_SLUG.format(c='p_brand')}) END AS slug FROM part"),
+    "partition_slugs": (partition_slugs, f"SELECT p_partkey, CASE WHEN p_partkey % 50 = 0 THEN '_con' WHEN p_partkey % 50 = 2 THEN 'sx-fintm' WHEN p_partkey % 50 = 3 THEN 'abc-a' || p_partkey WHEN p_partkey % 50 = 1 THEN lower({_SLUG.format(c=chr(39) + ' Ünïted/' + chr(39) + ' || p_name')}) ELSE lower({_SLUG.format(c='p_brand')}) END AS slug FROM part"),
     "response_outcomes": (
         response_outcomes,
-        """SELECT event_id % 12 AS kind, CASE event_id % 12 WHEN 1 THEN 'authentication' WHEN 2 THEN 'access' WHEN 3 THEN 'entitlement' WHEN 4 THEN 'http_error' WHEN 5 THEN 'rate_limit' WHEN 6 THEN 'http_error' WHEN 7 THEN 'authentication' WHEN 8 THEN 'rate_limit' WHEN 9 THEN 'malformed_response' WHEN 10 THEN 'entitlement' WHEN 11 THEN 'malformed_response' ELSE 'ok' END AS outcome, count(*) AS responses FROM events GROUP BY 1, 2""",
+        """SELECT event_id % 18 AS kind,
+  CASE event_id % 18 WHEN 1 THEN 'authentication' WHEN 2 THEN 'entitlement' WHEN 3 THEN 'http_error' WHEN 4 THEN 'http_error' WHEN 5 THEN 'rate_limit' WHEN 6 THEN 'http_error' WHEN 7 THEN 'authentication' WHEN 8 THEN 'rate_limit' WHEN 10 THEN 'entitlement'
+    WHEN 9 THEN 'malformed_response' WHEN 11 THEN 'malformed_response' WHEN 12 THEN 'malformed_response' WHEN 13 THEN 'malformed_response' WHEN 14 THEN 'malformed_response' WHEN 16 THEN 'malformed_response' WHEN 17 THEN 'http_error' ELSE 'ok' END AS outcome,
+  CASE event_id % 18 WHEN 1 THEN 'authentication' WHEN 2 THEN 'access' WHEN 3 THEN 'entitlement' WHEN 4 THEN 'http_error' WHEN 5 THEN 'rate_limit' WHEN 6 THEN 'http_error' WHEN 17 THEN 'http_error' ELSE 'ok' END AS http_outcome, count(*) AS responses FROM events GROUP BY 1, 2, 3""",
+    ),
+    "preflight_outcomes": (
+        preflight_outcomes,
+        """SELECT event_id % 12 AS kind, CASE event_id % 12 WHEN 0 THEN 'authorized' WHEN 5 THEN 'authorized' WHEN 6 THEN 'authentication_failed' WHEN 7 THEN 'authentication_or_permission_denied' WHEN 8 THEN 'entitlement_denied' WHEN 9 THEN 'http_error' WHEN 10 THEN 'rate_limited' WHEN 11 THEN 'http_error' ELSE 'malformed_response' END AS outcome,
+  count(*) AS responses, (sum(CASE event_id % 12 WHEN 0 THEN user_id % 3 + 1 WHEN 5 THEN 0 END))::BIGINT AS observations FROM events GROUP BY 1, 2""",
     ),
     "enriched_responses": (enriched_responses, "SELECT event_id, CASE WHEN event_id % 4 > 0 THEN event_id % 60 END AS retry_after, CASE WHEN event_id % 5 > 1 THEN event_id % 100 END AS remaining, CASE WHEN event_id % 7 <> 0 THEN 'r-' || event_id WHEN event_id % 21 = 0 THEN 'b' || event_id WHEN event_id % 14 = 0 THEN event_id::VARCHAR END AS request_id, round(value, 2) AS latency_ms FROM events"),
     "page_chain_audit": (
         page_chain_audit,
         """WITH p AS (SELECT user_id AS r, event_id AS k, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events),
-q AS (SELECT r, CASE WHEN k % 501 = 0 THEN n + 1 ELSE n END AS n, CASE WHEN k % 701 = 0 THEN 0 ELSE k END AS t, k % 301 = 0 AS drift FROM p),
-w AS (SELECT *, count(*) OVER (PARTITION BY r, t) AS c, n - lag(n) OVER (PARTITION BY r ORDER BY n) AS g FROM q),
-s AS (SELECT r, [CASE WHEN bool_or(c > 1) THEN 'repeated_token' END, CASE WHEN coalesce(bool_or(g <> 1), false) THEN 'page_gap' END, CASE WHEN bool_or(drift) THEN 'endpoint_drift' END, CASE WHEN max(n) > 70 THEN 'too_many_pages' END] AS l FROM w GROUP BY 1),
-u AS (SELECT r AS request_id, unnest(l) AS problem FROM s) SELECT * FROM u WHERE problem IS NOT NULL""",
+q AS (SELECT r, CASE WHEN k % 501 = 0 THEN n + 1 ELSE n END AS n, k % 211 = 0 AS odd, k % 211 <> 0 AND k % 233 = 0 AS bad, k % 211 <> 0 AND k % 233 <> 0 AND k % 239 <> 0 AS linked, k % 223 = 0 AS h, k % 301 = 0 AS e, k % 227 = 0 AS c, k % 229 = 0 AS x, CASE WHEN k % 701 = 0 THEN 0 ELSE k END AS t FROM p),
+w AS (SELECT *, CASE WHEN linked THEN count(*) FILTER (linked) OVER (PARTITION BY r, t, h, e, c, x) END AS same, n - lag(n) OVER (PARTITION BY r ORDER BY n) AS g FROM q)
+SELECT DISTINCT r AS request_id, 'token_type' AS problem FROM q WHERE odd UNION ALL SELECT DISTINCT r, 'invalid_json' FROM q WHERE bad
+UNION ALL SELECT DISTINCT r, CASE WHEN h THEN 'host_drift' WHEN e THEN 'endpoint_drift' WHEN c THEN 'credential_key' ELSE 'extra_query' END FROM q WHERE linked AND (h OR e OR c OR x)
+UNION ALL SELECT DISTINCT r, 'repeated_token' FROM w WHERE same > 1 UNION ALL SELECT DISTINCT r, 'page_gap' FROM w WHERE g <> 1 UNION ALL SELECT r, 'too_many_pages' FROM q GROUP BY r HAVING max(n) > 70""",
     ),
     "runtime_summary": (
         runtime_summary,

@@ -73,9 +73,29 @@ def unparsable(v: Column, path: str) -> Column:
     return F.try_variant_get(v, path, "string").isNotNull() & number(v, path).isNull()
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value computed once a row, however often body uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def exact(v: Column, path: str) -> Column:
-    """A decimal at path with all its digits; null if it has more than 18 behind the point."""
-    return F.when(~F.try_variant_get(v, path, "string").rlike(r"\.\d{18}\d*[1-9]"), F.try_variant_get(v, path, "decimal(38,18)"))
+    """A decimal at path with all its digits; null if it has more than 18 behind the point or more than 20 before it, so nothing is rounded.
+
+    Digits and exponent are read as they are written: 1e-20 is null, not 0.
+    """
+
+    def parts(written: Column) -> Column:
+        part = lambda k: F.regexp_extract(written, r"^([+-]?)(\d*)\.?(\d*)(?:[eE]([+-]?\d{1,4}))?$", k)
+        return F.struct(written.alias("text"), F.concat(part(2), part(3)).alias("digits"), (F.length(part(3)) - F.coalesce(F.nullif(part(4), F.lit("")).cast("int"), F.lit(0))).alias("scale"))
+
+    def judged(x: Column) -> Column:
+        digits, scale = x["digits"], x["scale"]
+        behind = scale - (F.length(digits) - F.length(F.regexp_replace(digits, "0+$", "")))
+        before = F.length(F.regexp_replace(digits, "^0+", "")) - scale
+        fits = (digits != "") & (digits.rlike("^0+$") | ((behind <= 18) & (before <= 20)))
+        return F.when(fits, x["text"].try_cast("decimal(38,18)"))
+
+    return _let(_let(F.trim(F.try_variant_get(v, path, "string")), parts), judged)
 
 
 def text(v: Column, path: str) -> Column:
@@ -356,10 +376,35 @@ def _result_items(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     return x.filter("reason IS NULL").select(*pages.columns, F.posexplode("_items").alias("record_index", "_r")), x.filter("reason IS NOT NULL").select("raw_batch_id", "reason")
 
 
+#: Digits behind the point of a ratio.
+RATIO_DIGITS = 20
+
+
 def ratio(to: Column, of: Column) -> Column:
-    """Quotient of two decimals of at most 8 digits behind the point, with 20 digits; null for others."""
-    a, b = to.cast("decimal(18,8)"), of.cast("decimal(18,8)")
-    return F.when((to > 0) & (of > 0) & (a == to) & (b == of), a / b).cast("decimal(38,20)")
+    """Quotient of two positive decimals (38,18) with RATIO_DIGITS digits behind the point, the last one rounded, by long division.
+
+    Both become whole numbers by the longer one's digits behind the point. Null where one isn't positive or such a number has
+    more than 17 digits, which leaves a long room for a remainder and a digit.
+    """
+    div = lambda x, y: F.call_function("div", x, y)
+
+    def tails(x: Column) -> Column:
+        plain = {c: F.replace(F.format_number(x[c].cast("decimal(38,18)"), 18), F.lit(","), F.lit("")) for c in ("to", "of")}  # never in scientific notation
+        return F.struct(*(F.struct(t.alias("t"), F.regexp_replace(F.substring_index(t, ".", -1), "0+$", "").alias("f")).alias(c) for c, t in plain.items()))
+
+    def whole(x: Column) -> Column:
+        digits = F.greatest(F.length(x["to"]["f"]), F.length(x["of"]["f"]))
+        return F.struct(*(F.concat(F.substring_index(x[c]["t"], ".", 1), F.rpad(x[c]["f"], digits, F.lit("0"))).try_cast("bigint").alias(n) for c, n in (("to", "a"), ("of", "b"))))
+
+    def divided(x: Column) -> Column:
+        a, b = x["a"], x["b"]
+        start = F.struct((a % b).alias("r"), F.lit("").alias("q"))
+        behind = F.aggregate(F.sequence(F.lit(0), F.lit(RATIO_DIGITS)), start, lambda s, _: F.struct(((s["r"] * 10) % b).alias("r"), F.concat(s["q"], div(s["r"] * 10, b).cast("string")).alias("q")), lambda s: s["q"])
+        found = F.concat(div(a, b).cast("string"), F.lit("."), behind).cast(f"decimal(38,{RATIO_DIGITS + 1})")
+        return F.when(a.between(1, 10**17 - 1) & b.between(1, 10**17 - 1), F.round(found, RATIO_DIGITS))
+
+    positive = _let(F.struct(to.alias("to"), of.alias("of")), lambda x: F.when((x["to"] > 0) & (x["of"] > 0), x))
+    return _let(_let(_let(positive, tails), whole), divided).cast(f"decimal(38,{RATIO_DIGITS})")
 
 
 def normalize_splits(pages: DataFrame) -> Normalized:

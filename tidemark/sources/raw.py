@@ -7,7 +7,6 @@ known source_id, license_classification, file_extension and provider_request_id.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import finite, iso, slug
@@ -152,42 +151,124 @@ def parsed(payload: Column) -> Column:
     return F.when(F.json_object_keys(text).isNotNull(), F.try_parse_json(text))
 
 
-def outcome(status: Column, body: Column) -> Column:
-    """What a response amounts to, from its status and, where that says too little, its body's code and status.
+#: JSON kinds of whole numbers.
+_WHOLE = ("BIGINT", "INT", "SMALLINT", "TINYINT")
 
-    A successful response whose body is no JSON object, has an unknown status, or an error without a status code is malformed.
+
+def _whole(v: Column, path: str) -> Column:
+    """A whole JSON number at path; null for text, fractions and anything else."""
+    kind = F.schema_of_variant(F.try_variant_get(v, path, "variant"))
+    return F.when(kind.isin(*_WHOLE), F.try_variant_get(v, path, "bigint"))
+
+
+def _said(v: Column, path: str) -> Column:
+    """A JSON string at path; null for anything else."""
+    return F.when(F.schema_of_variant(F.try_variant_get(v, path, "variant")) == "STRING", F.try_variant_get(v, path, "string"))
+
+
+def _is_null(v: Column, path: str) -> Column:
+    """Nothing, or a JSON null, stands at path."""
+    found = F.try_variant_get(v, path, "variant")
+    return found.isNull() | F.is_variant_null(found)
+
+
+def outcome(status: Column, body: Column, rules: str = "body_status") -> Column:
+    """What a response amounts to, by the rules of its provider.
+
+    `http` (errors come as HTTP statuses): 401, 403 and 429 have names, 422 with the whole-number code 42210000 is an entitlement,
+    and the body of a success isn't judged. `body_status` (errors also come as successes with a status in the body): 403 is an
+    entitlement; a success must be a JSON object whose status, if it has one, is exactly `ok` or `error`, and an error must have
+    a whole-number code from 100 to 599, which then decides.
     """
-    code = F.try_variant_get(body, "$.code", "int")
-    said = F.lower(F.try_variant_get(body, "$.status", "string"))
     known = F.create_map(*(F.lit(x) for kv in HTTP_OUTCOMES.items() for x in kv))
-    by_code = F.when(~F.coalesce(code.between(100, 599), F.lit(False)), "malformed_response").when(code == 403, "entitlement").otherwise(F.coalesce(known[code], F.lit("http_error")))
     fine = status.between(200, 299)
+    if rules == "http":
+        return F.when(fine, "ok").when((status == 422) & (_whole(body, "$.code") == 42210000), "entitlement").otherwise(F.coalesce(known[status], F.lit("http_error")))
+    if rules != "body_status":
+        raise ValueError(f"unknown rules: {rules!r}")
+    code, said = _whole(body, "$.code"), _said(body, "$.status")
+    by_code = F.when(~F.coalesce(code.between(100, 599), F.lit(False)), "malformed_response").when(code == 403, "entitlement").otherwise(F.coalesce(known[code.cast("int")], F.lit("http_error")))
     return (
-        F.when(fine & body.isNull(), "malformed_response")
-        .when(fine & (said == "error"), by_code)
-        .when(fine & said.isNotNull() & ~said.isin("ok", "delayed"), "malformed_response")
-        .when(fine, "ok")
-        .when((status == 422) & (code == 42210000), "entitlement")
+        F.when(status == 403, "entitlement")
+        .when(~F.coalesce(fine, F.lit(False)), F.coalesce(known[status], F.lit("http_error")))
+        .when(body.isNull(), "malformed_response")
+        .when(_is_null(body, "$.status") | F.coalesce(said == "ok", F.lit(False)), "ok")
+        .when(F.coalesce(said == "error", F.lit(False)), by_code)
+        .otherwise("malformed_response")
+    )
+
+
+# What a preflight request for one identifier can amount to.
+PREFLIGHT = {401: "authentication_failed", 403: "authentication_or_permission_denied", 429: "rate_limited"}
+
+
+def preflight(responses: DataFrame) -> DataFrame:
+    """Probe responses (status, body as VARIANT, identifier) with `preflight` and, where authorized, the number of `observations`.
+
+    A 200 is authorized if `bars` is an object whose keys are all the requested identifier and whose values are arrays.
+    """
+    body, status = F.col("body"), F.col("status")
+    kind = F.schema_of_variant(F.try_variant_get(body, "$.bars", "variant"))
+    bars = F.try_variant_get(body, "$.bars", "map<string,variant>")
+    entries = F.map_entries(bars)
+    right = F.forall(entries, lambda e: (e["key"] == F.col("identifier")) & F.try_variant_get(e["value"], "$", "array<variant>").isNotNull())
+    good = F.coalesce(kind.startswith("OBJECT") & right, F.lit(False))
+    count = F.aggregate(entries, F.lit(0).cast("long"), lambda n, e: n + F.size(F.try_variant_get(e["value"], "$", "array<variant>")))
+    known = F.create_map(*(F.lit(x) for kv in PREFLIGHT.items() for x in kv))
+    found = (
+        F.when(status == 200, F.when(good, "authorized").otherwise("malformed_response"))
+        .when((status == 422) & (_whole(body, "$.code") == 42210000), "entitlement_denied")
         .otherwise(F.coalesce(known[status], F.lit("http_error")))
     )
+    return responses.withColumns({"preflight": found, "observations": F.when((status == 200) & good, count)})
+
+
+# Query keys that carry a credential, and the one key that a next link may have.
+CREDENTIAL_KEYS = ("apikey", "api_key")
+CURSOR_KEY = "cursor"
+
+
+def _link_problem(link: Column, host: Column, endpoint: Column) -> Column:
+    """The first thing wrong with a next link: it leaves the HTTPS origin, changes the path, carries a credential, or asks for more than one cursor."""
+    part = lambda name: F.try_parse_url(link, F.lit(name))
+    pairs = F.filter(F.split(F.coalesce(part("QUERY"), F.lit("")), "&"), lambda x: x != "")
+    keys = F.transform(pairs, lambda x: F.lower(F.coalesce(F.try_url_decode(F.substring_index(x, "=", 1)), x)))
+    value = F.regexp_extract(pairs[0], "^[^=]*=(.*)$", 1)
+    away = ~F.coalesce((part("PROTOCOL") == "https") & (part("AUTHORITY") == host), F.lit(False)) | (F.coalesce(part("REF"), F.lit("")) != "")
+    return (
+        F.when(away, "host_drift")
+        .when(~F.coalesce(part("PATH") == endpoint, F.lit(False)), "endpoint_drift")
+        .when(F.arrays_overlap(keys, F.array(*map(F.lit, CREDENTIAL_KEYS))), "credential_key")
+        .when((F.size(keys) != 1) | (F.try_element_at(keys, F.lit(1)) != CURSOR_KEY) | (value == ""), "extra_query")
+    )
+
+
+def page_links(pages: DataFrame) -> DataFrame:
+    """Pages (payload, host, endpoint) with what they say of the next one: `link` (a token or a URL; null at the end) and `problem`.
+
+    A page says it by `next_page_token` (nothing, null or an empty text ends the chain) or by `next_url` (nothing or null ends it).
+    """
+    v = parsed(F.col("payload"))
+    token, url = _said(v, "$.next_page_token"), _said(v, "$.next_url")
+    odd = (~_is_null(v, "$.next_page_token") & token.isNull()) | (~_is_null(v, "$.next_url") & url.isNull())
+    problem = F.when(v.isNull(), "invalid_json").when(odd, "token_type").when(url.isNotNull(), _link_problem(url, F.col("host"), F.col("endpoint")))
+    return pages.withColumns({"link": F.coalesce(F.nullif(token, F.lit("")), url), "problem": problem})
 
 
 def page_chain_audit(pages: DataFrame, most: int = 1000) -> DataFrame:
-    """Requests (request_id, page_number, token, next_url, endpoint) whose chain of pages is broken, and how.
+    """Requests (pages: request_id, page_number, payload, host, endpoint) whose chain of pages is broken, and how: request_id, problem.
 
-    A token that comes twice, a gap in page numbers, a next link to another path, and more than `most` pages.
+    Besides what page_links() finds: a link that comes twice, page numbers that repeat or leave gaps, and more than `most` pages.
+    Gaps follow from least, greatest and distinct page numbers; all counts are aggregated before they are shuffled, so a request with
+    any number of pages is never sorted or held by one task.
     """
-    token = F.when(F.col("token").isNull(), 0).otherwise(F.count(F.lit(1)).over(W.partitionBy("request_id", "token")))
-    gap = F.col("page_number") - F.lag("page_number").over(W.partitionBy("request_id").orderBy("page_number"))
-    x = pages.withColumns({"_t": token, "_g": gap})
-    g = x.groupBy("request_id").agg(
-        F.bool_or(F.col("_t") > 1).alias("repeated_token"),
-        F.coalesce(F.bool_or(F.col("_g") != 1), F.lit(False)).alias("page_gap"),
-        F.coalesce(F.bool_or(F.try_parse_url("next_url", F.lit("PATH")) != F.col("endpoint")), F.lit(False)).alias("endpoint_drift"),
-        (F.max("page_number") > most).alias("too_many_pages"),
-    )
-    names = ("repeated_token", "page_gap", "endpoint_drift", "too_many_pages")
-    return g.select("request_id", F.explode(F.array_compact(F.array(*(F.when(F.col(n), F.lit(n)) for n in names)))).alias("problem"))
+    x = page_links(pages).select("request_id", "page_number", "link", "problem")
+    broken = x.filter("problem IS NOT NULL").select("request_id", "problem")
+    repeated = x.filter("link IS NOT NULL").groupBy("request_id", "link").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("request_id", F.lit("repeated_token").alias("problem"))
+    numbers = x.groupBy("request_id", "page_number").agg(F.count(F.lit(1)).alias("n")).groupBy("request_id").agg(F.sum("n").alias("n"), F.count("page_number").alias("d"), F.min("page_number").alias("a"), F.max("page_number").alias("z"))
+    gaps = numbers.filter("n <> d OR z - a + 1 <> d").select("request_id", F.lit("page_gap").alias("problem"))
+    many = numbers.filter(F.col("z") > most).select("request_id", F.lit("too_many_pages").alias("problem"))
+    return broken.unionByName(repeated).unionByName(gaps).unionByName(many).distinct()
 
 
 def runtime_summary(batches: DataFrame, provider: str | None = None) -> DataFrame:
