@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import clock
-from tidemark.operators import reconcile_actions, reference_data
+from tidemark.operators import reconcile_actions, reference_data, study
 from tidemark.sources import raw
 
 
@@ -22,19 +22,37 @@ def study_sessions(spark):
     return clock.sessions(clock.weekdays(ranges, "a", "b"), closed, dates(spark, date(2025, 3, 7), date(2025, 3, 10)), early)
 
 
-def study_windows(spark, sessions):
+# The days of the frozen study.
+CALENDAR_DAYS = (date(2025, 3, 7), date(2025, 3, 10), date(2025, 7, 2), date(2025, 7, 3), date(2025, 10, 31), date(2025, 11, 3))
+SPLIT_DAYS = {"A": (date(2025, 6, 9), date(2025, 6, 10)), "B": (date(2025, 6, 17), date(2025, 6, 18)), "C": (date(2025, 11, 14), date(2025, 11, 17))}
+DAILY, TICKER = (datetime(2025, 5, 27, tzinfo=UTC), datetime(2025, 12, 6, tzinfo=UTC)), (datetime(2025, 1, 13, tzinfo=UTC), datetime(2025, 1, 21, tzinfo=UTC), datetime(2025, 1, 29, tzinfo=UTC))
+
+
+def study_rules(spark):
     """22 windows over 16 instruments: two daily, six calendar days, twelve split boundaries, two tickers of one instrument."""
-    at = {r["session_date"]: (r["start"].replace(tzinfo=UTC), r["end"].replace(tzinfo=UTC)) for r in sessions.collect()}
-    utc = lambda *x: datetime(*x, tzinfo=UTC)
-    rows = []
-    for segment in ("daily", "daily_split"):
-        rows += [(segment, i, "1d", utc(2025, 5, 27), utc(2025, 12, 6)) for i in range(16)]
-    for d in (date(2025, 3, 7), date(2025, 3, 10), date(2025, 7, 2), date(2025, 7, 3), date(2025, 10, 31), date(2025, 11, 3)):
-        rows += [("calendar", i, "5m", *at[d]) for i in range(16)]
-    for i, days in enumerate(((date(2025, 6, 9), date(2025, 6, 10)), (date(2025, 6, 17), date(2025, 6, 18)), (date(2025, 11, 14), date(2025, 11, 17)))):
-        rows += [(s, i, "5m", *at[d]) for d in days for s in ("split_raw", "split_adjusted")]
-    rows += [("ticker", 0, "1d", utc(2025, 1, 13), utc(2025, 1, 21)), ("ticker", 0, "1d", utc(2025, 1, 21), utc(2025, 1, 29))]
-    return spark.createDataFrame(rows, "segment string, instrument_id long, timeframe string, start timestamp, end timestamp")
+    rows = [(f"daily-core-{s}", segment, "all", "1d", state, *DAILY, None) for s, segment, state in (("raw", "daily", "unadjusted"), ("split", "daily_split", "split_adjusted"))]
+    rows.append(("calendar", "calendar", "all", "5m", "unadjusted", None, None, list(CALENDAR_DAYS)))
+    rows += [(f"split-{u}-{s}", segment, u, "5m", state, None, None, list(days)) for u, days in SPLIT_DAYS.items() for s, segment, state in (("raw", "split_raw", "unadjusted"), ("split", "split_adjusted", "split_adjusted"))]
+    rows += [("ticker-old", "ticker", "old", "1d", "unadjusted", *TICKER[:2], None), ("ticker-new", "ticker", "new", "1d", "unadjusted", *TICKER[1:], None)]
+    return spark.createDataFrame(rows, study.RULES)
+
+
+def study_targets(spark):
+    rows = [("all", f"S{i}", i) for i in range(16)] + [(u, f"S{i}", i) for i, u in enumerate(SPLIT_DAYS)] + [("old", "SQ", 0), ("new", "S0", 0)]
+    return spark.createDataFrame(rows, "universe string, symbol string, instrument_id long")
+
+
+def study_windows(spark, sessions):
+    windows = study.study_windows(study_rules(spark), sessions)
+    assert windows.count() == 22 and windows.select("label").distinct().count() == 22
+    return study.window_targets(windows, study_targets(spark))
+
+
+@pytest.mark.parametrize(("rule", "why"), [((None, None, [date(2025, 7, 4)]), "no session"), ((None, None, None), "bounds or session dates"), ((*DAILY, [date(2025, 7, 2)]), "bounds or session dates"), ((DAILY[1], DAILY[0], None), "empty window")])
+def test_study_rules_are_checked(spark, rule, why):
+    rules = spark.createDataFrame([("x", "s", "all", "5m", "unadjusted", *rule)], study.RULES)
+    with pytest.raises(Exception, match=why):
+        study.study_windows(rules, study_sessions(spark)).collect()
 
 
 def test_frozen_study_has_148_sessions_and_12179_keys(spark):

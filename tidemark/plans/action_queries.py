@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import clock
 from tidemark.functions.text import joined
-from tidemark.operators import constraints, reference_data
+from tidemark.operators import constraints, reference_data, study
 from tidemark.operators import reconcile_actions as ra
 from tidemark.plans import adapters
 from tidemark.plans.adapters import table
@@ -211,6 +211,24 @@ def credit_window_audit(spark, sf_dir):
 
 
 _NY = "timezone('UTC', timezone('America/New_York', CAST({d} AS TIMESTAMP) + INTERVAL {m} MINUTE))"
+def study_windows(spark, sf_dir):
+    """A study of all customers by market segment: two daily windows a segment, and two five-minute ones on the last session of each year on which the segment ordered."""
+    customers, sessions = table(spark, sf_dir, "customer"), _calendar(spark, sf_dir)
+    targets = customers.select(F.col("c_mktsegment").alias("universe"), F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("symbol"), F.col("c_custkey").cast("string").alias("instrument_id"))
+    days = table(spark, sf_dir, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey")).select(F.col("c_mktsegment").alias("universe"), F.to_date("o_orderdate").alias("session_date")).distinct()
+    last = days.join(sessions.select("session_date"), "session_date").groupBy("universe", F.year("session_date").alias("year")).agg(F.max("session_date").alias("day"))
+    chosen = last.groupBy("universe").agg(F.array_sort(F.collect_list("day")).alias("days"))
+    bound = lambda t: F.lit(t).cast("timestamp")
+    none = F.lit(None)
+    rules = None
+    for state, suffix in (("unadjusted", "raw"), ("split_adjusted", "split")):
+        daily = targets.select("universe").distinct().select(F.concat(F.lit(f"daily-{suffix}-"), "universe").alias("label"), F.lit(f"daily_{suffix}").alias("segment"), "universe", F.lit("1d").alias("timeframe"), F.lit(state).alias("adjustment_state"), bound("1996-01-01").alias("start"), bound("1998-01-01").alias("end"), none.cast("array<date>").alias("session_dates"))
+        five = chosen.select(F.concat(F.lit(f"last-{suffix}-"), "universe").alias("label"), F.lit(f"last_{suffix}").alias("segment"), "universe", F.lit("5m").alias("timeframe"), F.lit(state).alias("adjustment_state"), none.cast("timestamp").alias("start"), none.cast("timestamp").alias("end"), F.col("days").alias("session_dates"))
+        rules = daily.unionByName(five) if rules is None else rules.unionByName(daily).unionByName(five)
+    asked = study.window_targets(study.study_windows(rules, sessions), targets)
+    return asked.groupBy("label", "segment", "timeframe", "adjustment_state", F.unix_micros("start").alias("start_us"), F.unix_micros("end").alias("end_us")).agg(F.count(F.lit(1)).alias("targets"), F.count_distinct("symbol").alias("symbols"))
+
+
 CALENDAR = f"""WITH busy AS (SELECT CAST(l_shipdate AS DATE) AS d, count(*) AS n FROM lineitem GROUP BY 1),
 days AS (SELECT CAST(x AS DATE) AS d FROM (SELECT unnest(generate_series((SELECT min(d) FROM busy)::TIMESTAMP, (SELECT max(d) FROM busy)::TIMESTAMP, INTERVAL 1 DAY)) AS x) WHERE isodow(x) < 6),
 cal AS (SELECT d, epoch_us({_NY.format(d='d', m=570)}) AS s, epoch_us({_NY.format(d='d', m=960)}) - CASE WHEN coalesce(n, 0) % 10 = 1 THEN 10800000000 ELSE 0 END AS e FROM days LEFT JOIN busy USING (d) WHERE n IS NULL OR n % 10 <> 0)"""
@@ -282,6 +300,16 @@ SELECT 'daily' AS segment, instrument_id, '1d' AS timeframe, s AS start_us FROM
 UNION ALL SELECT 'intraday', instrument_id, '5m', unnest(range(greatest(a, s), least(b, e) - 300000000 + 1, 300000000)) FROM w JOIN cal ON instrument_id % 2 = 1 AND greatest(a, s) + 300000000 <= least(b, e)""",
     ),
     "calendar_counts": (calendar_counts, f"SELECT strftime(timezone('America/New_York', timezone('UTC', timestamp_start)), '%Y-%m-%d') AS session_date, timeframe, count(*) AS bars, count(DISTINCT instrument_id) AS instruments FROM ({adapters.bars_sql('left')}) GROUP BY 1, 2"),
+    "study_windows": (
+        study_windows,
+        CALENDAR
+        + """, t AS (SELECT c_mktsegment AS u, count(*) AS n FROM customer GROUP BY 1),
+l AS (SELECT c_mktsegment AS u, max(d) AS d FROM orders JOIN customer ON o_custkey = c_custkey JOIN cal ON cal.d = CAST(o_orderdate AS DATE) GROUP BY 1, year(cal.d)),
+a AS (SELECT * FROM (VALUES ('unadjusted', 'raw'), ('split_adjusted', 'split')) AS v(state, x)),
+w AS (SELECT 'daily-' || x || '-' || u AS label, 'daily_' || x AS segment, '1d' AS timeframe, state AS adjustment_state, epoch_us(TIMESTAMP '1996-01-01') AS start_us, epoch_us(TIMESTAMP '1998-01-01') AS end_us, n FROM t, a
+  UNION ALL SELECT 'last-' || x || '-' || u || '-' || strftime(d, '%Y-%m-%d'), 'last_' || x, '5m', state, s, e, n FROM l JOIN cal USING (d) JOIN t USING (u), a)
+SELECT label, segment, timeframe, adjustment_state, start_us, end_us, n AS targets, n AS symbols FROM w""",
+    ),
     "credit_window_audit": (
         credit_window_audit,
         """WITH g AS (SELECT event_id, ts, user_id % 8 AS provider, CAST(json_extract(props, '$.k') AS BIGINT) AS cost FROM events),
