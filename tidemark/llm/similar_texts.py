@@ -135,14 +135,18 @@ def near_pairs(prints: np.ndarray, counts: np.ndarray, sizes: np.ndarray, least:
     return (np.concatenate(first), np.concatenate(second)) if first else (np.zeros(0, int), np.zeros(0, int))
 
 
-def stars(n: int, p: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(centre, row): each row with a near one is a centre or has a centre; rows with most near ones are centres first."""
+def stars(n: int, p: np.ndarray, q: np.ndarray, nodes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(centre, row): each row with a near one is a centre or has a centre; rows with most near ones (to a power of two) are centres first.
+
+    Among those the least of `nodes` comes first (the first row, without them), so that the bands of one large group choose the same centres and give the same pairs.
+    """
+    nodes = np.arange(n) if nodes is None else nodes
     a, b = np.concatenate((p, q)), np.concatenate((q, p))
     order = np.argsort(a, kind="stable")
     b, degree = b[order], np.bincount(a, minlength=n)
     ends = np.cumsum(degree)
     free, centres, rows = degree > 0, [], []
-    for c in np.argsort(-degree, kind="stable")[: int(free.sum())].tolist():
+    for c in np.lexsort((nodes, -np.frexp(degree)[1]))[: int(free.sum())].tolist():
         if free[c]:
             own = b[ends[c] - degree[c] : ends[c]]
             free[c] = False
@@ -177,7 +181,7 @@ def _cover(table: pa.Table, least: float) -> pa.Table:
     for rows, own, counts, sizes in _by_group(table, _words(table.column("print"), WORDS)):
         p, q = near_pairs(own, counts, sizes, least)
         if len(p):
-            centre, row = stars(len(rows), p, q)
+            centre, row = stars(len(rows), p, q, nodes[rows])
             u.append(rows[centre])
             v.append(rows[row])
             if len(p) > len(row):
