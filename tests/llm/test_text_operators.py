@@ -409,3 +409,20 @@ def test_language_of_odd_texts(spark, frame, odd):
     nothing = language_id.fit(docs.limit(0))
     assert {r["lang_pred"] for r in language_id.predict(frame(odd), nothing).collect()} == {"und"}
     assert language_id.predict(frame(odd).limit(0), crf).count() == 0
+
+
+def test_packing_ids_of_letters_that_come_apart_before_stops():
+    """Every letter that normalization makes several characters of, and every other one up to U+3400, before a stop and a comma."""
+    import unicodedata
+
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(WORDS)
+    library.no_truncation()
+    library.no_padding()
+    ours = packing.PartEncoder(WORDS)
+    chars = [chr(c) for c in range(0x21, 0x3400)] + [c for c in map(chr, range(0x3400, 0x30000)) if not 0xD800 <= ord(c) < 0xE000 and len(unicodedata.normalize("NFC", c)) > 1]
+    texts = [f.replace("{}", c) for c in chars for f in ("a{}, b", "{}. b", "x{}{}. {}, y")]
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in ours.encode_all(texts)] == want
+    assert np.frombuffer(ours.encode_all(["\u0130. Melih"])[0], "<u4").tolist() == library.encode("\u0130. Melih", add_special_tokens=False).ids
