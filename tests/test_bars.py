@@ -146,3 +146,16 @@ def test_shifted_matching_agrees_with_brute_force(spark):
     left, right = (spark.createDataFrame(x, "k long, at long") for x in (a, b))
     assert sorted(map(tuple, mutually_unique_pairs(left, right, ["k"], "at", 7).collect())) == want
     assert mutually_unique_pairs(left, right, ["k"], "at", 0).count() == 0
+
+
+def test_frames_differ_as_multisets_of_rows(spark):
+    empty_bars, frame_differences, frames_match = canonical.empty_bars, canonical.frame_differences, canonical.frames_match
+    bars = frame(spark, *(bar(o=float(i), vwap=None if i == 2 else 1.0) for i in range(3)))
+    a = bars.withColumn("quality_flags", F.array(F.lit("y"), F.lit("x")))
+    b = bars.withColumn("quality_flags", F.array(F.lit("x"), F.lit("y")))
+    assert frames_match(a, b) and not frames_match(a, bars)
+    assert sorted(r["surplus"] for r in frame_differences(a.unionByName(a), b).collect()) == [1, 1, 1]
+    assert sorted(r["surplus"] for r in frame_differences(a, b.unionByName(b).unionByName(b)).collect()) == [-2, -2, -2]
+    assert frames_match(empty_bars(spark), empty_bars(spark)) and frame_differences(empty_bars(spark), a).count() == 3
+    plan = frame_differences(a, b)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan

@@ -190,6 +190,29 @@ def test_actions_by_endpoint(spark):
     assert [r["code"] for r in out.issues.collect()] == ["provider_definition"]
 
 
+def test_actions_come_from_the_sources_of_their_endpoint(spark):
+    body = bytearray(json.dumps({"status": "OK", "results": [{"id": "1", "ticker": "A", "execution_date": "2025-07-02", "adjustment_type": "forward_split", "split_from": 1, "split_to": 4}]}).encode())
+    rows = [(b, e, body, "r", "A", "i", s, date(2025, 1, 1), date(2026, 1, 1)) for b, e, s in (("a", "splits", "s1"), ("b", "splits", "s2"), ("c", "splits", "d1"), ("d", "splits", None), ("e", None, "s1"), ("f", "news", "n1"))]
+    pages = spark.createDataFrame(rows, "raw_batch_id string, endpoint string, payload binary, request_id string, provider_identifier string, instrument_id string, source_id string, start_date date, end_date date")
+    sources = spark.createDataFrame([("splits", "s1"), ("splits", "s2"), ("dividends", "d1"), ("news", "n1")], "endpoint string, source_id string")
+    out = nz.normalize_by_endpoint(pages, sources)
+    assert sorted(r["raw_batch_id"] for r in out.rows.collect()) == ["a", "b"]
+    assert sorted((r["raw_batch_id"], r["reason"]) for r in out.batch_errors.collect()) == [("c", "source"), ("d", "source"), ("e", "endpoint"), ("f", "endpoint")]
+    assert nz.normalize_by_endpoint(pages.limit(0), sources).rows.isEmpty()
+
+
+def test_a_source_is_listed_in_one_way(spark):
+    from tidemark.operators.reference_data import source_dimension
+
+    listing = lambda *rows: spark.createDataFrame(rows, "name string, provider string, dataset string, endpoint string")
+    space = str(uuid.NAMESPACE_URL)
+    got = source_dimension(listing(("x:bars", "x", "bars", "/v1"), ("x:bars", "x", "bars", "/v1"), ("x:acts", "x", "acts", "/v2")), space).collect()
+    assert {(r["source_id"], r["name"], r["dataset"], r["endpoint"]) for r in got} == {(str(uuid.uuid5(uuid.NAMESPACE_URL, f"x:{d}")), f"x:{d}", d, e) for d, e in (("bars", "/v1"), ("acts", "/v2"))}
+    for rows, why in (((("n", "x", "d", "/v1"), ("n", "x", "d", "/v2")), "several ways"), ((("n", " ", "d", "/v1"),), "needs a name"), (((None, "x", "d", "/v1"),), "needs a name")):
+        with pytest.raises(Exception, match=why):
+            source_dimension(listing(*rows), space).collect()
+
+
 def test_name_uuids_and_slugs(spark):
     names = ["a", "é x", ""]
     got = [r[0] for r in spark.createDataFrame([(n,) for n in names], "n string").select(name_uuid(str(uuid.NAMESPACE_DNS), F.col("n"))).collect()]

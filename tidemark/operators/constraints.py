@@ -19,6 +19,12 @@ def wire_word(words: dict[str, dict[str, str]], shape: str, c: Column) -> Column
     return F.create_map(*(F.lit(x) for kv in words[shape].items() for x in kv))[c]
 
 
+def wire_requests(requests: DataFrame, shape: str) -> DataFrame:
+    """Requests (timeframe, adjustment_state) with the words of a wire format for both, and `supported`: the wire has a word for each."""
+    words = {"wire_timeframe": wire_word(TIMEFRAME_WORDS, shape, F.col("timeframe")), "wire_adjustment": wire_word(ADJUSTMENT_WORDS, shape, F.col("adjustment_state"))}
+    return requests.withColumns(words).withColumn("supported", F.col("wire_timeframe").isNotNull() & F.col("wire_adjustment").isNotNull())
+
+
 def broken(rules: dict[str, Column]) -> Column:
     """Names of the rules whose condition holds, in order."""
     return F.array_compact(F.array(*(F.when(v, F.lit(k)) for k, v in rules.items())))

@@ -106,12 +106,13 @@ def evidence_series(pages: DataFrame, keys: list[str]) -> DataFrame:
     pages: keys, symbol, payload, and page_number for the order of pages. Records are a symbol's list under `bars`, or the
     `values` of the page or of the symbol's part of it; prices are numbers or text that reads as one.
     """
-    root = parsed(F.col("payload"))
+    root = F.col("_v")
     name = F.concat(F.lit("$[\""), F.col("symbol"), F.lit("\"]"))
     records = lambda body, path: F.try_variant_get(body, path, "array<variant>")
     part = F.try_variant_get(root, name, "variant")
     listed = F.coalesce(records(F.try_variant_get(root, "$.bars", "variant"), name), records(root, "$.values"), records(part, "$.values"))
-    rows = pages.select(*keys, "page_number", F.posexplode(listed).alias("at", "r"))
+    read = pages.withColumn("_v", parsed(F.col("payload"))).withColumn("_listed", listed)  # a page is parsed once, before its records come apart
+    rows = read.select(*keys, "page_number", F.posexplode("_listed").alias("at", "r"))
     texts = lambda *paths: F.coalesce(*(F.try_variant_get("r", p, "variant") for p in paths))
 
     def price(short: str, long: str) -> Column:

@@ -9,9 +9,27 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.text import name_uuid, strip
 from tidemark.sources.files import scratch_folder
 
 
+def source_dimension(listing: DataFrame, namespace: str) -> DataFrame:
+    """Sources with their ids: a listing (name, provider, dataset, endpoint, ...) with `source_id`, the version-5 UUID of the name, each name once.
+
+    The listing is a vocabulary, a row for each kind of data that a provider serves. Two listings of a name that say different
+    things, or a blank name, provider, dataset or endpoint, are an error.
+    """
+    said = [c for c in listing.columns if c != "name"]
+    once = listing.groupBy("name").agg(F.collect_set(F.struct(*said)).alias("_said"))
+    blank = F.lit(False)
+    for c in ("provider", "dataset", "endpoint"):
+        blank = blank | (F.coalesce(strip(F.col("_said")[0][c]), F.lit("")) == "")
+    blank = blank | (F.coalesce(strip(F.col("name")), F.lit("")) == "")
+    told = F.when(F.size("_said") != 1, F.raise_error(F.concat(F.lit("a source is listed in several ways: "), "name")).cast("string"))
+    told = told.when(blank, F.raise_error(F.lit("a source needs a name, provider, dataset and endpoint")).cast("string")).otherwise(name_uuid(namespace, F.col("name")))
+    return once.select(told.alias("source_id"), "name", F.col("_said")[0].alias("_one")).select("source_id", "name", "_one.*")
+
+
 def valid_on(day: Column, start: Column, end: Column) -> Column:
     """Half-open validity with an open end."""
     return (start <= day) & (end.isNull() | (day < end))

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.plans import action_queries, bar_queries, normalize_queries, pipeline_queries, raw_queries, reconcile_queries
+from tidemark.plans import action_queries, bar_queries, evidence_queries, normalize_queries, pipeline_queries, raw_queries, reconcile_queries
 
-_FAMILIES = (bar_queries, reconcile_queries, action_queries, raw_queries, normalize_queries, pipeline_queries)
+_FAMILIES = (bar_queries, reconcile_queries, action_queries, raw_queries, normalize_queries, pipeline_queries, evidence_queries)
 
 
 def _in_utc(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

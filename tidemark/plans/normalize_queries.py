@@ -115,26 +115,39 @@ def splits(spark, sf_dir):
     return x.rows.select("instrument_id", F.date_format("effective_date", "yyyy-MM-dd").alias("effective_date"), F.col("split_ratio").cast("string").alias("split_ratio"), "provider_record_id", "source_id")
 
 
-def splits_normalized(spark, sf_dir):
+def splits_pages(spark, sf_dir):
     k = F.col("k")
     rec = F.struct(k.cast("string").alias("id"), _ticker(k).alias("ticker"), F.col("d").alias("execution_date"), F.when(k % 7 == 0, "stock_dividend").when(k % 2 == 0, "forward_split").otherwise("reverse_split").alias("adjustment_type"), (k % 4 + 1).alias("split_from"), _rate(k).alias("split_to"))
-    return nz.normalize_splits(_payload(_action_pages(spark, sf_dir, 0, rec)))
+    return _payload(_action_pages(spark, sf_dir, 0, rec))
 
 
-def dividends_normalized(spark, sf_dir):
+def splits_normalized(spark, sf_dir):
+    return nz.normalize_splits(splits_pages(spark, sf_dir))
+
+
+def dividends_pages(spark, sf_dir):
     k = F.col("k")
     rec = F.struct(k.cast("string").alias("id"), _ticker(k).alias("ticker"), F.col("d").alias("ex_dividend_date"), F.when(k % 13 == 0, 0).otherwise(F.col("o_totalprice")).alias("cash_amount"), F.when(k % 17 == 0, "DOLLAR").otherwise("usd").alias("currency"))
-    return nz.normalize_dividends(_payload(_action_pages(spark, sf_dir, 1, rec)))
+    return _payload(_action_pages(spark, sf_dir, 1, rec))
 
 
-def events_normalized(spark, sf_dir):
+def dividends_normalized(spark, sf_dir):
+    return nz.normalize_dividends(dividends_pages(spark, sf_dir))
+
+
+def events_pages(spark, sf_dir):
     k = F.col("k")
     rec = F.struct(F.col("d").alias("date"), F.when(k % 19 == 0, "rename").otherwise("ticker_change").alias("type"), F.struct(F.when(k % 4 == 0, F.col("sym")).otherwise(F.concat(F.lit("N"), (k % 4).cast("string"))).alias("ticker")).alias("ticker_change"))
     pages = _action_pages(spark, sf_dir, 2, rec)
-    return nz.normalize_ticker_events(pages.withColumn("payload", F.encode(F.to_json(F.struct(F.lit("OK").alias("status"), F.struct(F.lit("x").alias("name"), F.col("items").alias("events")).alias("results"))), "UTF-8")).drop("items", "o_custkey"))
+    return pages.withColumn("payload", F.encode(F.to_json(F.struct(F.lit("OK").alias("status"), F.struct(F.lit("x").alias("name"), F.col("items").alias("events")).alias("results"))), "UTF-8")).drop("items", "o_custkey")
 
 
-def families_normalized(spark, sf_dir):
+def events_normalized(spark, sf_dir):
+    return nz.normalize_ticker_events(events_pages(spark, sf_dir))
+
+
+def families_pages(spark, sf_dir):
+    """Pages of all kinds of a customer's orders, and the references of their request."""
     k = F.col("k")
     o = _orders(spark, sf_dir)
     family = F.when(k % 29 == 0, "spin_offs").when(k % 3 == 0, "forward_splits").when(k % 3 == 1, "cash_dividends").otherwise("name_changes")
@@ -147,7 +160,11 @@ def families_normalized(spark, sf_dir):
     page = per.groupBy("o_custkey").agg(F.to_json(F.struct(F.map_from_entries(F.array_sort(F.collect_list(F.struct("f", "v")))).alias("corporate_actions"))).alias("j"))
     pages = page.select(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("raw_batch_id"), F.lit("s").alias("source_id"), F.lit("r1").alias("request_id"), F.lit("1996-01-01").cast("date").alias("start_date"), F.lit("2000-01-01").cast("date").alias("end_date"), F.encode("j", "UTF-8").alias("payload"))
     refs = o.select(F.lit("r1").alias("request_id"), F.col("sym").alias("provider_identifier"), F.col("o_custkey").cast("string").alias("instrument_id")).distinct()
-    return nz.normalize_families(pages, refs)
+    return pages, refs
+
+
+def families_normalized(spark, sf_dir):
+    return nz.normalize_families(*families_pages(spark, sf_dir))
 
 
 def _acts(x):

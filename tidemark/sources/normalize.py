@@ -523,11 +523,22 @@ def normalize_families(pages: DataFrame, refs: DataFrame) -> Normalized:
 ACTION_ENDPOINTS: dict[str, Callable[[DataFrame], Normalized]] = {"splits": normalize_splits, "dividends": normalize_dividends, "ticker_events": normalize_ticker_events}
 
 
-def normalize_by_endpoint(pages: DataFrame) -> Normalized:
-    """Actions of pages with a column `endpoint`; a page of an endpoint without a normalizer is a batch error."""
-    parts = [(f(pages.filter(F.col("endpoint") == k).drop("endpoint"))) for k, f in ACTION_ENDPOINTS.items()]
-    unknown = pages.filter(~F.coalesce(F.col("endpoint").isin(*ACTION_ENDPOINTS), F.lit(False))).select("raw_batch_id", F.lit("endpoint").alias("reason"))
-    rows, issues, errors = parts[0].rows, parts[0].issues, parts[0].batch_errors.unionByName(unknown)
+def normalize_by_endpoint(pages: DataFrame, sources: DataFrame | None = None) -> Normalized:
+    """Actions of pages with a column `endpoint`; a page of an endpoint without a normalizer is a batch error.
+
+    With `sources` (endpoint, source_id; see source_dimension()), a page that comes from none of its endpoint's sources is one too.
+    """
+    known = F.coalesce(F.col("endpoint").isin(*ACTION_ENDPOINTS), F.lit(False))
+    reason = F.when(~known, "endpoint")
+    x = pages
+    if sources is not None:
+        x = x.join(sources.groupBy("endpoint").agg(F.collect_set("source_id").alias("_sources")), "endpoint", "left")
+        reason = reason.when(~F.coalesce(F.array_contains("_sources", F.col("source_id")), F.lit(False)), "source")
+    x = x.withColumn("_reason", reason).select(*pages.columns, "_reason")
+    refused = x.filter("_reason IS NOT NULL").select("raw_batch_id", F.col("_reason").alias("reason"))
+    good = x.filter("_reason IS NULL").drop("_reason")
+    parts = [f(good.filter(F.col("endpoint") == k).drop("endpoint")) for k, f in ACTION_ENDPOINTS.items()]
+    rows, issues, errors = parts[0].rows, parts[0].issues, parts[0].batch_errors.unionByName(refused)
     for p in parts[1:]:
         rows, issues, errors = rows.unionByName(p.rows), issues.unionByName(p.issues, allowMissingColumns=True), errors.unionByName(p.batch_errors)
     return Normalized(rows, issues, errors)
