@@ -1,13 +1,17 @@
 """Substring dedup, SimHash near-dedup and the pipeline."""
 
 import random
+import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
+import public_tokenizers
 import xxhash
 from oracle import check
+from tokenizers import Tokenizer
 
-from tidemark.llm import similar_texts, simhash, substring_dedup
+from tidemark.llm import quality_cascade, similar_texts, simhash, substring_dedup
 
 
 def test_substring_query_agrees_with_its_sql(spark, sf):
@@ -146,6 +150,10 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
         before, at = at, spark.read.parquet(str(tmp_path / f"{k}"))
         seen[name] = (before, at)
         assert k == 4 or at.columns == docs.columns
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/0/*.parquet'")
+    kept = sorted(i for i, good in con.execute(f"SELECT doc_id, kept FROM ({quality_cascade.SQL})").fetchall() if good)
+    assert sorted(r["doc_id"] for r in seen["quality_rules"][1].collect()) == kept and len(kept) < seen["quality_rules"][0].count()
     before, after = seen["near_dedup"]
     ids = [r["doc_id"] for r in before.collect()]
     assert sorted(r["doc_id"] for r in after.collect()) == brute_near_copies(ids, [r["text"] for r in before.collect()])
@@ -155,7 +163,16 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
     for r, kept in zip(order, brute_cut([r["text"] for r in order], 35), strict=True):
         assert got[r["doc_id"]]["text"].encode().split() == kept and got[r["doc_id"]]["n_chars"] == len(got[r["doc_id"]]["text"])
     before, after = seen["packing"]
-    assert {r["doc_id"] for r in after.collect()} == {r["doc_id"] for r in before.collect()}
+    coder = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    ids = {r["doc_id"]: [*coder.encode(r["text"] or "", add_special_tokens=False).ids, 2] for r in before.collect()}
+    pieces = defaultdict(list)
+    for r in after.collect():
+        own = np.array(ids[r["doc_id"]][r["start"] : r["start"] + r["length"]], "<u4")
+        assert r["ids_crc32"] == zlib.crc32(own.tobytes()) and r["doc_tokens"] == len(ids[r["doc_id"]])
+        pieces[r["doc_id"]].append((r["start"], r["length"]))
+    for i, own in ids.items():
+        ends = [0, *(start + length for start, length in sorted(pieces[i]))]
+        assert [start for start, _ in sorted(pieces[i])] == ends[:-1] and ends[-1] == len(own)
     assert seen["language_id"][1].count() > 0.9 * docs.count()
 
 
