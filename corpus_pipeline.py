@@ -60,7 +60,7 @@ STAGES = [
     ("substring_dedup", cut_repeated_passages),
     ("packing", pack_sequences),
 ]
-#: A trained model decides in the first stage, so no SQL gives the rows; tests hold the stages against brute-force versions.
+#: A trained model decides in the first stage, so no SQL gives the rows; tests hold the first stage by its parts and each other one against brute force, SQL or a library.
 ORACLE_SQL = None
 
 
