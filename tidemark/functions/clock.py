@@ -47,11 +47,13 @@ def sessions(days: DataFrame, closed: DataFrame | None = None, extra: DataFrame
 def expected_keys(windows: DataFrame, sessions_: DataFrame) -> DataFrame:
     """Expected starts of every window: the session's for 1d, each full five minutes of the overlap for 5m.
 
-    windows: segment, instrument_id, timeframe, start, end (instants). Windows meet sessions by day, an equi-join.
+    windows: segment, instrument_id, timeframe, start, end (instants). Windows meet sessions by day, an equi-join. Sessions have a
+    row a calendar day, so they are the side that is broadcast; days of windows are many more than Spark's estimate, which
+    knows the windows only.
     """
     w = windows.select("segment", "instrument_id", "timeframe", F.col("start").alias("ws"), F.col("end").alias("we"))
     w = w.withColumn("session_date", F.explode(F.sequence(F.to_date(F.from_utc_timestamp("ws", ZONE)), F.to_date(F.from_utc_timestamp("we", ZONE)))))
-    x = w.join(sessions_, "session_date")
+    x = w.join(F.broadcast(sessions_), "session_date")
     daily = x.filter((F.col("timeframe") == "1d") & (F.col("ws") <= F.col("start")) & (F.col("start") < F.col("we")) & (F.col("end") <= F.col("we")))
     a, b = F.greatest("ws", "start"), F.least("we", "end")
     five = F.expr("INTERVAL '5' MINUTE")
@@ -70,7 +72,7 @@ def misaligned_windows(windows: DataFrame, sessions_: DataFrame) -> DataFrame:
     """Five-minute windows whose overlap with a session starts off its five-minute grid."""
     w = windows.filter("timeframe = '5m'").withColumn("session_date", F.explode(F.sequence(F.to_date(F.from_utc_timestamp("start", ZONE)), F.to_date(F.from_utc_timestamp("end", ZONE)))))
     s = sessions_.select("session_date", F.col("start").alias("s"), F.col("end").alias("e"))
-    x = w.join(s, "session_date").filter((F.greatest("start", "s") < F.least("end", "e")))
+    x = w.join(F.broadcast(s), "session_date").filter((F.greatest("start", "s") < F.least("end", "e")))
     return x.filter((F.unix_micros(F.greatest("start", "s")) - F.unix_micros("s")) % 300_000_000 != 0)
 
 
