@@ -18,7 +18,7 @@ def study_windows(rules: DataFrame, sessions: DataFrame) -> DataFrame:
     fixed = F.col("start").isNotNull() & F.col("end").isNotNull()
     x = rules.withColumn("session_date", F.explode(F.when(dated, F.col("session_dates")).otherwise(F.array(F.lit(None).cast("date")))))
     known = sessions.select("session_date", F.col("start").alias("_open"), F.col("end").alias("_close"))
-    x = x.join(known, "session_date", "left")
+    x = x.join(F.broadcast(known), "session_date", "left")
     start, end = F.when(dated, F.col("_open")).otherwise(F.col("start")), F.when(dated, F.col("_close")).otherwise(F.col("end"))
     label = F.when(dated, F.concat("label", F.lit("-"), F.date_format("session_date", "yyyy-MM-dd"))).otherwise(F.col("label"))
 
@@ -37,3 +37,14 @@ def study_windows(rules: DataFrame, sessions: DataFrame) -> DataFrame:
 def window_targets(windows: DataFrame, targets: DataFrame) -> DataFrame:
     """Each window with each target of its universe (targets: universe, symbol, instrument_id), an equi-join; a window without targets leaves."""
     return windows.join(targets, "universe")
+
+
+def target_counts(windows: DataFrame, targets: DataFrame) -> DataFrame:
+    """windows with `targets` and `symbols`, the rows and distinct symbols that window_targets() gives each; a window without targets leaves.
+
+    Targets are counted by universe before they meet the windows, so no target is repeated for each window of its universe and no
+    universe is one task. Windows and universes are a study's own lists.
+    """
+    listed = targets.groupBy("universe", "symbol").agg(F.count(F.lit(1)).alias("_n"))
+    counts = listed.groupBy("universe").agg(F.sum("_n").alias("targets"), F.count("symbol").alias("symbols"))
+    return windows.join(counts, "universe")
