@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import clock
 from tidemark.operators import study
 from tidemark.plans import action_queries, evidence_queries
+from tidemark.sources import normalize
 
 
 def plan(df):
@@ -27,3 +28,18 @@ def test_targets_are_counted_before_they_meet_windows(spark):
     want = study.window_targets(windows, targets).groupBy("label").agg(F.count(F.lit(1)).alias("targets"), F.count_distinct("symbol").alias("symbols"))
     got = study.target_counts(windows, targets).select("label", "targets", "symbols")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) == [("a", 4, 2), ("b", 4, 2), ("c", 1, 1)]
+
+
+def test_rows_without_a_symbol_are_dealt_over_tasks(spark):
+    refs = spark.createDataFrame([("r1", "A", "1"), ("r1", "B", "2"), ("r2", "A", "3")], "request_id string, provider_identifier string, instrument_id string")
+    rows = spark.range(400).select(F.lit("r1").alias("request_id"), F.concat(F.lit("c"), F.col("id").cast("string")).alias("raw_batch_id"), F.when(F.col("id") % 100 == 7, "A").when(F.col("id") % 100 == 8, "c1").alias("symbol"))
+    held = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        found = normalize._looked_up(rows, refs, "symbol", "instrument_id").withColumn("part", F.spark_partition_id()).collect()
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert len(found) == 400 and {(r.symbol, r.instrument_id) for r in found} == {("A", "1"), ("c1", None), (None, None)}
+    assert len({r.part for r in found if r.symbol is None}) > 1
