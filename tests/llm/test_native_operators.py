@@ -143,3 +143,12 @@ def test_content_rules_one_by_one(spark, frame, text, rule):
 def test_rules_are_ordered_by_rejection_per_cost():
     a, b, c = (qc.QualityRule(x, None) for x in "abc")
     assert [r.name for r in qc.order_rules([(a, 1.0, 0.5), (b, 0.1, 0.1), (c, 1.0, 0.0)])] == ["b", "a", "c"]
+
+
+def test_metrics_are_not_computed_for_rows_outside_the_sample(spark, sf, monkeypatch):
+    from tidemark.llm import quality_cascade as qc
+
+    seen = []
+    monkeypatch.setattr(qc, "measure_rules", lambda docs, rules, words, rows=qc.SAMPLE_ROWS: seen.append(docs.inputFiles()) or [(r, 1.0, 0.0) for r in rules])
+    qc.query(spark, sf)
+    assert seen and all("documents.parquet" not in f for f in seen[0])

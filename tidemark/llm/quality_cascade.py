@@ -96,10 +96,15 @@ def with_base_metrics(docs: DataFrame, words: str, text: str = "text") -> DataFr
     return set_aside(docs, *METRICS).withColumns(dict(zip(METRICS, values, strict=True)))
 
 
+def sampled(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """At most sample_rows rows of docs, written once."""
+    total = docs.count()
+    return written(docs.sample(min(1.0, 20.0 * sample_rows / max(total, 1)), seed=17).limit(sample_rows), "sample")
+
+
 def measure_rules(docs: DataFrame, rules: list[QualityRule], words: Column, sample_rows: int = SAMPLE_ROWS) -> list[tuple[QualityRule, float, float]]:
     """(rule, seconds a row, share rejected) on a written sample of at most sample_rows rows; the least time of two runs counts."""
-    total = docs.count()
-    drawn = written(docs.sample(min(1.0, 20.0 * sample_rows / max(total, 1)), seed=17).limit(sample_rows), "sample")
+    drawn = sampled(docs, sample_rows)
     rows = drawn.count()
     if not rows:
         return [(r, 1.0, 0.0) for r in rules]
@@ -122,14 +127,15 @@ def order_rules(measured: list[tuple[QualityRule, float, float]]) -> list[Qualit
     return [r for r, cost, share in sorted(measured, key=lambda x: (-x[2] / x[1], x[1], x[0].name))]
 
 
-def cascade(docs: DataFrame, rules: list[QualityRule], words: Column, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+def cascade(docs: DataFrame, rules: list[QualityRule], words: Column, sample_rows: int = SAMPLE_ROWS, drawn: DataFrame | None = None) -> DataFrame:
     """Append `rejected_by`: the first rule of the ordered cascade that rejects the row, null if none does.
 
     The whole chain is one expression over `words`, which is computed once for all rules of a row, also if a filter on the
-    result is pushed below other columns.
+    result is pushed below other columns. The sample is drawn from `drawn`, which has the columns that the rules read, or else
+    from docs; docs with costly columns would compute them for every row of the table before it is sampled.
     """
     docs = set_aside(docs, "rejected_by")
-    ordered = order_rules(measure_rules(docs, rules, words, sample_rows))
+    ordered = order_rules(measure_rules(docs if drawn is None else drawn, rules, words, sample_rows))
 
     def chain(w: Column) -> Column:
         found = F.lit(None).cast("string")
@@ -197,7 +203,8 @@ FROM f
 
 def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    counted = with_base_metrics(docs.withColumn("words", words_of(F.col("text"))), "words")
+    count = lambda x: with_base_metrics(x.withColumn("words", words_of(F.col("text"))), "words")
+    counted = count(docs)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     rules = [QualityRule("base", lambda w: failed), *content_rules(known={m: F.col(m) for m in METRICS})]
-    return cascade(counted, rules, F.col("words")).select("doc_id", *METRICS, failed.alias("base_failed"), F.col("rejected_by").isNull().alias("kept"))
+    return cascade(counted, rules, F.col("words"), drawn=count(sampled(docs))).select("doc_id", *METRICS, failed.alias("base_failed"), F.col("rejected_by").isNull().alias("kept"))
