@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import clock
 from tidemark.operators import study
-from tidemark.plans import action_queries, evidence_queries
+from tidemark.plans import action_queries, evidence_queries, normalize_queries
 from tidemark.sources import normalize
 
 
@@ -43,3 +43,8 @@ def test_rows_without_a_symbol_are_dealt_over_tasks(spark):
             spark.conf.set(k, v)
     assert len(found) == 400 and {(r.symbol, r.instrument_id) for r in found} == {("A", "1"), ("c1", None), (None, None)}
     assert len({r.part for r in found if r.symbol is None}) > 1
+
+
+def test_records_are_read_by_one_cast_and_filters_do_not_repeat_the_parse(spark, sf):
+    text = plan(normalize_queries.QUERIES["normalize_c_bars"][0](spark, sf))
+    assert text.count("parseJson") == 1 and text.count("try_variant_get") == 2
