@@ -159,3 +159,13 @@ def test_frames_differ_as_multisets_of_rows(spark):
     assert frames_match(empty_bars(spark), empty_bars(spark)) and frame_differences(empty_bars(spark), a).count() == 3
     plan = frame_differences(a, b)._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan
+
+
+@pytest.mark.parametrize("text", [U(1), "{" + U(1).upper() + "}", "\tURN:UUID:" + U(1) + " \n", U(1).replace("-", ""), U(1)[:-1], U(1) + "0", "g" * 32, "", None, "{" + U(1) + "}\u2028"])
+def test_spellings_of_ids(spark, text):
+    from tidemark.functions.text import canonical_uuid
+
+    df = spark.createDataFrame([(text,)], "c string").select(canonical_uuid(F.col("c")).alias("u"))
+    good = text is not None and text.strip().lower().removeprefix("urn:uuid:").replace("-", "").strip("{}") == U(1).replace("-", "") and not text.endswith("\u2028")
+    assert df.first()["u"] == (U(1) if good else None)
+    assert "rlike" not in df._jdf.queryExecution().executedPlan().toString().lower() and "regexp" not in df._jdf.queryExecution().executedPlan().toString().lower()

@@ -30,8 +30,8 @@ def _foldings() -> tuple[str, str, dict[str, str]]:
 
 
 def strip(c: Column) -> Column:
-    """Without leading and trailing white space of any kind."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    """Without leading and trailing white space (blanks, tabs and the breaks of lines and pages)."""
+    return F.btrim(c, F.lit(" \t\n\x0b\f\r"))
 
 
 def folded(c: Column) -> Column:
@@ -54,8 +54,12 @@ def slug(c: Column) -> Column:
 
 def canonical_uuid(c: Column) -> Column:
     """Lower-case hyphenated form of any spelling of a UUID (braces, urn, no hyphens); null if it is none."""
-    x = F.lower(F.regexp_replace(F.regexp_replace(strip(c), "^(?i)urn:uuid:", ""), "[{}-]", ""))
-    return F.when(x.rlike("^[0-9a-f]{32}$"), F.regexp_replace(x, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5"))
+    x = F.lower(strip(c))
+    x = F.when(x.startswith("urn:uuid:"), F.substring(x, 10, 1_000_000)).otherwise(x)
+    for sign in "{}-":
+        x = F.replace(x, F.lit(sign), F.lit(""))
+    parts = (F.substring(x, at, n) for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)))
+    return F.when((F.octet_length(x) == 32) & F.unhex(x).isNotNull(), F.concat_ws("-", *parts))
 
 
 def iso(c: Column) -> Column:
