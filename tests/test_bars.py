@@ -161,6 +161,15 @@ def test_frames_differ_as_multisets_of_rows(spark):
     assert "Join" not in plan
 
 
+def test_frames_meet_by_digests_where_few_columns_are_shown(spark):
+    rows = [bar(vwap=None, v=1.0), bar(vwap=1.0, v=None), bar(flags=["a"]), bar(flags=["a", "a"]), bar(o=-0.0), bar(o=0.0), bar()]
+    a, b = frame(spark, *rows[:5]), frame(spark, *rows[1:])
+    few = canonical.frame_differences(a, b, shown=("timeframe",))
+    assert few.columns == ["timeframe", "surplus"]
+    assert sorted(r["surplus"] for r in few.collect()) == sorted(r["surplus"] for r in canonical.frame_differences(a, b).collect()) == [-1, -1, 1]
+    assert "vwap" not in few._jdf.queryExecution().executedPlan().toString().split("Exchange")[0]
+
+
 @pytest.mark.parametrize("text", [U(1), "{" + U(1).upper() + "}", "\tURN:UUID:" + U(1) + " \n", U(1).replace("-", ""), U(1)[:-1], U(1) + "0", "g" * 32, "", None, "{" + U(1) + "}\u2028"])
 def test_spellings_of_ids(spark, text):
     from tidemark.functions.text import canonical_uuid

@@ -99,17 +99,28 @@ def empty_bars(spark) -> DataFrame:
     return spark.createDataFrame([], BAR_SCHEMA)
 
 
-def frame_differences(a: DataFrame, b: DataFrame, columns: Sequence[str] = BAR_COLUMNS) -> DataFrame:
+def row_digest(columns: Sequence[str]) -> list[Column]:
+    """Two 64-bit hashes of a row. Which columns are null and how long lists are goes first, as hashes of columns pass over nulls."""
+    shape = F.concat(*(F.when(F.col(c).isNull(), "n").otherwise(F.concat(F.size(c).cast("string"), F.lit(";")) if c == "quality_flags" else F.lit("v")) for c in columns))
+    return [F.xxhash64(F.lit(i), shape, *columns).alias(f"_digest{i}") for i in range(2)]
+
+
+def frame_differences(a: DataFrame, b: DataFrame, columns: Sequence[str] = BAR_COLUMNS, shown: Sequence[str] | None = None) -> DataFrame:
     """Rows that one frame holds more often than the other, with `surplus`: above zero, so many more in a. Lists of flags compare sorted.
 
-    Both frames meet in one aggregation, so each is read and shuffled once, and equal rows meet on the map side first.
+    Both frames meet in one aggregation, so each is read and shuffled once, and equal rows meet on the map side first. With `shown`
+    only these columns are given; rows then meet by them and a digest of 128 bits of all columns, so the rest isn't shuffled.
     """
+    kept = columns if shown is None else shown
+
     def counted(df: DataFrame, sign: int) -> DataFrame:
-        return df.select(*(F.array_sort(F.col(c)).alias(c) if c == "quality_flags" else F.col(c) for c in columns), F.lit(sign).alias("surplus"))
+        rows = df.select(*(F.array_sort(F.col(c)).alias(c) if c == "quality_flags" else F.col(c) for c in columns))
+        return rows.select(*kept, *([] if shown is None else row_digest(columns)), F.lit(sign).alias("surplus"))
 
-    return counted(a, 1).unionByName(counted(b, -1)).groupBy(*columns).agg(F.sum("surplus").alias("surplus")).filter("surplus <> 0")
+    every = counted(a, 1).unionByName(counted(b, -1))
+    return every.groupBy(*every.columns[:-1]).agg(F.sum("surplus").alias("surplus")).filter("surplus <> 0").select(*kept, "surplus")
 
 
 def frames_match(a: DataFrame, b: DataFrame, columns: Sequence[str] = BAR_COLUMNS) -> bool:
     """Equal as multisets of rows."""
-    return frame_differences(a, b, columns).isEmpty()
+    return frame_differences(a, b, columns, ()).isEmpty()

@@ -94,7 +94,7 @@ def action_page_summary(spark, sf_dir):
 
 def frame_differences(spark, sf_dir):
     """Bars that one side holds more often than the other, all columns compared."""
-    x = canonical.frame_differences(adapters.bars(spark, sf_dir, "left"), adapters.bars(spark, sf_dir, "right"))
+    x = canonical.frame_differences(adapters.bars(spark, sf_dir, "left"), adapters.bars(spark, sf_dir, "right"), shown=("timeframe", "session"))
     side = F.when(F.col("surplus") > 0, "left").otherwise("right")
     return x.groupBy("timeframe", "session", side.alias("side")).agg(F.count(F.lit(1)).alias("bars"), F.sum(F.abs("surplus")).alias("surplus"))
 
