@@ -6,10 +6,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import iso
-from tidemark.operators.matching import with_partners
+from tidemark.operators.matching import at_home, in_blocks, partners_in_blocks, unpaired
 from tidemark.schemas import BAR_KEY, CLASSES, NUMERIC_METRICS
 
 _ROW = ("timestamp_end", "session", "adjustment_state", "currency", *NUMERIC_METRICS)
@@ -56,55 +57,73 @@ def nearly_equal(a: Column, b: Column, absolute: float, relative: float) -> Colu
     return (a.isNull() & b.isNull()) | F.coalesce(close, F.lit(False)) | F.coalesce(a == b, F.lit(False))
 
 
-def keyed_bars(left: DataFrame, right: DataFrame | None = None, expected: DataFrame | None = None, by: Sequence[str] = ()) -> DataFrame:
-    """One row a key that either side has or that is expected, from one shuffle of all three.
+def keyed_bars(left: DataFrame, right: DataFrame | None, expected: DataFrame | None, by: Sequence[str], seconds: int, wanted: Column | None = None, values: Sequence[str] = _ROW) -> DataFrame:
+    """One row a key that either side has or that is expected, in blocks of observations (see in_blocks()), from one shuffle of all three.
 
-    For left (l) and right (r): ln and rn count rows, lraw and rraw are the distinct raw batches sorted, l and r a row (the
-    row, where there is one); `wanted` tells whether the key is expected.
+    For left (l) and right (r): ln and rn count rows, lraw and rraw are the distinct raw batches sorted, l and r the `values` of a row (the
+    row, where there is one); `wanted` tells whether the key is expected: one of `expected`, or of a left row that meets the condition `wanted`.
+    Rows are dealt by instrument, timeframe and block, so rows of a key and keys to be matched meet in one partition and one order.
     """
     keys = [*by, *BAR_KEY]
-    row = F.struct(*_ROW)
-    sides = [x.select(*keys, F.lit(n).alias("_side"), F.col("raw_batch_id").alias("_raw"), row.alias("_row")) for n, x in (("l", left), ("r", right)) if x is not None]
+    row = F.struct(*values)
+    asked = F.lit(False) if wanted is None else F.coalesce(wanted, F.lit(False))
+    sides = [x.select(*keys, F.lit(n).alias("_side"), (asked if n == 0 else F.lit(False)).alias("_wanted"), F.col("raw_batch_id").alias("_raw"), row.alias("_row")) for n, x in ((0, left), (1, right)) if x is not None]
     if expected is not None:
         kind = left.select(row.alias("x")).schema[0].dataType
-        sides.append(expected.select(*keys, F.lit("e").alias("_side"), F.lit(None).cast("string").alias("_raw"), F.lit(None).cast(kind).alias("_row")))
+        sides.append(expected.select(*keys, F.lit(2).alias("_side"), F.lit(True).alias("_wanted"), F.lit(None).cast("string").alias("_raw"), F.lit(None).cast(kind).alias("_row")))
     every = sides[0]
     for x in sides[1:]:
         every = every.unionByName(x)
-    found = {}
-    for n in "lr":
-        own = F.col("_side") == n
-        found |= {f"{n}n": F.count_if(own), f"{n}raw": F.array_sort(F.collect_set(F.when(own, F.col("_raw")))), n: F.min(F.when(own, F.col("_row")))}
-    return every.groupBy(*keys).agg(*(c.alias(n) for n, c in found.items()), F.max(F.col("_side") == "e").alias("wanted"))
-
-
-def _aligned(keyed: DataFrame, by: Sequence[str], seconds: int) -> DataFrame:
-    """Keyed bars where a single 5m row of the right side only, shifted by at most `seconds`, has moved to its partner's key on the left."""
+    lines = [*by, "instrument_id", "timeframe"]
+    where = (F.unix_micros("timestamp_start"), max(seconds, 1) * 1_000_000, BLOCK_SECONDS * 1_000_000)
+    placed = at_home(in_blocks(every, *where).drop("_at", "_home").repartition(*lines, "_block"), *where)
+    order = W.partitionBy(*lines, "_block", "_at").orderBy("_side")
+    whole = order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    found = {"_place": F.row_number().over(order), "wanted": F.max("_wanted").over(whole)}
+    for i, n in enumerate("lr"):
+        own = F.col("_side") == i
+        found |= {f"{n}n": F.count_if(own).over(whole), f"{n}raw": F.collect_set(F.when(own, F.col("_raw"))).over(whole), n: F.first(F.when(own, F.col("_row")), ignorenulls=True).over(whole)}
+    one = placed.withColumns(found).filter("_place = 1").drop("_place", "_side", "_wanted", "_raw", "_row")
+    return one.withColumns({f"{n}raw": F.array_sort(f"{n}raw") for n in "lr"})
+
+
+def _matched(keyed: DataFrame, by: Sequence[str], seconds: int, roles: dict[str, tuple[Column, Column]], payload: Column | None = None) -> DataFrame:
+    """Keyed bars, each in its own block only, with their partners by role."""
+    if seconds <= 0:
+        return unpaired(keyed.filter(F.col("_block").eqNullSafe(F.col("_home"))).drop("_at", "_home", "_block"), roles, payload)
+    return partners_in_blocks(keyed, [*by, "instrument_id", "timeframe"], seconds * 1_000_000, roles, payload, unique=True)
+
+
+def _aligned(keyed: DataFrame, by: Sequence[str], seconds: int, rows: bool = True) -> DataFrame:
+    """Keyed bars where a single 5m row of the right side only, shifted by at most `seconds`, has moved to its partner's key on the left. Without `rows` only its start moves."""
     five = F.col("timeframe") == "5m"
     left = five & (F.col("ln") == 1) & (F.col("rn") == 0)
     right = five & (F.col("rn") == 1) & (F.col("ln") == 0)
-    own = F.struct(F.col("timestamp_start").alias("own_start"), "rn", "rraw", "r")
-    x = with_partners(keyed, [*by, "instrument_id", "timeframe"], F.unix_micros("timestamp_start"), seconds * 1_000_000, {"_shift": (left, right)}, own, BLOCK_SECONDS * 1_000_000)
+    moving = ("rn", "rraw", "r") if rows else ()
+    x = _matched(keyed, by, seconds, {"_shift": (left, right)}, F.struct(F.col("timestamp_start").alias("own_start"), *moving))
     at = F.col("_shift_partner")
-    moved = {"own_start": F.when(at.isNotNull(), at.own_start).when(F.col("rn") > 0, F.col("timestamp_start"))} | {c: F.when(at.isNotNull(), at[c]).otherwise(F.col(c)) for c in ("rn", "rraw", "r")}
+    moved = {"own_start": F.when(at.isNotNull(), at.own_start).when(F.col("rn") > 0, F.col("timestamp_start"))} | {c: F.when(at.isNotNull(), at[c]).otherwise(F.col(c)) for c in moving}
     return x.filter(~(F.col("_shift") & right)).withColumns(moved).drop("_shift_partner")
 
 
 def shifted_pairs(left: DataFrame, right: DataFrame, by: Sequence[str] = (), seconds: int = 60) -> DataFrame:
     """Pairs of single 5m keys that one side lacks each, shifted by at most `seconds`: by, instrument_id, timeframe, left_start, right_start."""
-    x = _aligned(keyed_bars(left, right, by=by), by, seconds).filter("_shift")
+    x = _aligned(keyed_bars(left, right, None, by, seconds), by, seconds, rows=False).filter("_shift")
     return x.select(*by, "instrument_id", "timeframe", F.col("timestamp_start").alias("left_start"), F.col("own_start").alias("right_start"))
 
 
-def compared_bars(left: DataFrame, right: DataFrame, config: BarComparison, expected: DataFrame | None = None, by: Sequence[str] = (), venue_where: Column | None = None) -> DataFrame:
+def compared_bars(left: DataFrame, right: DataFrame, config: BarComparison, expected: DataFrame | None = None, by: Sequence[str] = (), venue_where: Column | None = None, wanted: Column | None = None) -> DataFrame:
     """One row a key with its rows on both sides (ln, rn), raw batches and an array `found` of findings.
 
     A key with several rows on a side is one duplicate finding; a key that a side lacks is one availability finding; else
     interval, session, adjustment, currency and then each number are compared. `by` names further key columns. With
-    `venue_where` (a condition on the key), differences of venue metrics are the venue's only where it holds.
+    `venue_where` (a condition on the key), differences of venue metrics are the venue's only where it holds. Keys are expected by `expected` or
+    by `wanted`, a condition on left rows.
     """
     keys = [*by, *BAR_KEY]
-    both = _aligned(keyed_bars(left, right, expected, by), by, config.tolerance.alignment_seconds)
+    seconds = config.tolerance.alignment_seconds
+    compared = [m for m in NUMERIC_METRICS if m not in config.excluded_metrics]
+    both = _aligned(keyed_bars(left, right, expected, by, seconds, wanted, [c for c in _ROW if c not in config.excluded_metrics]), by, seconds)
 
     def value(side: str, name: str) -> Column:
         return F.col(f"{side}.{name}")
@@ -136,13 +155,24 @@ def compared_bars(left: DataFrame, right: DataFrame, config: BarComparison, expe
         F.when(one & ~value("l", "currency").eqNullSafe(value("r", "currency")), finding("currency", F.lit("definitional_difference"), ltext=value("l", "currency"), rtext=value("r", "currency"))),
     ]
     t = config.tolerance
-    for m in NUMERIC_METRICS:
-        if m not in config.excluded_metrics:
-            absolute, relative = (t.volume_absolute, t.volume_relative) if m == "volume" else (t.price_absolute, t.price_relative)
-            kind = F.when(adjusted, "adjustment_difference").when(session | moved_bounds, timing)
-            kind = kind.when(F.lit(m in config.venue_metrics) & (F.lit(True) if venue_where is None else venue_where), "venue_feed_difference").otherwise("unresolved_discrepancy")
-            found.append(F.when(one & ~nearly_equal(value("l", m), value("r", m), absolute, relative), finding(m, kind, value("l", m), value("r", m))))
-    return both.select(*keys, "ln", "rn", "lraw", "rraw", F.array_compact(F.array(*found)).alias("found"))
+    venue = F.lit(True) if venue_where is None else venue_where
+    kind = F.when(adjusted, "adjustment_difference").when(session | moved_bounds, timing)
+
+    def pair(m: str) -> Column:
+        absolute, relative = (t.volume_absolute, t.volume_relative) if m == "volume" else (t.price_absolute, t.price_relative)
+        return F.struct(F.lit(METRIC_ORDER.index(m)).alias("ordinal"), F.lit(m).alias("metric"), value("l", m).alias("a"), value("r", m).alias("b"), F.lit(absolute).alias("absolute"), F.lit(relative).alias("relative"), F.lit(m in config.venue_metrics).alias("venue"))
+
+    def differing(n: Column) -> Column:
+        own = F.coalesce(kind, F.when(n["venue"] & venue, "venue_feed_difference").otherwise("unresolved_discrepancy"))
+        return F.struct(n["ordinal"].alias("ordinal"), n["metric"].alias("metric"), own.alias("classification"), n["a"].alias("left_number"), n["b"].alias("right_number"), text.alias("left_text"), text.alias("right_text"))
+
+    # a list of metrics and one comparison: written out for each metric, the generated code is too long to be compiled
+    listed = F.array_compact(F.array(*found))
+    if compared:
+        apart = F.filter(F.array(*map(pair, compared)), lambda n: one & ~nearly_equal(n["a"], n["b"], n["absolute"], n["relative"]))
+        listed = F.concat(listed, F.transform(apart, differing))
+    # generated, not projected: a filter on a projected list would compute it a second time
+    return both.select(*keys, "ln", "rn", "lraw", "rraw", F.inline(F.array(F.struct(listed.alias("found")))))
 
 
 def findings_of(compared: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -151,20 +181,20 @@ def findings_of(compared: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return listed.select(*by, *BAR_KEY, "f.*", F.col("lraw").alias("left_raw"), F.col("rraw").alias("right_raw"))
 
 
-def compare_bars(left: DataFrame, right: DataFrame, config: BarComparison, expected: DataFrame | None = None, by: Sequence[str] = (), venue_where: Column | None = None) -> DataFrame:
+def compare_bars(left: DataFrame, right: DataFrame, config: BarComparison, expected: DataFrame | None = None, by: Sequence[str] = (), venue_where: Column | None = None, wanted: Column | None = None) -> DataFrame:
     """The findings of compared_bars()."""
-    return findings_of(compared_bars(left, right, config, expected, by, venue_where), by)
+    return findings_of(compared_bars(left, right, config, expected, by, venue_where, wanted), by)
 
 
-def coverage(left: DataFrame, right: DataFrame | None, expected: DataFrame, by: Sequence[str] = (), seconds: int = 60) -> DataFrame:
+def coverage(left: DataFrame, right: DataFrame | None, expected: DataFrame, by: Sequence[str] = (), seconds: int = 60, wanted: Column | None = None) -> DataFrame:
     """Keyed bars with left_missing and right_missing: expected keys that a side lacks.
 
     A 5m key that a side lacks isn't missing if it is aligned with a key that the side has and nobody expects (several rows count too).
     """
-    wanted, five = F.col("wanted"), F.col("timeframe") == "5m"
-    roles = {f"_{n}": (five & wanted & (F.col(f"{n}n") == 0), five & ~wanted & (F.col(f"{n}n") > 0)) for n in "lr"}
-    x = with_partners(keyed_bars(left, right, expected, by), [*by, "instrument_id", "timeframe"], F.unix_micros("timestamp_start"), seconds * 1_000_000, roles, block=BLOCK_SECONDS * 1_000_000)
-    return x.withColumns({f"{side}_missing": wanted & (F.col(f"{n}n") == 0) & ~F.col(f"_{n}") for n, side in (("l", "left"), ("r", "right"))}).drop(*roles)
+    asked, five = F.col("wanted"), F.col("timeframe") == "5m"
+    roles = {f"_{n}": (five & asked & (F.col(f"{n}n") == 0), five & ~asked & (F.col(f"{n}n") > 0)) for n in "lr"}
+    x = _matched(keyed_bars(left, right, expected, by, seconds, wanted), by, seconds, roles)
+    return x.withColumns({f"{side}_missing": asked & (F.col(f"{n}n") == 0) & ~F.col(f"_{n}") for n, side in (("l", "left"), ("r", "right"))}).drop(*roles)
 
 
 def missing_expected(bars: DataFrame, expected: DataFrame, seconds: int = 60, by: Sequence[str] = ()) -> DataFrame:
@@ -172,9 +202,9 @@ def missing_expected(bars: DataFrame, expected: DataFrame, seconds: int = 60, by
     return coverage(bars, None, expected, by, seconds).filter("left_missing").select(*by, *BAR_KEY)
 
 
-def provider_metrics(left: DataFrame, right: DataFrame, expected: DataFrame, providers: tuple[str, str], seconds: int = 60) -> DataFrame:
+def provider_metrics(left: DataFrame, right: DataFrame, expected: DataFrame, providers: tuple[str, str], seconds: int = 60, wanted: Column | None = None) -> DataFrame:
     """One row a provider: observations, unique keys, surplus rows, expected and missing keys, all from one pass over the keys."""
-    x = coverage(left, right, expected, (), seconds)
+    x = coverage(left, right, expected, (), seconds, wanted)
     totals = []
     for n, side in (("l", "left"), ("r", "right")):
         rows = F.col(f"{n}n")
