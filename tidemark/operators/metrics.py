@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.clock import new_york_date
@@ -108,23 +109,32 @@ def evidence_series(pages: DataFrame, keys: list[str]) -> DataFrame:
     """
     root = F.col("_v")
     name = F.concat(F.lit("$[\""), F.col("symbol"), F.lit("\"]"))
-    records = lambda body, path: F.try_variant_get(body, path, "array<variant>")
-    part = F.try_variant_get(root, name, "variant")
-    listed = F.coalesce(records(F.try_variant_get(root, "$.bars", "variant"), name), records(root, "$.values"), records(part, "$.values"))
-    read = pages.withColumn("_v", parsed(F.col("payload"))).withColumn("_listed", listed)  # a page is parsed once, before its records come apart
-    rows = read.select(*keys, "page_number", F.posexplode("_listed").alias("at", "r"))
-    texts = lambda *paths: F.coalesce(*(F.try_variant_get("r", p, "variant") for p in paths))
-
-    def price(short: str, long: str) -> Column:
-        found = texts(f"$.{short}", f"$.{long}")
-        return F.when(F.schema_of_variant(found) != "BOOLEAN", F.try_variant_get(found, "$", "string").try_cast("double"))
-
-    stamp = texts("$.t", "$.datetime")
-    day = F.when(F.schema_of_variant(stamp) == "STRING", F.try_variant_get(stamp, "$", "string").substr(1, 10))
-    x = rows.select(*keys, "page_number", "at", day.alias("day"), *(price(c[0], c).alias(c) for c in _OHLC)).dropna(subset=["day", *_OHLC])
+    fields = ("t", "datetime", *(n for c in _OHLC for n in (c[0], c)))
+    kind = f"array<struct<{', '.join(f'{n}: variant' for n in fields)}>>"
+    records = lambda body, path: F.try_variant_get(body, path, kind)
+    listed = F.coalesce(records(F.try_variant_get(root, "$.bars", "variant"), name), records(root, "$.values"), records(F.try_variant_get(root, name, "variant"), "$.values"))
+
+    def typed(r: Column) -> Column:
+        """A record's day and prices; a price is a number or a text that reads as one, which true and false don't."""
+        shown = lambda v: F.try_variant_get(v, "$", "string")
+        stamp = F.coalesce(r["t"], r["datetime"])
+        day = F.when(F.schema_of_variant(stamp) == "STRING", shown(stamp).substr(1, 10))
+        return F.struct(day.alias("day"), *(shown(F.coalesce(r[c[0]], r[c])).try_cast("double").alias(c) for c in _OHLC))
+
+    # a page is parsed and its records are typed by one cast, before they come apart; generated columns are computed once
+    read = pages.select(*keys, "symbol", "page_number", F.inline(F.array(F.struct(parsed(F.col("payload")).alias("_v")))))
+    rows = read.select(*keys, "page_number", F.posexplode(F.transform(listed, typed)).alias("at", "r"))
+    x = rows.select(*keys, "page_number", "at", "r.*").dropna(subset=["day", *_OHLC])
     return x.groupBy(*keys, "day").agg(F.max_by(F.struct(*_OHLC), F.struct("page_number", "at")).alias("v"))
 
 
+def compared_with(evidence: DataFrame, baseline: Column, by: list[str], on: list[str]) -> DataFrame:
+    """compared_series() with those rows of evidence that meet a condition, at most one for each `on`. Evidence dealt by one of `on` isn't shuffled again."""
+    own = F.max(F.when(baseline, F.struct(F.lit(True).alias("there"), F.col("v")))).over(W.partitionBy(*on))
+    both = evidence.withColumn("b", own).filter("b IS NOT NULL")
+    return both.groupBy(*by).agg(F.count(F.lit(1)).alias("compared"), F.count_if(~F.col("v").eqNullSafe(F.col("b.v"))).alias("different"))
+
+
 def compared_series(evidence: DataFrame, baseline: DataFrame, by: list[str], on: list[str]) -> DataFrame:
     """Per `by`: keys of both series (`on`, v), and those with other prices. The baseline has the keys `on` alone."""
     both = evidence.withColumnRenamed("v", "a").join(baseline.withColumnRenamed("v", "b"), on)

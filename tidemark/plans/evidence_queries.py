@@ -27,7 +27,7 @@ def _evidence_pages(spark, sf_dir):
     """Three series of a part in two pages each, in the shapes of two providers. The prices of every seventh part double when adjusted."""
     text = lambda c: F.col(c).cast("string")
     factor = F.when(F.col("l_partkey") % 7 == 0, 2).otherwise(1)
-    x = nq._lines(spark, sf_dir)
+    x = nq._lines(spark, sf_dir, "l_partkey")
     short = F.struct(F.date_format("at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("t"), F.col("p").alias("o"), F.col("high").alias("h"), F.col("p").alias("l"), F.col("close").alias("c"))
     long = F.struct(F.date_format("at", "yyyy-MM-dd HH:mm:ss").alias("datetime"), text("p").alias("open"), text("high").alias("high"), text("p").alias("low"), text("close").alias("close"))
     twice = F.struct(F.date_format("at", "yyyy-MM-dd").alias("datetime"), *((F.col(c) * factor).cast("string").alias(n) for c, n in (("p", "open"), ("high", "high"), ("p", "low"), ("close", "close"))))
@@ -44,13 +44,9 @@ def _evidence_pages(spark, sf_dir):
 
 
 def page_evidence(spark, sf_dir):
-    """Daily prices straight from raw pages, against the first provider's. They are written once, since both sides read them."""
-    path = scratch_folder(spark, "evidence")
-    read = metrics.evidence_series(_evidence_pages(spark, sf_dir), ["provider", "adjustment", "l_partkey"])
-    read.write.parquet(path)
-    found = spark.read.schema(read.schema).parquet(path)
-    base = found.filter("provider = 'first'").drop("provider", "adjustment")
-    return metrics.compared_series(found, base, ["provider", "adjustment"], ["l_partkey", "day"])
+    """Daily prices straight from raw pages, against the first provider's. Lines are dealt by part once, and all that follows stays with them."""
+    found = metrics.evidence_series(_evidence_pages(spark, sf_dir), ["provider", "adjustment", "l_partkey"])
+    return metrics.compared_with(found, F.col("provider") == "first", ["provider", "adjustment"], ["l_partkey", "day"])
 
 
 def _sources(spark, sf_dir):
