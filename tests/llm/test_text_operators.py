@@ -352,6 +352,21 @@ def test_prompts_carry_no_loss(spark):
 
 
 # language identification
+def test_language_arrays_are_those_of_a_group_of_texts_of_like_length(monkeypatch):
+    crf = language_id.train(["the cat sat on the mat " * 9, "der hund lief durch den wald " * 9], ["en", "de"])
+    rng = np.random.default_rng(1)
+    texts = ["", "123", *(("the mat " if k % 2 else "der wald ") * int(n) for k, n in enumerate(rng.integers(1, 2000, 900)))]
+    seen, real = [], language_id.forward_backward
+    monkeypatch.setattr(language_id, "forward_backward", lambda scores, counts, *a: (seen.append((len(scores), counts.min(), counts.max())), real(scores, counts, *a))[1])
+    found = language_id.classify_surely(texts, crf)
+    assert sum(map(len, texts)) > 6 * language_id.GROUP_CHARS and sum(n for n, _, _ in seen) == sum(len(x.split()) for x in texts[2:])
+    assert max(n for n, _, _ in seen) <= language_id.GROUP_CHARS / 4
+    assert all(1.2 * least >= longest for (_, least, _), (_, _, longest) in zip(seen, seen[1:], strict=False))  # words of the two texts differ in length
+    alone = [language_id.classify_surely([x], crf)[0] for x in texts[:200]]
+    assert [x[0] for x in found[:200]] == [x[0] for x in alone] and np.allclose([x[1:] for x in found[:200]], [x[1:] for x in alone], atol=1e-6)
+    assert language_id.classify_surely([], crf) == []
+
+
 def test_forward_backward_equals_enumeration():
     import itertools
 
