@@ -27,8 +27,8 @@ def in_blocks(rows: DataFrame, position: Column, tolerance: int, block: int | No
     size, reach = max(block or 0, BLOCK * tolerance), 2 * tolerance
     at, home = F.col("_at"), F.col("_home")
     first, last = at - home < reach, home + size - at <= reach
-    beside = F.array_compact(F.array(home, F.when(first, home - size), F.when(last, home + size)))
-    return at_home(rows, position, tolerance, block).withColumn("_block", F.explode(F.when(first | last, beside).otherwise(F.array(home))))
+    seen = F.when(first, F.array(home, home - size)).when(last, F.array(home, home + size)).otherwise(F.array(home))  # no row is near both ends
+    return at_home(rows, position, tolerance, block).withColumn("_block", F.explode(seen))
 
 
 def with_partners(rows: DataFrame, keys: Sequence[str], position: Column, tolerance: int, roles: Mapping[str, tuple[Column, Column]], payload: Column | None = None, block: int | None = None) -> DataFrame:
