@@ -5,17 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tidemark.operators.canonical import coerce
 from tidemark.operators.metrics import batch_metrics
 from tidemark.operators.validation import ValidationPolicy, validate_bars
-from tidemark.schemas import BAR_COLUMNS
 from tidemark.sources import raw
 from tidemark.sources.files import scratch_folder
 from tidemark.sources.normalize import BAR_NORMALIZERS, Normalized, bind, stored
-from tidemark.sources.store import BarStore
+from tidemark.sources.store import BarStore, digests
 
 
 class FlowError(RuntimeError):
@@ -40,12 +38,6 @@ def bound_normalizer(shape: str, requests: DataFrame, refs: DataFrame, sessions:
     return normalize
 
 
-def batch_digests(bars: DataFrame) -> DataFrame:
-    """Per raw batch: rows, and a digest that doesn't depend on their order (sum of 64-bit hashes)."""
-    row = F.xxhash64(*(F.array_sort(F.col(c)) if c == "quality_flags" else F.col(c) for c in BAR_COLUMNS))
-    return bars.groupBy("raw_batch_id").agg(F.count(F.lit(1)).alias("rows"), F.sum(row.cast("decimal(38,0)")).alias("digest"))
-
-
 def process_pages(batches: DataFrame, requests: DataFrame, shape: str, refs: DataFrame, sessions: DataFrame, raw_root: str, store: BarStore, policy: ValidationPolicy = ValidationPolicy(duplicate_scope="batch")) -> Processed:
     """Process raw batches whose request_id names a row of requests (request_id, source_id, expected_metadata, ...).
 
@@ -55,19 +47,21 @@ def process_pages(batches: DataFrame, requests: DataFrame, shape: str, refs: Dat
     """
     spark = batches.sparkSession
     landing = raw.land(batches, raw_root)
-    landed = spark.read.parquet(raw_root).join(batches.select("batch_id").distinct(), "batch_id", "left_semi")
+    ids = landing.select("batch_id")
+    landed = raw.landed_batches(spark, raw_root, ids)
     if not raw.integrity_errors(landed).isEmpty():
         raise FlowError("a landed payload fails its checksum")
     found = stored(bound_normalizer(shape, requests, refs, sessions)(landed), scratch_folder(spark, "outcome"))
     bars = validate_bars(found.rows, policy)
-    ids = batches.select(F.col("batch_id").alias("raw_batch_id"))
+    ids = ids.withColumnRenamed("batch_id", "raw_batch_id")
+    written, back = Observation(), store.batches_read(ids)
     if not found.rows.isEmpty():
-        store.append(bars, ids)
-    back = store.query().join(ids.distinct(), "raw_batch_id", "left_semi")
-    written, read = batch_digests(coerce(bars, verify=False)), batch_digests(back)
-    both = written.join(read.withColumnsRenamed({"rows": "read_rows", "digest": "read_digest"}), "raw_batch_id", "full")
-    if not both.filter("NOT (rows <=> read_rows AND digest <=> read_digest)").isEmpty():
-        raise FlowError("the store gave back other bars than were written")
+        store.append(bars, ids, watch=written)
+        back = store.batches_read(ids)
+        if back.agg(*digests()).first().asDict() != written.get:
+            raise FlowError("the store gave back other bars than were written")
+    elif not back.isEmpty():
+        raise FlowError("the store has bars of batches that have none")
     pages = landed.withColumn("raw_batch_id", F.col("batch_id"))
     m = batch_metrics(pages, back, found.issues, found.batch_errors).join(landing.select(F.col("batch_id").alias("raw_batch_id"), (F.col("landing") == "replay").alias("replayed")), "raw_batch_id", "left")
     passes = {"raw_pass": F.lit(True), "replay_pass": F.lit(True), "normalization_pass": F.col("errors") == 0, "stored_pass": (F.col("rows") == 0) | (F.col("parts") > 0), "query_pass": F.lit(True)}

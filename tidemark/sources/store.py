@@ -7,7 +7,7 @@ import uuid
 from dataclasses import dataclass
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,6 +69,12 @@ def ordered(bars: DataFrame) -> DataFrame:
     return bars.orderBy("timestamp_start", "instrument_id", "source_id", "adjustment_state", "session")
 
 
+def digests() -> list[Column]:
+    """Rows of a frame of bars, and a digest of them, batch ids and all, that doesn't depend on their order (sum of 64-bit hashes)."""
+    row = F.xxhash64(*(F.array_sort(F.col(c)) if c == "quality_flags" else F.col(c) for c in BAR_COLUMNS))
+    return [F.count(F.lit(1)).alias("rows"), F.sum(row.cast("decimal(38,0)")).alias("digest")]
+
+
 def partition_keys(bars: DataFrame) -> DataFrame:
     return bars.select("timeframe", F.year("timestamp_start").alias("year"), F.month("timestamp_start").alias("month")).distinct()
 
@@ -100,12 +106,13 @@ class BarStore:
             return self.spark.createDataFrame([], _REGISTRY)
         return self.spark.read.schema(f"{_REGISTRY}, publish string").parquet(f"{self.root}/batches").filter(F.col("publish").isin(done)).drop("publish")
 
-    def append(self, bars: DataFrame, batches: DataFrame | None = None, publish_id: str | None = None) -> bool:
+    def append(self, bars: DataFrame, batches: DataFrame | None = None, publish_id: str | None = None, watch: Observation | None = None) -> bool:
         """Coerce and write bars of batches that aren't there yet, in one pass over them. `batches` (raw_batch_id) lists the ids that bars may have.
 
         An empty frame, a row that breaks a rule, a batch already published or a row of another batch fails the call and leaves
         the store as it was. With `publish_id`, a call whose id is already published does nothing and returns False. Rows of a
-        month meet by a hash of month and instrument, so that no month is written by one task.
+        month meet by a hash of month and instrument, so that no month is written by one task. `watch` observes digests() of the
+        rows as they are written.
         """
         publish = publish_id or uuid.uuid4().hex
         if not _PUBLISH_ID.fullmatch(publish):
@@ -116,6 +123,7 @@ class BarStore:
         ready, check = coerce_watched(bars)
         dated = ready.withColumns({"year": F.year("timestamp_start"), "month": F.month("timestamp_start"), "_part": F.pmod(F.xxhash64("instrument_id"), F.lit(8))})
         dealt = dated.repartition("timeframe", "year", "month", "_part").drop("_part").sortWithinPartitions("year", "month", *(F.col(c).asc_nulls_last() for c in _SORT))
+        dealt = dealt if watch is None else dealt.observe(watch, *digests())
         try:
             dealt.write.mode("overwrite").partitionBy("timeframe", "year", "month").option("compression", "zstd").parquet(data)
             ids = self.spark.read.schema(_ON_DISK).parquet(data).groupBy("raw_batch_id").agg(F.count(F.lit(1)).alias("rows"))
@@ -139,9 +147,21 @@ class BarStore:
         if not create_marker(self.spark, f"{self.root}/published/{publish}"):
             raise CanonicalError(f"{publish} was published by another writer")
 
-    def query(self, query: BarQuery = BarQuery()) -> DataFrame:
+    def _scan(self) -> DataFrame | None:
         done = self.publishes()
         if not done:
+            return None
+        return self.spark.read.schema(T.StructType([*_ON_DISK.fields, T.StructField("publish", T.StringType())])).parquet(f"{self.root}/data").filter(F.col("publish").isin(done))
+
+    def query(self, query: BarQuery = BarQuery()) -> DataFrame:
+        files = self._scan()
+        return empty_bars(self.spark) if files is None else ordered(apply_query(files, query, partitioned=True))
+
+    def batches_read(self, ids: DataFrame) -> DataFrame:
+        """Bars of these raw batches (raw_batch_id), in no order. If the registry holds no other batch, nothing is joined."""
+        files = self._scan()
+        if files is None:
             return empty_bars(self.spark)
-        files = self.spark.read.schema(T.StructType([*_ON_DISK.fields, T.StructField("publish", T.StringType())])).parquet(f"{self.root}/data").filter(F.col("publish").isin(done))
-        return ordered(apply_query(files, query, partitioned=True))
+        bars = apply_query(files, BarQuery(), partitioned=True)
+        others = self.published_batches().join(ids, "raw_batch_id", "left_anti")
+        return bars if others.isEmpty() else bars.join(ids, "raw_batch_id", "left_semi")
