@@ -21,6 +21,14 @@ from tidemark.sources.raw import integrity_errors
 from tidemark.sources.store import BarStore
 
 
+def unpublished(pages: DataFrame, store: BarStore, key: str) -> DataFrame:
+    """Pages whose batch the store's registry doesn't hold. Ids meet the registry first, so payloads are shuffled only if it holds some of them."""
+    if not store.publishes():
+        return pages
+    held = pages.select(key).join(store.published_batches().select(F.col("raw_batch_id").alias(key)), key, "left_semi")
+    return pages if held.isEmpty() else pages.join(held, key, "left_anti")
+
+
 def ingest_available(
     spark: SparkSession, landing: str, schema: T.StructType, normalizer: Callable[[DataFrame], Normalized], store: BarStore, checkpoint: str, side: str, policy: ValidationPolicy = ValidationPolicy(duplicate_scope="batch"), files_per_trigger: int = 100, name: str = "stream"
 ) -> None:
@@ -37,7 +45,7 @@ def ingest_available(
         if "manifest" in pages.columns and not integrity_errors(pages).isEmpty():
             raise ValueError("a landed payload fails its checksum")
         key = "raw_batch_id" if "raw_batch_id" in pages.columns else "batch_id"
-        fresh = pages.join(store.published_batches().select(F.col("raw_batch_id").alias(key)), key, "left_anti")
+        fresh = unpublished(pages, store, key)
         found = stored(normalizer(fresh), f"{side.rstrip('/')}/micro_batch={number}")
         if not found.rows.isEmpty():
             store.append(validate_bars(found.rows, policy), publish_id=publish)
