@@ -52,7 +52,7 @@ def merged_counts(rows: DataFrame, by: str, counts: str) -> DataFrame:
 
 
 def pipeline_summary(batches: DataFrame, by: str) -> DataFrame:
-    """Sums and merged count maps of batch metrics, latencies, least remaining requests and most credits.
+    """Sums and merged count maps (those that there are) of batch metrics, latencies, least remaining requests and most credits.
 
     A provider passes if it has batches and rows and all batches pass.
     """
@@ -62,7 +62,7 @@ def pipeline_summary(batches: DataFrame, by: str) -> DataFrame:
         F.count("latency_ms").alias("latencies"), F.sum("latency_ms").alias("latency_sum"), F.max("latency_ms").alias("latency_max"),
         F.min("rate_limit_remaining").alias("remaining_min"), F.count("api_credits_used").alias("credit_samples"), F.max("api_credits_used").alias("credits_max"),
     )
-    for counts in ("issue_counts", "flag_counts"):
+    for counts in (c for c in ("issue_counts", "flag_counts") if c in batches.columns):
         g = g.join(merged_counts(batches, by, counts), by, "left").withColumn(counts, F.coalesce(counts, F.create_map().cast("map<string,bigint>")))
     return g.withColumn("pipeline_pass", (F.col("batches") > 0) & (F.col("rows") > 0) & F.col("all_passed")).drop("all_passed")
 
